@@ -116,9 +116,13 @@ def dedupe_within_horizon(
 ) -> DataFrame:
     """D3: drop a key already seen within ``horizon`` of event time.
 
-    Streaming: ``withWatermark`` + ``dropDuplicatesWithinWatermark`` (state is
-    keyed by id and expires with the watermark). Batch: the same call keeps
-    one row per key (map-side partial aggregation, no skewed task)."""
+    Streaming: ``withWatermark`` + ``dropDuplicatesWithinWatermark``; state is
+    keyed by id (spread over all state partitions, whatever the source) and
+    expires with the watermark. Batch: a table is one complete replay, so one
+    row per key is kept (``dropDuplicates``: partial aggregation in every map
+    task, so a hot key never lands whole in one task)."""
+    if not df.isStreaming:
+        return df.dropDuplicates(list(keys))
     if event_time not in df.columns:
         df = df.withColumn(event_time, observed_ts())
     return df.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(keys))
