@@ -25,7 +25,7 @@ from eventloom.operators.raw import build_raw_events, encode_raw, explode_pages
 from eventloom.plans.contract import Contract, builtin_contracts
 from eventloom.session import configure
 from eventloom.sources.registry import SourceConfig, get_source_config
-from eventloom.sources.tables import iso_z, order_events, read_table, shop_event_json, shop_events
+from eventloom.sources.tables import github_events, iso_z, order_events, read_table, shop_event_json
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -706,6 +706,49 @@ def quarantine_counts(spark, sf):
         .groupBy("reason").agg(F.count("*").alias("n"))
 
 
+# ---------------------------------------------------------------------------
+# Flagship: the shipped GitHub contract over GitHub-shaped events
+# ---------------------------------------------------------------------------
+
+@query("github_events", """
+SELECT event_id,
+       CASE event_type WHEN 'click' THEN 'WatchEvent' WHEN 'view' THEN 'IssueCommentEvent'
+                       WHEN 'purchase' THEN 'PullRequestEvent' WHEN 'signup' THEN 'CreateEvent'
+                       ELSE 'PushEvent' END AS event_type,
+       concat('org/repo-', CAST(user_id % 10 AS VARCHAR)) AS partition_key,
+       CAST(user_id AS VARCHAR) AS entity_id, concat('user_', user_id) AS entity_name,
+       epoch_us(ts) // 1000 AS event_time,
+       user_id % 10 AS repo_id,
+       CASE WHEN user_id % 2 = 0 THEN 'acme' END AS org_login,
+       event_id % 2 = 0 AS public,
+       CASE event_type WHEN 'click' THEN 'started' WHEN 'view' THEN 'created' WHEN 'purchase' THEN 'opened' END AS action,
+       CASE WHEN event_type = 'view' THEN concat('k', CAST(json_extract(props, '$.k') AS BIGINT) % 3, ',u', user_id % 2) END AS issue_labels,
+       CASE WHEN event_type = 'view' THEN event_id % 4 = 0 END AS issue_is_pull_request,
+       CASE WHEN event_type = 'purchase' THEN event_id END AS pr_number,
+       CASE WHEN event_type = 'signup' THEN 'repository' END AS ref_type,
+       CAST(CASE event_type WHEN 'click' THEN 6 WHEN 'view' THEN 21 WHEN 'purchase' THEN 18
+                            WHEN 'signup' THEN 10 ELSE 5 END AS INTEGER) AS n_attrs
+FROM events
+""")
+def github_events_q(spark, sf):
+    api = github_events(spark, sf)
+    raw = build_raw_events(api, get_source_config("github"), observed_at=OBSERVED_AT, keep=["event_id"], encode=True)
+    out = normalize(raw.withColumnRenamed("event_id", "rid"), {"github": builtin_contracts()["github"]}, keep=["rid"])
+    a = "attributes"
+    return out.selectExpr(
+        "rid AS event_id", "event_type", "partition_key", "entity_id", "entity_name", "event_time",
+        f"CAST(get_json_object({a}, '$.repo_id') AS BIGINT) AS repo_id",
+        f"get_json_object({a}, '$.org_login') AS org_login",
+        f"CAST(get_json_object({a}, '$.public') AS BOOLEAN) AS public",
+        f"get_json_object({a}, '$.action') AS action",
+        f"array_join(from_json(get_json_object({a}, '$.issue_labels'), 'array<string>'), ',') AS issue_labels",
+        f"CAST(get_json_object({a}, '$.issue_is_pull_request') AS BOOLEAN) AS issue_is_pull_request",
+        f"CAST(get_json_object({a}, '$.pr_number') AS BIGINT) AS pr_number",
+        f"get_json_object({a}, '$.ref_type') AS ref_type",
+        f"size(json_object_keys({a})) AS n_attrs",
+    )
+
+
 def queries() -> dict[str, QueryFn]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 

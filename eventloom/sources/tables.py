@@ -69,3 +69,58 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"'lines', {lines_sql}))"
     )
     return joined.selectExpr("o_orderkey", f"{event} AS event")
+
+
+# GitHub event types the click-stream rows are mapped to (PushEvent is not
+# declared by the GitHub contract, so it exercises the fallback branch).
+GITHUB_TYPE_OF = {"click": "WatchEvent", "view": "IssueCommentEvent", "purchase": "PullRequestEvent",
+                  "signup": "CreateEvent"}
+GITHUB_FALLBACK_TYPE = "PushEvent"
+
+
+def github_event_json() -> str:
+    """SQL text: one GitHub-shaped API event (JSON) per ``events`` row."""
+    gh_type = ("CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in GITHUB_TYPE_OF.items())
+               + f" ELSE '{GITHUB_FALLBACK_TYPE}' END")
+    iso = iso_z("ts")
+    k = "CAST(get_json_object(props, '$.k') AS BIGINT)"
+    login = "concat('user_', user_id)"
+    user = f"named_struct('login', {login})"
+    labels = f"array(named_struct('name', concat('k', {k} % 3)), named_struct('name', concat('u', user_id % 2)))"
+    issue_fields = (f"'id', event_id * 10, 'number', {k}, 'title', concat('Issue ', event_id), 'state', 'open', "
+                    f"'created_at', {iso}, 'updated_at', {iso}, 'comments', {k}, 'user', {user}, 'labels', {labels}")
+    issue = (f"CASE WHEN event_id % 4 = 0 THEN to_variant_object(named_struct({issue_fields}, "
+             f"'pull_request', named_struct('url', concat('https://example.invalid/pr/', event_id)))) "
+             f"ELSE to_variant_object(named_struct({issue_fields})) END")
+    comment = (f"named_struct('id', event_id * 100, 'body', concat('comment ', event_id), 'user', {user}, "
+               f"'created_at', {iso}, 'updated_at', {iso})")
+    repo = "named_struct('id', user_id % 10, 'name', concat('org/repo-', user_id % 10))"
+    side = ("named_struct('ref', '{ref}', 'sha', sha1(concat('{ref}', event_id)), "
+            "'repo', named_struct('id', {rid}, 'name', {rname}))")
+    pr = (f"named_struct('id', event_id * 7, 'number', event_id, "
+          f"'head', {side.format(ref='feature', rid='user_id', rname=login)}, "
+          f"'base', {side.format(ref='main', rid='user_id % 10', rname=chr(39) + 'org/repo' + chr(39))})")
+    payload = (
+        "CASE event_type "
+        "WHEN 'click' THEN to_variant_object(named_struct('action', 'started')) "
+        f"WHEN 'view' THEN to_variant_object(named_struct('action', 'created', 'issue', {issue}, 'comment', {comment})) "
+        f"WHEN 'purchase' THEN to_variant_object(named_struct('action', 'opened', 'number', event_id, "
+        f"'pull_request', {pr}, 'labels', array(named_struct('name', 'buy')))) "
+        "WHEN 'signup' THEN to_variant_object(named_struct('ref', CAST(NULL AS STRING), 'ref_type', 'repository', "
+        "'master_branch', 'main', 'description', CAST(NULL AS STRING), 'pusher_type', 'user', "
+        "'full_ref', 'refs/heads/main')) "
+        "ELSE to_variant_object(named_struct('size', 1)) END"
+    )
+    common = (f"'id', CAST(event_id AS STRING), 'type', {gh_type}, "
+              f"'actor', named_struct('id', user_id, 'login', {login}), 'repo', {repo}, ")
+    tail = f"'public', event_id % 2 = 0, 'created_at', {iso}, 'payload', {payload}"
+    with_org = f"named_struct({common}'org', named_struct('id', 1, 'login', 'acme'), {tail})"
+    without_org = f"named_struct({common}{tail})"
+    keep_nulls = "map('ignoreNullFields', 'false')"
+    return (f"CASE WHEN user_id % 2 = 0 THEN to_json({with_org}, {keep_nulls}) "
+            f"ELSE to_json({without_org}, {keep_nulls}) END")
+
+
+def github_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` -> (event_id, event) with ``event`` a GitHub-shaped API event as JSON."""
+    return read_table(spark, sf_dir, "events").selectExpr("event_id", f"{github_event_json()} AS event")
