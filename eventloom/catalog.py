@@ -749,6 +749,67 @@ def github_events_q(spark, sf):
     )
 
 
+# ---------------------------------------------------------------------------
+# J1 / J2 as Structured Streaming queries (file landing zone, availableNow)
+# ---------------------------------------------------------------------------
+
+@query("stream_normalize", _ENVELOPE_ORACLE)
+def stream_normalize(spark, sf):
+    from eventloom.session import scratch_dir
+    from eventloom.streaming.jobs import start_normalize
+
+    root = scratch_dir(spark, "stream-normalize")
+    raw = _shop_raw(spark, sf, shop_event_json({"actor": _ACTOR_SOMETIMES_NO_ID}))
+    raw.select("value").write.mode("overwrite").text(f"{root}/landing")
+    q = start_normalize(
+        spark, {"shop": builtin_contracts()["shop"]},
+        source_format="text", source_path=f"{root}/landing", source_options={"maxFilesPerTrigger": "4"},
+        sink_format="parquet", sink_path=f"{root}/out", checkpoint=f"{root}/checkpoint",
+    )
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out").where("outcome = 'ok'")
+    return out.selectExpr(
+        "CAST(event_id AS BIGINT) AS raw_id", "source", "event_id", "event_type",
+        "unix_millis(ingested_at) AS ingested_ms", "schema_version", "partition_key", "entity_id",
+        "entity_name", "event_time",
+    )
+
+
+@query("stream_ingest", """
+SELECT event_id, CAST(event_id AS VARCHAR) AS source_event_id, event_id * 10 AS seq, value
+FROM events
+""")
+def stream_ingest(spark, sf):
+    from eventloom.session import scratch_dir
+    from eventloom.streaming.jobs import start_ingest
+
+    root = scratch_dir(spark, "stream-ingest")
+    ev = read_table(spark, sf, "events")
+    orig = ev.selectExpr("event_id DIV 100 AS page_no", "event_id * 10 AS seq",
+                         f"{shop_event_json({'seq': 'event_id * 10'})} AS event")
+    # every third event is sent again right behind itself, with a changed value
+    dup = ev.where("event_id % 3 = 0").selectExpr(
+        "event_id DIV 100 AS page_no", "event_id * 10 + 5 AS seq",
+        f"{shop_event_json({'seq': 'event_id * 10 + 5', 'value': 'value + 1000'})} AS event")
+    pages = orig.unionByName(dup).groupBy("page_no").agg(
+        F.expr("concat('[', array_join(transform(sort_array(collect_list(struct(seq, event))), "
+               "x -> x.event), ','), ']')").alias("value"))
+    for half in (0, 1):  # two landing files -> two micro-batches sharing the FIFO state
+        pages.where(f"page_no % 2 = {half}").select("value").coalesce(1).write.mode("append").text(f"{root}/landing")
+    q = start_ingest(
+        spark, SHOP, source_format="text", source_path=f"{root}/landing",
+        source_options={"maxFilesPerTrigger": "1"}, sink_format="parquet", sink_path=f"{root}/out",
+        checkpoint=f"{root}/checkpoint", dedupe="fifo", max_size=120,
+        order="try_variant_get(event, '$.seq', 'bigint')", observed_at=OBSERVED_AT,
+    )
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    return out.selectExpr(
+        "CAST(source_event_id AS BIGINT) AS event_id", "source_event_id", "seq",
+        "CAST(get_json_object(value, '$.payload.value') AS DOUBLE) AS value",
+    )
+
+
 def queries() -> dict[str, QueryFn]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 

@@ -16,7 +16,15 @@ ISO_US = "\"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\""
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. The per-row work downstream (JSON build and parse) is
+    CPU-bound, so an input with fewer splits than the cluster has cores (one
+    small file, one row group) is spread round-robin first; a large table
+    already arrives in many splits and is read as is."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def iso_z(ts: str) -> str:
