@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.functions.time import to_millis_sql
+from eventloom.functions.time import with_to_millis
 from eventloom.functions.variant import select_keys_sql
 from eventloom.operators.dedupe import dedupe_fifo, dedupe_first, dedupe_within_horizon
 from eventloom.operators.normalize import normalize
@@ -590,16 +590,16 @@ FROM events
 def to_millis_mixed(spark, sf):
     ev = read_table(spark, sf, "events")
     iso = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
-    secs = f"floor({to_millis_sql('CAST(' + iso_z('ts') + ' AS VARIANT)').value} / 1000)"
+    ms = "(CAST(unix_micros(CAST(ts AS TIMESTAMP)) AS DECIMAL(20,0)) DIV 1000)"
     v = (
-        f"CASE event_id % 5 WHEN 0 THEN CAST(CAST({secs} AS BIGINT) AS VARIANT) "
-        f"WHEN 1 THEN CAST({to_millis_sql('CAST(' + iso_z('ts') + ' AS VARIANT)').value} AS VARIANT) "
+        f"CASE event_id % 5 WHEN 0 THEN CAST({ms} DIV 1000 AS VARIANT) "
+        f"WHEN 1 THEN CAST({ms} AS VARIANT) "
         f"WHEN 2 THEN CAST({iso_z('ts')} AS VARIANT) "
         f"WHEN 3 THEN parse_json('null') "
         f"ELSE CAST(concat(date_format(ts + INTERVAL 1 HOUR, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+01:00') AS VARIANT) END"
     )
-    staged = ev.selectExpr("event_id", f"{v} AS v")
-    return staged.selectExpr("event_id", f"{to_millis_sql('v').value} AS millis")
+    staged = with_to_millis(ev.selectExpr("event_id", f"{v} AS v"), {"v": "v"})
+    return staged.selectExpr("event_id", "v_ms AS millis")
 
 
 # ---------------------------------------------------------------------------

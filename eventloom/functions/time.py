@@ -208,6 +208,35 @@ def with_iso_millis(df: DataFrame, inputs: dict[str, str], mode: str = "rule") -
     return d.selectExpr(*base, *stage)
 
 
+def with_to_millis(df: DataFrame, inputs: dict[str, str]) -> DataFrame:
+    """F2 over VARIANT inputs as staged projections: adds ``<name>_ms`` and
+    ``<name>_err`` (see :func:`to_millis_sql` for the rules)."""
+    names = list(inputs)
+    base = ["`" + c + "`" for c in df.columns]
+    d = df.selectExpr(*base, *[f"{inputs[n]} AS {n}__tv" for n in names])
+    d = d.selectExpr(*base, *[x for n in names for x in (
+        f"{n}__tv", f"schema_of_variant({n}__tv) AS {n}__tt",
+        f"CASE WHEN schema_of_variant({n}__tv) = 'STRING' THEN try_cast({n}__tv AS STRING) END AS {n}__ts")])
+    d = with_iso_millis(d, {f"{n}__iso": f"{n}__ts" for n in names}, mode="to_millis")
+    stage = []
+    for n in names:
+        v, t = f"{n}__tv", f"{n}__tt"
+        is_num = f"({t} IN ('BIGINT', 'INT', 'SMALLINT', 'TINYINT', 'DOUBLE', 'FLOAT') OR {t} LIKE 'DECIMAL%')"
+        num = f"try_cast({v} AS DECIMAL(38,6))"
+        dbl = f"try_cast({v} AS DOUBLE)"
+        value = (
+            f"CASE WHEN {is_absent_sql(v)} THEN 0L "
+            f"WHEN {t} = 'BOOLEAN' THEN CASE WHEN try_cast({v} AS BOOLEAN) THEN 1000L ELSE 0L END "
+            f"WHEN {is_num} THEN coalesce(CAST(CASE WHEN abs({num}) > 1e11 THEN {num} ELSE {num} * 1000 END AS BIGINT), "
+            f"CAST(CASE WHEN abs({dbl}) > 1e11 THEN {dbl} ELSE {dbl} * 1000 END AS BIGINT)) "
+            f"WHEN {t} = 'STRING' THEN {n}__iso_ms END"
+        )
+        error = (f"coalesce(NOT {is_absent_sql(v)} AND {t} <> 'BOOLEAN' AND NOT {is_num} "
+                 f"AND ({t} <> 'STRING' OR {n}__iso_err), false)")
+        stage += [f"{value} AS {n}_ms", f"{error} AS {n}_err"]
+    return d.selectExpr(*base, *stage)
+
+
 # -- Column API (input: SQL text such as a column name) -------------------------
 
 def iso_to_millis(v: str) -> tuple[Column, Column]:

@@ -35,6 +35,7 @@ from eventloom.functions.variant import (
     vget_sql,
 )
 from eventloom.plans.compiler import ContractPlan
+from eventloom.plans.pinning import filter_here
 from eventloom.plans.contract import RESERVED_TAIL_NAMES, as_contracts
 
 # Fixed values of the raw and normalized envelopes.
@@ -183,13 +184,12 @@ def normalize(
         f"CASE WHEN NOT _n1_ok THEN '{REASON_MALFORMED}' WHEN _b IS NULL THEN '{REASON_UNKNOWN_SOURCE}' "
         f"WHEN coalesce({bad}, true) THEN '{REASON_NORMALIZE_ERROR}' END"
     )
-    # The reason is pinned in its own projection; the non-deterministic
-    # partition id keeps the optimizer from pushing ``reason IS NULL`` down
-    # through the rule projections (which would inline every rule into one
-    # huge predicate).
-    s5 = s4.selectExpr("*", f"{et.value} AS _event_time", f"{reason} AS reason", "spark_partition_id() AS _pid")
+    # the reason gets its own projection and the filter stays on top of it
+    # (see eventloom.plans.pinning: pushing it down would copy every rule
+    # into the predicate)
+    s5 = s4.selectExpr("*", f"{et.value} AS _event_time", f"{reason} AS reason")
     if not with_reason:
-        s5 = s5.filter("reason IS NULL AND _pid >= 0")
+        s5 = filter_here(s5, "reason IS NULL")
 
     # 6. output projection
     fixed = {

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.functions.variant import as_array, ident, py_str_sql, to_json_keep_nulls, vget_sql
+from eventloom.plans.pinning import filter_here
 
 if TYPE_CHECKING:
     from eventloom.sources.registry import SourceConfig
@@ -149,7 +150,7 @@ def build_raw_events(
         out = out.withColumn("value", encode_raw(F.col("reason").isNull()))
     if with_reason:
         return out
-    return out.filter(F.col("reason").isNull()).drop("reason")
+    return filter_here(out, "reason IS NULL").drop("reason")
 
 
 def encode_raw(when: Column | None = None) -> Column:
