@@ -699,10 +699,9 @@ def quarantine_counts(spark, sf):
              "WHEN event_id % 13 = 0 THEN replace(value, '\"source\":\"shop\"', '\"source\":\"gitlab\"') "
              "ELSE value END")
     staged = raw.selectExpr("event_id AS rid", "reason AS raw_reason", f"{value} AS value")
-    valid = normalize(staged.where("raw_reason IS NULL"), {"shop": builtin_contracts()["shop"]},
-                      keep=["rid"], with_reason=True).select("reason")
-    rejected = staged.where("raw_reason IS NOT NULL").selectExpr("raw_reason AS reason")
-    return valid.unionByName(rejected).selectExpr("coalesce(reason, 'ok') AS reason") \
+    # one pass: rows the raw layer rejected carry no envelope and keep their raw-layer reason
+    out = normalize(staged, {"shop": builtin_contracts()["shop"]}, keep=["rid", "raw_reason"], with_reason=True)
+    return out.selectExpr("coalesce(raw_reason, reason, 'ok') AS reason") \
         .groupBy("reason").agg(F.count("*").alias("n"))
 
 
