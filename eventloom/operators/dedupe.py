@@ -82,9 +82,135 @@ def dedupe_fifo(
     scope: Sequence[str] = DEFAULT_SCOPE,
     id_col: str = DEFAULT_ID,
     order: Sequence[str] = ("seq",),
+    range_partitions: int | None = None,
 ) -> DataFrame:
-    """D2 over a whole table: rows of each scope in ``order``, FIFO memory of
-    ``max_size`` accepted ids. Returns the accepted rows."""
+    """D2 over a whole table; returns the accepted rows (``order`` must be
+    unique within a scope, e.g. an arrival sequence).
+
+    Exact, with the serial part reduced to what is inherently serial:
+
+    1. ids are counted per scope (partial aggregation); an id seen once in its
+       scope is always accepted, and its only effect on later rows is to push
+       one entry into the memory (evicting the oldest) — its identity never
+       matters again;
+    2. on a narrow projection (scope, id, order), range-partitioned by
+       (scope, order), every repeated-id row learns how many single-use rows
+       precede it (per-partition totals -> offsets, a distributed prefix sum);
+       a repeated-id row that directly follows a row of the same id with no
+       single-use row between them is certainly a duplicate and is settled here;
+    3. only the remaining repeated-id rows run through the FIFO, one ordered pass
+       per scope, each gap of single-use rows applied as that many anonymous
+       accepts; the pass yields the rejected (scope, order) keys;
+    4. the full rows are anti-joined with the rejected keys.
+
+    Payload columns never pass through Python and never meet in one task.
+    """
+    if max_size < 1:
+        raise ValueError("max_size must be >= 1")
+    spark = df.sparkSession
+    scope, order = list(scope), list(order)
+    key = [*scope, id_col]
+    sk = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in scope]).alias("_sk")
+    narrow = df.select(*key, *order)
+    counts = narrow.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    flagged = narrow.join(counts, key).select(
+        *key, *order, sk, (F.col("_n") == 1).cast("long").alias("_single"))
+    parts = range_partitions or max(spark.sparkContext.defaultParallelism, 1)
+    ranged = (flagged.repartitionByRange(parts, *scope, *order)
+              .sortWithinPartitions(*scope, *order)
+              .withColumn("_part", F.spark_partition_id())
+              .checkpoint(eager=True))
+    # one row per (partition, scope): bounded by partitions x scopes
+    totals = ranged.groupBy("_part", "_sk").agg(F.sum("_single").alias("_t")).collect()
+    offsets: dict[tuple, int] = {}
+    running: dict[str, int] = {}
+    for row in sorted(totals, key=lambda r: r["_part"]):
+        offsets[(row["_part"], row["_sk"])] = running.get(row["_sk"], 0)
+        running[row["_sk"]] = running.get(row["_sk"], 0) + int(row["_t"])
+    offsets_b = spark.sparkContext.broadcast(offsets)
+
+    cols = [*key, *order, "_sk"]
+    multi_schema = T.StructType(
+        [ranged.schema[c] for c in cols]
+        + [T.StructField("_before", T.LongType()), T.StructField("_settled", T.BooleanType())]
+    )
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        off = offsets_b.value
+        seen: dict[str, int] = {}
+        last: dict[str, tuple] = {}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            part = int(pdf["_part"].iloc[0])
+            g = pdf["_sk"]
+            start = {k: seen.get(k, off.get((part, k), 0)) for k in g.unique()}
+            single = pdf["_single"]
+            before = g.map(start) + single.groupby(g, sort=False).cumsum() - single
+            for k, n in single.groupby(g, sort=False).sum().items():
+                seen[k] = start[k] + int(n)
+            m = pdf.loc[single == 0, cols].copy()
+            if m.empty:
+                continue
+            m["_before"] = before[single == 0].astype("int64")
+            grp = m.groupby("_sk", sort=False)
+            prev_id = grp[id_col].shift(1)
+            prev_before = grp["_before"].shift(1)
+            first = prev_id.isna()
+            for k in m.loc[first, "_sk"].unique():
+                if k in last:
+                    idx = m.index[(m["_sk"] == k)][0]
+                    prev_id.loc[idx], prev_before.loc[idx] = last[k]
+            m["_settled"] = (prev_id == m[id_col]) & (prev_before == m["_before"])
+            for k, row in grp.tail(1).set_index("_sk").iterrows():
+                last[k] = (row[id_col], row["_before"])
+            yield m
+
+    multi = ranged.mapInPandas(mark, multi_schema)
+    settled = multi.where("_settled").select(*scope, *order)
+
+    def run(key_: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ring: deque = deque()
+        members: set = set()
+        done = 0
+        for pdf in batches:
+            rejected = []
+            ids, befores = pdf[id_col].tolist(), pdf["_before"].tolist()
+            for i, (v, b) in enumerate(zip(ids, befores)):
+                gap, done = b - done, b
+                if gap >= max_size:
+                    ring, members = deque([None] * max_size), set()
+                else:
+                    for _ in range(gap):
+                        if len(ring) >= max_size:
+                            members.discard(ring.popleft())
+                        ring.append(None)
+                if v in members:
+                    rejected.append(i)
+                    continue
+                if len(ring) >= max_size:
+                    members.discard(ring.popleft())
+                ring.append(v)
+                members.add(v)
+            if rejected:
+                yield pdf.iloc[rejected][[*scope, *order]]
+
+    rej_schema = T.StructType([multi_schema[c] for c in (*scope, *order)])
+    open_rows = multi.where("NOT _settled").repartition(*scope).sortWithinPartitions(*scope, *order)
+    rejected = open_rows.groupBy(*scope).applyInPandas(run, schema=rej_schema)
+    drop = rejected.unionByName(settled)
+    return df.join(drop, on=[*scope, *order], how="left_anti").select(*df.columns)
+
+
+def dedupe_fifo_serial(
+    df: DataFrame,
+    max_size: int = DEFAULT_MEMORY,
+    scope: Sequence[str] = DEFAULT_SCOPE,
+    id_col: str = DEFAULT_ID,
+    order: Sequence[str] = ("seq",),
+) -> DataFrame:
+    """D2 as one ordered pass over every row of a scope (the literal form;
+    used to cross-check :func:`dedupe_fifo`)."""
     if max_size < 1:
         raise ValueError("max_size must be >= 1")
     scope, order = list(scope), list(order)

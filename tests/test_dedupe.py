@@ -5,7 +5,7 @@ from collections import deque
 
 import pytest
 
-from eventloom.operators.dedupe import dedupe_fifo, dedupe_first, dedupe_within_horizon
+from eventloom.operators.dedupe import dedupe_fifo, dedupe_fifo_serial, dedupe_first, dedupe_within_horizon
 
 
 def brute_fifo(ids, n):
@@ -39,12 +39,24 @@ def test_fifo_single_slot_remembers_only_last(spark):
     assert got == [0, 1, 2]
 
 
-@pytest.mark.parametrize("n,seed", [(1, 1), (3, 2), (7, 3), (120, 4)])
-def test_fifo_random_against_brute_force(spark, n, seed):
+@pytest.mark.parametrize("n,seed,universe", [(1, 1, 8), (3, 2, 14), (7, 3, 26), (120, 4, 365), (5, 5, 5000),
+                                             (4, 6, 40)])
+def test_fifo_random_against_brute_force(spark, n, seed, universe):
     rnd = random.Random(seed)
-    ids = [rnd.randrange(0, 3 * n + 5) for _ in range(3000)]
-    got = sorted(r.seq for r in dedupe_fifo(frame(spark, ids), max_size=n).collect())
-    assert got == brute_fifo(ids, n)
+    ids = [rnd.randrange(0, universe) for _ in range(3000)]
+    if seed == 6:  # long runs of one hot id
+        ids = [7 if rnd.random() < 0.5 else i for i in ids]
+    want = brute_fifo(ids, n)
+    got = sorted(r.seq for r in dedupe_fifo(frame(spark, ids), max_size=n, range_partitions=5).collect())
+    assert got == want
+    assert sorted(r.seq for r in dedupe_fifo_serial(frame(spark, ids), max_size=n).collect()) == want
+
+
+def test_fifo_payload_untouched(spark):
+    df = frame(spark, [1, 2, 1]).selectExpr("*", "parse_json('{\"a\": 1}') AS payload")
+    out = dedupe_fifo(df, max_size=5)
+    assert out.columns == df.columns
+    assert sorted((r.seq, r.body) for r in out.collect()) == [(0, "p0"), (1, "p1")]
 
 
 def test_fifo_scopes_are_independent(spark):
