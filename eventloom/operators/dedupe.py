@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.functions.time import to_millis_string_sql
+from eventloom.session import checkpoint_root
 
 DEFAULT_SCOPE = ("source", "source_event_endpoint")
 DEFAULT_ID = "source_event_id"
@@ -116,6 +117,7 @@ def dedupe_fifo(
     flagged = narrow.join(counts, key).select(
         *key, *order, sk, (F.col("_n") == 1).cast("long").alias("_single"))
     parts = range_partitions or max(spark.sparkContext.defaultParallelism, 1)
+    checkpoint_root(spark)  # the cluster's shared checkpoint folder (a private one only in tests)
     ranged = (flagged.repartitionByRange(parts, *scope, *order)
               .sortWithinPartitions(*scope, *order)
               .withColumn("_part", F.spark_partition_id())
