@@ -6,8 +6,8 @@ is what contracts are written against:
 
 * date ``YYYY-MM-DD`` or ``YYYYMMDD`` (week and ordinal dates are rejected);
 * optional time after any single separator character: ``HH``, ``HH:MM``,
-  ``HH:MM:SS``, ``HHMM``, ``HHMMSS``, fraction ``.f``/``,f`` of any length
-  (digits past the sixth are ignored);
+  ``HH:MM:SS``, ``HHMM``, ``HHMMSS`` (separators not mixed), then an optional
+  seconds fraction ``.f``/``,f`` of any length (digits past the sixth ignored);
 * optional offset ``Z``, ``±HH``, ``±HH:MM``, ``±HHMM``, ``±HH:MM:SS[.f]``;
 * a naive value is UTC; the result is epoch milliseconds, truncated toward zero.
 
@@ -24,11 +24,17 @@ from pyspark.sql import functions as F
 from eventloom.functions.variant import is_absent_sql, sql_str
 
 # Fixed grammar (see module docstring).
+# date: extended or basic; time: HH, then MM and SS either all with ':' or all without;
+# a fraction may follow the last component and counts as a fraction of a second.
 _DATE = r"(\d{4}-\d{2}-\d{2}|\d{8})"
-_TIME = r"(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?"
-_ZONE = r"(Z|[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:[.,]\d+)?)?)?)?"
+_TIME = r"(\d{2})(?:(?::(\d{2})(?::(\d{2}))?)|(?:(\d{2})(\d{2})?))?(?:[.,](\d+))?"
+_ZONE = r"(Z|[+-]\d{2}(?:(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)|(?:\d{2}(?:\d{2}(?:[.,]\d+)?)?))?)?"
 ISO_PATTERN = "^" + _DATE + "(?:." + _TIME + _ZONE + ")?$"
-OFFSET_PATTERN = r"^([+-])(\d{2}):?(\d{2})?:?(\d{2})?(?:[.,](\d+))?$"
+OFFSET_PATTERN = (r"^([+-])(\d{2})(?:(?::(\d{2})(?::(\d{2})(?:[.,](\d+))?)?)"
+                  r"|(?:(\d{2})(?:(\d{2})(?:[.,](\d+))?)?))?$")
+# replacement templates: date|HH|MM|SS|fraction|zone and sign|HH|MM|SS|fraction
+_ISO_PARTS = "$1|$2|$3$5|$4$6|$7|$8"
+_OFF_PARTS = "$1|$2|$3$6|$4$7|$5$8"
 
 _ISO = sql_str(ISO_PATTERN)
 _OFF = sql_str(OFFSET_PATTERN)
@@ -60,7 +66,7 @@ def trunc_div_1000_sql(us: str) -> str:
 
 
 def parts_sql(s: str) -> str:
-    return f"split(regexp_replace({s}, {_ISO}, '$1|$2|$3|$4|$5|$6'), {_BAR})"
+    return f"split(regexp_replace({s}, {_ISO}, '{_ISO_PARTS}'), {_BAR})"
 
 
 def matches_sql(s: str) -> str:
@@ -68,7 +74,7 @@ def matches_sql(s: str) -> str:
 
 
 def zone_parts_sql(p: str) -> str:
-    return f"split(regexp_replace(get({p}, 5), {_OFF}, '$1|$2|$3|$4|$5'), {_BAR})"
+    return f"split(regexp_replace(get({p}, 5), {_OFF}, '{_OFF_PARTS}'), {_BAR})"
 
 
 def zone_is_offset_sql(p: str) -> str:
