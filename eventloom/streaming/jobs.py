@@ -26,6 +26,18 @@ from eventloom.sources.registry import SourceConfig
 from eventloom.streaming.fifo import dedupe_fifo_stream
 
 
+REASONS = ("malformed", "unknown_source", "normalize_error", "invalid_event", "malformed_page")
+
+
+def with_reason_counts(df: DataFrame, name: str = "eventloom") -> DataFrame:
+    """Per-batch counts of normalized and rejected rows by reason (Q1), computed
+    alongside the write (``DataFrame.observe``): in streaming they appear in
+    ``query.lastProgress["observedMetrics"][name]``."""
+    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reason").isNull()).alias("ok")]
+    metrics += [F.count_if(F.col("reason") == F.lit(r)).alias(r) for r in REASONS]
+    return df.observe(name, *metrics)
+
+
 def ingest_frame(
     pages: DataFrame,
     config: SourceConfig,
@@ -96,7 +108,7 @@ def start_normalize(
     if sink_format == "kafka":
         out = normalize(src, contracts, keep=keep, output="json").select("value")
         return stream_writer(out, "kafka", checkpoint, options=sink_options, trigger=trigger).start()
-    out = normalize(src, contracts, keep=keep, output=output, with_reason=True)
+    out = with_reason_counts(normalize(src, contracts, keep=keep, output=output, with_reason=True))
     out = out.withColumn("outcome", F.when(F.col("reason").isNull(), F.lit("ok")).otherwise(F.lit("quarantine")))
     return stream_writer(out, sink_format, checkpoint, path=sink_path, options=sink_options,
                          trigger=trigger, partition_by=partition_by if sink_format != "memory" else ()).start()

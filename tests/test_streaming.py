@@ -39,6 +39,8 @@ def test_normalize_stream_equals_batch(spark):
     assert ok == batch and len(ok) == 5
     bad = sorted(r.reason for r in streamed.where("outcome = 'quarantine'").collect())
     assert bad == ["malformed", "unknown_source"]
+    metrics = q.lastProgress["observedMetrics"]["eventloom"]
+    assert (metrics["rows"], metrics["ok"], metrics["malformed"], metrics["unknown_source"]) == (7, 5, 1, 1)
 
 
 def test_ingest_stream_fifo_state_spans_micro_batches(spark):
@@ -66,3 +68,20 @@ def test_ingest_stream_fifo_state_spans_micro_batches(spark):
 def test_scratch_dirs_are_unique(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
     assert uuid
+
+
+def test_ingest_stream_horizon_dedupe(spark):
+    root = scratch_dir(spark, "t-horizon")
+    obs = "2026-07-17T12:21:32+00:00"
+
+    def page(ids):
+        return json.dumps([{**EV, "id": i, "type": "click"} for i in ids])
+
+    write_lines(f"{root}/in", "a.txt", [page([1, 2, 1])])
+    write_lines(f"{root}/in", "b.txt", [page([2, 3])])
+    q = start_ingest(spark, SourceConfig("shop"), source_format="text", source_path=f"{root}/in",
+                     source_options={"maxFilesPerTrigger": "1"}, sink_format="parquet", sink_path=f"{root}/out",
+                     checkpoint=f"{root}/ckpt", dedupe="horizon", horizon="10 minutes", observed_at=obs)
+    q.awaitTermination()
+    got = sorted(r.source_event_id for r in spark.read.parquet(f"{root}/out").collect())
+    assert got == ["1", "2", "3"]
