@@ -199,17 +199,48 @@ def with_iso_millis(df: DataFrame, inputs: dict[str, str], mode: str = "rule") -
         stage += [f"{n}__a", f"{n}__isstr", f"{n}__s", f"{n}__ok", p,
                   f"{zone_is_offset_sql(p)} AS {n}__zo", f"{zone_parts_sql(p)} AS {n}__z"]
     d = d.selectExpr(*base, *stage)
+    # integer components in their own projection, so the checks and the
+    # arithmetic below read plain columns
     stage = []
     for n in names:
-        parsed = micros_from_parts_sql(f"{n}__ok", f"{n}__p", f"{n}__zo", f"{n}__z")
-        a, is_str, s = f"{n}__a", f"{n}__isstr", f"{n}__s"
+        p, z, zo = f"{n}__p", f"{n}__z", f"{n}__zo"
+        stage += [
+            f"{n}__a", f"{n}__isstr", f"{n}__s", f"{n}__ok", zo,
+            f"unix_date(try_to_date(replace(get({p}, 0), '-', ''), 'yyyyMMdd')) AS {n}__day",
+            f"{_int(f'get({p}, 1)')} AS {n}__hh", f"{_int(f'get({p}, 2)')} AS {n}__mi",
+            f"{_int(f'get({p}, 3)')} AS {n}__ss", f"{_frac_us(f'get({p}, 4)')} AS {n}__fr",
+            f"(CASE WHEN get({z}, 0) = '-' THEN -1 ELSE 1 END) AS {n}__zsg",
+            f"{_int(f'get({z}, 1)')} AS {n}__zh", f"{_int(f'get({z}, 2)')} AS {n}__zm",
+            f"{_int(f'get({z}, 3)')} AS {n}__zs", f"{_frac_us(f'get({z}, 4)')} AS {n}__zf",
+        ]
+    d = d.selectExpr(*base, *stage)
+    stage = []
+    for n in names:
+        c = {k: f"{n}__{k}" for k in ("a", "isstr", "s", "ok", "zo", "day", "hh", "mi", "ss", "fr",
+                                      "zsg", "zh", "zm", "zs", "zf")}
+        valid = (
+            f"coalesce({c['ok']} AND {c['day']} IS NOT NULL AND {c['hh']} <= 23 AND {c['mi']} <= 59 "
+            f"AND {c['ss']} <= 59 AND (NOT {c['zo']} OR ({c['zh']} <= 23 AND {c['zm']} <= 59 AND {c['zs']} <= 59)), false)"
+        )
+        offset = (f"(CASE WHEN {c['zo']} THEN {c['zsg']} * ((({c['zh']} * 60 + {c['zm']}) * 60 + {c['zs']}) "
+                  f"* 1000000 + {c['zf']}) ELSE 0L END)")
+        micros = (f"(CAST({c['day']} AS BIGINT) * 86400000000L + (({c['hh']} * 60 + {c['mi']}) * 60 + {c['ss']}) "
+                  f"* 1000000L + {c['fr']} - {offset})")
+        stage.append(f"{valid} AS {n}__valid")
+        stage.append(f"{micros} AS {n}__us")
+        stage += [c["a"], c["isstr"], c["s"]]
+    d = d.selectExpr(*base, *stage)
+    stage = []
+    for n in names:
+        a, is_str, s_, ok, us = f"{n}__a", f"{n}__isstr", f"{n}__s", f"{n}__valid", f"{n}__us"
+        ms = trunc_div_1000_sql(us)
         if mode == "rule":
-            empty = f"({is_str} AND {s} = '')"
-            value = f"CASE WHEN NOT {a} AND {is_str} AND NOT {empty} THEN {trunc_div_1000_sql(parsed.value)} END"
-            error = f"coalesce(NOT {a} AND (NOT {is_str} OR (NOT {empty} AND {parsed.error})), false)"
+            empty = f"({is_str} AND {s_} = '')"
+            value = f"CASE WHEN NOT {a} AND {is_str} AND NOT {empty} AND {ok} THEN {ms} END"
+            error = f"coalesce(NOT {a} AND (NOT {is_str} OR (NOT {empty} AND NOT {ok})), false)"
         else:
-            value = f"CASE WHEN {a} THEN 0L ELSE {trunc_div_1000_sql(parsed.value)} END"
-            error = f"coalesce(NOT {a} AND {parsed.error}, false)"
+            value = f"CASE WHEN {a} THEN 0L WHEN {ok} THEN {ms} END"
+            error = f"coalesce(NOT {a} AND NOT {ok}, false)"
         stage += [f"{value} AS {n}_ms", f"{error} AS {n}_err"]
     return d.selectExpr(*base, *stage)
 
