@@ -34,7 +34,7 @@ from eventloom.functions.variant import (
     variant_of_sql,
     vget_sql,
 )
-from eventloom.plans.compiler import ContractPlan
+from eventloom.plans.compiler import ContractPlan, rule_key
 from eventloom.plans.pinning import filter_here
 from eventloom.plans.contract import RESERVED_TAIL_NAMES, as_contracts
 
@@ -162,10 +162,19 @@ def normalize(
         return f"{n}_ms", f"{n}_err"
 
     plan.bind("payload", resolve, timestamps)
+    lambda_rules = plan.lambda_rules()
+    if lambda_rules:
+        hcols = {rule_key(r): f"_h{i}" for i, r in enumerate(lambda_rules)}
+        # their own projection (kept separate from the next one by a non-deterministic
+        # column, see eventloom.plans.pinning), so the rules below stay in fused code
+        s3 = s3.selectExpr("*", *[f"{plan.compiled(r).value} AS {hcols[rule_key(r)]}" for r in lambda_rules],
+                           "spark_partition_id() AS __stage")
+        plan.precompute(hcols)
     names = plan.all_fields()
     fcol = {n: f"_f{i}" for i, n in enumerate(names)}
     s4 = s3.selectExpr(
         *keep, "_value", *[f"_{f}" for f in RAW_STRING_FIELDS], "_n1_ok", "_b",
+        *(["__stage"] if lambda_rules else []),
         "_ing_ms AS _ingested_ms", "_ing_err AS _ingested_err",
         *[f"{plan.field_sql(n, '_b')} AS {fcol[n]}" for n in names],
         f"{plan.rule_error_sql('_b')} AS _rule_err",

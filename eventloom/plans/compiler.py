@@ -131,6 +131,7 @@ class ContractPlan:
         self._payload = "payload"
         self._resolve: ExprResolver | None = None
         self._timestamps: TimestampLookup | None = None
+        self._precomputed: dict[tuple, str] = {}
 
     # -- routing -----------------------------------------------------------
     def branch_id_sql(self, source: str, event_type: str) -> str:
@@ -156,8 +157,26 @@ class ContractPlan:
         self._resolve = resolve_expr
         self._timestamps = timestamps
         self._compiled = {}
+        self._precomputed = {}
         return self
 
+    def lambda_rules(self) -> list[FieldRule]:
+        """Distinct rules whose expressions use lambda functions (``take``
+        plucks, free expressions). Catalyst evaluates higher-order functions
+        outside whole-stage code generation, so these are computed in a
+        projection of their own and the other rules stay in fused code."""
+        seen: dict[tuple, FieldRule] = {}
+        for b in self.branches:
+            for r in b.rules.values():
+                if r.take or r.expression:
+                    seen.setdefault(rule_key(r), r)
+        return list(seen.values())
+
+    def precompute(self, columns: dict[tuple, str]) -> None:
+        """Use already computed columns for the given rules (by :func:`rule_key`)."""
+        self._precomputed = dict(columns)
+        self._compiled = {}
+
     def timestamp_paths(self) -> list[tuple]:
         """Distinct payload paths read by ``as: timestamp`` rules."""
         seen: dict[tuple, None] = {}
@@ -170,7 +189,10 @@ class ContractPlan:
     def compiled(self, rule: FieldRule) -> CompiledRule:
         key = rule_key(rule)
         if key not in self._compiled:
-            self._compiled[key] = compile_rule(rule, self._payload, self._resolve, self._timestamps)
+            if key in self._precomputed:
+                self._compiled[key] = CompiledRule(self._precomputed[key], "false", False)
+            else:
+                self._compiled[key] = compile_rule(rule, self._payload, self._resolve, self._timestamps)
         return self._compiled[key]
 
     def field_sql(self, name: str, branch: str) -> str:
