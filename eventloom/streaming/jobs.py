@@ -99,14 +99,18 @@ def start_normalize(
     keep: Sequence[str] = (),
     output: str = "columns",
     partition_by: Sequence[str] = ("outcome",),
+    kafka_key: str | None = None,
 ) -> StreamingQuery:
     """J2. File sinks get one table partitioned by ``outcome`` (``ok`` /
     ``quarantine``): normalized columns for accepted rows, ``reason`` and
     ``raw_value`` for rejected ones, written in a single pass. A Kafka sink
-    gets the normalized JSON of accepted rows only."""
+    gets the normalized JSON of accepted rows only, keyed by ``kafka_key``
+    (e.g. ``"partition_key"``) when given, so one entity's events share a
+    Kafka partition."""
     src = read_values(spark, source_format, source_path, source_options)
     if sink_format == "kafka":
-        out = normalize(src, contracts, keep=keep, output="json").select("value")
+        norm = normalize(src, contracts, keep=keep, output="json")
+        out = norm.selectExpr(f"`{kafka_key}` AS key", "value") if kafka_key else norm.select("value")
         return stream_writer(out, "kafka", checkpoint, options=sink_options, trigger=trigger).start()
     out = with_reason_counts(normalize(src, contracts, keep=keep, output=output, with_reason=True))
     out = out.withColumn("outcome", F.when(F.col("reason").isNull(), F.lit("ok")).otherwise(F.lit("quarantine")))
