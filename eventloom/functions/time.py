@@ -196,8 +196,10 @@ def with_iso_millis(df: DataFrame, inputs: dict[str, str], mode: str = "rule") -
     stage = []
     for n in names:
         p = f"{n}__p"
+        utc = f"coalesce(get({p}, 5) IN ('', 'Z'), true)"  # no offset to parse: skip the regex
         stage += [f"{n}__a", f"{n}__isstr", f"{n}__s", f"{n}__ok", p,
-                  f"{zone_is_offset_sql(p)} AS {n}__zo", f"{zone_parts_sql(p)} AS {n}__z"]
+                  f"(CASE WHEN {utc} THEN false ELSE {zone_is_offset_sql(p)} END) AS {n}__zo",
+                  f"(CASE WHEN {utc} THEN CAST(NULL AS ARRAY<STRING>) ELSE {zone_parts_sql(p)} END) AS {n}__z"]
     d = d.selectExpr(*base, *stage)
     # integer components in their own projection, so the checks and the
     # arithmetic below read plain columns

@@ -53,12 +53,6 @@ def shop_event_json(overrides: dict[str, str] | None = None, drop: tuple[str, ..
     return f"to_json(named_struct({body}), map('ignoreNullFields', 'false'))"
 
 
-def shop_events(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """``events`` -> (event_id, seq, event) with ``event`` the API event as JSON."""
-    ev = read_table(spark, sf_dir, "events")
-    return ev.selectExpr("event_id", "event_id * 10 AS seq", f"{shop_event_json()} AS event", *extra)
-
-
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` + ``lineitem`` -> one API event per order whose ``lines`` array
     holds the order's line items in line-number order (empty when it has none)."""
