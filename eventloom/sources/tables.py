@@ -21,10 +21,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     small file, one row group) is spread round-robin first; a large table
     already arrives in many splits and is read as is."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect): read as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def iso_z(ts: str) -> str:
