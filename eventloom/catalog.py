@@ -294,7 +294,8 @@ def unknown_source_filter(spark, sf):
              "'schema_version', schema_version, 'payload', payload)) ELSE value END")
     src = raw.selectExpr("event_id AS rid", f"{value} AS value")
     out = normalize(src, {"shop": builtin_contracts()["shop"]}, keep=["rid"], with_reason=True)
-    return out.selectExpr("rid AS event_id", "reason", "get_json_object(raw_value, '$.source') AS raw_source")
+    return out.selectExpr("rid AS event_id", "reason",
+                          "coalesce(source, get_json_object(raw_value, '$.source')) AS raw_source")
 
 
 # ---------------------------------------------------------------------------

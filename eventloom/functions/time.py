@@ -165,15 +165,17 @@ def to_millis_timestamp_sql(ts: str, naive: bool = True) -> str:
     return f"coalesce({trunc_div_1000_sql(us)}, 0L)"
 
 
-def with_iso_millis(df: DataFrame, inputs: dict[str, str], mode: str = "rule") -> DataFrame:
+def with_iso_millis(df: DataFrame, inputs: dict[str, str], mode: str | dict[str, str] = "rule") -> DataFrame:
     """Add ``<name>_ms`` / ``<name>_err`` for each input (SQL text) through staged
     projections (extract, type, split, offset, arithmetic), so each regular
     expression runs once per value and no stage outgrows code generation.
 
     ``mode="rule"``: F1 over VARIANT (absent/``""`` -> NULL, non-string -> error).
     ``mode="to_millis"``: F2 over STRING (NULL -> 0, ``Z`` read as ``+00:00``).
+    ``mode`` may also map each input name to its mode.
     """
     names = list(inputs)
+    modes = mode if isinstance(mode, dict) else {n: mode for n in names}
     if not names:
         return df
     base = ["`" + c + "`" for c in df.columns]
@@ -181,7 +183,7 @@ def with_iso_millis(df: DataFrame, inputs: dict[str, str], mode: str = "rule") -
     stage = []
     for n in names:
         v = f"{n}__v"
-        if mode == "rule":
+        if modes[n] == "rule":
             stage += [f"{is_absent_sql(v)} AS {n}__a",
                       f"coalesce(schema_of_variant({v}) = 'STRING', false) AS {n}__isstr",
                       f"CASE WHEN schema_of_variant({v}) = 'STRING' THEN try_cast({v} AS STRING) END AS {n}__s"]
@@ -236,7 +238,7 @@ def with_iso_millis(df: DataFrame, inputs: dict[str, str], mode: str = "rule") -
     for n in names:
         a, is_str, s_, ok, us = f"{n}__a", f"{n}__isstr", f"{n}__s", f"{n}__valid", f"{n}__us"
         ms = trunc_div_1000_sql(us)
-        if mode == "rule":
+        if modes[n] == "rule":
             empty = f"({is_str} AND {s_} = '')"
             value = f"CASE WHEN NOT {a} AND {is_str} AND NOT {empty} AND {ok} THEN {ms} END"
             error = f"coalesce(NOT {a} AND (NOT {is_str} OR (NOT {empty} AND NOT {ok})), false)"

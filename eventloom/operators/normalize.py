@@ -112,7 +112,8 @@ def normalize(
 
     ``keep`` passes input columns through (e.g. Kafka partition/offset).
     ``with_reason=True`` returns every row with ``reason`` (NULL = normalized)
-    and ``raw_value``; otherwise only normalized rows.
+    and, for rejected rows, ``raw_value`` (the original message); otherwise
+    only normalized rows.
     """
     if output not in ("columns", "json", "wide"):
         raise ValueError(f"unknown output {output!r}")
@@ -147,10 +148,11 @@ def normalize(
     s3 = s3.selectExpr(
         "*", f"CASE WHEN _n1_ok THEN {plan.branch_id_sql('_source', '_source_event_type')} END AS _b"
     )
-    s3 = with_iso_millis(s3, {"_ing": "_observed_at"}, mode="to_millis")
     ts_paths = plan.timestamp_paths()
     ts_names = {p: f"_ts{i}" for i, p in enumerate(ts_paths)}
-    s3 = with_iso_millis(s3, {ts_names[p]: vget_sql("payload", p) for p in ts_paths}, mode="rule")
+    ts_inputs = {"_ing": "_observed_at", **{ts_names[p]: vget_sql("payload", p) for p in ts_paths}}
+    ts_modes = {n: ("to_millis" if n == "_ing" else "rule") for n in ts_inputs}
+    s3 = with_iso_millis(s3, ts_inputs, mode=ts_modes)
 
     # 4. rules (P1-P9), each compiled once and picked per branch
     def resolve(expression: str) -> str:
@@ -242,7 +244,8 @@ def normalize(
             expr = f"try_variant_get({fv(n)}, '$', {sql_str(hints[n])})" if n in hints else fv(n)
             cols.append(f"{expr} AS {ident(n)}")
 
-    out = s5.selectExpr(*keep, *cols, "reason", "_value AS raw_value")
+    # the original message is kept for rejected rows only (accepted rows are the normalized event)
+    out = s5.selectExpr(*keep, *cols, "reason", "CASE WHEN reason IS NOT NULL THEN _value END AS raw_value")
     if with_reason:
         return out
     return out.drop("reason", "raw_value")
