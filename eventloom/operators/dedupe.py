@@ -168,6 +168,7 @@ def dedupe_fifo(
                 last[k] = (row[id_col], row["_before"])
             yield m
 
+    # narrow and parallel: cheaper to run twice (settled / open branches) than to materialise
     multi = ranged.mapInPandas(mark, multi_schema)
     settled = multi.where("_settled").select(*scope, *order)
 
