@@ -72,3 +72,19 @@ def test_raw_filter_pinned(spark):
     out = build_raw_events(df, SourceConfig("shop"), keep=["rid"])
     filters = [line for line in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in line]
     assert len(filters) == 1 and "__pin" in filters[0]
+
+
+def test_wide_contract_compiles_without_codegen_fallback(spark):
+    """The shipped GitHub contract (12 types, ~90 rules) must compile: with the
+    interpreter fallback disabled a 64 KB method would raise instead."""
+    before = spark.conf.get("spark.sql.codegen.fallback")
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        values = [envelope({**EV, "id": "1", "repo": {"id": 1, "name": "o/r"}, "public": True,
+                            "payload": {"action": "started"}}, source="github", event_type=t)
+                  for t in ("WatchEvent", "IssuesEvent", "GollumEvent", "PushEvent")]
+        for output in ("columns", "json", "wide"):
+            out = normalize(values_df(spark, values), builtin_contracts(), keep=["rid"], output=output)
+            assert out.count() == 4
+    finally:
+        spark.conf.set("spark.sql.codegen.fallback", before)

@@ -85,3 +85,17 @@ def test_horizon_batch_keeps_one_per_key(spark):
     df = frame(spark, [1, 2, 1, 3, 2]).selectExpr("*", "'2026-07-17T12:21:32+00:00' AS observed_at")
     out = dedupe_within_horizon(df, "10 minutes")
     assert sorted(r.source_event_id for r in out.collect()) == ["1", "2", "3"]
+
+
+def test_fifo_many_scopes_across_range_partitions(spark):
+    rnd = random.Random(21)
+    rows, want = [], []
+    for scope in ("a", "b", "c"):
+        ids = [rnd.randrange(0, 30) for _ in range(rnd.randint(200, 900))]
+        base = len(rows)
+        rows += [("s", scope, str(v), base + i, "p") for i, v in enumerate(ids)]
+        want += [(scope, base + i) for i in brute_fifo(ids, 6)]
+    df = spark.createDataFrame(rows, "source string, source_event_endpoint string, source_event_id string, "
+                                     "seq long, body string")
+    got = sorted((r.source_event_endpoint, r.seq) for r in dedupe_fifo(df, max_size=6, range_partitions=7).collect())
+    assert got == sorted(want)
