@@ -50,9 +50,11 @@ def run_ingest(spark: SparkSession, config: SourceConfig, *, source_format: str,
 
 def run_normalize(spark: SparkSession, contracts: Any, *, source_format: str, source_path: str,
                   sink_path: str, source_options: Mapping[str, str] | None = None,
-                  keep: Sequence[str] = (), output: str = "columns") -> None:
+                  keep: Sequence[str] = (), output: str = "columns",
+                  partition_by: Sequence[str] = ("outcome",)) -> None:
+    """``partition_by`` may add e.g. ``source`` or ``event_type`` after ``outcome``."""
     configure(spark)
     src = read_values(spark, source_format, source_path, source_options, streaming=False)
     out = normalize(src, contracts, keep=keep, output=output, with_reason=True)
     out = out.withColumn("outcome", F.when(F.col("reason").isNull(), F.lit("ok")).otherwise(F.lit("quarantine")))
-    out.write.mode("overwrite").partitionBy("outcome").parquet(sink_path)
+    out.write.mode("overwrite").partitionBy(*partition_by).parquet(sink_path)

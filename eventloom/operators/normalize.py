@@ -17,6 +17,7 @@ Rows that fail keep a ``reason`` (``malformed``, ``unknown_source``,
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -38,6 +39,8 @@ from eventloom.plans.compiler import ContractPlan, rule_key
 from eventloom.plans.pinning import filter_here
 from eventloom.plans.contract import RESERVED_TAIL_NAMES, as_contracts
 
+log = logging.getLogger(__name__)
+
 # Fixed values of the raw and normalized envelopes.
 RAW_STRING_FIELDS = ("source", "source_event_id", "source_event_endpoint", "source_event_type", "observed_at")
 NORMALIZED_SCHEMA_VERSION = 1
@@ -107,8 +110,8 @@ def normalize(
       * ``"columns"`` – the nine envelope columns + ``attributes`` (tail as JSON);
       * ``"json"`` – the above + ``value``, the whole normalized event as JSON;
       * ``"wide"`` – the envelope + one column per tail field of any contract
-        (VARIANT, or typed with ``type_hints[name]``), NULL where the row's
-        event type does not declare the field.
+        (VARIANT, or typed by the contracts' ``column_types`` / ``type_hints``),
+        NULL where the row's event type does not declare the field.
 
     ``keep`` passes input columns through (e.g. Kafka partition/offset).
     ``with_reason=True`` returns every row with ``reason`` (NULL = normalized)
@@ -118,7 +121,11 @@ def normalize(
     if output not in ("columns", "json", "wide"):
         raise ValueError(f"unknown output {output!r}")
     df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    plan = ContractPlan(as_contracts(contracts))
+    resolved = as_contracts(contracts)
+    for c in resolved.values():
+        for warning in c.lint():
+            log.warning(warning)
+    plan = ContractPlan(resolved)
     keep = [ident(c) for c in keep]
 
     # 1. one parse per message
@@ -237,7 +244,8 @@ def normalize(
 
         cols.append(f"{plan.per_branch_sql('_b', doc_json)} AS value")
     if output == "wide":
-        hints = dict(type_hints or {})
+        hints = {k: v for c in resolved.values() for k, v in c.column_types.items()}
+        hints.update(type_hints or {})
         for n in plan.tail_fields():
             if n in NORMALIZED_COLUMNS:
                 continue

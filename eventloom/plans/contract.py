@@ -112,6 +112,9 @@ class Contract:
     envelope: dict[str, FieldRule] = field(default_factory=dict)
     common: dict[str, FieldRule] = field(default_factory=dict)
     event_types: dict[str, dict[str, FieldRule]] = field(default_factory=dict)
+    # optional Spark SQL type per output field, used by the typed wide table;
+    # rules themselves carry no types
+    column_types: dict[str, str] = field(default_factory=dict)
 
     @classmethod
     def parse(cls, doc: Any, where: str = "contract") -> "Contract":
@@ -125,7 +128,11 @@ class Contract:
         types = doc["event_types"]
         if not isinstance(types, Mapping):
             raise ContractError(f"{where}.event_types: must be a mapping")
+        column_types = doc.get("column_types") or {}
+        if not isinstance(column_types, Mapping) or not all(isinstance(v, str) for v in column_types.values()):
+            raise ContractError(f"{where}.column_types: must map field names to Spark SQL type names")
         return cls(
+            column_types={str(k): v for k, v in column_types.items()},
             source=doc["source"],
             partition_key=FieldRule.parse(doc["partition_key"], f"{where}.partition_key"),
             envelope=_rules(doc["envelope"], f"{where}.envelope"),
@@ -152,6 +159,23 @@ class Contract:
             merged.update(self.event_types[event_type])
         return merged
 
+    def lint(self) -> list[str]:
+        """Warnings for event types whose rows can never be normalized (a
+        required envelope field missing, or a tail field reusing an envelope
+        name); such rows are routed to the quarantine."""
+        out = []
+        types = [None, *self.event_types]
+        for t in types:
+            rules = self.rules_for(t)
+            label = t or "<undeclared types>"
+            missing = [f for f in EXTRACTED_FIELDS if f not in rules]
+            clash = [n for n in rules if n in RESERVED_TAIL_NAMES]
+            if missing:
+                out.append(f"{self.source}/{label}: no rule for {missing}; its rows are quarantined")
+            if clash:
+                out.append(f"{self.source}/{label}: fields {clash} reuse envelope names; its rows are quarantined")
+        return out
+
     def field_names(self) -> list[str]:
         """Every field any event type can produce, in first-seen order."""
         names = dict.fromkeys(self.rules_for(None))

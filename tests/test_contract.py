@@ -88,3 +88,13 @@ def test_builtin_contracts():
         "PullRequestReviewCommentEvent", "CreateEvent", "DeleteEvent", "PublicEvent", "GollumEvent",
         "IssuesEvent", "MemberEvent",
     }
+
+
+def test_lint_and_column_types():
+    c = Contract.from_yaml(ENV.replace("common: {}", "common:\n  source: {from: x}")
+                           + "\ncolumn_types:\n  x: bigint\n")
+    assert c.column_types == {"x": "bigint"}
+    assert any("reuse envelope names" in w for w in c.lint())
+    assert builtin_contracts()["github"].lint() == []
+    with pytest.raises(ContractError):
+        Contract.from_yaml(ENV + "\ncolumn_types: [1]\n")
