@@ -794,15 +794,17 @@ def stream_ingest(spark, sf):
     pages = orig.unionByName(dup).groupBy("page_no").agg(
         F.expr("concat('[', array_join(transform(sort_array(collect_list(struct(seq, event))), "
                "x -> x.event), ','), ']')").alias("value"))
-    for half in (0, 1):  # two landing files -> two micro-batches sharing the FIFO state
-        pages.where(f"page_no % 2 = {half}").select("value").coalesce(1).write.mode("append").text(f"{root}/landing")
-    q = start_ingest(
-        spark, SHOP, source_format="text", source_path=f"{root}/landing",
-        source_options={"maxFilesPerTrigger": "1"}, sink_format="parquet", sink_path=f"{root}/out",
-        checkpoint=f"{root}/checkpoint", dedupe="fifo", max_size=120,
-        order="try_variant_get(event, '$.seq', 'bigint')", observed_at=OBSERVED_AT,
-    )
-    q.awaitTermination()
+    # two landings, each consumed by its own run of the same checkpointed query:
+    # the FIFO state of the first run carries into the second (a restart)
+    for half in (0, 1):
+        pages.where(f"page_no % 2 = {half}").select("value").write.mode("append").text(f"{root}/landing")
+        q = start_ingest(
+            spark, SHOP, source_format="text", source_path=f"{root}/landing",
+            sink_format="parquet", sink_path=f"{root}/out",
+            checkpoint=f"{root}/checkpoint", dedupe="fifo", max_size=120,
+            order="try_variant_get(event, '$.seq', 'bigint')", observed_at=OBSERVED_AT,
+        )
+        q.awaitTermination()
     out = spark.read.parquet(f"{root}/out")
     return out.selectExpr(
         "CAST(source_event_id AS BIGINT) AS event_id", "source_event_id", "seq",
