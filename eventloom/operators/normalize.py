@@ -22,6 +22,7 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from eventloom.functions.time import Checked, with_iso_millis
@@ -104,7 +105,9 @@ def normalize(
     type_hints: Mapping[str, str] | None = None,
     with_reason: bool = False,
 ) -> DataFrame:
-    """Normalize raw-envelope JSON strings by contract.
+    """Normalize raw envelopes by contract. ``value_col`` holds each envelope as
+    JSON text (a Kafka value), or as a VARIANT / struct when it comes from an
+    in-process raw layer (then nothing is parsed).
 
     ``output``:
       * ``"columns"`` – the nine envelope columns + ``attributes`` (tail as JSON);
@@ -128,9 +131,16 @@ def normalize(
     plan = ContractPlan(resolved)
     keep = [ident(c) for c in keep]
 
-    # 1. one parse per message
-    v = f"CAST({ident(value_col)} AS STRING)"
-    s1 = df.selectExpr(*keep, f"{v} AS _value", f"try_parse_json({v}) AS _doc")
+    # 1. one parse per message (none when the envelope already is a VARIANT or a struct)
+    vtype_ = df.schema[value_col].dataType
+    if isinstance(vtype_, T.VariantType):
+        s1 = df.selectExpr(*keep, f"to_json({ident(value_col)}) AS _value", f"{ident(value_col)} AS _doc")
+    elif isinstance(vtype_, (T.StructType, T.MapType)):
+        s1 = df.selectExpr(*keep, f"to_json({ident(value_col)}) AS _value",
+                           f"to_variant_object({ident(value_col)}) AS _doc")
+    else:
+        v = f"CAST({ident(value_col)} AS STRING)"
+        s1 = df.selectExpr(*keep, f"{v} AS _value", f"try_parse_json({v}) AS _doc")
 
     # 2. raw envelope (N1): extract once, then type-check the extracted columns
     s2 = s1.selectExpr(

@@ -157,3 +157,9 @@ def encode_raw(when: Column | None = None) -> Column:
     """The raw envelope columns as one JSON document (nulls kept)."""
     doc = to_json_keep_nulls(F.struct(*[F.col(c) for c in RAW_COLUMNS]))
     return doc if when is None else F.when(when, doc)
+
+
+def envelope_variant() -> Column:
+    """The raw envelope as one VARIANT, for handing to ``normalize`` in-process
+    (no JSON text in between)."""
+    return F.to_variant_object(F.struct(*[F.col(c) for c in RAW_COLUMNS]))
