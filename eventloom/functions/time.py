@@ -11,7 +11,9 @@ is what contracts are written against:
 * optional offset ``Z``, ``±HH``, ``±HH:MM``, ``±HHMM``, ``±HH:MM:SS[.f]``;
 * a naive value is UTC; the result is epoch milliseconds, truncated toward zero.
 
-Results never depend on ``spark.sql.session.timeZone``.
+Results never depend on ``spark.sql.session.timeZone``. The common layout
+(``yyyy-MM-ddTHH:mm:ss[.ffffff]`` plus ``Z`` or ``±HH:MM``) is read by Spark's
+own timestamp parser; only other spellings go through the regular expression.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ _ZONE = r"(Z|[+-]\d{2}(?:(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)|(?:\d{2}(?:\d{2}(?:[.
 ISO_PATTERN = "^" + _DATE + "(?:." + _TIME + _ZONE + ")?$"
 OFFSET_PATTERN = (r"^([+-])(\d{2})(?:(?::(\d{2})(?::(\d{2})(?:[.,](\d+))?)?)"
                   r"|(?:(\d{2})(?:(\d{2})(?:[.,](\d+))?)?))?$")
+# the common layout, read by Spark's own parser first; anything else takes the regex path
+FAST_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
 # replacement templates: date|HH|MM|SS|fraction|zone and sign|HH|MM|SS|fraction
 _ISO_PARTS = "$1|$2|$3$5|$4$6|$7|$8"
 _OFF_PARTS = "$1|$2|$3$6|$4$7|$5$8"
@@ -190,16 +194,25 @@ def with_iso_millis(df: DataFrame, inputs: dict[str, str], mode: str | dict[str,
         else:
             stage += [f"{v} IS NULL AS {n}__a", f"true AS {n}__isstr", f"replace({v}, 'Z', '+00:00') AS {n}__s"]
     d = d.selectExpr(*base, *stage)
+    # fast path: an offset-qualified extended timestamp with up to 6 fraction digits
     stage = []
     for n in names:
-        s = f"{n}__s"
-        stage += [f"{n}__a", f"{n}__isstr", s, f"{matches_sql(s)} AS {n}__ok", f"{parts_sql(s)} AS {n}__p"]
+        stage += [f"{n}__a", f"{n}__isstr", f"{n}__s",
+                  f"unix_micros(try_to_timestamp({n}__s, {sql_str(FAST_PATTERN)})) AS {n}__fast"]
+    d = d.selectExpr(*base, *stage)
+    # regex path, evaluated only where the fast path did not read the text
+    stage = []
+    for n in names:
+        s, slow = f"{n}__s", f"{n}__fast IS NULL"
+        stage += [f"{n}__a", f"{n}__isstr", s, f"{n}__fast",
+                  f"(CASE WHEN {slow} THEN {matches_sql(s)} ELSE false END) AS {n}__ok",
+                  f"(CASE WHEN {slow} THEN {parts_sql(s)} END) AS {n}__p"]
     d = d.selectExpr(*base, *stage)
     stage = []
     for n in names:
         p = f"{n}__p"
         utc = f"coalesce(get({p}, 5) IN ('', 'Z'), true)"  # no offset to parse: skip the regex
-        stage += [f"{n}__a", f"{n}__isstr", f"{n}__s", f"{n}__ok", p,
+        stage += [f"{n}__a", f"{n}__isstr", f"{n}__s", f"{n}__fast", f"{n}__ok", p,
                   f"(CASE WHEN {utc} THEN false ELSE {zone_is_offset_sql(p)} END) AS {n}__zo",
                   f"(CASE WHEN {utc} THEN CAST(NULL AS ARRAY<STRING>) ELSE {zone_parts_sql(p)} END) AS {n}__z"]
     d = d.selectExpr(*base, *stage)
@@ -209,7 +222,7 @@ def with_iso_millis(df: DataFrame, inputs: dict[str, str], mode: str | dict[str,
     for n in names:
         p, z, zo = f"{n}__p", f"{n}__z", f"{n}__zo"
         stage += [
-            f"{n}__a", f"{n}__isstr", f"{n}__s", f"{n}__ok", zo,
+            f"{n}__a", f"{n}__isstr", f"{n}__s", f"{n}__ok", f"{n}__fast", zo,
             f"unix_date(try_to_date(replace(get({p}, 0), '-', ''), 'yyyyMMdd')) AS {n}__day",
             f"{_int(f'get({p}, 1)')} AS {n}__hh", f"{_int(f'get({p}, 2)')} AS {n}__mi",
             f"{_int(f'get({p}, 3)')} AS {n}__ss", f"{_frac_us(f'get({p}, 4)')} AS {n}__fr",
@@ -230,8 +243,8 @@ def with_iso_millis(df: DataFrame, inputs: dict[str, str], mode: str | dict[str,
                   f"* 1000000 + {c['zf']}) ELSE 0L END)")
         micros = (f"(CAST({c['day']} AS BIGINT) * 86400000000L + (({c['hh']} * 60 + {c['mi']}) * 60 + {c['ss']}) "
                   f"* 1000000L + {c['fr']} - {offset})")
-        stage.append(f"{valid} AS {n}__valid")
-        stage.append(f"{micros} AS {n}__us")
+        stage.append(f"({n}__fast IS NOT NULL OR {valid}) AS {n}__valid")
+        stage.append(f"coalesce({n}__fast, {micros}) AS {n}__us")
         stage += [c["a"], c["isstr"], c["s"]]
     d = d.selectExpr(*base, *stage)
     stage = []

@@ -58,3 +58,22 @@ def test_matches_python_fromisoformat(spark):
         if got[i] != want:
             mismatches.append((s, got[i], want))
     assert not mismatches, mismatches[:10]
+
+
+def test_staged_parser_matches_python_fromisoformat(spark):
+    """The staged parser used by ``normalize`` (fast path + regex path)."""
+    from eventloom.functions.time import with_iso_millis
+
+    rnd = random.Random(12)
+    cases = [gen(rnd) for _ in range(3000)] + ["2026-07-17T12:21:32Z", "2026-07-17T12:21:32.5+02:00",
+                                               "2026-07-17T12:21:32.123456-05:30", "2026-07-17T12:21:32.1234567Z",
+                                               "2026-02-30T00:00:00Z", "2026-07-17T24:00:00Z", ""]
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, s string")
+    staged = with_iso_millis(df, {"t": "CAST(s AS VARIANT)"}, mode="rule")
+    got = {r.i: (r.t_ms, r.t_err) for r in staged.select("i", "t_ms", "t_err").collect()}
+    mismatches = []
+    for i, s in enumerate(cases):
+        want = (None, False) if s == "" else python_millis(s)
+        if got[i] != want:
+            mismatches.append((s, got[i], want))
+    assert not mismatches, mismatches[:10]
