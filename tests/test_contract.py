@@ -98,3 +98,16 @@ def test_lint_and_column_types():
     assert builtin_contracts()["github"].lint() == []
     with pytest.raises(ContractError):
         Contract.from_yaml(ENV + "\ncolumn_types: [1]\n")
+
+
+def test_engine_has_no_source_specific_vocabulary():
+    """Contracts carry all knowledge of a source; the engine names none."""
+    import pathlib
+
+    root = pathlib.Path(__file__).resolve().parent.parent / "eventloom"
+    engine = [root / "plans" / "compiler.py", root / "plans" / "contract.py", root / "operators" / "normalize.py",
+              root / "functions" / "variant.py", root / "functions" / "time.py"]
+    for path in engine:
+        text = path.read_text().lower()
+        for word in ("github", "gitlab", "issue", "pull_request", "repo."):
+            assert word not in text, (path.name, word)
