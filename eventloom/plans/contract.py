@@ -13,7 +13,7 @@ Validation happens once at load time (nothing here touches data):
 * all five sections are required; sections are mappings of rules.
 
 ``expression`` is a Spark SQL expression over the column ``payload`` (a
-VARIANT holding the event payload), e.g. ``payload:issue.pull_request IS NOT NULL``.
+VARIANT holding the event payload), e.g. ``size(try_cast(payload:items AS ARRAY<VARIANT>))``.
 """
 
 from __future__ import annotations
