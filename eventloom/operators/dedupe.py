@@ -49,19 +49,27 @@ def dedupe_first(
     return first.select(*[F.col(c) if c in keys else F.col("_first." + c).alias(c) for c in df.columns])
 
 
-def fifo_filter(ids: Sequence[Any], ring: deque, members: set, max_size: int) -> list[bool]:
-    """Advance a FIFO memory over ``ids`` in order; True where the id is accepted."""
-    accepted = []
-    for v in ids:
-        if v in members:
-            accepted.append(False)
-            continue
-        if len(ring) >= max_size:
-            members.discard(ring.popleft())
-        ring.append(v)
-        members.add(v)
-        accepted.append(True)
-    return accepted
+def _make_fifo_filter():
+    # Built inside a function so that cloudpickle ships it by value: Python
+    # workers then run it without importing this package.
+    def fifo_filter(ids: Sequence[Any], ring: deque, members: set, max_size: int) -> list[bool]:
+        """Advance a FIFO memory over ``ids`` in order; True where the id is accepted."""
+        accepted = []
+        for v in ids:
+            if v in members:
+                accepted.append(False)
+                continue
+            if len(ring) >= max_size:
+                members.discard(ring.popleft())
+            ring.append(v)
+            members.add(v)
+            accepted.append(True)
+        return accepted
+
+    return fifo_filter
+
+
+fifo_filter = _make_fifo_filter()
 
 
 def _variant_to_json(df: DataFrame) -> tuple[DataFrame, list[str]]:
