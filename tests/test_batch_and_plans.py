@@ -88,3 +88,17 @@ def test_wide_contract_compiles_without_codegen_fallback(spark):
             assert out.count() == 4
     finally:
         spark.conf.set("spark.sql.codegen.fallback", before)
+
+
+def test_whole_file_pages_and_fifo_batch_ingest(spark):
+    root = scratch_dir(spark, "t-wholetext")
+    os.makedirs(f"{root}/pages", exist_ok=True)
+    # one API page per file, pretty-printed over several lines
+    for n, ids in enumerate([[1, 2, 1], [3, 1]]):
+        with open(f"{root}/pages/page-{n}.json", "w") as fh:
+            json.dump([{**EV, "id": i, "type": "click"} for i in ids], fh, indent=2)
+    run_ingest(spark, SourceConfig("shop"), source_format="text", source_path=f"{root}/pages",
+               source_options={"wholetext": "true"}, sink_path=f"{root}/raw", dedupe="fifo",
+               order="page_pos + 1000 * CAST(regexp_extract(input_file_name(), 'page-(\\\\d+)', 1) AS INT)")
+    got = sorted((r.seq, r.source_event_id) for r in spark.read.parquet(f"{root}/raw").collect())
+    assert got == [(0, "1"), (1, "2"), (1000, "3")]
