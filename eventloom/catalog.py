@@ -532,14 +532,18 @@ def type_dispatch(spark, sf):
 
 
 @query("type_fallback", """
-SELECT event_id, event_type, 'amount,prop_k' AS attr_keys, value AS amount,
-       CAST(json_extract(props, '$.k') AS BIGINT) AS prop_k
-FROM events WHERE event_type NOT IN ('click', 'view', 'purchase', 'signup')
+SELECT event_id, event_type, event_type NOT IN ('click', 'view', 'purchase', 'signup') AS is_fallback,
+       CASE WHEN event_type NOT IN ('click', 'view', 'purchase', 'signup') THEN 'amount,prop_k' END AS fallback_keys,
+       value AS amount, CAST(json_extract(props, '$.k') AS BIGINT) AS prop_k
+FROM events
 """)
 def type_fallback(spark, sf):
+    # every row; undeclared types (P11) get envelope + common fields only
     out = _shop_normalized(spark, sf)
-    return out.where("event_type NOT IN ('click', 'view', 'purchase', 'signup')").selectExpr(
-        "rid AS event_id", "event_type", "array_join(json_object_keys(attributes), ',') AS attr_keys",
+    fallback = "event_type NOT IN ('click', 'view', 'purchase', 'signup')"
+    return out.selectExpr(
+        "rid AS event_id", "event_type", f"{fallback} AS is_fallback",
+        f"CASE WHEN {fallback} THEN array_join(json_object_keys(attributes), ',') END AS fallback_keys",
         "CAST(get_json_object(attributes, '$.amount') AS DOUBLE) AS amount",
         "CAST(get_json_object(attributes, '$.prop_k') AS BIGINT) AS prop_k",
     )
