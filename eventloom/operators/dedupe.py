@@ -92,10 +92,17 @@ def dedupe_fifo(
     id_col: str = DEFAULT_ID,
     order: Sequence[str] = ("seq",),
     range_partitions: int | None = None,
+    serial_below: int = 0,
 ) -> DataFrame:
     """D2 over a whole table; returns the accepted rows (``order`` must be
     unique within a scope, e.g. an arrival sequence).
 
+    Opt-in size check (``serial_below > 0``; one aggregation, one number to
+    the driver): when the largest scope has at most ``serial_below`` rows, each
+    scope is simply one ordered pass in its own task (:func:`dedupe_fifo_serial`).
+    The check reads the input once more, so it pays only where the input is
+    cheap to read twice (e.g. a stored table); by default the parallel form runs.
+
     Exact, with the serial part reduced to what is inherently serial:
 
     1. ids are counted per scope (partial aggregation); an id seen once in its
@@ -118,6 +125,10 @@ def dedupe_fifo(
         raise ValueError("max_size must be >= 1")
     spark = df.sparkSession
     scope, order = list(scope), list(order)
+    if serial_below > 0:
+        biggest = df.groupBy(*scope).count().agg(F.max("count")).first()[0] or 0
+        if biggest <= serial_below:
+            return dedupe_fifo_serial(df, max_size, scope, id_col, order)
     key = [*scope, id_col]
     sk = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in scope]).alias("_sk")
     narrow = df.select(*key, *order)

@@ -30,8 +30,9 @@ def frame(spark, ids, scope=("s", "e")):
 
 def test_fifo_documented_case(spark):
     ids = [1, 2, 1, 3, 4, 1, 2]
-    got = sorted(r.seq for r in dedupe_fifo(frame(spark, ids), max_size=3).collect())
-    assert got == [0, 1, 3, 4, 5, 6] == brute_fifo(ids, 3)
+    for serial_below in (0, 1_000_000):  # parallel form, then the size-checked single pass
+        got = sorted(r.seq for r in dedupe_fifo(frame(spark, ids), max_size=3, serial_below=serial_below).collect())
+        assert got == [0, 1, 3, 4, 5, 6] == brute_fifo(ids, 3)
 
 
 def test_fifo_single_slot_remembers_only_last(spark):
@@ -47,14 +48,15 @@ def test_fifo_random_against_brute_force(spark, n, seed, universe):
     if seed == 6:  # long runs of one hot id
         ids = [7 if rnd.random() < 0.5 else i for i in ids]
     want = brute_fifo(ids, n)
-    got = sorted(r.seq for r in dedupe_fifo(frame(spark, ids), max_size=n, range_partitions=5).collect())
+    got = sorted(r.seq for r in dedupe_fifo(frame(spark, ids), max_size=n, range_partitions=5,
+                                            serial_below=0).collect())
     assert got == want
     assert sorted(r.seq for r in dedupe_fifo_serial(frame(spark, ids), max_size=n).collect()) == want
 
 
 def test_fifo_payload_untouched(spark):
     df = frame(spark, [1, 2, 1]).selectExpr("*", "parse_json('{\"a\": 1}') AS payload")
-    out = dedupe_fifo(df, max_size=5)
+    out = dedupe_fifo(df, max_size=5, serial_below=0)
     assert out.columns == df.columns
     assert sorted((r.seq, r.body) for r in out.collect()) == [(0, "p0"), (1, "p1")]
 
@@ -97,5 +99,8 @@ def test_fifo_many_scopes_across_range_partitions(spark):
         want += [(scope, base + i) for i in brute_fifo(ids, 6)]
     df = spark.createDataFrame(rows, "source string, source_event_endpoint string, source_event_id string, "
                                      "seq long, body string")
-    got = sorted((r.source_event_endpoint, r.seq) for r in dedupe_fifo(df, max_size=6, range_partitions=7).collect())
+    got = sorted((r.source_event_endpoint, r.seq) for r in
+                 dedupe_fifo(df, max_size=6, range_partitions=7, serial_below=0).collect())
+    assert sorted((r.source_event_endpoint, r.seq) for r in
+                  dedupe_fifo(df, max_size=6, serial_below=10_000).collect()) == sorted(want)
     assert got == sorted(want)

@@ -18,7 +18,7 @@ SCRIPT = textwrap.dedent(f"""
     from eventloom.operators.dedupe import dedupe_fifo, dedupe_fifo_serial
     rows = [("s", "e", str(v), i) for i, v in enumerate([1, 2, 1, 3, 4, 1, 2])]
     df = spark.createDataFrame(rows, "source string, source_event_endpoint string, source_event_id string, seq long")
-    a = sorted(r.seq for r in dedupe_fifo(df, max_size=3).collect())
+    a = sorted(r.seq for r in dedupe_fifo(df, max_size=3, serial_below=0).collect())
     b = sorted(r.seq for r in dedupe_fifo_serial(df, max_size=3).collect())
     print("RESULT", a, b)
 """)
