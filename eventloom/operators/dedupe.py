@@ -109,7 +109,7 @@ def dedupe_fifo(
        scope is always accepted, and its only effect on later rows is to push
        one entry into the memory (evicting the oldest) — its identity never
        matters again;
-    2. on a narrow projection (scope, id, order), range-partitioned by
+    2. on a narrow projection (scope, id, order; checkpointed once), range-partitioned by
        (scope, order), every repeated-id row learns how many single-use rows
        precede it (per-partition totals -> offsets, a distributed prefix sum);
        a repeated-id row that directly follows a row of the same id with no
@@ -131,12 +131,14 @@ def dedupe_fifo(
             return dedupe_fifo_serial(df, max_size, scope, id_col, order)
     key = [*scope, id_col]
     sk = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in scope]).alias("_sk")
-    narrow = df.select(*key, *order)
+    checkpoint_root(spark)  # the cluster's shared checkpoint folder (a private one only in tests)
+    # the narrow keys, materialised once: the counts and the join below read them
+    # instead of recomputing the input (which is read once more, for the final anti-join)
+    narrow = df.select(*key, *order).checkpoint(eager=True)
     counts = narrow.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
     flagged = narrow.join(counts, key).select(
         *key, *order, sk, (F.col("_n") == 1).cast("long").alias("_single"))
     parts = range_partitions or max(spark.sparkContext.defaultParallelism, 1)
-    checkpoint_root(spark)  # the cluster's shared checkpoint folder (a private one only in tests)
     ranged = (flagged.repartitionByRange(parts, *scope, *order)
               .sortWithinPartitions(*scope, *order)
               .withColumn("_part", F.spark_partition_id())
