@@ -5,9 +5,10 @@ API events -> raw envelopes (``build_raw_events``) -> de-duplication
 normalization (``normalize``), in batch or Structured Streaming.
 """
 
-from eventloom.operators.dedupe import dedupe_fifo, dedupe_first, dedupe_within_horizon
+from eventloom.batch import run_ingest, run_normalize
+from eventloom.operators.dedupe import dedupe_fifo, dedupe_fifo_serial, dedupe_first, dedupe_within_horizon
 from eventloom.operators.normalize import normalize, quarantine
-from eventloom.operators.raw import build_raw_events, encode_raw, explode_pages
+from eventloom.operators.raw import build_raw_events, encode_raw, envelope_variant, explode_pages
 from eventloom.plans.contract import Contract, ContractError, FieldRule, builtin_contracts, load_contracts
 from eventloom.session import checkpoint_root, configure
 from eventloom.sources.registry import SourceConfig, get_source_config
@@ -22,12 +23,16 @@ __all__ = [
     "checkpoint_root",
     "configure",
     "dedupe_fifo",
+    "dedupe_fifo_serial",
     "dedupe_first",
     "dedupe_within_horizon",
     "encode_raw",
+    "envelope_variant",
     "explode_pages",
     "get_source_config",
     "load_contracts",
     "normalize",
     "quarantine",
+    "run_ingest",
+    "run_normalize",
 ]
