@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontamination, topk, url_filters
+from eventloom.llm import bpe, decontamination, language_id, topk, url_filters
 from eventloom.llm.common import table
 
 URL_RULES = [
@@ -96,10 +96,35 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
 
+def tokenizer_path() -> str:
+    """The installed tokenizer file (a parameter of the operator)."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path(), keep=["doc_id"])
+    return done.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.fit(docs), keep=["doc_id"])
+    return found.select(
+        "doc_id", language_id.held_out("doc_id").alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score")
+    )
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op4_decontamination": op4_decontamination,
+    "op7_bpe": op7_bpe,
     "op8_topk": op8_topk,
+    "op9_language_id": op9_language_id,
 }
 ORACLES = {
     "op1_url_filters": OP1_SQL,
