@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontamination, language_id, topk, url_filters
-from eventloom.llm.common import table
+from eventloom.llm import bpe, decontamination, language_id, topk, url_filters, warc
+from eventloom.llm.common import scratch, table
 
 URL_RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -96,6 +96,30 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "archives")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select(
+        warc.page_id(F.col("record_id")).cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.regexp_extract("refers_to", "([0-9]+)>$", 1).cast("long").alias("refers_to"), "error",
+    )
+
+
+OP5_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages
+), f AS (
+  SELECT page_id, strlen(h)::BIGINT AS payload_bytes, min(page_id) OVER (PARTITION BY h) AS first,
+    array_to_string(list_transform(range(8), lambda k: array_to_string(list_transform([15, 10, 5, 0],
+      lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(x, (5 * k + 1)::INT, 5))::INT >> s) & 31) + 1, 1)), '')), '') AS payload_digest
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to, NULL::VARCHAR AS error
+FROM f
+"""
+
+
 def tokenizer_path() -> str:
     """The installed tokenizer file (a parameter of the operator)."""
     import public_tokenizers
@@ -122,6 +146,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op4_decontamination": op4_decontamination,
+    "op5_warc": op5_warc,
     "op7_bpe": op7_bpe,
     "op8_topk": op8_topk,
     "op9_language_id": op9_language_id,
@@ -129,5 +154,6 @@ QUERIES = {
 ORACLES = {
     "op1_url_filters": OP1_SQL,
     "op4_decontamination": OP4_SQL,
+    "op5_warc": OP5_SQL,
     "op8_topk": OP8_SQL,
 }
