@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontamination, language_id, topk, url_filters, warc
+from eventloom.llm import bpe, decontamination, html_extraction, language_id, secret_scans, topk, url_filters, warc
 from eventloom.llm.common import scratch, table
 
 URL_RULES = [
@@ -38,6 +38,10 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p L
 """
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
@@ -120,6 +124,10 @@ FROM f
 """
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scans.scan(table(spark, sf_dir, "documents"), secret_scans.train(spark))
+
+
 def tokenizer_path() -> str:
     """The installed tokenizer file (a parameter of the operator)."""
     import public_tokenizers
@@ -145,8 +153,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_html_extraction": op2_html_extraction,
     "op4_decontamination": op4_decontamination,
     "op5_warc": op5_warc,
+    "op6_secret_scans": op6_secret_scans,
     "op7_bpe": op7_bpe,
     "op8_topk": op8_topk,
     "op9_language_id": op9_language_id,
