@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontamination, html_extraction, language_id, secret_scans, topk, url_filters, warc
+from eventloom.llm import bpe, decontamination, html_extraction, language_id, minhash_dedup, secret_scans, topk, url_filters, warc
 from eventloom.llm.common import scratch, table
 
 URL_RULES = [
@@ -151,6 +151,14 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("__id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"),
+        F.col("__id").eqNullSafe(F.col("component")).alias("kept"),
+    )
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_html_extraction": op2_html_extraction,
@@ -160,6 +168,7 @@ QUERIES = {
     "op7_bpe": op7_bpe,
     "op8_topk": op8_topk,
     "op9_language_id": op9_language_id,
+    "op10_minhash_dedup": op10_minhash_dedup,
 }
 ORACLES = {
     "op1_url_filters": OP1_SQL,
