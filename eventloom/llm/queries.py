@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontamination, html_extraction, language_id, minhash_dedup, secret_scans, topk, url_filters, warc
+from eventloom.llm import bpe, decontamination, html_extraction, language_id, minhash_dedup, secret_scans, substring_dedup, topk, url_filters, warc
 from eventloom.llm.common import scratch, table
 
 URL_RULES = [
@@ -42,6 +42,11 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
@@ -162,6 +167,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_html_extraction": op2_html_extraction,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_warc": op5_warc,
     "op6_secret_scans": op6_secret_scans,
