@@ -1,0 +1,273 @@
+"""Every operator and stage on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
+
+
+import corpus_pipeline
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from eventloom.llm import (
+    bpe, decontamination, html_extraction, language_id, minhash_dedup, secret_scans, substring_dedup, topk, url_filters, warc,
+)
+from eventloom.llm.common import scratch
+from eventloom.llm.queries import URL_RULES, tokenizer_path
+
+LONG = " ".join(f"w{k % 977}x{k % 13}" for k in range(30_000))
+ODD = [
+    (None, "a text with a null id and some more words"), (1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "!!! 123 ..."), (6, "é" * 50), (7, LONG), (7, LONG),
+    (8, "ties ties ties ties ties ties ties ties"), (8, "another text under the id of another row"), (9, "\x00\x1f\x85\xa0 \u2028x"), (10, "null\x00byte and 'quotes'"),
+]
+
+
+def ids(df, col="doc_id"):
+    return sorted((r[col] for r in df.select(col).collect()), key=lambda x: (x is None, x))
+
+
+def test_all_stages_take_odd_rows_and_empty_tables(spark, documents, tmp_path):
+    bench = spark.createDataFrame([(1, "never to be found in there at all by any one"), (2, None), (3, "")], "item_id long, text string")
+    for name, rows in (("odd", ODD), ("empty", [])):
+        docs = documents(rows)
+        folder = tmp_path / name
+        bench.write.parquet(f"{folder}/benchmark.parquet")
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, str(folder))
+            if k < len(corpus_pipeline.STAGES) - 1:
+                assert out.columns == docs.columns
+            else:
+                assert out.columns[: len(docs.columns)] == docs.columns
+            found = out.collect()
+            assert len(found) <= len(rows)
+
+
+def test_url_filters(spark):
+    schema = "page_id long, url string, host string, path string, __key string, rule int"
+    rows = [(1, None), (2, "no scheme"), (3, "http://"), (4, "http://WWW.Example.COM/en/x?q#f"), (5, "https://a.example.com/en/"), (6, "http://com/x"), (None, "http://a.net/es/1"), (8, "http://a.net/es"), (9, "x://b.net/fr/?"), (9, "x://b.net/fr/?"), (10, "http://examplecom/"), (11, "http://xcom/"), (12, "http://é.com/\n")]
+    pages = spark.createDataFrame([(i, u, "h", "p", "k", 1) for i, u in rows], schema)
+    got = {r["page_id"]: tuple(r)[1:] for r in url_filters.filter_urls(pages, URL_RULES).collect()}
+    assert got[1] == got[2] == got[3] == ("", "", None, "allow")
+    assert got[4] == ("www.example.com", "/en/x", "www.example.com/en/", "allow")
+    assert got[5] == ("a.example.com", "/en/", "example.com/en/", "block")
+    assert got[6][2:] == ("com/", "allow") and got[None][2:] == ("net/es/", "block")
+    assert got[8][2:] == (None, "allow") and got[9][2:] == ("net/fr/", "block")
+    assert got[10][2:] == (None, "allow") and got[11][2:] == (None, "allow") and got[12][2:] == ("com/", "allow")
+    assert url_filters.filter_urls(pages, URL_RULES).count() == len(rows)
+    assert url_filters.filter_urls(pages.limit(0), URL_RULES).count() == 0
+    assert url_filters.filter_urls(pages, []).where("rule is not null").count() == 0
+    with pytest.raises(ValueError):
+        url_filters.filter_urls(pages, [("", "/", "allow")])
+
+
+def test_url_filters_with_many_rules_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(url_filters, "RULE_BLOCK", 37)
+    rng = np.random.default_rng(3)
+    labels = ["a", "b", "com", "net", "x", "ab"]
+    host = lambda: ".".join(rng.choice(labels, rng.integers(1, 5)))
+    path = lambda: "".join("/" + x for x in rng.choice(labels, rng.integers(0, 4)))
+    rules = list({(host(), path()): None for _ in range(200)})
+    rules = [(h, p, "block" if k % 2 else "allow") for k, (h, p) in enumerate(rules)]
+    urls = [(k, f"http://{host()}{path()}") for k in range(600)]
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filters.filter_urls(spark.createDataFrame(urls, "page_id long, url string"), rules).collect()}
+    for k, u in urls:
+        h, _, p = u[7:].partition("/")
+        p = "/" + p if _ else ""
+        fits = [(len(a) + len(b), len(a), v == "block", a + b, v) for a, b, v in rules if (h == a or h.endswith("." + a)) and p.startswith(b)]
+        assert got[k] == (max(fits)[3:] if fits else (None, "allow"))
+
+
+def test_html_extraction(spark):
+    rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>"), (4, "u", "<article><h1>A &amp b</h1><p>x &am <b>y</b>z<br>q&#233;\n\n w<p>Second one here.</article><footer>no</footer>"), (4, "u", "just text < 3 and > 2"), (5, "u", "<script>never</script><style>p{}</style><!-- no --><!--")]
+    pages = spark.createDataFrame([(*r, "c", 1) for r in rows], "page_id long, url string, html string, text string, __id int")
+    out = html_extraction.extract(pages).collect()
+    assert len(out) == len(rows)
+    by = {(r["page_id"], r["url"]): r for r in out if r["page_id"] != 4}
+    assert by[1, "u"]["text"] == "" and by[2, None]["text"] == "" and by[1, "u"]["n_chars"] == 0 and by[5, "u"]["text"] == ""
+    assert "A & b\nx &am yz qé w\nSecond one here." in [r["text"] for r in out]
+    assert html_extraction.extract(pages.limit(0)).count() == 0
+
+
+def test_html_field_on_held_out_pages():
+    field = html_extraction.fit()
+    wrong = total = 0
+    for page, labels in html_extraction.labelled_pages(200, seed=77):
+        blocks = html_extraction.blocks_of(page)
+        assert len(blocks) == len(labels)
+        found = html_extraction.viterbi(field, blocks)
+        wrong += sum(a != b for a, b in zip(found, labels, strict=True))
+        total += len(labels)
+    assert wrong / total < 0.01
+    many = "<div>" * 3000 + "deep" + "<p>x" * 3000
+    assert html_extraction.main_text(field, many) is not None
+
+
+def test_substring_dedup(spark, documents):
+    docs = documents([*ODD, (20, " ".join(["go"] * 36)), (21, " ".join(f"u{k}" for k in range(40))), (22, "x " + " ".join(f"u{k}" for k in range(2, 38)))])
+    out = {(r["doc_id"], r["n_words"]): r for r in substring_dedup.remove_repeats(docs).collect()}
+    assert out[1, 0]["kept"] == "" and out[2, 0]["n_removed"] == 0
+    assert out[7, 30_000]["n_removed"] == 30_000
+    assert out[20, 36]["n_removed"] == 36  # two equal windows in one text
+    assert out[21, 40]["n_removed"] == 36 and out[21, 40]["kept"] == "u0 u1 u38 u39" and out[22, 37]["kept"] == "x"
+    assert substring_dedup.remove_repeats(docs).count() == len(ODD) + 3
+    assert substring_dedup.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_decontamination(spark, documents):
+    docs = documents([*ODD, (30, "so a SMALL item! and " + " ".join(f"q{k}" for k in range(12))), (31, "q1 q2 q3")])
+    items = [(1, "Small, item"), (2, None), (3, "..."), (4, " ".join(f"q{k}" for k in range(11))), (5, "small item"), (None, "null id item"), (6, LONG)]
+    bench = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, start int")
+    out = {(r["doc_id"], r["n_words"]): r for r in decontamination.find_contamination(docs, bench).collect()}
+    assert out[1, 0]["n_hit"] == out[2, 0]["n_hit"] == 0 and out[31, 3]["items"] == []
+    assert sorted(out[30, 17]["items"]) == [1, 4, 5] and out[30, 17]["n_hit"] == 13
+    assert out[7, 30_000]["n_hit"] == 30_000
+    assert decontamination.find_contamination(docs, bench.limit(0)).where("n_hit > 0").count() == 0
+    assert decontamination.find_contamination(docs.limit(0), bench).count() == 0
+    assert ids(decontamination.drop_contaminated(docs, bench)) == ids(docs.where("doc_id not in (7, 30) or doc_id is null"))
+
+
+def test_decontamination_in_blocks(spark, documents, monkeypatch):
+    docs = documents([(k, " ".join(f"t{(k + j) % 60}" for j in range(25))) for k in range(60)])
+    bench = spark.createDataFrame([(k, " ".join(f"t{(3 * k + j) % 60}" for j in range(12))) for k in range(20)], "item_id long, text string")
+    whole = sorted(map(str, decontamination.find_contamination(docs, bench).withColumn("items", F.array_sort("items")).collect()))
+    monkeypatch.setattr(decontamination, "BLOCK", 7)
+    assert whole == sorted(map(str, decontamination.find_contamination(docs, bench).withColumn("items", F.array_sort("items")).collect()))
+
+
+def test_secret_scans(spark, documents):
+    rng = np.random.default_rng(1)
+    key = "AKIA" + "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), 16))
+    rows = [*ODD, (40, f"{key} begins"), (41, 'then token = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b" ends'), (42, "set password=your_password_here now"), (43, f"twice {key} and {key}"), (43, f"twice {key} and {key}"), (44, "commit 9f86d081884c7d659a2feaa0c55ad015a3bf4f1b fixes")]
+    docs = documents(rows)
+    forest = secret_scans.train(spark)
+    found = secret_scans.scan(docs, forest).collect()
+    texts = dict(rows)
+    for r in found:
+        assert texts[r["doc_id"]][r["start"] : r["start"] + r["length"]] == r["candidate"]
+    secrets = sorted((r["doc_id"], r["start"]) for r in found if r["is_secret"])
+    assert secrets == [(40, 0), (41, 5), (43, 6), (43, 31)]
+    red = {r["doc_id"]: r for r in secret_scans.redact(docs, forest).collect()}
+    assert red[40]["text"] == "[SECRET] begins" and red[40]["n_chars"] == 15 and red[42]["text"] == texts[42] and red[1]["text"] is None
+    assert secret_scans.redact(docs, forest).count() == len(rows)
+    assert secret_scans.scan(docs.limit(0), forest).count() == 0
+    assert secret_scans.scan(docs, forest, path_col=None).count() == len(found)
+
+
+def test_secret_forest_on_held_out_findings(spark):
+    forest = secret_scans.train(spark)
+    held = secret_scans.labelled(spark, 1500, seed=9).select("label", F.struct(*secret_scans.features(*map(F.col, ("candidate", "left", "right", "path")))).alias("x")).collect()
+
+    def value(tree, x):
+        while not isinstance(tree, float):
+            tree = tree[2] if x[tree[0]] <= tree[1] else tree[3]
+        return tree
+
+    right = sum((sum(value(t, list(r["x"])) for t in forest) / len(forest) >= 0.5) == bool(r["label"]) for r in held)
+    assert right / len(held) > 0.97
+
+
+def test_topk(spark):
+    rows = [(0, [1.0, 0.0]), (50, [0.5, 0.5]), (100, None), (150, [float("nan"), 1.0]), (200, [None, 1.0]), (250, []), (300, [1e30, 1.0]), (350, [1.0, 2.0, 3.0]), (3, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (None, [9.0, 9.0]), (7, [0.0, 0.0]), (400, [0.0, 0.0])]
+    vectors = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<double>, label int, rank int")
+    out = topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=4)
+    got = {}
+    for r in out.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert set(got) == {0, 50, 400}
+    assert got[0] == [(None, 9 * 65536), (2, 65536), (2, 65536), (3, 65536)]
+    assert got[400] == [(0, 0), (2, 0), (2, 0), (3, 0)]
+    assert topk.top_k(vectors.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+@pytest.mark.parametrize("chunk,block", [(64 * 40, 7), (2**19, 8192)])
+def test_topk_against_brute_force(spark, monkeypatch, chunk, block):
+    monkeypatch.setattr(topk, "CHUNK", chunk)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", block)
+    rng = np.random.default_rng(5)
+    m = rng.normal(size=(400, 16)) * rng.lognormal(0, 1.5, (400, 1))
+    m[50:90] = m[50]
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.top_k(vectors, F.col("vec_id") % 10 == 0, k=5).collect()}
+    e = np.floor(256 * m).astype(np.int64)
+    for q in range(0, 400, 10):
+        s = e @ e[q]
+        order = [j for j in np.lexsort((np.arange(400), -s)) if j != q][:5]
+        assert [got[q, k + 1] for k in range(5)] == [(j, s[j]) for j in order]
+
+
+def test_warc(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SEGMENT", 300)
+    monkeypatch.setattr(warc, "CHUNK", 64)
+    monkeypatch.setattr(warc, "RECORDS", 3)
+    body = "é\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n" * 40
+    rows = [(1, "u", body), (2, "u\r\nX: y", body), (3, None, None), (4, "u", ""), (5, "u", "0\r\n\r\n"), (6, "u", LONG), (6, "u", LONG), (None, "u", "null id"), (9, "u", "null id")]
+    pages = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, digest string, row int")
+    for least, revisits in ((0, {2, 4, None}), (10, {2})):
+        path = scratch(spark, "test-archives")
+        warc.write(pages, path, least=least)
+        out = [r.asDict() | {"id": r["page"] and int(r["page"])} for r in warc.read(spark, path).withColumn("page", warc.page_id(F.col("record_id"))).collect()]
+        assert len(out) == len(rows) and not any(r["error"] for r in out)
+        assert {r["id"] for r in out if r["record_type"] == "revisit"} == (revisits if least == 0 else revisits)
+        for r in out:
+            text = dict((i, t) for i, _, t in rows)[r["id"]] or ""
+            assert r["payload_bytes"] == len(text.encode())
+            if r["record_type"] == "response":
+                assert bytes(r["payload"]).decode() == text
+    warc.write(pages.limit(0), empty := scratch(spark, "test-archives"))
+    assert warc.read(spark, empty).count() == 0
+
+
+def test_warc_reports_damage():
+    whole = list(warc.records(0, "1", "u", b"x" * 200_000, "D", None))
+    assert len(whole) > 2
+    parsed = [r for part in whole for r in warc.parsed(part + warc.END)]
+    import pyarrow as pa
+
+    table = lambda rows: pa.Table.from_pylist(rows, warc.RECORD)
+    assert "digest" in warc.reassembled(table(parsed)).to_pylist()[0]["error"]
+    assert "segment" in warc.reassembled(table(parsed[:1] + parsed[2:])).to_pylist()[0]["error"]
+    assert "total length" in warc.reassembled(table([*parsed[:-1], parsed[-1] | {"total": 5}])).to_pylist()[0]["error"]
+    assert next(warc.parsed(whole[0][:-3]))["error"] and next(warc.parsed(b"junk"))["error"]
+
+
+def test_bpe_matches_the_library(spark, documents, monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "PIECE", 200)
+    monkeypatch.setattr(bpe, "LEAF", 40)
+    lib = Tokenizer.from_file(tokenizer_path())
+    rng = np.random.default_rng(2)
+    rows = [*ODD, (50, "".join(rng.choice(list("abtheinging"), 3000))), (51, "!" * 999 + "=-" * 500), (52, "x<|endoftext|>" * 100), (53, "日本語テキスト" * 200 + " J̌ J̌ İstanbul ſtraße ŉ Ŀ"), (54, "a1" * 900), (55, "don't we'll 'S 's " * 60), (56, "e\u0301" * 400), (57, "<|startoftext|> <|END|> <|endoftext|>")]
+    docs = documents(rows).withColumn("ids", F.lit("clash"))
+    out = bpe.encode(docs, tokenizer_path())
+    assert set(docs.columns) <= set(out.columns)
+    found = sorted(((r["doc_id"], bytes(r["ids"]), r["decoded"]) for r in out.collect()), key=repr)
+    expected = []
+    for i, t in rows:
+        e = lib.encode(t or "", add_special_tokens=False).ids
+        expected.append((i, np.array(e, dtype="<u4").tobytes(), lib.decode(e, skip_special_tokens=False)))
+    assert found == sorted(expected, key=repr)
+    assert bpe.encode(docs.limit(0), tokenizer_path()).count() == 0
+
+
+def test_language_id(spark, documents):
+    docs = documents(ODD)
+    out = {(r["doc_id"], len(r["text"] or "")): r for r in language_id.predict(docs, language_id.fit(docs)).collect()}
+    assert all(out[k, len(t or "")]["__lang"] == "und" and out[k, len(t or "")]["__score"] == 0 for k, t in ODD if k in (1, 2, 3, 5))
+    assert out[4, 3]["__lang"] == "en" and len(out) == len(set((i, len(t or "")) for i, t in ODD))
+    none = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert language_id.fit(none) is None and language_id.fit(docs.limit(0)) is None
+    assert {r["__lang"] for r in language_id.predict(none, None).collect()} == {"und"}
+    assert ids(language_id.keep_identified(docs)) == [4, 6, 7, 7, 8, 8, 9, 10, None]
+
+
+def test_minhash_dedup(spark, documents):
+    base = [f"k{j}" for j in range(60)]
+    rows = [*ODD, (60, " ".join(base)), (61, " ".join(base).upper()), (62, " ".join([*base[:58], "z1", "z2"])), (63, "one two"), (64, "One  Two"), (65, "two one")]
+    docs = documents(rows)
+    out = sorted({(r["__id"], r["n"], r["component"]) for r in minhash_dedup.near_duplicates(docs).collect()}, key=repr)
+    assert (1, 0, 1) in out and (2, 0, 2) in out and (3, 0, 3) in out and (4, 1, 4) in out
+    assert {(60, 56, 60), (61, 56, 60), (62, 56, 60), (63, 1, 63), (64, 1, 63), (65, 1, 65)} <= set(out)
+    kept = minhash_dedup.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert ids(kept) == [1, 2, 3, 4, 5, 6, 7, 8, 8, 9, 10, 60, 63, 65, None]
+    assert minhash_dedup.near_duplicates(docs.limit(0)).count() == 0
+
+
