@@ -3,7 +3,8 @@
     python -m eventloom normalize --source-format text --source /landing/raw \
         --contracts eventloom/contracts --sink /tables/normalized [--stream --checkpoint /ckpt]
     python -m eventloom ingest --source github --input-format text --input /landing/pages \
-        --sink /tables/raw [--dedupe first|fifo|horizon|none] [--stream --checkpoint /ckpt]
+        --sink /tables/raw [--dedupe first|fifo|horizon|none] [--order page_file --order page_pos]
+        [--stream --checkpoint /ckpt]
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ def main(argv=None) -> None:
     i.add_argument("--option", action="append")
     i.add_argument("--sink", required=True)
     i.add_argument("--dedupe", default="first", choices=["first", "fifo", "horizon", "none"])
+    i.add_argument("--order", action="append", default=[],
+                   help="SQL expression of the arrival order (repeat for several), e.g. page_file, page_pos")
     for p in (n, i):
         p.add_argument("--stream", action="store_true")
         p.add_argument("--checkpoint", default=None)
@@ -52,6 +55,11 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     if a.stream and not a.checkpoint:
         ap.error("--stream needs --checkpoint")
+    if a.cmd == "ingest":
+        if a.dedupe in ("first", "fifo") and not a.order:
+            ap.error(f"--dedupe {a.dedupe} needs --order")
+        if a.stream and a.dedupe == "first":
+            ap.error("--dedupe first keeps every id for ever: stream with fifo or horizon")
     spark = configure(SparkSession.builder.appName(f"eventloom-{a.cmd}").getOrCreate())
     trigger = {"processingTime": f"{a.trigger_seconds} seconds"} if a.trigger_seconds else {"availableNow": True}
     if a.cmd == "normalize":
@@ -66,13 +74,12 @@ def main(argv=None) -> None:
     else:
         cfg = get_source_config(a.source, a.endpoint)
         if a.stream:
-            dedupe = "fifo" if a.dedupe == "first" else a.dedupe
             start_ingest(spark, cfg, source_format=a.input_format, source_path=a.input,
                          source_options=_options(a.option), sink_format="parquet", sink_path=a.sink,
-                         checkpoint=a.checkpoint, trigger=trigger, dedupe=dedupe).awaitTermination()
+                         checkpoint=a.checkpoint, trigger=trigger, dedupe=a.dedupe, order=a.order).awaitTermination()
         else:
             run_ingest(spark, cfg, source_format=a.input_format, source_path=a.input,
-                       source_options=_options(a.option), sink_path=a.sink, dedupe=a.dedupe)
+                       source_options=_options(a.option), sink_path=a.sink, dedupe=a.dedupe, order=a.order)
 
 
 if __name__ == "__main__":

@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 from eventloom.functions.time import with_to_millis
 from eventloom.functions.variant import select_keys_sql
 from eventloom.operators.dedupe import dedupe_fifo, dedupe_first, dedupe_within_horizon
+from eventloom.operators.ingest import ingest_events
 from eventloom.operators.normalize import normalize
 from eventloom.operators.raw import build_raw_events, explode_pages
 from eventloom.plans.contract import Contract, builtin_contracts
 from eventloom.session import configure
 from eventloom.sources.registry import SourceConfig, get_source_config
-from eventloom.sources.tables import github_events, iso_z, order_events, read_table, shop_event_json
+from eventloom.sources.tables import GITHUB_TYPES, github_events, iso_z, order_events, read_table, shop_event_json
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -241,6 +242,89 @@ def dedupe_watermark(spark, sf):
     return dedupe_within_horizon(raw, "10 minutes").select("source", "source_event_endpoint", "source_event_id")
 
 
+@query("dedupe_first_null_order", """
+SELECT event_id, CAST(event_id AS VARCHAR) AS source_event_id,
+       CASE WHEN event_id % 3 = 0 THEN event_id * 10 + 5 WHEN event_id % 5 = 0 THEN NULL ELSE event_id * 10 END AS seq,
+       CASE WHEN event_id % 3 = 0 THEN value + 1000 ELSE value END AS value
+FROM events
+""")
+def dedupe_first_null_order(spark, sf):
+    """An unknown arrival sorts behind every known one, and its row keeps its columns."""
+    raw = _with_resends(spark, sf, "event_id % 3 = 0", "event_id * 10 + 5")
+    unknown = "CASE WHEN (event_id % 5 = 0 OR event_id % 3 = 0) AND seq % 10 = 0 THEN NULL ELSE seq END"
+    return _value_out(dedupe_first(raw.withColumn("seq", F.expr(unknown)), order=["seq"]))
+
+
+@query("dedupe_fifo_overlap", """
+SELECT event_id, CAST(event_id AS VARCHAR) AS source_event_id, event_id // 30 * 90 AS seq, value FROM events
+""")
+def dedupe_fifo_overlap(spark, sf):
+    """Overlapping polls: every id comes in three consecutive polls of 90 events; its first sighting stays."""
+    ev = read_table(spark, sf, "events")
+    polls = ev.selectExpr("event_id", f"{shop_event_json()} AS event", "explode(array(0, 1, 2)) AS again").selectExpr(
+        "event_id", "event", "(event_id DIV 30 + again) * 90 AS seq", "event_id AS place")
+    raw = build_raw_events(polls, SHOP, observed_at=OBSERVED_AT, keep=["event_id", "seq", "place"])
+    return _value_out(dedupe_fifo(raw, max_size=120, order=["seq", "place"], chunk_rows=20_000))
+
+
+@query("dedupe_horizon_far", """
+SELECT event_id, CAST(event_id AS VARCHAR) AS source_event_id, event_id * 10 + s AS seq, value + v AS value
+FROM events, (VALUES (0, 0), (2, 2000)) AS r(s, v) WHERE s = 0 OR event_id % 3 = 1
+""")
+def dedupe_horizon_far(spark, sf):
+    """Re-sends 4 minutes later (dropped) and, of some ids, 11 minutes later (accepted again, horizon 10
+    minutes) and 20 minutes later (9 after the last accepted: dropped)."""
+    ev = read_table(spark, sf, "events")
+    sends = ev.selectExpr("*", "explode(CASE WHEN event_id % 3 = 1 THEN array(0, 1, 2, 3) ELSE array(0, 1) END) AS again")
+    sends = sends.selectExpr("*", "ts + make_dt_interval(0, 0, element_at(array(0, 4, 11, 20), again + 1), 0) AS seen")
+    api = sends.selectExpr(
+        "event_id", "event_id * 10 + again AS seq", f"{shop_event_json({'value': 'value + 1000 * again'})} AS event",
+        "concat(date_format(seen, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00') AS obs")
+    raw = build_raw_events(api, SHOP, observed_at=F.col("obs"), keep=["event_id", "seq", "obs"])
+    return _value_out(dedupe_within_horizon(raw, "10 minutes", order=["seq"]))
+
+
+def _overlapping_pages(spark, sf) -> DataFrame:
+    """``events`` as API pages of 20 that overlap by 10, newest page last; every seventh page is no JSON,
+    and every page holds one event without an id."""
+    ev = read_table(spark, sf, "events")
+    rows = ev.selectExpr("event_id", f"{shop_event_json()} AS event", "explode(array(event_id DIV 10, event_id DIV 10 + 1)) AS page_no")
+    pages = rows.groupBy("page_no").agg(F.expr(
+        "concat('[', array_join(transform(sort_array(collect_list(struct(event_id, event))), x -> x.event), ','), ',{\"type\": \"click\"}]')"
+    ).alias("value"))
+    return pages.withColumn("value", F.expr("CASE WHEN page_no % 7 = 3 THEN substring(value, 2) ELSE value END"))
+
+
+@query("ingest_pages_fifo", """
+SELECT event_id, CAST(event_id AS VARCHAR) AS source_event_id,
+       CAST(CASE WHEN event_id // 10 % 7 = 3 THEN event_id // 10 + 1 ELSE event_id // 10 END AS BIGINT) AS page_no, value
+FROM events
+""")
+def ingest_pages_fifo(spark, sf):
+    """Pages that overlap, in arrival order, with the defaults of the ingest: every first sighting stays."""
+    out = ingest_events(_overlapping_pages(spark, sf), SHOP, dedupe="fifo", order=["page_no", "page_pos"], observed_at=OBSERVED_AT)
+    return out.where("reason IS NULL").selectExpr(
+        "CAST(source_event_id AS BIGINT) AS event_id", "source_event_id", "CAST(arrival_1 AS BIGINT) AS page_no",
+        "CAST(get_json_object(value, '$.payload.value') AS DOUBLE) AS value")
+
+
+@query("ingest_quarantine", """
+WITH p AS (
+  SELECT event_id, page_no FROM (SELECT event_id, event_id // 10 AS page_no FROM events UNION ALL SELECT event_id, event_id // 10 + 1 FROM events)
+), good AS (SELECT * FROM p WHERE page_no % 7 <> 3)
+SELECT 'ok' AS reason, count(DISTINCT event_id) AS n FROM good
+UNION ALL SELECT 'duplicate', count(*) - count(DISTINCT event_id) FROM good
+UNION ALL SELECT 'invalid_event', count(DISTINCT page_no) FROM good
+UNION ALL SELECT 'malformed_page', count(DISTINCT page_no) FROM p WHERE page_no % 7 = 3
+""")
+def ingest_quarantine(spark, sf):
+    """Every rejected page and event, and every duplicate, with its reason and text."""
+    out = ingest_events(_overlapping_pages(spark, sf), SHOP, dedupe="fifo", order=["page_no", "page_pos"], observed_at=OBSERVED_AT)
+    bare = F.col("reason").isNotNull() & F.col("raw_value").isNull()
+    return out.select(F.when(bare, F.lit("no text")).otherwise(F.coalesce("reason", F.lit("ok"))).alias("reason")).groupBy(
+        "reason").agg(F.count("*").alias("n"))
+
+
 # ---------------------------------------------------------------------------
 # Parse, routing, row errors
 # ---------------------------------------------------------------------------
@@ -662,6 +746,56 @@ event_types:
     return out.selectExpr("rid AS event_id", "reason")
 
 
+@query("expression_error_drop", """
+SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'normalize_error' END AS reason,
+       CASE WHEN event_id % 7 <> 0 AND event_id % 5 <> 0 THEN event_id * 2 END AS doubled,
+       CASE WHEN event_id % 7 <> 0 AND event_id % 3 <> 0 THEN event_id END AS lenient
+FROM events
+""")
+def expression_error_drop(spark, sf):
+    """An expression that fails on a row costs that row; a missing input, or one that CASE handles, costs none."""
+    contracts = _contract("""
+common:
+  doubled: {expression: "try_multiply(try_cast(payload:n AS BIGINT), 2L)"}
+  lenient: {expression: "coalesce(try_cast(payload:m AS BIGINT), CAST(NULL AS BIGINT))"}
+event_types: {}
+""")
+    n = "CASE WHEN event_id % 7 = 0 THEN CAST('abc' AS VARIANT) WHEN event_id % 5 = 0 THEN NULL ELSE CAST(event_id AS VARIANT) END"
+    m = "CASE WHEN event_id % 3 = 0 THEN CAST('abc' AS VARIANT) ELSE CAST(event_id AS VARIANT) END"
+    raw = _shop_raw(spark, sf, shop_event_json({"n": n, "m": m})).withColumnRenamed("event_id", "rid")
+    out = normalize(raw, contracts, keep=["rid"], output="wide", with_reason=True, type_hints={"doubled": "bigint", "lenient": "bigint"})
+    ok = "CASE WHEN reason IS NULL THEN {} END AS {}"
+    return out.selectExpr("rid AS event_id", "reason", ok.format("doubled", "doubled"), ok.format("lenient", "lenient"))
+
+
+#: Integers as JSON values in all spellings, with what the envelope reads (None: the row is rejected).
+INT_SPELLINGS: list[tuple[str, int | None]] = [
+    ("'7'", 7), ("'+7'", 7), ("' 7 '", 7), ("'7.0'", 7), ("'7.000'", 7), ("'7_0'", 70), ("'-7_0.0 '", -70), ("'007'", 7), ("'-0.0'", 0),
+    ("'7.'", None), ("'.0'", None), ("'7.5'", None), ("'7__0'", None), ("'_7'", None), ("'7_'", None), ("'7e3'", None), ("'0x7'", None),
+    ("''", None), ("'- 7'", None), ("'7 0'", None), ("'7_.0'", None), ("7", 7), ("7.0D", 7), ("7.5D", None), ("true", 1), ("false", 0),
+]
+
+
+@query("int_coercion", "SELECT event_id, CASE event_id % {} {} END AS event_time, CASE WHEN event_id % {} IN ({}) THEN 'normalize_error' END AS reason FROM events".format(
+    len(INT_SPELLINGS), " ".join(f"WHEN {i} THEN {'NULL' if n is None else n}::BIGINT" for i, (_, n) in enumerate(INT_SPELLINGS)),
+    len(INT_SPELLINGS), ", ".join(str(i) for i, (_, n) in enumerate(INT_SPELLINGS) if n is None)))
+def int_coercion(spark, sf):
+    contract = Contract.from_yaml("""
+source: shop
+partition_key: {from: actor.login}
+envelope:
+  entity_id: {from: actor.id}
+  entity_name: {from: actor.login}
+  event_time: {from: at}
+common: {}
+event_types: {}
+""")
+    at = f"CASE event_id % {len(INT_SPELLINGS)} " + " ".join(f"WHEN {i} THEN CAST({v} AS VARIANT)" for i, (v, _) in enumerate(INT_SPELLINGS)) + " END"
+    raw = _shop_raw(spark, sf, shop_event_json({"at": at})).withColumnRenamed("event_id", "rid")
+    out = normalize(raw, {"shop": contract}, keep=["rid"], with_reason=True)
+    return out.selectExpr("rid AS event_id", "CASE WHEN reason IS NULL THEN event_time END AS event_time", "reason")
+
+
 @query("normalized_json", f"""
 SELECT event_id, '2026-07-17T12:21:32Z' AS ingested_at, epoch_us(ts) // 1000 AS event_time,
        value AS amount, concat('user_', user_id) AS partition_key,
@@ -714,42 +848,55 @@ def quarantine_counts(spark, sf):
 # Flagship: the shipped GitHub contract over GitHub-shaped events
 # ---------------------------------------------------------------------------
 
-@query("github_events", """
-SELECT event_id,
-       CASE event_type WHEN 'click' THEN 'WatchEvent' WHEN 'view' THEN 'IssueCommentEvent'
-                       WHEN 'purchase' THEN 'PullRequestEvent' WHEN 'signup' THEN 'CreateEvent'
-                       ELSE 'PushEvent' END AS event_type,
+_GH = "CASE event_id % 12 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(GITHUB_TYPES)) + " END"
+#: Number of attributes by type: the five common ones and those the type declares.
+_GH_ATTRS = "CASE event_id % 12 " + " ".join(
+    f"WHEN {i} THEN {n}" for i, n in enumerate((6, 21, 18, 15, 19, 10, 8, 5, 6, 19, 8, 5))) + " END"
+
+
+@query("github_events", f"""
+SELECT event_id, {_GH} AS event_type,
        concat('org/repo-', CAST(user_id % 10 AS VARCHAR)) AS partition_key,
        CAST(user_id AS VARCHAR) AS entity_id, concat('user_', user_id) AS entity_name,
-       epoch_us(ts) // 1000 AS event_time,
-       user_id % 10 AS repo_id,
-       CASE WHEN user_id % 2 = 0 THEN 'acme' END AS org_login,
-       event_id % 2 = 0 AS public,
-       CASE event_type WHEN 'click' THEN 'started' WHEN 'view' THEN 'created' WHEN 'purchase' THEN 'opened' END AS action,
-       CASE WHEN event_type = 'view' THEN concat('k', CAST(json_extract(props, '$.k') AS BIGINT) % 3, ',u', user_id % 2) END AS issue_labels,
-       CASE WHEN event_type = 'view' THEN event_id % 4 = 0 END AS issue_is_pull_request,
-       CASE WHEN event_type = 'purchase' THEN event_id END AS pr_number,
-       CASE WHEN event_type = 'signup' THEN 'repository' END AS ref_type,
-       CAST(CASE event_type WHEN 'click' THEN 6 WHEN 'view' THEN 21 WHEN 'purchase' THEN 18
-                            WHEN 'signup' THEN 10 ELSE 5 END AS INTEGER) AS n_attrs
+       epoch_us(ts) // 1000 AS event_time, user_id % 10 AS repo_id,
+       CASE WHEN user_id % 2 = 0 THEN 'acme' END AS org_login, event_id % 2 = 0 AS public,
+       CASE event_id % 12 WHEN 0 THEN 'started' WHEN 1 THEN 'created' WHEN 2 THEN 'opened' WHEN 3 THEN 'submitted'
+                          WHEN 4 THEN 'created' WHEN 9 THEN 'assigned' WHEN 10 THEN 'added' END AS action,
+       CASE WHEN event_id % 12 IN (1, 9) THEN concat('k', CAST(json_extract(props, '$.k') AS BIGINT) % 3, ',u', user_id % 2) END AS issue_labels,
+       CASE WHEN event_id % 12 = 1 THEN event_id % 24 = 1 END AS issue_is_pull_request,
+       CASE WHEN event_id % 12 IN (2, 3, 4) THEN event_id END AS pr_number,
+       CASE event_id % 12 WHEN 5 THEN 'repository' WHEN 6 THEN 'branch' END AS ref_type,
+       CASE WHEN event_id % 12 = 3 THEN CASE WHEN event_id % 24 = 3 THEN 'approved' ELSE 'commented' END END AS review_state,
+       CASE WHEN event_id % 12 = 3 THEN epoch_us(ts) // 1000 END AS review_submitted_at,
+       CASE WHEN event_id % 12 = 4 THEN concat('src/f', event_id % 9, '.py') END AS comment_path,
+       CASE WHEN event_id % 12 = 4 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS comment_position,
+       CASE WHEN event_id % 12 = 8 THEN CAST(event_id % 3 + 1 AS INTEGER) END AS n_pages,
+       CASE WHEN event_id % 12 = 8 THEN concat('Page ', event_id % 3, ' of ', event_id) END AS last_page_title,
+       CASE WHEN event_id % 12 = 9 THEN concat('user_', user_id, ',user_', user_id + 1) END AS assignees,
+       CASE WHEN event_id % 12 = 10 THEN concat('user_', user_id + 1) END AS member_login,
+       CAST({_GH_ATTRS} AS INTEGER) AS n_attrs
 FROM events
 """)
 def github_events_q(spark, sf):
     api = github_events(spark, sf)
     raw = build_raw_events(api, get_source_config("github"), observed_at=OBSERVED_AT, keep=["event_id"], encode=True)
     out = normalize(raw.withColumnRenamed("event_id", "rid"), {"github": builtin_contracts()["github"]}, keep=["rid"])
-    a = "attributes"
+
+    def attr(name: str, kind: str = "string") -> str:
+        return f"CAST(get_json_object(attributes, '$.{name}') AS {kind}) AS {name}"
+
+    def joined(name: str) -> str:
+        return f"array_join(from_json(get_json_object(attributes, '$.{name}'), 'array<string>'), ',') AS {name}"
+
+    pages = "from_json(get_json_object(attributes, '$.pages'), 'array<struct<title: string>>')"
     return out.selectExpr(
         "rid AS event_id", "event_type", "partition_key", "entity_id", "entity_name", "event_time",
-        f"CAST(get_json_object({a}, '$.repo_id') AS BIGINT) AS repo_id",
-        f"get_json_object({a}, '$.org_login') AS org_login",
-        f"CAST(get_json_object({a}, '$.public') AS BOOLEAN) AS public",
-        f"get_json_object({a}, '$.action') AS action",
-        f"array_join(from_json(get_json_object({a}, '$.issue_labels'), 'array<string>'), ',') AS issue_labels",
-        f"CAST(get_json_object({a}, '$.issue_is_pull_request') AS BOOLEAN) AS issue_is_pull_request",
-        f"CAST(get_json_object({a}, '$.pr_number') AS BIGINT) AS pr_number",
-        f"get_json_object({a}, '$.ref_type') AS ref_type",
-        f"size(json_object_keys({a})) AS n_attrs",
+        attr("repo_id", "BIGINT"), attr("org_login"), attr("public", "BOOLEAN"), attr("action"), joined("issue_labels"),
+        attr("issue_is_pull_request", "BOOLEAN"), attr("pr_number", "BIGINT"), attr("ref_type"), attr("review_state"),
+        attr("review_submitted_at", "BIGINT"), attr("comment_path"), attr("comment_position", "BIGINT"),
+        f"CASE WHEN {pages} IS NOT NULL THEN size({pages}) END AS n_pages",
+        f"element_at({pages}, -1).title AS last_page_title", joined("assignees"), attr("member_login"),
+        "size(json_object_keys(attributes)) AS n_attrs",
     )
 
 
@@ -806,12 +953,12 @@ def stream_ingest(spark, sf):
             spark, SHOP, source_format="text", source_path=f"{root}/landing",
             sink_format="parquet", sink_path=f"{root}/out",
             checkpoint=f"{root}/checkpoint", dedupe="fifo", max_size=120,
-            order="try_variant_get(event, '$.seq', 'bigint')", observed_at=OBSERVED_AT,
+            order=["try_variant_get(event, '$.seq', 'bigint')"], observed_at=OBSERVED_AT,
         )
         q.awaitTermination()
-    out = spark.read.parquet(f"{root}/out")
+    out = spark.read.parquet(f"{root}/out").where("outcome = 'ok'")
     return out.selectExpr(
-        "CAST(source_event_id AS BIGINT) AS event_id", "source_event_id", "seq",
+        "CAST(source_event_id AS BIGINT) AS event_id", "source_event_id", "arrival_1 AS seq",
         "CAST(get_json_object(value, '$.payload.value') AS DOUBLE) AS value",
     )
 

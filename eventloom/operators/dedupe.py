@@ -1,278 +1,346 @@
 """Duplicate elimination of raw envelopes.
 
-* D1 :func:`dedupe_first` – exact first-wins per (source, endpoint, id) over a
-  whole table. A grouped ``min_by`` rather than a window: the partial
-  aggregate collapses duplicates inside each map task before the shuffle, so
-  a single id repeated across a third of the input still ships one row per
-  map task.
-* D2 :func:`dedupe_fifo` – the bounded FIFO memory of the ingestion process:
-  an id is a duplicate while it is among the last ``max_size`` *accepted* ids
-  of its (source, endpoint); a hit does not refresh it, so an id can be
-  accepted again after eviction. The decision for a row depends on every
-  earlier row of its scope, so each scope is one ordered pass; rows stream
-  through it in Arrow batches (memory = ``max_size`` ids + one batch), never
-  as a whole group.
-* D3 :func:`dedupe_within_horizon` – the scalable re-aim of D2: drop an id
-  seen within a time horizon; state is partitioned by id, not by source.
+Every operator works on narrow columns (scope, id, order) and comes in two
+forms: ``mark_*`` returns all rows with a boolean ``is_duplicate`` (for the
+quarantine), ``dedupe_*`` returns the accepted rows.
+
+* D1 ``first`` - the earliest row of every (source, endpoint, id) wins.
+* D2 ``fifo`` - an id is a duplicate while it is among the last ``max_size``
+  *accepted* ids of its (source, endpoint); a hit does not refresh it.
+* D3 ``horizon`` - an id is a duplicate for ``horizon`` after it was last
+  accepted.
+
+``order`` is the arrival order: a list of columns that together are unique in
+a scope, e.g. (file, position in the file, position in the page). Nothing is
+assumed about it: a tie raises an error, since the outcome would depend on
+chance.
 """
 
 from __future__ import annotations
 
+import sys
 from collections import deque
-from collections.abc import Iterator, Sequence
-from typing import Any
+from collections.abc import Iterable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventloom.functions.time import to_millis_string_sql
-from eventloom.session import checkpoint_root
+from eventloom.session import stored
 
 DEFAULT_SCOPE = ("source", "source_event_endpoint")
 DEFAULT_ID = "source_event_id"
 DEFAULT_MEMORY = 120  # ids remembered per scope by the ingestion process
+CHUNK_ROWS = 250_000  # narrow rows that one FIFO task holds
 
+# Python workers get these functions by value and need not import the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _equal(left: dict[str, str], columns: Iterable[str]) -> Column:
+    cond = None
+    for c in columns:
+        one = F.col(c).eqNullSafe(F.col(left[c]))
+        cond = one if cond is None else cond & one
+    return cond
 
-def dedupe_first(
-    df: DataFrame,
-    keys: Sequence[str] = (*DEFAULT_SCOPE, DEFAULT_ID),
-    order: Sequence[str] = ("seq",),
-) -> DataFrame:
-    """Keep the earliest row (by ``order``) of every key; column order kept.
-    ``order`` should be unique within a key (e.g. arrival sequence)."""
-    keys, order = list(keys), list(order)
-    others = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in others]), ordering).alias("_first"))
-    return first.select(*[F.col(c) if c in keys else F.col("_first." + c).alias(c) for c in df.columns])
 
+def _accepted(marked: DataFrame) -> DataFrame:
+    return marked.where("NOT is_duplicate").drop("is_duplicate")
 
-def _make_fifo_filter():
-    # Built inside a function so that cloudpickle ships it by value: Python
-    # workers then run it without importing this package.
-    def fifo_filter(ids: Sequence[Any], ring: deque, members: set, max_size: int) -> list[bool]:
-        """Advance a FIFO memory over ``ids`` in order; True where the id is accepted."""
-        accepted = []
-        for v in ids:
-            if v in members:
-                accepted.append(False)
-                continue
-            if len(ring) >= max_size:
-                members.discard(ring.popleft())
-            ring.append(v)
-            members.add(v)
-            accepted.append(True)
-        return accepted
 
-    return fifo_filter
+# ---------------------------------------------------------------------------
+# D1
+# ---------------------------------------------------------------------------
 
+def mark_first(
+    df: DataFrame, keys: Sequence[str] = (*DEFAULT_SCOPE, DEFAULT_ID), order: Sequence[str] = ("seq",)
+) -> DataFrame:
+    """``is_duplicate`` is false for the earliest row of every key.
+
+    A NULL in ``order`` sorts behind every value; ties in (key, order) raise.
+    Two narrow aggregations (partial in every map task, so a hot key ships one
+    row per task and order) find each key's first order; the full rows only
+    meet that small table in a hash join and are never sorted or aggregated.
+    The table is stored first, so both join sides are plain exchanges, of which
+    Spark splits a hot key.
+    """
+    keys, order = list(keys), list(order)
+    per = df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("_n"))
+    rank = [x for c in order for x in (F.col(c).isNull().alias(f"_none_{c}"), F.col(c))]
+    first = per.groupBy(*keys).agg(F.min(F.struct(*rank, F.col("_n"))).alias("_w"))
+    names = {c: f"_k{i}" for i, c in enumerate(keys)} | {c: f"_o{i}" for i, c in enumerate(order)}
+    first = stored(
+        first.select(*[F.col(c).alias(names[c]) for c in keys], *[F.col(f"_w.{c}").alias(names[c]) for c in order],
+                     F.col("_w._n").alias("_n")),
+        "first",
+    )
+    joined = df.join(first.hint("shuffle_hash"), _equal(names, keys), "left")
+    earliest = _equal(names, order)
+    tie = F.raise_error(F.lit("two rows of one key have the same arrival order"))
+    flag = F.when(earliest & (F.col("_n") > 1), tie.cast("boolean")).otherwise(~earliest)
+    return joined.select(*df.columns, flag.alias("is_duplicate"))
 
-fifo_filter = _make_fifo_filter()
 
+def dedupe_first(
+    df: DataFrame, keys: Sequence[str] = (*DEFAULT_SCOPE, DEFAULT_ID), order: Sequence[str] = ("seq",)
+) -> DataFrame:
+    """The earliest row of every key (see :func:`mark_first`)."""
+    return _accepted(mark_first(df, keys, order))
 
-def _variant_to_json(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    vcols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.VariantType)]
-    if not vcols:
-        return df, []
-    return df.select(*[F.to_json(F.col(c)).alias(c) if c in vcols else F.col(c) for c in df.columns]), vcols
 
+# ---------------------------------------------------------------------------
+# D2
+# ---------------------------------------------------------------------------
 
-def _json_to_variant(df: DataFrame, vcols: list[str]) -> DataFrame:
-    if not vcols:
-        return df
-    return df.select(*[F.parse_json(F.col(c)).alias(c) if c in vcols else F.col(c) for c in df.columns])
+class AcceptCounter:
+    """The FIFO memory told by counting: the k-th accepted id is remembered
+    until ``size`` more ids have been accepted.
 
+    ``start`` lists the ids remembered at the beginning, oldest first, or is
+    None if that is not known. Then some rows cannot be decided; the counter
+    keeps how many (``open_rows``) and bounds every later decision by them, until
+    enough certain accepts have pushed out whatever was not known.
+    """
 
-def dedupe_fifo(
+    def __init__(self, size: int, start: list | None):
+        self.size, self.blind = size, start is None
+        self.accepts = self.open_rows = self.run = 0
+        self.when: dict = {}  # id -> (accepts, open rows) when it was last accepted
+        self.doubt: dict = {}  # id -> accepts at its last undecided row
+        self.latest: deque = deque(maxlen=size)
+        for v in start or ():
+            self._accept(v)
+
+    def _accept(self, v) -> bool:
+        self.accepts += 1
+        self.run += 1
+        self.when[v] = (self.accepts, self.open_rows)
+        self.doubt.pop(v, None)
+        self.latest.append(v)
+        return True
+
+    def take(self, v, first_sighting: bool = False) -> bool | None:
+        """True: accepted; False: a duplicate; None: undecided."""
+        if not first_sighting:
+            if v in self.doubt:
+                undecided = self.accepts - self.doubt[v] < self.size
+            elif v in self.when:
+                at, opened = self.when[v]
+                least = self.accepts - at
+                if least + self.open_rows - opened < self.size:
+                    return False
+                undecided = least < self.size
+            else:
+                undecided = self.blind and self.accepts < self.size
+            if undecided:
+                self.doubt[v] = self.accepts
+                self.when.pop(v, None)
+                self.open_rows += 1
+                self.run = 0
+                return None
+        return self._accept(v)
+
+    def memory(self) -> list | None:
+        """The remembered ids, oldest first, or None if they are not known."""
+        return list(self.latest) if self.run >= self.size or not self.blind else None
+
+
+def _replay(rows: pd.DataFrame, size: int, start: list | None, order: Sequence[str]) -> tuple[list[int], AcceptCounter]:
+    """Rows of one chunk -> ``_at`` of the duplicates, and the counter of the last scope."""
+    rows = rows.sort_values("_at", kind="stable")
+    same = (rows[["_sk", *order]].astype(str) == rows[["_sk", *order]].astype(str).shift()).all(axis=1)
+    if same.any():
+        raise ValueError("two rows of one scope have the same arrival order")
+    counter, scope, out = AcceptCounter(size, start), None, []
+    for sk, v, at, first in zip(rows["_sk"], rows["_id"], rows["_at"], rows["_first"], strict=True):
+        if sk != scope:
+            if scope is not None:
+                counter = AcceptCounter(size, [])
+            scope = sk
+        if counter.take(v, bool(first)) is False:
+            out.append(at)
+    return out, counter
+
+
+def mark_fifo(
     df: DataFrame,
     max_size: int = DEFAULT_MEMORY,
     scope: Sequence[str] = DEFAULT_SCOPE,
     id_col: str = DEFAULT_ID,
     order: Sequence[str] = ("seq",),
-    range_partitions: int | None = None,
-    serial_below: int = 0,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """D2 over a whole table; returns the accepted rows (``order`` must be
-    unique within a scope, e.g. an arrival sequence).
-
-    Opt-in size check (``serial_below > 0``; one aggregation, one number to
-    the driver): when the largest scope has at most ``serial_below`` rows, each
-    scope is simply one ordered pass in its own task (:func:`dedupe_fifo_serial`).
-    The check reads the input once more, so it pays only where the input is
-    cheap to read twice (e.g. a stored table); by default the parallel form runs.
-
-    Exact, with the serial part reduced to what is inherently serial:
-
-    1. ids are counted per scope (partial aggregation); an id seen once in its
-       scope is always accepted, and its only effect on later rows is to push
-       one entry into the memory (evicting the oldest) — its identity never
-       matters again;
-    2. on a narrow projection (scope, id, order; checkpointed once), range-partitioned by
-       (scope, order), every repeated-id row learns how many single-use rows
-       precede it (per-partition totals -> offsets, a distributed prefix sum);
-       a repeated-id row that directly follows a row of the same id with no
-       single-use row between them is certainly a duplicate and is settled here;
-    3. only the remaining repeated-id rows run through the FIFO, one ordered pass
-       per scope, each gap of single-use rows applied as that many anonymous
-       accepts; the pass yields the rejected (scope, order) keys;
-    4. the full rows are anti-joined with the rejected keys.
-
-    Payload columns never pass through Python and never meet in one task.
+    """D2 over a whole table, exact for every input, with a scope spread over many tasks.
+
+    1. The narrow rows (scope, id, order) are range-partitioned by (scope,
+       order) into chunks of about ``chunk_rows``; an id's first sighting in its scope
+       is a certain accept (a partial aggregation finds it).
+    2. Every chunk is replayed without knowing the memory it starts with. After
+       enough certain accepts the memory at its end is known all the same:
+       an exact cut. All chunks run in parallel.
+    3. Every chunk whose predecessor's end is known is replayed exactly. Chunks
+       that are left (a chunk through which fewer than ``max_size`` certain accepts
+       run after its last undecided row) follow in further rounds, each from
+       the exact end of the one before; a round takes all that have become ready.
+
+    Input that cannot be cut at all - chunk after chunk that repeats fewer than
+    ``max_size`` ids without a new one - is replayed chunk by chunk. Payload columns
+    are not read by Python; the full rows are joined with the duplicates' keys.
     """
     if max_size < 1:
         raise ValueError("max_size must be >= 1")
-    spark = df.sparkSession
     scope, order = list(scope), list(order)
-    if serial_below > 0:
-        biggest = df.groupBy(*scope).count().agg(F.max("count")).first()[0] or 0
-        if biggest <= serial_below:
-            return dedupe_fifo_serial(df, max_size, scope, id_col, order)
-    key = [*scope, id_col]
-    sk = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in scope]).alias("_sk")
-    checkpoint_root(spark)  # the cluster's shared checkpoint folder (a private one only in tests)
-    # the narrow keys, materialised once: the counts and the join below read them
-    # instead of recomputing the input (which is read once more, for the final anti-join)
-    narrow = df.select(*key, *order).checkpoint(eager=True)
-    counts = narrow.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    flagged = narrow.join(counts, key).select(
-        *key, *order, sk, (F.col("_n") == 1).cast("long").alias("_single"))
-    parts = range_partitions or max(spark.sparkContext.defaultParallelism, 1)
-    ranged = (flagged.repartitionByRange(parts, *scope, *order)
-              .sortWithinPartitions(*scope, *order)
-              .withColumn("_part", F.spark_partition_id())
-              .checkpoint(eager=True))
-    # one row per (partition, scope): bounded by partitions x scopes
-    totals = ranged.groupBy("_part", "_sk").agg(F.sum("_single").alias("_t")).collect()
-    offsets: dict[tuple, int] = {}
-    running: dict[str, int] = {}
-    for row in sorted(totals, key=lambda r: r["_part"]):
-        offsets[(row["_part"], row["_sk"])] = running.get(row["_sk"], 0)
-        running[row["_sk"]] = running.get(row["_sk"], 0) + int(row["_t"])
-    offsets_b = spark.sparkContext.broadcast(offsets)
-
-    cols = [*key, *order, "_sk"]
-    multi_schema = T.StructType(
-        [ranged.schema[c] for c in cols]
-        + [T.StructField("_before", T.LongType()), T.StructField("_settled", T.BooleanType())]
-    )
+    sk = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in scope]), {"ignoreNullFields": "false"})
+    narrow = stored(df.select(*scope, F.col(id_col).cast("string").alias("_id"), *order, sk.alias("_sk")), "fifo-rows")
+    chunks = max(1, -(-narrow.count() // chunk_rows))
+    ranged = (narrow.repartitionByRange(chunks, "_sk", *order).sortWithinPartitions("_sk", *order)
+              .withColumns({"_chunk": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+    ranged = stored(ranged, "fifo-ranges")
+    seen = ranged.groupBy("_sk", "_id").agg(F.min("_at").alias("_at")).select("_at", F.lit(True).alias("_first"))
+    rows = ranged.join(seen, "_at", "left").select(
+        "_chunk", "_at", "_sk", "_id", *order, F.coalesce("_first", F.lit(False)).alias("_first"))
+    rows = stored(rows, "fifo-flagged")
+
+    def guess(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        _, counter = _replay(pdf, max_size, None, order)
+        known = counter.memory()
+        sks = pdf.sort_values("_at")["_sk"]
+        return pd.DataFrame([(key[0], sks.iloc[0], sks.iloc[-1], known)], columns=["_chunk", "head", "tail", "memory"])
+
+    guessed = stored(rows.groupBy("_chunk").applyInPandas(guess, "_chunk int, head string, tail string, memory array<string>"), "fifo-ends")
+    # one short row per chunk
+    numbered = guessed.withColumn("n", F.row_number().over(Window.orderBy("_chunk")))
+    numbered = stored(numbered, "fifo-chunks")
+    before = numbered.select((F.col("n") + 1).alias("n"), F.col("tail").alias("last"), F.col("memory").alias("prior"))
+    fresh = F.array().cast("array<string>")
+    starts = numbered.join(before, "n", "left").select(
+        "n", "_chunk", F.when(F.col("last") == F.col("head"), F.col("prior")).otherwise(fresh).alias("start"))
+    pending = stored(starts, "fifo-starts")
+
+    def exact(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out, counter = _replay(left, max_size, list(right["start"].iloc[0]), order)
+        found = [(int(right["n"].iloc[0]), at, None) for at in out]
+        return pd.DataFrame([*found, (int(right["n"].iloc[0]), None, counter.memory())], columns=["n", "_at", "memory"]).astype({"_at": "Int64"})
+
+    rejected = None
+    while True:
+        ready = pending.where("start IS NOT NULL")
+        mine = rows.join(ready.select("_chunk"), "_chunk", "left_semi")
+        done = mine.groupBy("_chunk").cogroup(ready.groupBy("_chunk")).applyInPandas(exact, "n int, _at long, memory array<string>")
+        done = stored(done, "fifo-done")
+        part = done.where("_at IS NOT NULL").select("_at")
+        rejected = part if rejected is None else rejected.unionByName(part)
+        waiting = pending.where("start IS NULL").drop("start")
+        if waiting.isEmpty():
+            break
+        ends = done.where("_at IS NULL").select((F.col("n") + 1).alias("n"), F.col("memory").alias("start"))
+        pending = stored(waiting.join(ends, "n", "left"), "fifo-starts")
+    names = {c: f"_k{i}" for i, c in enumerate([*scope, *order])}
+    keyed = ranged.join(rejected, "_at").select(*[F.col(c).alias(names[c]) for c in names], F.lit(True).alias("_hit"))
+    joined = df.join(stored(keyed, "fifo-rejected"), _equal(names, names), "left")
+    return joined.select(*df.columns, F.coalesce("_hit", F.lit(False)).alias("is_duplicate"))
 
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        off = offsets_b.value
-        seen: dict[str, int] = {}
-        last: dict[str, tuple] = {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            part = int(pdf["_part"].iloc[0])
-            g = pdf["_sk"]
-            start = {k: seen.get(k, off.get((part, k), 0)) for k in g.unique()}
-            single = pdf["_single"]
-            before = g.map(start) + single.groupby(g, sort=False).cumsum() - single
-            for k, n in single.groupby(g, sort=False).sum().items():
-                seen[k] = start[k] + int(n)
-            m = pdf.loc[single == 0, cols].copy()
-            if m.empty:
-                continue
-            m["_before"] = before[single == 0].astype("int64")
-            grp = m.groupby("_sk", sort=False)
-            prev_id = grp[id_col].shift(1)
-            prev_before = grp["_before"].shift(1)
-            first = prev_id.isna()
-            for k in m.loc[first, "_sk"].unique():
-                if k in last:
-                    idx = m.index[(m["_sk"] == k)][0]
-                    prev_id.loc[idx], prev_before.loc[idx] = last[k]
-            m["_settled"] = (prev_id == m[id_col]) & (prev_before == m["_before"])
-            for k, row in grp.tail(1).set_index("_sk").iterrows():
-                last[k] = (row[id_col], row["_before"])
-            yield m
-
-    # narrow and parallel: cheaper to run twice (settled / open branches) than to materialise
-    multi = ranged.mapInPandas(mark, multi_schema)
-    settled = multi.where("_settled").select(*scope, *order)
-
-    def run(key_: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ring: deque = deque()
-        members: set = set()
-        done = 0
-        for pdf in batches:
-            rejected = []
-            ids, befores = pdf[id_col].tolist(), pdf["_before"].tolist()
-            for i, (v, b) in enumerate(zip(ids, befores)):
-                gap, done = b - done, b
-                if gap >= max_size:
-                    ring, members = deque([None] * max_size), set()
-                else:
-                    for _ in range(gap):
-                        if len(ring) >= max_size:
-                            members.discard(ring.popleft())
-                        ring.append(None)
-                if v in members:
-                    rejected.append(i)
-                    continue
-                if len(ring) >= max_size:
-                    members.discard(ring.popleft())
-                ring.append(v)
-                members.add(v)
-            if rejected:
-                yield pdf.iloc[rejected][[*scope, *order]]
-
-    rej_schema = T.StructType([multi_schema[c] for c in (*scope, *order)])
-    open_rows = multi.where("NOT _settled").repartition(*scope).sortWithinPartitions(*scope, *order)
-    rejected = open_rows.groupBy(*scope).applyInPandas(run, schema=rej_schema)
-    drop = rejected.unionByName(settled)
-    return df.join(drop, on=[*scope, *order], how="left_anti").select(*df.columns)
-
-
-def dedupe_fifo_serial(
+
+def dedupe_fifo(
     df: DataFrame,
     max_size: int = DEFAULT_MEMORY,
     scope: Sequence[str] = DEFAULT_SCOPE,
     id_col: str = DEFAULT_ID,
     order: Sequence[str] = ("seq",),
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """D2 as one ordered pass over every row of a scope (the literal form;
-    used to cross-check :func:`dedupe_fifo`)."""
-    if max_size < 1:
-        raise ValueError("max_size must be >= 1")
-    scope, order = list(scope), list(order)
-    enc, vcols = _variant_to_json(df)
-    schema = enc.schema
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ring: deque = deque()
-        members: set = set()
-        for pdf in batches:
-            mask = fifo_filter(pdf[id_col].tolist(), ring, members, max_size)
-            yield pdf[mask]
+    """The accepted rows (see :func:`mark_fifo`)."""
+    return _accepted(mark_fifo(df, max_size, scope, id_col, order, chunk_rows))
 
-    ordered = enc.repartition(*scope).sortWithinPartitions(*scope, *order)
-    out = ordered.groupBy(*scope).applyInPandas(run, schema=schema)
-    return _json_to_variant(out, vcols)
 
+# ---------------------------------------------------------------------------
+# D3
+# ---------------------------------------------------------------------------
 
 def observed_ts(col: str = "observed_at"):
     """``observed_at`` (ISO text) as a TIMESTAMP for watermarking."""
     return F.expr(f"timestamp_millis({to_millis_string_sql(col).value})")
 
 
+def mark_horizon(
+    df: DataFrame,
+    horizon: str = "10 minutes",
+    keys: Sequence[str] = (*DEFAULT_SCOPE, DEFAULT_ID),
+    event_time: str = "observed_ts",
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """D3 over a table: a row is a duplicate if its key was accepted less than
+    ``horizon`` of event time before; a later re-send is accepted again.
+
+    Rows of one key and event time are reduced to one on the map side (the
+    least by ``order``, which must tell them apart; a tie raises). Two rows at least ``horizon`` apart
+    always part a key's times, so each stretch without such a gap is decided by itself, as a stream
+    that holds one time. A key without any gap is one stretch of distinct times and one task. A row
+    without an event time is never a duplicate.
+    """
+    keys, order = list(keys), list(order)
+    if event_time not in df.columns:
+        marked = mark_horizon(df.withColumn(event_time, observed_ts()), horizon, keys, event_time, order)
+        return marked.drop(event_time)
+    at = F.unix_micros(F.col(event_time).cast("timestamp"))
+    span = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00Z' + INTERVAL {horizon})")
+    tied = [x for c in order for x in (F.col(c).isNull().alias(f"_none_{c}"), F.col(c))]
+    sk = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in keys]), {"ignoreNullFields": "false"})
+    times = df.where(at.isNotNull()).select(sk.alias("_sk"), at.alias("_at"), span.alias("_span"), *order)
+    per = times.groupBy("_sk", "_at", "_span", *order).agg(F.count(F.lit(1)).alias("_n"))
+    rank = F.struct(*tied, F.col("_n"))
+    least = per.groupBy("_sk", "_at", "_span").agg(F.min(rank).alias("_w"))
+    gap = F.col("_at") - F.lag("_at").over(Window.partitionBy("_sk").orderBy("_at")) >= F.col("_span")
+    cut = F.sum(F.coalesce(gap.cast("int"), F.lit(1))).over(Window.partitionBy("_sk").orderBy("_at"))
+    stretches = least.withColumn("_part", cut)
+
+    def chain(batches):
+        last = None
+        for pdf in batches:
+            keep = []
+            for i, (k, p, t, s) in enumerate(zip(pdf["_sk"], pdf["_part"], pdf["_at"], pdf["_span"], strict=True)):
+                if last is None or last[:2] != (k, p) or t - last[2] >= s:
+                    last = (k, p, t)
+                    keep.append(i)
+            yield pdf.iloc[keep][["_sk", "_at"]]
+
+    spread = stretches.select("_sk", "_part", "_at", "_span").repartition("_sk", "_part").sortWithinPartitions("_sk", "_part", "_at")
+    kept = spread.mapInPandas(chain, "_sk string, _at long").join(least, ["_sk", "_at"])
+    kept = stored(kept.select(F.col("_sk").alias("_k"), F.col("_at").alias("_t"), F.col("_w").alias("_w")), "horizon")
+    joined = df.join(kept.hint("shuffle_hash"), (sk == F.col("_k")) & (at == F.col("_t")), "left")
+    mine = F.lit(True)
+    for c in order:
+        mine = mine & F.col(c).eqNullSafe(F.col(f"_w.{c}"))
+    tie = F.raise_error(F.lit("two rows of one key and event time have the same order"))
+    flag = F.when(at.isNull(), F.lit(False)).when(F.col("_k").isNull() | ~mine, F.lit(True))
+    flag = flag.when(F.col("_w._n") > 1, tie.cast("boolean")).otherwise(F.lit(False))
+    return joined.select(*df.columns, flag.alias("is_duplicate"))
+
+
 def dedupe_within_horizon(
     df: DataFrame,
     horizon: str = "10 minutes",
     keys: Sequence[str] = (*DEFAULT_SCOPE, DEFAULT_ID),
     event_time: str = "observed_ts",
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """D3: drop a key already seen within ``horizon`` of event time.
+    """D3: drop a key accepted less than ``horizon`` before, in event time.
 
-    Streaming: ``withWatermark`` + ``dropDuplicatesWithinWatermark``; state is
-    keyed by id (spread over all state partitions, whatever the source) and
-    expires with the watermark. Batch: a table is one complete replay, so one
-    row per key is kept (``dropDuplicates``: partial aggregation in every map
-    task, so a hot key never lands whole in one task)."""
+    A table goes through :func:`mark_horizon`. A stream goes through
+    ``withWatermark`` + ``dropDuplicatesWithinWatermark``: state is keyed by id and expires as the
+    watermark passes, which follows micro-batches; a re-send shortly after the horizon may
+    therefore still be dropped there, and among equal keys of one micro-batch any row may stay."""
     if not df.isStreaming:
-        return df.dropDuplicates(list(keys))
+        return _accepted(mark_horizon(df, horizon, keys, event_time, order))
     if event_time not in df.columns:
         df = df.withColumn(event_time, observed_ts())
     return df.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(keys))
+
+
+__all__ = [
+    "AcceptCounter", "DEFAULT_ID", "DEFAULT_MEMORY", "DEFAULT_SCOPE", "dedupe_fifo", "dedupe_first", "dedupe_within_horizon",
+    "mark_fifo", "mark_first", "mark_horizon", "observed_ts",
+]

@@ -36,9 +36,10 @@ from eventloom.functions.variant import (
     variant_of_sql,
     vget_sql,
 )
-from eventloom.plans.compiler import ContractPlan, rule_key
-from eventloom.plans.pinning import filter_here
+from eventloom.plans.compiler import ContractPlan, in_list, rule_key
+from eventloom.plans.pinning import filter_here, pinned_stage
 from eventloom.plans.contract import RESERVED_TAIL_NAMES, as_contracts
+from eventloom.plans.safety import check_expression
 
 log = logging.getLogger(__name__)
 
@@ -60,24 +61,29 @@ REASON_MALFORMED = "malformed"
 REASON_UNKNOWN_SOURCE = "unknown_source"
 REASON_NORMALIZE_ERROR = "normalize_error"
 
-_INT_STRING = r"^[+-]?[0-9]+$"
+# Integers in strings as the reference's model library reads them (fixed grammar): white space around,
+# a sign, digits with single underscores between them, and a fraction of zeros.
+_SPACE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]*"
+_INT_STRING = rf"^{_SPACE}[+-]?[0-9]+(?:_[0-9]+)*(?:\.0+)?{_SPACE}\z"
 
 
 def coerce_int_sql(v: str) -> Checked:
     """Lax integer coercion of a JSON value: integers; floats/decimals with no
-    fractional part; numeric strings; booleans as 0/1. Anything else
-    (null, 1.5, "x", objects, arrays) is an error."""
+    fractional part; integers in strings (" 1 ", "1.0", "1_000"); booleans as 0/1.
+    Anything else (null, 1.5, "x", objects, arrays, beyond 64 bits) is an error."""
     t = f"schema_of_variant({v})"
     dec = f"try_cast({v} AS DECIMAL(38,9))"
     dbl = f"try_cast({v} AS DOUBLE)"
+    text = f"try_cast({v} AS STRING)"
+    digits = f"regexp_replace(regexp_replace({text}, '[^0-9+.-]', ''), '[.]0+$', '')"
     value = (
         f"(CASE WHEN {t} IN ('BIGINT', 'INT', 'SMALLINT', 'TINYINT') THEN try_cast({v} AS BIGINT) "
         f"WHEN ({t} IN ('DOUBLE', 'FLOAT') OR {t} LIKE 'DECIMAL%') "
         f"AND coalesce({dec} = floor({dec}), {dbl} = floor({dbl})) "
         f"THEN coalesce(try_cast({dec} AS BIGINT), try_cast({dbl} AS BIGINT)) "
         f"WHEN {t} = 'BOOLEAN' THEN CASE WHEN try_cast({v} AS BOOLEAN) THEN 1L ELSE 0L END "
-        f"WHEN {t} = 'STRING' AND try_cast({v} AS STRING) RLIKE {sql_str(_INT_STRING)} "
-        f"THEN try_cast(try_cast({v} AS STRING) AS BIGINT) END)"
+        f"WHEN {t} = 'STRING' AND {text} RLIKE {sql_str(_INT_STRING)} "
+        f"THEN try_cast({digits} AS BIGINT) END)"
     )
     return Checked(value, f"({value} IS NULL)")
 
@@ -167,14 +173,17 @@ def normalize(
     )
     ts_paths = plan.timestamp_paths()
     ts_names = {p: f"_ts{i}" for i, p in enumerate(ts_paths)}
-    ts_inputs = {"_ing": "_observed_at", **{ts_names[p]: vget_sql("payload", p) for p in ts_paths}}
+    # a timestamp is read and parsed only for rows whose branch has the rule
+    ts_inputs = {"_ing": "CASE WHEN _b IS NOT NULL THEN _observed_at END"}
+    for path, bids in ts_paths.items():
+        ts_inputs[ts_names[path]] = f"CASE WHEN {in_list('_b', bids)} THEN {vget_sql('payload', path)} END"
     ts_modes = {n: ("to_millis" if n == "_ing" else "rule") for n in ts_inputs}
     s3 = with_iso_millis(s3, ts_inputs, mode=ts_modes)
 
     # 4. rules (P1-P9), each compiled once and picked per branch
-    def resolve(expression: str) -> str:
-        dtype = s3.selectExpr(f"({expression}) AS x").schema["x"].dataType
-        return variant_of_sql(f"({expression})", dtype)
+    def resolve(expression: str) -> tuple[str, str]:
+        error, dtype = check_expression(s3, expression)
+        return variant_of_sql(f"({expression})", dtype), error
 
     def timestamps(path: tuple) -> tuple[str, str]:
         n = ts_names[path]
@@ -183,17 +192,21 @@ def normalize(
     plan.bind("payload", resolve, timestamps)
     lambda_rules = plan.lambda_rules()
     if lambda_rules:
-        hcols = {rule_key(r): f"_h{i}" for i, r in enumerate(lambda_rules)}
-        # their own projection (kept separate from the next one by a non-deterministic
-        # column, see eventloom.plans.pinning), so the rules below stay in fused code
-        s3 = s3.selectExpr("*", *[f"{plan.compiled(r).value} AS {hcols[rule_key(r)]}" for r in lambda_rules],
-                           "spark_partition_id() AS __stage")
+        # a projection of their own, each only for rows of a branch that has the rule; the stage is pinned,
+        # so the rules below stay in fused code (see eventloom.plans.pinning)
+        hcols, cols = {}, []
+        for i, r in enumerate(lambda_rules):
+            rule, mine = plan.compiled(r), in_list("_b", plan.branches_of(r))
+            cols.append(f"CASE WHEN {mine} THEN {rule.value} END AS _h{i}")
+            if rule.can_fail:
+                cols.append(f"CASE WHEN {mine} THEN {rule.error} ELSE false END AS _he{i}")
+            hcols[rule_key(r)] = (f"_h{i}", f"_he{i}" if rule.can_fail else "false")
+        s3 = pinned_stage(s3.selectExpr("*", *cols))
         plan.precompute(hcols)
     names = plan.all_fields()
     fcol = {n: f"_f{i}" for i, n in enumerate(names)}
     s4 = s3.selectExpr(
         *keep, "_value", *[f"_{f}" for f in RAW_STRING_FIELDS], "_n1_ok", "_b",
-        *(["__stage"] if lambda_rules else []),
         "_ing_ms AS _ingested_ms", "_ing_err AS _ingested_err",
         *[f"{plan.field_sql(n, '_b')} AS {fcol[n]}" for n in names],
         f"{plan.rule_error_sql('_b')} AS _rule_err",

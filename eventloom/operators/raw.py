@@ -48,23 +48,28 @@ def _as_variant(df: DataFrame, name: str) -> Column:
     return F.to_variant_object(F.col(name)) if isinstance(dtype, (T.StructType, T.MapType, T.ArrayType)) else F.col(name).cast("variant")
 
 
-def explode_pages(df: DataFrame, page_col: str = "value", *, keep: Sequence[str] = ()) -> DataFrame:
+def explode_pages(
+    df: DataFrame, page_col: str = "value", *, keep: Sequence[str] = (), raw_col: str | None = None
+) -> DataFrame:
     """One row per element of a JSON-array page, with ``page_pos`` (0-based).
 
     An empty page yields no rows. A page that is not a JSON array yields one
     row with ``reason = 'malformed_page'`` and a NULL ``event`` (quarantine),
-    so one bad page never fails the batch.
+    so one bad page never fails the batch; ``raw_col`` then names a column that
+    holds its text.
     """
     df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     keep = list(keep)
     page = _as_variant(df, page_col)
-    s1 = df.select(*keep, as_array(page).alias("_arr"))
+    raw = [F.col(page_col).cast("string").alias("_page")] if raw_col else []
+    s1 = df.select(*keep, *raw, as_array(page).alias("_arr"))
     ok = F.col("_arr").isNotNull()
     items = F.when(ok, F.col("_arr")).otherwise(F.array(F.lit(None).cast("variant")))
     return s1.select(
         *keep,
         F.posexplode(items).alias("page_pos", "event"),
         F.when(~ok, F.lit(REASON_MALFORMED_PAGE)).alias("reason"),
+        *([F.when(~ok, F.col("_page")).alias(raw_col)] if raw_col else []),
     )
 
 

@@ -34,7 +34,7 @@ from eventloom.plans.contract import (
     FieldRule,
 )
 
-ExprResolver = Callable[[str], str]
+ExprResolver = Callable[[str], "tuple[str, str]"]
 TimestampLookup = Callable[[tuple], "tuple[str, str]"]
 
 
@@ -65,7 +65,8 @@ def compile_rule(
     if rule.expression:
         if resolve_expr is None:
             raise ValueError("an expression rule needs an expression resolver")
-        return CompiledRule(resolve_expr(rule.expression), "false", False)
+        value, error = resolve_expr(rule.expression)
+        return CompiledRule(value, error, error != "false")
     base = vget_sql(payload, rule.path)
     error = None
     if rule.take:
@@ -109,7 +110,7 @@ class Branch:
 _SEP = "\u0001"
 
 
-def _in_list(col: str, ids) -> str:
+def in_list(col: str, ids) -> str:
     ids = sorted(ids)
     if len(ids) == 1:
         return f"{col} = {ids[0]}"
@@ -172,25 +173,31 @@ class ContractPlan:
                     seen.setdefault(rule_key(r), r)
         return list(seen.values())
 
-    def precompute(self, columns: dict[tuple, str]) -> None:
-        """Use already computed columns for the given rules (by :func:`rule_key`)."""
+    def precompute(self, columns: dict[tuple, tuple[str, str]]) -> None:
+        """Use already computed (value, error) columns for the given rules (by :func:`rule_key`)."""
         self._precomputed = dict(columns)
         self._compiled = {}
 
-    def timestamp_paths(self) -> list[tuple]:
-        """Distinct payload paths read by ``as: timestamp`` rules."""
-        seen: dict[tuple, None] = {}
+    def timestamp_paths(self) -> dict[tuple, list[int]]:
+        """Distinct payload paths read by ``as: timestamp`` rules, with the branches that read them."""
+        seen: dict[tuple, set[int]] = {}
         for b in self.branches:
             for r in b.rules.values():
                 if r.as_ == "timestamp" and not r.take and not r.expression:
-                    seen[r.path] = None
-        return list(seen)
+                    seen.setdefault(r.path, set()).add(b.bid)
+        return {p: sorted(bids) for p, bids in seen.items()}
+
+    def branches_of(self, rule: FieldRule) -> list[int]:
+        """The branches that have a rule of this computation."""
+        key = rule_key(rule)
+        return sorted({b.bid for b in self.branches for r in b.rules.values() if rule_key(r) == key})
 
     def compiled(self, rule: FieldRule) -> CompiledRule:
         key = rule_key(rule)
         if key not in self._compiled:
             if key in self._precomputed:
-                self._compiled[key] = CompiledRule(self._precomputed[key], "false", False)
+                value, error = self._precomputed[key]
+                self._compiled[key] = CompiledRule(value, error, error != "false")
             else:
                 self._compiled[key] = compile_rule(rule, self._payload, self._resolve, self._timestamps)
         return self._compiled[key]
@@ -206,7 +213,7 @@ class ContractPlan:
         if not groups:
             return "CAST(NULL AS VARIANT)"
         arms = " ".join(
-            f"WHEN {_in_list(branch, bids)} THEN {self.compiled(rule).value}" for rule, bids in groups.values()
+            f"WHEN {in_list(branch, bids)} THEN {self.compiled(rule).value}" for rule, bids in groups.values()
         )
         return f"(CASE {arms} END)"
 
@@ -218,10 +225,10 @@ class ContractPlan:
             for rule in b.rules.values():
                 if self.compiled(rule).can_fail:
                     per_rule.setdefault(rule_key(rule), (rule, set()))[1].add(b.bid)
-        terms = [f"({_in_list(branch, bids)} AND {self.compiled(rule).error})" for rule, bids in per_rule.values()]
+        terms = [f"({in_list(branch, bids)} AND {self.compiled(rule).error})" for rule, bids in per_rule.values()]
         doomed = [b.bid for b in self.branches if b.always_fails]
         if doomed:
-            terms.append(f"({_in_list(branch, doomed)})")
+            terms.append(f"({in_list(branch, doomed)})")
         if not terms:
             return "false"
         return "coalesce(" + " OR ".join(terms) + ", false)"

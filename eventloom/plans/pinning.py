@@ -19,3 +19,9 @@ def filter_here(df: DataFrame, condition: str) -> DataFrame:
     """``df.filter(condition)``, evaluated on ``df``'s own output columns."""
     pinned = df.selectExpr("*", "spark_partition_id() AS __pin")
     return pinned.filter(f"({condition}) AND __pin >= 0").drop("__pin")
+
+
+def pinned_stage(df: DataFrame) -> DataFrame:
+    """Ends a projection here: the next one is not merged with it. A filter on a non-deterministic column
+    stays where it is, and no projection passes it."""
+    return df.selectExpr("*", "spark_partition_id() AS __stage").filter("__stage >= 0").drop("__stage")

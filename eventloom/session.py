@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     # timestamps are rendered and compared in UTC
@@ -24,20 +25,26 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a private temporary
-    folder created and registered."""
+    A session on a cluster must name one. Only a session that runs in one
+    process (``local[...]``) and names none gets a private folder."""
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="eventloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for one job."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table below the checkpoint root: computed once, lineage cut,
+    readable again after an executor is lost."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,17 +16,9 @@ ISO_US = "\"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\""
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. The per-row work downstream (JSON build and parse) is
-    CPU-bound, so an input with fewer splits than the cluster has cores (one
-    small file, one row group) is spread round-robin first; a large table
-    already arrives in many splits and is read as is."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect): read as is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """A driver table, as it is. (How many splits a scan has is the session's matter:
+    ``spark.sql.files.maxPartitionBytes``, ``spark.sql.files.minPartitionNum``.)"""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def iso_z(ts: str) -> str:
@@ -75,54 +67,73 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.selectExpr("o_orderkey", f"{event} AS event")
 
 
-# GitHub event types the click-stream rows are mapped to (PushEvent is not
-# declared by the GitHub contract, so it exercises the fallback branch).
-GITHUB_TYPE_OF = {"click": "WatchEvent", "view": "IssueCommentEvent", "purchase": "PullRequestEvent",
-                  "signup": "CreateEvent"}
-GITHUB_FALLBACK_TYPE = "PushEvent"
+# Each row becomes one of the declared GitHub event types, or PushEvent, which the
+# GitHub contract doesn't declare (fallback branch): event_id modulo their number.
+GITHUB_TYPES = (
+    "WatchEvent", "IssueCommentEvent", "PullRequestEvent", "PullRequestReviewEvent", "PullRequestReviewCommentEvent",
+    "CreateEvent", "DeleteEvent", "PublicEvent", "GollumEvent", "IssuesEvent", "MemberEvent", "PushEvent",
+)
+
+
+def _struct(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+
+def _github_payloads() -> dict[str, str]:
+    """Event type -> SQL of its payload, from the columns of ``events``."""
+    k = "CAST(get_json_object(props, '$.k') AS BIGINT)"
+    iso = iso_z("ts")
+    user = _struct(login="concat('user_', user_id)")
+    stamps = {"created_at": iso, "updated_at": iso}
+    labels = f"array({_struct(name=f'concat({chr(39)}k{chr(39)}, {k} % 3)')}, {_struct(name='concat(' + chr(39) + 'u' + chr(39) + ', user_id % 2)')})"
+    issue = {"id": "event_id * 10", "number": k, "title": "concat('Issue ', event_id)", "state": "'open'", **stamps,
+             "comments": k, "user": user, "labels": labels}
+    linked = _struct(**issue, pull_request=_struct(url="concat('https://example.invalid/pr/', event_id)"))
+    either = f"CASE WHEN event_id % 24 = 1 THEN to_variant_object({linked}) ELSE to_variant_object({_struct(**issue)}) END"
+    comment = {"id": "event_id * 100", "body": "concat('comment ', event_id)", "user": user, **stamps}
+
+    def side(ref: str, repo_id: str, repo: str) -> str:
+        return _struct(ref=f"'{ref}'", sha=f"sha1(concat('{ref}', event_id))", repo=_struct(id=repo_id, name=repo))
+
+    pull = _struct(id="event_id * 7", number="event_id", head=side("feature", "user_id", "concat('user_', user_id)"),
+                   base=side("main", "user_id % 10", "'org/repo'"))
+    review = _struct(id="event_id * 3", state="CASE WHEN event_id % 24 = 3 THEN 'approved' ELSE 'commented' END",
+                     body="CAST(NULL AS STRING)", submitted_at=iso, user=user)
+    on_line = _struct(**comment, path="concat('src/f', event_id % 9, '.py')", position=k, diff_hunk="'@@'",
+                      commit_id="sha1(CAST(event_id AS STRING))")
+    other = _struct(login="concat('user_', user_id + 1)")
+    page = _struct(page_name="concat('P', i)", title="concat('Page ', i, ' of ', event_id)", summary="CAST(NULL AS STRING)",
+                   action="'edited'", sha="sha1(concat(i, '/', event_id))")
+    structs = {
+        "WatchEvent": _struct(action="'started'"),
+        "IssueCommentEvent": _struct(action="'created'", issue=either, comment=_struct(**comment)),
+        "PullRequestEvent": _struct(action="'opened'", number="event_id", pull_request=pull, labels=f"array({_struct(name=chr(39) + 'buy' + chr(39))})"),
+        "PullRequestReviewEvent": _struct(action="'submitted'", pull_request=pull, review=review),
+        "PullRequestReviewCommentEvent": _struct(action="'created'", pull_request=pull, comment=on_line),
+        "CreateEvent": _struct(ref="CAST(NULL AS STRING)", ref_type="'repository'", master_branch="'main'", description="CAST(NULL AS STRING)",
+                               pusher_type="'user'", full_ref="'refs/heads/main'"),
+        "DeleteEvent": _struct(ref="concat('branch-', event_id)", ref_type="'branch'", pusher_type="'user'"),
+        "GollumEvent": _struct(pages=f"transform(sequence(0, CAST(event_id % 3 AS INT)), i -> {page})"),
+        "IssuesEvent": _struct(action="'assigned'", issue=_struct(**issue, assignee=user, assignees=f"array({user}, {other})")),
+        "MemberEvent": _struct(action="'added'", member=_struct(id="user_id + 1", login="concat('user_', user_id + 1)")),
+        "PushEvent": _struct(size="1"),
+    }
+    return {t: f"to_variant_object({s})" for t, s in structs.items()} | {"PublicEvent": "parse_json('{}')"}
 
 
 def github_event_json() -> str:
     """SQL text: one GitHub-shaped API event (JSON) per ``events`` row."""
-    gh_type = ("CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in GITHUB_TYPE_OF.items())
-               + f" ELSE '{GITHUB_FALLBACK_TYPE}' END")
-    iso = iso_z("ts")
-    k = "CAST(get_json_object(props, '$.k') AS BIGINT)"
-    login = "concat('user_', user_id)"
-    user = f"named_struct('login', {login})"
-    labels = f"array(named_struct('name', concat('k', {k} % 3)), named_struct('name', concat('u', user_id % 2)))"
-    issue_fields = (f"'id', event_id * 10, 'number', {k}, 'title', concat('Issue ', event_id), 'state', 'open', "
-                    f"'created_at', {iso}, 'updated_at', {iso}, 'comments', {k}, 'user', {user}, 'labels', {labels}")
-    issue = (f"CASE WHEN event_id % 4 = 0 THEN to_variant_object(named_struct({issue_fields}, "
-             f"'pull_request', named_struct('url', concat('https://example.invalid/pr/', event_id)))) "
-             f"ELSE to_variant_object(named_struct({issue_fields})) END")
-    comment = (f"named_struct('id', event_id * 100, 'body', concat('comment ', event_id), 'user', {user}, "
-               f"'created_at', {iso}, 'updated_at', {iso})")
-    repo = "named_struct('id', user_id % 10, 'name', concat('org/repo-', user_id % 10))"
-    side = ("named_struct('ref', '{ref}', 'sha', sha1(concat('{ref}', event_id)), "
-            "'repo', named_struct('id', {rid}, 'name', {rname}))")
-    pr = (f"named_struct('id', event_id * 7, 'number', event_id, "
-          f"'head', {side.format(ref='feature', rid='user_id', rname=login)}, "
-          f"'base', {side.format(ref='main', rid='user_id % 10', rname=chr(39) + 'org/repo' + chr(39))})")
-    payload = (
-        "CASE event_type "
-        "WHEN 'click' THEN to_variant_object(named_struct('action', 'started')) "
-        f"WHEN 'view' THEN to_variant_object(named_struct('action', 'created', 'issue', {issue}, 'comment', {comment})) "
-        f"WHEN 'purchase' THEN to_variant_object(named_struct('action', 'opened', 'number', event_id, "
-        f"'pull_request', {pr}, 'labels', array(named_struct('name', 'buy')))) "
-        "WHEN 'signup' THEN to_variant_object(named_struct('ref', CAST(NULL AS STRING), 'ref_type', 'repository', "
-        "'master_branch', 'main', 'description', CAST(NULL AS STRING), 'pusher_type', 'user', "
-        "'full_ref', 'refs/heads/main')) "
-        "ELSE to_variant_object(named_struct('size', 1)) END"
-    )
-    common = (f"'id', CAST(event_id AS STRING), 'type', {gh_type}, "
-              f"'actor', named_struct('id', user_id, 'login', {login}), 'repo', {repo}, ")
-    tail = f"'public', event_id % 2 = 0, 'created_at', {iso}, 'payload', {payload}"
-    with_org = f"named_struct({common}'org', named_struct('id', 1, 'login', 'acme'), {tail})"
-    without_org = f"named_struct({common}{tail})"
+    which = f"CAST(event_id % {len(GITHUB_TYPES)} AS INT)"
+    payloads = _github_payloads()
+    gh_type = f"element_at(array({', '.join(repr(t) for t in GITHUB_TYPES)}), {which} + 1)"
+    payload = f"CASE {which} " + " ".join(f"WHEN {i} THEN {payloads[t]}" for i, t in enumerate(GITHUB_TYPES)) + " END"
+    common = {"id": "CAST(event_id AS STRING)", "type": gh_type, "actor": _struct(id="user_id", login="concat('user_', user_id)"),
+              "repo": _struct(id="user_id % 10", name="concat('org/repo-', user_id % 10)")}
+    tail = {"public": "event_id % 2 = 0", "created_at": iso_z("ts"), "payload": payload}
+    with_org = _struct(**common, org=_struct(id="1", login="'acme'"), **tail)
     keep_nulls = "map('ignoreNullFields', 'false')"
     return (f"CASE WHEN user_id % 2 = 0 THEN to_json({with_org}, {keep_nulls}) "
-            f"ELSE to_json({without_org}, {keep_nulls}) END")
+            f"ELSE to_json({_struct(**common, **tail)}, {keep_nulls}) END")
 
 
 def github_events(spark: SparkSession, sf_dir: str) -> DataFrame:

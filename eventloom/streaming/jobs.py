@@ -2,11 +2,13 @@
 
 J1  landing pages -> explode (S1) -> raw envelope (R1-R7) -> de-duplicate
     (D2 FIFO state or D3 watermark) -> raw sink (S4)
-J2  raw sink -> normalize by contract (N1-N4, P*, E*) -> normalized sink (S3),
-    rejected rows -> quarantine (Q1)
+J2  raw sink -> normalize by contract (N1-N4, P*, E*) -> normalized sink (S3)
 
 Both are append-only, checkpointed, and run unchanged on any trigger
 (``availableNow`` for catch-up / tests, ``processingTime`` for continuous).
+Rejected rows go to the quarantine (Q1): a file sink is partitioned by
+``outcome``, a Kafka sink sends them to ``quarantine_topic``. Counts by reason are
+observed with every micro-batch (``lastProgress["observedMetrics"]["eventloom"]``).
 """
 
 from __future__ import annotations
@@ -14,52 +16,61 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventloom.operators.dedupe import dedupe_within_horizon
+from eventloom.operators.ingest import ingest_events
 from eventloom.operators.normalize import NORMALIZED_COLUMNS, normalize
-from eventloom.operators.raw import RAW_COLUMNS, build_raw_events, encode_raw, explode_pages
 from eventloom.sources.io import read_values, stream_writer
 from eventloom.sources.registry import SourceConfig
-from eventloom.streaming.fifo import dedupe_fifo_stream
 
+REASONS = ("malformed", "unknown_source", "normalize_error", "invalid_event", "malformed_page", "duplicate")
+#: What one micro-batch of an ingest takes at most, unless the caller sets it (the task of a scope holds it).
+RATE_LIMIT = {"kafka": {"maxOffsetsPerTrigger": "100000"}}
+FILE_RATE_LIMIT = {"maxFilesPerTrigger": "200"}
 
-REASONS = ("malformed", "unknown_source", "normalize_error", "invalid_event", "malformed_page")
+
+def reason_metrics() -> list[Column]:
+    """Numbers of rows: all, accepted, rejected by reason (Q1)."""
+    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reason").isNull()).alias("ok")]
+    return metrics + [F.count_if(F.col("reason") == F.lit(r)).alias(r) for r in REASONS]
 
 
 def with_reason_counts(df: DataFrame, name: str = "eventloom") -> DataFrame:
-    """Per-batch counts of normalized and rejected rows by reason (Q1), computed
-    alongside the write (``DataFrame.observe``): in streaming they appear in
-    ``query.lastProgress["observedMetrics"][name]``."""
-    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reason").isNull()).alias("ok")]
-    metrics += [F.count_if(F.col("reason") == F.lit(r)).alias(r) for r in REASONS]
-    return df.observe(name, *metrics)
+    """The counts, computed alongside the write (``DataFrame.observe``)."""
+    return df.observe(name, *reason_metrics())
 
 
-def ingest_frame(
-    pages: DataFrame,
-    config: SourceConfig,
-    *,
-    dedupe: str = "fifo",
-    max_size: int = 120,
-    horizon: str = "10 minutes",
-    order: str = "page_pos",
-    observed_at: Any = None,
-) -> DataFrame:
-    """J1 as a DataFrame transformation (streaming or batch input of pages)."""
-    items = explode_pages(pages).withColumn("seq", F.expr(order))
-    raw = build_raw_events(items, config, keep=["seq"], observed_at=observed_at)
-    if dedupe == "fifo":
-        kept = dedupe_fifo_stream(raw, max_size=max_size, order=["seq"])
-    elif dedupe == "horizon":
-        kept = dedupe_within_horizon(raw, horizon)
-    elif dedupe == "none":
-        kept = raw
-    else:
-        raise ValueError(f"unknown dedupe {dedupe!r}")
-    return kept.select(*RAW_COLUMNS, "seq", encode_raw().alias("value"))
+def with_outcome(df: DataFrame) -> DataFrame:
+    return df.withColumn("outcome", F.when(F.col("reason").isNull(), F.lit("ok")).otherwise(F.lit("quarantine")))
+
+
+def to_topics(df: DataFrame, topic: str | None, quarantine_topic: str | None, key: str | None = None) -> DataFrame:
+    """Rows for a Kafka sink: accepted ``value`` to ``topic`` (or the sink's own), rejected rows as JSON
+    (reason, raw_value) to ``quarantine_topic``; without one they are only counted."""
+    ok = F.col("reason").isNull()
+    rejected = F.to_json(F.struct("reason", "raw_value"))
+    if quarantine_topic is None:
+        df = df.where(ok)
+    elif topic is None:
+        raise ValueError("a quarantine topic needs the topic of accepted rows")
+    names = [F.when(ok, F.lit(topic)).otherwise(F.lit(quarantine_topic)).alias("topic")] if topic else []
+    keys = [F.when(ok, F.col(key)).alias("key")] if key else []
+    return df.select(*names, *keys, F.when(ok, F.col("value")).otherwise(rejected).alias("value"))
+
+
+def _start(out: DataFrame, sink_format: str, sink_path: str | None, sink_options: Mapping[str, str] | None,
+           checkpoint: str, trigger: Mapping[str, Any] | None, quarantine_topic: str | None, key: str | None,
+           partition_by: Sequence[str]) -> StreamingQuery:
+    out = with_reason_counts(out)
+    if sink_format == "kafka":
+        options = dict(sink_options or {})
+        topic = options.pop("topic", None)
+        return stream_writer(to_topics(out, topic, quarantine_topic, key), "kafka", checkpoint, options=options,
+                             trigger=trigger).start()
+    return stream_writer(with_outcome(out), sink_format, checkpoint, path=sink_path, options=sink_options, trigger=trigger,
+                         partition_by=partition_by if sink_format != "memory" else ()).start()
 
 
 def start_ingest(
@@ -74,14 +85,17 @@ def start_ingest(
     sink_options: Mapping[str, str] | None = None,
     checkpoint: str,
     trigger: Mapping[str, Any] | None = None,
+    dedupe: str = "fifo",
+    quarantine_topic: str | None = None,
     **kw: Any,
 ) -> StreamingQuery:
-    pages = read_values(spark, source_format, source_path, source_options)
-    out = ingest_frame(pages, config, **kw)
-    if sink_format == "kafka":
-        out = out.select("value")
-    return stream_writer(out, sink_format, checkpoint, path=sink_path, options=sink_options,
-                         trigger=trigger).start()
+    """J1. ``kw`` goes to :func:`ingest_events`; ``fifo`` needs ``order``. File sources offer ``page_file``."""
+    options = RATE_LIMIT.get(source_format, FILE_RATE_LIMIT) | dict(source_options or {})
+    pages = read_values(spark, source_format, source_path, options)
+    if source_format != "kafka":
+        pages = pages.select("*", F.col("_metadata.file_path").alias("page_file"))
+    out = ingest_events(pages, config, dedupe=dedupe, **kw).drop("payload")
+    return _start(out, sink_format, sink_path, sink_options, checkpoint, trigger, quarantine_topic, None, ("outcome",))
 
 
 def start_normalize(
@@ -100,22 +114,17 @@ def start_normalize(
     output: str = "columns",
     partition_by: Sequence[str] = ("outcome",),
     kafka_key: str | None = None,
+    quarantine_topic: str | None = None,
 ) -> StreamingQuery:
     """J2. File sinks get one table partitioned by ``outcome`` (``ok`` /
     ``quarantine``): normalized columns for accepted rows, ``reason`` and
     ``raw_value`` for rejected ones, written in a single pass. A Kafka sink
-    gets the normalized JSON of accepted rows only, keyed by ``kafka_key``
+    gets the normalized JSON of accepted rows, keyed by ``kafka_key``
     (e.g. ``"partition_key"``) when given, so one entity's events share a
-    Kafka partition."""
+    Kafka partition, and the rejected rows on ``quarantine_topic``."""
     src = read_values(spark, source_format, source_path, source_options)
-    if sink_format == "kafka":
-        norm = normalize(src, contracts, keep=keep, output="json")
-        out = norm.selectExpr(f"`{kafka_key}` AS key", "value") if kafka_key else norm.select("value")
-        return stream_writer(out, "kafka", checkpoint, options=sink_options, trigger=trigger).start()
-    out = with_reason_counts(normalize(src, contracts, keep=keep, output=output, with_reason=True))
-    out = out.withColumn("outcome", F.when(F.col("reason").isNull(), F.lit("ok")).otherwise(F.lit("quarantine")))
-    return stream_writer(out, sink_format, checkpoint, path=sink_path, options=sink_options,
-                         trigger=trigger, partition_by=partition_by if sink_format != "memory" else ()).start()
+    out = normalize(src, contracts, keep=keep, output="json" if sink_format == "kafka" else output, with_reason=True)
+    return _start(out, sink_format, sink_path, sink_options, checkpoint, trigger, quarantine_topic, kafka_key, partition_by)
 
 
-__all__ = ["NORMALIZED_COLUMNS", "ingest_frame", "start_ingest", "start_normalize"]
+__all__ = ["NORMALIZED_COLUMNS", "reason_metrics", "start_ingest", "start_normalize", "to_topics", "with_outcome"]
