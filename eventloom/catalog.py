@@ -31,8 +31,8 @@ from eventloom.sources.tables import GITHUB_TYPES, github_events, iso_z, order_e
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 # Fixed observation time injected into raw envelopes so results are reproducible.
-OBSERVED_AT = "2026-07-17T12:21:32+00:00"
-OBSERVED_AT_MS = 1784290892000
+OBSERVED_AT = "2031-03-04T05:06:07+00:00"
+OBSERVED_AT_MS = 1930367167000
 
 SHOP = SourceConfig(source="shop")
 
@@ -797,7 +797,7 @@ event_types: {}
 
 
 @query("normalized_json", f"""
-SELECT event_id, '2026-07-17T12:21:32Z' AS ingested_at, epoch_us(ts) // 1000 AS event_time,
+SELECT event_id, '2031-03-04T05:06:07Z' AS ingested_at, epoch_us(ts) // 1000 AS event_time,
        value AS amount, concat('user_', user_id) AS partition_key,
        CASE event_type WHEN 'click' THEN 12 WHEN 'view' THEN 12 WHEN 'purchase' THEN 12 ELSE 11 END AS n_keys
 FROM events

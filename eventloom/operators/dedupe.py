@@ -279,7 +279,8 @@ def mark_horizon(
     least by ``order``, which must tell them apart; a tie raises). Two rows at least ``horizon`` apart
     always part a key's times, so each stretch without such a gap is decided by itself, as a stream
     that holds one time. A key without any gap is one stretch of distinct times and one task. A row
-    without an event time is never a duplicate.
+    without an event time is never a duplicate. The rows are read twice, so the event time
+    must not be a processing time that changes between reads.
     """
     keys, order = list(keys), list(order)
     if event_time not in df.columns:

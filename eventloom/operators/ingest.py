@@ -7,6 +7,7 @@ envelope as JSON) or says why not (``malformed_page``, ``invalid_event``,
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from typing import Any
 
@@ -46,6 +47,9 @@ def ingest_events(
         raise ValueError(f"dedupe {dedupe!r} needs an arrival order, e.g. ['page_file', 'page_pos']")
     if dedupe == "first" and pages.isStreaming:
         raise ValueError("dedupe 'first' keeps every id for ever: run it over a table, or stream with 'fifo' or 'horizon'")
+    if observed_at is None and not pages.isStreaming:
+        # one polling time for the run: the rows are read more than once, and must be the same each time
+        observed_at = dt.datetime.now(dt.timezone.utc).isoformat()
     others = [c for c in pages.columns if c != "value"]
     items = explode_pages(pages, keep=others, raw_col="_page_text")
     arrival = [f"arrival_{i}" for i in range(1, len(order) + 1)]

@@ -23,7 +23,6 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
-from pyspark.sql import functions as F
 
 from eventloom.functions.time import Checked, with_iso_millis
 from eventloom.functions.variant import (
@@ -38,7 +37,7 @@ from eventloom.functions.variant import (
 )
 from eventloom.plans.compiler import ContractPlan, in_list, rule_key
 from eventloom.plans.pinning import filter_here, pinned_stage
-from eventloom.plans.contract import RESERVED_TAIL_NAMES, as_contracts
+from eventloom.plans.contract import as_contracts
 from eventloom.plans.safety import check_expression
 
 log = logging.getLogger(__name__)
@@ -225,12 +224,11 @@ def normalize(
         f"CASE WHEN NOT _n1_ok THEN '{REASON_MALFORMED}' WHEN _b IS NULL THEN '{REASON_UNKNOWN_SOURCE}' "
         f"WHEN coalesce({bad}, true) THEN '{REASON_NORMALIZE_ERROR}' END"
     )
-    # the reason gets its own projection and the filter stays on top of it
-    # (see eventloom.plans.pinning: pushing it down would copy every rule
-    # into the predicate)
+    # the reason gets its own projection, and filters on it - here or by the
+    # caller - stay on top of it (see eventloom.plans.pinning: pushing them
+    # down would copy every rule into the predicate)
     s5 = s4.selectExpr("*", f"{et.value} AS _event_time", f"{reason} AS reason")
-    if not with_reason:
-        s5 = filter_here(s5, "reason IS NULL")
+    s5 = pinned_stage(s5) if with_reason else filter_here(s5, "reason IS NULL")
 
     # 6. output projection
     fixed = {
@@ -257,15 +255,8 @@ def normalize(
 
         cols.append(f"{plan.per_branch_sql('_b', attrs)} AS attributes")
     if output == "json":
-        json_fixed = dict(fixed, ingested_at=millis_to_iso_utc_sql("_ingested_ms"))
-
-        def doc_json(branch) -> str:
-            if any(n in RESERVED_TAIL_NAMES for n in branch.tail):
-                return "CAST(NULL AS STRING)"
-            pairs = [(c, json_fixed[c]) for c in NORMALIZED_COLUMNS] + [(n, fv(n)) for n in branch.tail]
-            return to_json_keep_nulls_sql(named_struct(pairs))
-
-        cols.append(f"{plan.per_branch_sql('_b', doc_json)} AS value")
+        envelope = dict(fixed, ingested_at=millis_to_iso_utc_sql("_ingested_ms"))
+        cols.append(to_json_keep_nulls_sql(named_struct([(c, envelope[c]) for c in NORMALIZED_COLUMNS])) + " AS _envelope")
     if output == "wide":
         hints = {k: v for c in resolved.values() for k, v in c.column_types.items()}
         hints.update(type_hints or {})
@@ -277,6 +268,11 @@ def normalize(
 
     # the original message is kept for rejected rows only (accepted rows are the normalized event)
     out = s5.selectExpr(*keep, *cols, "reason", "CASE WHEN reason IS NOT NULL THEN _value END AS raw_value")
+    if output == "json":
+        # the document is the envelope's object followed by the tail's: both are built once, not once per branch
+        both = "concat(substr(_envelope, 1, length(_envelope) - 1), ',', substr(attributes, 2))"
+        doc = f"CASE WHEN reason IS NULL THEN CASE WHEN attributes = '{{}}' THEN _envelope ELSE {both} END END AS value"
+        out = out.selectExpr(*[ident(c) for c in out.columns if c not in ("_envelope", "reason", "raw_value")], doc, "reason", "raw_value")
     if with_reason:
         return out
     return out.drop("reason", "raw_value")
@@ -285,4 +281,4 @@ def normalize(
 def quarantine(df: DataFrame, contracts: Any, *, value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Only the rejected rows: ``keep`` columns, ``reason`` and ``raw_value``."""
     out = normalize(df, contracts, value_col=value_col, keep=keep, with_reason=True)
-    return out.filter(F.col("reason").isNotNull()).select(*keep, "reason", "raw_value")
+    return filter_here(out, "reason IS NOT NULL").select(*keep, "reason", "raw_value")

@@ -13,6 +13,8 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # a repeated JSON key keeps the last value instead of failing the parse
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # the staged timestamp parser of a wide contract has more than the 100 columns that generated code takes by default
+    "spark.sql.codegen.maxFields": "400",
 }
 
 

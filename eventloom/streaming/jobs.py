@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventloom.operators.ingest import ingest_events
 from eventloom.operators.normalize import NORMALIZED_COLUMNS, normalize
+from eventloom.plans.pinning import filter_here
 from eventloom.sources.io import read_values, stream_writer
 from eventloom.sources.registry import SourceConfig
 
@@ -52,7 +53,7 @@ def to_topics(df: DataFrame, topic: str | None, quarantine_topic: str | None, ke
     ok = F.col("reason").isNull()
     rejected = F.to_json(F.struct("reason", "raw_value"))
     if quarantine_topic is None:
-        df = df.where(ok)
+        df = filter_here(df, "reason IS NULL")
     elif topic is None:
         raise ValueError("a quarantine topic needs the topic of accepted rows")
     names = [F.when(ok, F.lit(topic)).otherwise(F.lit(quarantine_topic)).alias("topic")] if topic else []

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import os
 import sys
@@ -10,15 +11,18 @@ sys.path.insert(0, ROOT)
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-OBSERVED_AT = "2026-07-17T12:21:32+00:00"
-OBSERVED_AT_MS = 1784290892000
+# The tests' own domain: crossings of ferries, reported by harbours.
+POLLED = dt.datetime(2031, 3, 4, 5, 6, 7, tzinfo=dt.timezone.utc)
+POLLED_MS = int(POLLED.timestamp() * 1000)
 
 
 @pytest.fixture(scope="session")
 def spark():
+    folder = tempfile.mkdtemp(prefix="eventloom-test-ckpt-")
     s = (
         SparkSession.builder.master("local[4]")
         .appName("eventloom-tests")
+        .config("spark.checkpoint.dir", folder)
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -27,37 +31,21 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="eventloom-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
     yield s
 
 
-def envelope(payload, *, source="widget", event_id="1", event_type="CreatedEvent", endpoint="/widgets",
-             observed_at=OBSERVED_AT, schema_version=1, **over):
-    doc = {
-        "source": source,
-        "source_event_id": event_id,
-        "source_event_endpoint": endpoint,
-        "source_event_type": event_type,
-        "observed_at": observed_at,
-        "schema_version": schema_version,
-        "payload": payload,
-    }
-    doc.update(over)
+def envelope(payload, *, source="ferry", event_id="1", event_type="Departed", endpoint="default", observed_at=POLLED.isoformat(), **over):
+    """A raw envelope as JSON text; ``over`` replaces or adds fields."""
+    doc = {"source": source, "source_event_id": event_id, "source_event_endpoint": endpoint, "source_event_type": event_type,
+           "observed_at": observed_at, "schema_version": 1, "payload": payload} | over
     return json.dumps(doc)
 
 
 def values_df(spark, values):
-    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], "rid long, value string")
+    return spark.createDataFrame(list(enumerate(values)), "rid long, value string")
 
 
-def collect_by_rid(df):
-    out = {}
-    for r in df.collect():
-        d = r.asDict()
-        if d.get("attributes") is not None:
-            d["attributes"] = json.loads(d["attributes"])
-        out[d["rid"]] = d
-    return out
+def by_rid(df):
+    """Rows as dictionaries in the order of their ``rid``, ``attributes`` parsed."""
+    rows = sorted((r.asDict() for r in df.collect()), key=lambda r: r["rid"])
+    return [r | {"attributes": json.loads(r["attributes"])} if r.get("attributes") else r for r in rows]

@@ -5,12 +5,12 @@ import pytest
 from eventloom.plans.contract import Contract, ContractError, FieldRule, builtin_contracts, load_contracts
 
 ENV = """
-source: widget
-partition_key: {from: id}
+source: ferry
+partition_key: {from: vessel.call_sign}
 envelope:
-  entity_id: {from: actor.id}
-  entity_name: {from: actor.login}
-  event_time: {from: created_at, as: timestamp}
+  entity_id: {from: vessel.hull}
+  entity_name: {from: vessel.call_sign}
+  event_time: {from: logged, as: timestamp}
 common: {}
 event_types: {}
 """
@@ -73,9 +73,9 @@ def test_section_overlay_order():
 
 
 def test_repository_loads_by_file_stem(tmp_path):
-    (tmp_path / "widget.yml").write_text(ENV)
+    (tmp_path / "ferry.yml").write_text(ENV)
     (tmp_path / "notes.txt").write_text("ignored")
-    assert list(load_contracts(tmp_path)) == ["widget"]
+    assert list(load_contracts(tmp_path)) == ["ferry"]
 
 
 def test_builtin_contracts():

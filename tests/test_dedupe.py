@@ -1,106 +1,141 @@
-"""De-duplication (D1-D3) against brute force."""
+"""De-duplication (D1-D3) against definitions written as lookups over all rows before."""
 
+import datetime as dt
 import random
-from collections import deque
 
 import pytest
+from pyspark.sql import functions as F
 
-from eventloom.operators.dedupe import dedupe_fifo, dedupe_fifo_serial, dedupe_first, dedupe_within_horizon
+from eventloom.operators.dedupe import AcceptCounter, dedupe_fifo, dedupe_first, dedupe_within_horizon, mark_fifo, mark_horizon
 
+SCHEMA = "source string, source_event_endpoint string, source_event_id string, seq long, body string"
 
-def brute_fifo(ids, n):
-    """Reference semantics written out: remember the last n accepted ids; a hit does not refresh."""
-    memory, order, accepted = set(), deque(), []
+
+def fifo_by_definition(ids, size):
+    """Positions of the accepted: an id is refused if it is among the last ``size`` accepted."""
+    accepted = []
     for i, v in enumerate(ids):
-        if v in memory:
-            continue
-        if len(order) >= n:
-            memory.remove(order.popleft())
-        order.append(v)
-        memory.add(v)
-        accepted.append(i)
+        if v not in [ids[j] for j in accepted[-size:]]:
+            accepted.append(i)
     return accepted
 
 
-def frame(spark, ids, scope=("s", "e")):
-    rows = [(scope[0], scope[1], str(v), i, f"p{i}") for i, v in enumerate(ids)]
-    return spark.createDataFrame(rows, "source string, source_event_endpoint string, source_event_id string, "
-                                       "seq long, body string")
-
-
-def test_fifo_documented_case(spark):
-    ids = [1, 2, 1, 3, 4, 1, 2]
-    for serial_below in (0, 1_000_000):  # parallel form, then the size-checked single pass
-        got = sorted(r.seq for r in dedupe_fifo(frame(spark, ids), max_size=3, serial_below=serial_below).collect())
-        assert got == [0, 1, 3, 4, 5, 6] == brute_fifo(ids, 3)
-
-
-def test_fifo_single_slot_remembers_only_last(spark):
-    got = sorted(r.seq for r in dedupe_fifo(frame(spark, [10, 20, 10]), max_size=1).collect())
-    assert got == [0, 1, 2]
-
-
-@pytest.mark.parametrize("n,seed,universe", [(1, 1, 8), (3, 2, 14), (7, 3, 26), (120, 4, 365), (5, 5, 5000),
-                                             (4, 6, 40)])
-def test_fifo_random_against_brute_force(spark, n, seed, universe):
-    rnd = random.Random(seed)
-    ids = [rnd.randrange(0, universe) for _ in range(3000)]
-    if seed == 6:  # long runs of one hot id
-        ids = [7 if rnd.random() < 0.5 else i for i in ids]
-    want = brute_fifo(ids, n)
-    got = sorted(r.seq for r in dedupe_fifo(frame(spark, ids), max_size=n, range_partitions=5,
-                                            serial_below=0).collect())
-    assert got == want
-    assert sorted(r.seq for r in dedupe_fifo_serial(frame(spark, ids), max_size=n).collect()) == want
-
-
-def test_fifo_payload_untouched(spark):
-    df = frame(spark, [1, 2, 1]).selectExpr("*", "parse_json('{\"a\": 1}') AS payload")
-    out = dedupe_fifo(df, max_size=5, serial_below=0)
-    assert out.columns == df.columns
-    assert sorted((r.seq, r.body) for r in out.collect()) == [(0, "p0"), (1, "p1")]
-
-
-def test_fifo_scopes_are_independent(spark):
-    a = frame(spark, [1, 1, 2], ("s", "a"))
-    b = frame(spark, [1, 2, 2], ("s", "b"))
-    got = sorted((r.source_event_endpoint, r.seq) for r in dedupe_fifo(a.unionByName(b), max_size=5).collect())
-    assert got == [("a", 0), ("a", 2), ("b", 0), ("b", 1)]
-
-
-def test_first_wins_with_a_hot_key(spark):
-    rnd = random.Random(7)
-    ids = [0 if rnd.random() < 0.4 else rnd.randrange(1, 500) for _ in range(5000)]
-    rows = [("s", "e", str(v), rnd.randrange(10**9) * 10 + i % 10, f"p{i}") for i, v in enumerate(ids)]
-    df = spark.createDataFrame(rows, "source string, source_event_endpoint string, source_event_id string, "
-                                     "seq long, body string")
-    want = {}
-    for _, _, k, seq, body in rows:
-        if k not in want or seq < want[k][0]:
-            want[k] = (seq, body)
-    got = {r.source_event_id: (r.seq, r.body) for r in dedupe_first(df).collect()}
-    assert got == want
-    assert dedupe_first(df).columns == df.columns
-
-
-def test_horizon_batch_keeps_one_per_key(spark):
-    df = frame(spark, [1, 2, 1, 3, 2]).selectExpr("*", "'2026-07-17T12:21:32+00:00' AS observed_at")
-    out = dedupe_within_horizon(df, "10 minutes")
-    assert sorted(r.source_event_id for r in out.collect()) == ["1", "2", "3"]
-
-
-def test_fifo_many_scopes_across_range_partitions(spark):
-    rnd = random.Random(21)
-    rows, want = [], []
-    for scope in ("a", "b", "c"):
-        ids = [rnd.randrange(0, 30) for _ in range(rnd.randint(200, 900))]
-        base = len(rows)
-        rows += [("s", scope, str(v), base + i, "p") for i, v in enumerate(ids)]
-        want += [(scope, base + i) for i in brute_fifo(ids, 6)]
-    df = spark.createDataFrame(rows, "source string, source_event_endpoint string, source_event_id string, "
-                                     "seq long, body string")
-    got = sorted((r.source_event_endpoint, r.seq) for r in
-                 dedupe_fifo(df, max_size=6, range_partitions=7, serial_below=0).collect())
-    assert sorted((r.source_event_endpoint, r.seq) for r in
-                  dedupe_fifo(df, max_size=6, serial_below=10_000).collect()) == sorted(want)
-    assert got == sorted(want)
+def frame(spark, ids, scope="harbour"):
+    return spark.createDataFrame([("ferry", scope, str(v), i, f"p{i}") for i, v in enumerate(ids)], SCHEMA)
+
+
+def accepted(df):
+    return sorted(r.seq for r in df.collect())
+
+
+STREAMS = {
+    "few ids": lambda r: [r.randrange(9) for _ in range(1500)],
+    "more ids than memory": lambda r: [r.randrange(60) for _ in range(1500)],
+    "hardly a repeat": lambda r: [r.randrange(4000) for _ in range(1500)],
+    "one hot id": lambda r: [0 if r.random() < 0.4 else r.randrange(300) for _ in range(1500)],
+    "overlapping polls": lambda r: [i for p in range(60) for i in range(10 * p, 10 * p + 30)],
+    "a cycle longer than the memory": lambda r: list(range(40)) * 30,
+    "a cycle shorter than the memory": lambda r: list(range(5)) * 200,
+    "all new, then all again, twice": lambda r: list(range(500)) * 3,
+}
+
+
+@pytest.mark.parametrize("name", STREAMS)
+@pytest.mark.parametrize("size,chunk", [(1, 200), (7, 170), (25, 400)])
+def test_fifo_in_chunks(spark, name, size, chunk):
+    ids = STREAMS[name](random.Random(size))
+    assert accepted(dedupe_fifo(frame(spark, ids), max_size=size, chunk_rows=chunk)) == fifo_by_definition(ids, size)
+
+
+def test_a_counter_that_starts_blind_is_never_wrong():
+    """Whatever the memory was, a decided row is decided as it would have been, and so is the memory at the end."""
+    r = random.Random(3)
+    for _ in range(300):
+        size, universe = r.randint(1, 6), r.randint(2, 20)
+        before, after = ([r.randrange(universe) for _ in range(r.randint(0, 30))] for _ in range(2))
+        sighted = set(before)
+        exact, blind = AcceptCounter(size, []), AcceptCounter(size, None)
+        for v in before:
+            exact.take(v)
+        for v in after:
+            truth, guess = exact.take(v), blind.take(v, first_sighting=v not in sighted)
+            sighted.add(v)
+            assert guess is None or guess == truth
+        assert blind.memory() is None or blind.memory() == exact.memory()[-size:]
+
+
+def test_fifo_scopes_do_not_mix(spark):
+    r = random.Random(8)
+    parts = {s: [r.randrange(30) for _ in range(r.randint(50, 400))] for s in ("a", "b", "c")}
+    df = None
+    for s, ids in parts.items():
+        df = frame(spark, ids, s) if df is None else df.unionByName(frame(spark, ids, s))
+    got = sorted((x.source_event_endpoint, x.seq) for x in dedupe_fifo(df, max_size=6, chunk_rows=90).collect())
+    assert got == [(s, i) for s in sorted(parts) for i in fifo_by_definition(parts[s], 6)]
+
+
+def test_fifo_rows_are_untouched_and_marked(spark):
+    df = frame(spark, [4, 5, 4]).withColumn("payload", F.parse_json(F.lit('{"deck": 1}')))
+    assert dedupe_fifo(df).columns == df.columns
+    assert sorted((r.seq, r.is_duplicate, r.body) for r in mark_fifo(df).collect()) == [(0, False, "p0"), (1, False, "p1"), (2, True, "p2")]
+    assert dedupe_fifo(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        dedupe_fifo(df, max_size=0)
+
+
+def test_tied_arrivals_fail(spark):
+    tied = frame(spark, [1, 2, 1, 3]).withColumn("seq", F.lit(7).cast("long"))
+    with pytest.raises(Exception, match="same arrival order"):
+        dedupe_fifo(tied).collect()
+    with pytest.raises(Exception, match="same arrival order"):
+        dedupe_first(tied).collect()
+
+
+def test_first_wins(spark):
+    r = random.Random(5)
+    rows = [("ferry", "harbour", str(0 if r.random() < 0.4 else r.randrange(300)), None if r.random() < 0.01 else i, f"p{i}") for i in r.sample(range(10**6), 3000)]
+    by_key = {}
+    for row in rows:
+        by_key.setdefault(row[2], []).append(row)
+    single_null = {k: v for k, v in by_key.items() if sum(x[3] is None for x in v) <= 1}
+    df = spark.createDataFrame([x for v in single_null.values() for x in v], SCHEMA)
+    want = {k: min(v, key=lambda x: (x[3] is None, x[3]))[3:] for k, v in single_null.items()}
+    got = dedupe_first(df)
+    assert {x.source_event_id: (x.seq, x.body) for x in got.collect()} == want and got.columns == df.columns
+
+
+def test_first_wins_aggregates_narrow_rows_and_sorts_no_full_row(spark):
+    plan = dedupe_first(frame(spark, [1, 1, 2]))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort [" not in plan and "Aggregate" not in plan  # the narrow aggregation is stored before
+    assert "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan
+
+
+def horizon_by_definition(rows, horizon):
+    last, out = {}, []
+    for key, t, seq in sorted(rows, key=lambda x: (x[1], x[2])):
+        if key not in last or t - last[key] >= horizon:
+            last[key] = t
+            out.append(seq)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("gap", [0.2, 3, 40])
+def test_horizon_over_a_table(spark, gap):
+    r = random.Random(int(gap * 10))
+    start, minute = dt.datetime(2031, 3, 4), dt.timedelta(minutes=1)
+    rows, t = [], start
+    for i in range(1200):
+        t += minute * r.expovariate(1 / gap)
+        rows.append((0 if r.random() < 0.4 else r.randrange(20), t.replace(microsecond=t.microsecond // 1000 * 1000), i))
+    rows += [(k, t, i + 5000) for k, t, i in rows[::40]]  # the same key at the same time
+    df = spark.createDataFrame([("ferry", "harbour", str(k), i, t.isoformat(timespec="milliseconds") + "+00:00") for k, t, i in rows],
+                               "source string, source_event_endpoint string, source_event_id string, seq long, observed_at string")
+    got = dedupe_within_horizon(df, "10 minutes", order=["seq"])
+    assert accepted(got) == horizon_by_definition(rows, 10 * minute) and got.columns == df.columns
+    with pytest.raises(Exception, match="same order"):
+        dedupe_within_horizon(df, "10 minutes").collect()
+
+
+def test_horizon_without_a_time(spark):
+    df = spark.createDataFrame([("ferry", "h", "1", 1, None), ("ferry", "h", "1", 2, None)], "source string, source_event_endpoint string, source_event_id string, seq long, observed_ts timestamp")
+    assert [r.is_duplicate for r in mark_horizon(df).collect()] == [False, False]

@@ -7,7 +7,7 @@ import pytest
 from eventloom.operators.raw import build_raw_events, explode_pages
 from eventloom.sources.registry import SourceConfig, get_source_config
 
-OBS = "2026-07-17T12:21:32+00:00"
+OBS = "2031-03-04T05:06:07+00:00"
 
 
 def raw(spark, events, config, **kw):

@@ -1,89 +1,55 @@
-"""F1 iso_to_millis / F2 to_millis against the reference's literal vectors."""
+"""F1 iso_to_millis and F2 to_millis: hand-picked borders, expectations from ``datetime`` itself (the
+generated strings are in test_iso_property)."""
+
+import datetime as dt
+import json
 
 import pytest
 
 from eventloom.functions.time import iso_to_millis_sql, to_millis_sql, to_millis_string_sql
 
-MS = 1784290892000
-
-ISO_CASES = [
-    ("2026-07-17T12:21:32Z", MS, False),
-    ("2026-07-17T12:21:32", MS, False),
-    ("2026-07-17T12:21:32+00:00", MS, False),
-    ("2026-07-17T12:21:32.123456", MS + 123, False),
-    ("2026-07-17T14:21:32+02:00", MS, False),
-    ("2026-07-17T07:51:32-04:30", MS, False),
-    ("2026-07-17 12:21:32", MS, False),
-    ("20260717T122132Z", MS, False),
-    ("2026-07-17T12:21:32,5Z", MS + 500, False),
-    ("2026-07-17T12:21:32.1234567Z", MS + 123, False),
-    ("2026-07-17T12:21", MS - 32000, False),
-    ("2026-07-17T12", MS - 21 * 60000 - 32000, False),
-    ("2026-07-17", MS - (12 * 3600 + 21 * 60 + 32) * 1000, False),
-    ("1969-12-31T23:59:59.500", -500, False),
-    ("", None, False),
-    ("not a date", None, True),
-    ("2026-13-01T00:00:00", None, True),
-    ("2026-02-30", None, True),
-    ("2026-07-17T24:00:00", None, True),
-    ("2026-07-17T12:60:00", None, True),
-    (" 2026-07-17", None, True),
-    ("2026", None, True),
-    ("2026-W29-5", None, True),
+EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
+
+def millis(text):
+    t = dt.datetime.fromisoformat(text)
+    t = t if t.tzinfo else t.replace(tzinfo=dt.timezone.utc)
+    us = (t - EPOCH) // dt.timedelta(microseconds=1)
+    return us // 1000 if us >= 0 else -(-us // 1000)
+
+
+READ = [
+    "1970-01-01", "1970-01-01T00", "1970-01-01T00:00Z", "1969-12-31T23:59:59.999", "1999-12-31T23:59:59,75+05:45", "2000-02-29 12:00", "20000229T1200Z",
+    "2038-01-19T03:14:08Z", "2031-03-04T05:06:07.000999Z", "2031-03-04T05:06:07.9999999Z", "2031-03-04T05:06:07-0930", "2031-03-04T00:00:00+14", "0001-01-01", "9999-12-31T23:59:59.999999",
 ]
+REFUSED = ["never", "1900-02-29", "2031-00-10", "2031-01-32", "2031-01-01T24:00", "2031-01-01T10:60", "2031-01-01T10:10:61", "\t2031-01-01", "31-01-01", "2031", "2031-W10-2"]
 
 
-def _eval(spark, sql, rows, schema):
-    df = spark.createDataFrame(rows, schema)
-    return [tuple(r) for r in df.selectExpr("i", *sql).orderBy("i").collect()]
+def evaluate(spark, checked, rows, schema):
+    df = spark.createDataFrame(list(enumerate(rows)) if not isinstance(rows[0], tuple) else rows, schema)
+    return [(r.v, r.e) for r in df.selectExpr("i", f"{checked.value} AS v", f"{checked.error} AS e").orderBy("i").collect()]
 
 
-def test_iso_to_millis_strings(spark):
-    rows = [(i, f'"{s}"') for i, (s, _, _) in enumerate(ISO_CASES)]
-    c = iso_to_millis_sql("parse_json(j)")
-    got = _eval(spark, [f"{c.value} AS v", f"{c.error} AS e"], rows, "i int, j string")
-    for (i, v, e), (s, want, err) in zip(got, ISO_CASES):
-        assert (v, e) == (want, err), s
+def test_strings(spark):
+    got = evaluate(spark, iso_to_millis_sql("parse_json(j)"), [json.dumps(s) for s in READ + REFUSED], "i int, j string")
+    assert got == [(millis(s), False) for s in READ] + [(None, True) for _ in REFUSED]
 
 
-@pytest.mark.parametrize("j,want,err", [
-    ("null", None, False),          # JSON null -> null
-    ("1784290892", None, True),     # non-string: signature error
-    ("true", None, True),
-    ("[]", None, True),
-    ("{}", None, True),
-])
-def test_iso_to_millis_non_strings(spark, j, want, err):
-    c = iso_to_millis_sql("parse_json(j)")
-    (_, v, e), = _eval(spark, [f"{c.value} AS v", f"{c.error} AS e"], [(0, j)], "i int, j string")
-    assert (v, e) == (want, err)
-
-
-def test_iso_to_millis_absent(spark):
-    c = iso_to_millis_sql("try_variant_get(parse_json(j), '$.nope', 'variant')")
-    (_, v, e), = _eval(spark, [f"{c.value} AS v", f"{c.error} AS e"], [(0, "{}")], "i int, j string")
-    assert (v, e) == (None, False)
-
-
-@pytest.mark.parametrize("j,want,err", [
-    ("null", 0, False),
-    ("1784290892", MS, False),
-    ("1784290892000", MS, False),
-    ("1784290892.5", MS + 500, False),
-    ('"2026-07-17T12:21:32Z"', MS, False),
-    ('"2026-07-17T12:21:32+00:00"', MS, False),
-    ("true", 1000, False),
-    ("[1]", None, True),
-    ('"garbage"', None, True),
+def test_other_json_values(spark):
+    rows = ['""', "null", "5", "0.5", "false", "[]", '{"t": 1}']
+    assert evaluate(spark, iso_to_millis_sql("parse_json(j)"), rows, "i int, j string") == [(None, False)] * 2 + [(None, True)] * 5
+    absent = iso_to_millis_sql("try_variant_get(parse_json(j), '$.gone', 'variant')")
+    assert evaluate(spark, absent, ["{}"], "i int, j string") == [(None, False)]
+
+
+@pytest.mark.parametrize("text,value", [
+    ("null", 0), ("0", 0), ("2000000000", 2_000_000_000_000), ("300000000000", 300_000_000_000), ("1.25", 1250), ("false", 0), ('"2000-02-29T00:00:00+01:00"', millis("2000-02-29T00:00:00+01:00")),
+    ("{}", None), ('"someday"', None),
 ])
-def test_to_millis(spark, j, want, err):
-    c = to_millis_sql("parse_json(j)")
-    (_, v, e), = _eval(spark, [f"{c.value} AS v", f"{c.error} AS e"], [(0, j)], "i int, j string")
-    assert (v, e) == (want, err)
+def test_seconds_millis_or_text(spark, text, value):
+    assert evaluate(spark, to_millis_sql("parse_json(j)"), [text], "i int, j string") == [(value, value is None)]
 
 
-def test_to_millis_string_null_is_zero(spark):
-    c = to_millis_string_sql("s")
-    got = _eval(spark, [f"{c.value} AS v", f"{c.error} AS e"], [(0, None), (1, "2026-07-17T12:21:32Z")],
-                "i int, s string")
-    assert [g[1:] for g in got] == [(0, False), (MS, False)]
+def test_text_column(spark):
+    rows = [(0, None), (1, "1999-12-31T23:59:59Z")]
+    assert evaluate(spark, to_millis_string_sql("s"), rows, "i int, s string") == [(0, False), (millis("1999-12-31T23:59:59Z"), False)]

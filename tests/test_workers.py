@@ -15,11 +15,13 @@ SCRIPT = textwrap.dedent(f"""
     spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
-    from eventloom.operators.dedupe import dedupe_fifo, dedupe_fifo_serial
-    rows = [("s", "e", str(v), i) for i, v in enumerate([1, 2, 1, 3, 4, 1, 2])]
+    from eventloom.operators.dedupe import dedupe_fifo, dedupe_within_horizon
+    from pyspark.sql import functions as F
+    rows = [("s", "e", str(v), i) for i, v in enumerate([7, 8, 7, 9, 5, 7, 8])]
     df = spark.createDataFrame(rows, "source string, source_event_endpoint string, source_event_id string, seq long")
-    a = sorted(r.seq for r in dedupe_fifo(df, max_size=3, serial_below=0).collect())
-    b = sorted(r.seq for r in dedupe_fifo_serial(df, max_size=3).collect())
+    a = sorted(r.seq for r in dedupe_fifo(df, max_size=3, chunk_rows=3).collect())
+    timed = df.withColumn("observed_ts", F.timestamp_seconds("seq"))
+    b = sorted(r.seq for r in dedupe_within_horizon(timed, "4 seconds").collect())
     print("RESULT", a, b)
 """)
 
