@@ -27,7 +27,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.functions.time import to_millis_string_sql
+from eventloom.functions.time import to_millis_string_sql, with_iso_millis
+from eventloom.plans.pinning import pinned_stage
 from eventloom.session import stored
 
 DEFAULT_SCOPE = ("source", "source_event_endpoint")
@@ -283,14 +284,17 @@ def mark_horizon(
     must not be a processing time that changes between reads.
     """
     keys, order = list(keys), list(order)
-    if event_time not in df.columns:
-        marked = mark_horizon(df.withColumn(event_time, observed_ts()), horizon, keys, event_time, order)
-        return marked.drop(event_time)
-    at = F.unix_micros(F.col(event_time).cast("timestamp"))
+    if event_time in df.columns:
+        timed = df.withColumn("_at", F.unix_micros(F.col(event_time).cast("timestamp")))
+    else:
+        timed = with_iso_millis(df, {"_seen": "observed_at"}, mode="to_millis")
+        timed = timed.withColumn("_at", F.expr("CASE WHEN observed_at IS NOT NULL THEN _seen_ms * 1000 END"))
+    sk = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in keys]), {"ignoreNullFields": "false"})
+    # pinned: the parsed time and the key are computed once per row, not once per use
+    timed = pinned_stage(timed.select(*df.columns, "_at", sk.alias("_sk")))
     span = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00Z' + INTERVAL {horizon})")
     tied = [x for c in order for x in (F.col(c).isNull().alias(f"_none_{c}"), F.col(c))]
-    sk = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in keys]), {"ignoreNullFields": "false"})
-    times = df.where(at.isNotNull()).select(sk.alias("_sk"), at.alias("_at"), span.alias("_span"), *order)
+    times = timed.where("_at IS NOT NULL").select("_sk", "_at", span.alias("_span"), *order)
     per = times.groupBy("_sk", "_at", "_span", *order).agg(F.count(F.lit(1)).alias("_n"))
     rank = F.struct(*tied, F.col("_n"))
     least = per.groupBy("_sk", "_at", "_span").agg(F.min(rank).alias("_w"))
@@ -311,12 +315,12 @@ def mark_horizon(
     spread = stretches.select("_sk", "_part", "_at", "_span").repartition("_sk", "_part").sortWithinPartitions("_sk", "_part", "_at")
     kept = spread.mapInPandas(chain, "_sk string, _at long").join(least, ["_sk", "_at"])
     kept = stored(kept.select(F.col("_sk").alias("_k"), F.col("_at").alias("_t"), F.col("_w").alias("_w")), "horizon")
-    joined = df.join(kept.hint("shuffle_hash"), (sk == F.col("_k")) & (at == F.col("_t")), "left")
+    joined = timed.join(kept.hint("shuffle_hash"), (F.col("_sk") == F.col("_k")) & (F.col("_at") == F.col("_t")), "left")
     mine = F.lit(True)
     for c in order:
         mine = mine & F.col(c).eqNullSafe(F.col(f"_w.{c}"))
     tie = F.raise_error(F.lit("two rows of one key and event time have the same order"))
-    flag = F.when(at.isNull(), F.lit(False)).when(F.col("_k").isNull() | ~mine, F.lit(True))
+    flag = F.when(F.col("_at").isNull(), F.lit(False)).when(F.col("_k").isNull() | ~mine, F.lit(True))
     flag = flag.when(F.col("_w._n") > 1, tie.cast("boolean")).otherwise(F.lit(False))
     return joined.select(*df.columns, flag.alias("is_duplicate"))
 
