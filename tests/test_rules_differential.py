@@ -85,7 +85,7 @@ def test_rules_match_the_model(spark):
     rnd = random.Random(5)
     rules = {f"r{i}": rand_rule(rnd) for i in range(24)}
     doc = {
-        "source": "widget",
+        "source": "ferry",
         "partition_key": {"from": "pk"},
         "envelope": {"entity_id": {"from": "pk"}, "entity_name": {"from": "pk"}, "event_time": {"from": "t"}},
         "common": rules,
@@ -97,7 +97,7 @@ def test_rules_match_the_model(spark):
         p = {k: rand_value(rnd, 3) for k in KEYS}
         p.update({"pk": "p", "t": 1})
         payloads.append(p)
-    out = normalize(values_df(spark, [envelope(p) for p in payloads]), {"widget": contract}, keep=["rid"])
+    out = normalize(values_df(spark, [envelope(p) for p in payloads]), {"ferry": contract}, keep=["rid"])
     got = {r.rid: json.loads(r.attributes) for r in out.collect()}
     assert len(got) == len(payloads)
     bad, non_null = [], 0
