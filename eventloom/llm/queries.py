@@ -110,7 +110,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write(table(spark, sf_dir, "pages"), path)
     return warc.read(spark, path).select(
         warc.page_id(F.col("record_id")).cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
-        F.regexp_extract("refers_to", "([0-9]+)>$", 1).cast("long").alias("refers_to"), "error",
+        warc.page_id(F.col("refers_to")).cast("long").alias("refers_to"), "error",
     )
 
 
