@@ -33,7 +33,6 @@ from eventloom.llm.common import written
 SEGMENT = 1 << 16
 RECORDS = 256
 CHUNK = 1 << 13
-BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 END = b"\r\n\r\n"
 RECORD = pa.schema([
     ("record_id", pa.string()), ("record_type", pa.string()), ("origin", pa.string()), ("segment", pa.int32()),
@@ -48,16 +47,6 @@ RECORD_DDL = "record_id string, record_type string, origin string, segment int,
 PAGE_DDL = "record_id string, record_type string, target string, payload binary, payload_bytes long, payload_digest string, refers_to string, error string"
 
 
-def base32_sha1(data: Column) -> Column:
-    """Twenty bits (five hexadecimal digits) make four letters."""
-    hexed = F.sha1(data)
-    letters = []
-    for k in range(8):
-        bits = F.conv(F.substring(hexed, 5 * k + 1, 5), 16, 10).cast("int")
-        letters += [F.substr(F.lit(BASE32), F.shiftright(bits, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
-    return F.concat(*letters)
-
-
 def head(fields: list[tuple[str, object]], first: str) -> bytes:
     return "\r\n".join([first, *(f"{k}: {v}" for k, v in fields)]).encode() + END
 
@@ -70,8 +59,9 @@ def chunked(payload: bytes) -> bytes:
     return b"".join([*parts, b"0\r\n\r\n"])
 
 
-def records(row: int, page_id: str, url: str | None, payload: bytes, digest: str, refers_to: str | None) -> Iterator[bytes]:
-    """The records of one page, each without the blank lines that end it."""
+def records(row: int, page_id: str, url: str | None, payload: bytes, sha1: str, refers_to: str | None) -> Iterator[bytes]:
+    """The records of one page, each without the blank lines that end it. sha1: the payload's, in hexadecimal."""
+    digest = base64.b32encode(bytes.fromhex(sha1)).decode()
     record_id = f"<urn:page:{page_id}:{row}>"
     common = [("WARC-Date", "2000-01-01T00:00:00Z"), ("WARC-Target-URI", " ".join((url or "urn:none").split()))]
     typed = ("Content-Type", "text/html; charset=utf-8")
@@ -113,7 +103,7 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     rows = pages.select(
         F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.monotonically_increasing_id().alias("row")
-    ).withColumn("digest", base32_sha1(F.col("payload")))
+    ).withColumn("digest", F.sha1("payload"))
     size = F.octet_length("payload")
     firsts = rows.where(size >= least).groupBy("digest").agg(F.count("*").alias("n"), F.min("id").alias("first"))
     # a table of its own: its join below then has two plain exchanges, of which Spark splits a hot digest
