@@ -37,11 +37,11 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 class Hasher:
-    """Keeps the powers of the base between blocks."""
+    """Keeps the powers of the base between blocks, as many as the longest block needed."""
 
     def __init__(self, lower: bool):
         self.lower = lower
-        self.up, self.down = powers(BASE, BLOCK), powers(INVERSE, BLOCK)
+        self.up, self.down = powers(BASE, 1), powers(INVERSE, 1)
 
     def words(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of the texts joined by separators: each word's hash, first byte, end and text number."""
