@@ -247,6 +247,23 @@ def test_bpe_matches_the_library(spark, documents, monkeypatch):
     assert bpe.encode(docs.limit(0), tokenizer_path()).count() == 0
 
 
+def test_plain_text_is_split_as_the_tokenizer_does():
+    import random
+
+    import regex
+
+    from eventloom.llm.bpe import OWN_SPLIT, PLAIN, PLAIN_SPLIT, Codec
+
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        codec = Codec(f.read())
+    chars = [chr(c) for c in range(0x180) if PLAIN.fullmatch(chr(c))]
+    r = random.Random(4)
+    for _ in range(1500):
+        text = "".join(r.choice(chars if r.random() < 0.6 else ["'", "s", "l", "T", " ", "1", "."]) for _ in range(r.randint(0, 40)))
+        assert regex.findall(PLAIN_SPLIT, text.lower()) == regex.findall(OWN_SPLIT, text.lower())
+        assert not codec.plain(text) or codec.piece(text) == codec.packed(codec.lib.encode(text, add_special_tokens=False).ids)
+
+
 def test_language_id(spark, documents):
     docs = documents(ODD)
     out = {(r["doc_id"], len(r["text"] or "")): r for r in language_id.predict(docs, language_id.fit(docs)).collect()}
