@@ -28,10 +28,18 @@ THRESHOLD = 0.5
 MASK = "[SECRET]"
 
 NAMES = r"(?:passwords?|passwd|pwd|passphrase|secrets?|tokens?|api[_-]?keys?|access[_-]?keys?|auth[_-]?keys?|private[_-]?keys?|credentials?)"
-#: What may be a secret. Every repetition runs over a character class, so no match recurses.
+#: Keys of known providers, of any length and with or without digits.
+KEYS = (
+    r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{30,}+|sk_(?:live|test)_[A-Za-z0-9]{16,}+|xox[abprs]-[A-Za-z0-9-]{10,}+"
+    r"|eyJ[A-Za-z0-9_-]{8}[A-Za-z0-9+/_=-]*+|AIza[A-Za-z0-9_-]{30,}+"
+)
+BLOCK = "[A-Z ]{0,40}PRIVATE KEY-----"
+#: What may be a secret. Repetitions run over a character class or are possessive, so no match recurses. A private key
+#: ends at the first END line; a BEGIN or END line of anything else before it leaves it unclosed.
 CANDIDATE = (
-    rf"(?i:(?<![a-z0-9]){NAMES}[\x22']?[ \t]{{0,4}}[:=][ \t]{{0,4}}[\x22']?[^\s\x22'<>]{{6,}}+)"
-    r"|-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    rf"(?i:(?<![a-z0-9]){NAMES}[\x22']?[ \t]{{0,4}}[:=][ \t]{{0,4}}[\x22']?(?!-----BEGIN {BLOCK})[^\s\x22'<>]{{6,}}+)"
+    rf"|-----BEGIN {BLOCK}[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END {BLOCK}"
+    rf"|(?<![A-Za-z0-9])(?:{KEYS})"
     r"|(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+"
 )
 VALUE = rf"(?i)^{NAMES}[\x22']?[ \t]*[:=][ \t]*[\x22']?"
@@ -92,13 +100,19 @@ def labelled(spark: SparkSession, n: int = FINDINGS, seed: int = 1) -> DataFrame
     name = F.element_at(F.array(*map(F.lit, ["password", "token", "secret", "api_key", "PASSWORD", "access_key", "passwd"])), (1 + F.pmod(F.xxhash64("draw", F.lit(5)), F.lit(7))).cast("int"))
     mark = F.element_at(F.array(*map(F.lit, ["=", " = \"", ": ", "=\"", ":"])), (1 + F.pmod(F.xxhash64("draw", F.lit(6)), F.lit(5))).cast("int"))
     text = F.concat(word(1), F.lit(" "), word(2), F.lit(" "))
-    none = F.lit("")
+    letters = F.regexp_replace(F.upper(F.concat("b64", F.reverse("b64"))), "[^A-Z]", "")
+    lines = F.regexp_replace(F.concat("b64", F.repeat(F.concat(F.reverse("b64"), "b64"), some(1, 12))), "(.{64})", "$1\n")
+    block = lambda kind, head: F.concat(F.lit(f"-----BEGIN {kind}PRIVATE KEY-----\n"), head, lines, F.lit(f"\n-----END {kind}PRIVATE KEY-----"))
     secrets = [
         (F.concat(name, mark, cut("hex", 10, 48)), text), (F.concat(name, mark, cut(alnum, 8, 40)), text), (F.concat(name, mark, cut("b64", 12, 64)), text),
         (F.concat(F.lit("AKIA"), F.substr(F.upper(alnum), F.lit(1), F.lit(16))), text), (F.concat(F.lit("ghp_"), F.substr(alnum, F.lit(1), F.lit(36))), text),
         (F.concat(F.lit("sk_live_"), F.substr(alnum, F.lit(1), F.lit(24))), text), (F.concat(F.lit("eyJhbGciOi"), cut("b64", 30, 70)), text),
         (F.concat(name, mark, word(3), F.lit("!"), F.substr(alnum, F.lit(1), F.lit(7)), F.lit("#9")), text),
         (F.substr("b64", F.lit(1), F.lit(40)), F.concat(text, F.lit("secret "))), (F.concat(name, mark, cut("hex", 16, 40)), F.concat(word(1), F.lit(".\n"))),
+        (F.concat(F.element_at(F.array(F.lit("AKIA"), F.lit("ASIA")), 1 + (F.col("id") % 2).cast("int")), F.substr(letters, F.lit(1), F.lit(16))), text),
+        (F.concat(F.lit("gho_"), F.substr(F.concat(F.lower(letters), letters), F.lit(1), F.lit(36))), text),
+        (block("RSA ", F.lit("")), text), (block("", F.lit("")), F.concat(name, mark)),
+        (block("RSA ", F.concat(F.lit("Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,"), F.upper(F.substr("hex", F.lit(1), F.lit(32))), F.lit("\n\n"))), text),
     ]
     benign = [
         (F.concat(name, mark, word(3), F.lit("_"), word(4)), text), (F.concat(name, mark, F.lit("changeme123")), text), (F.concat(name, mark, F.lit("your_"), word(3), F.lit("_here")), text),
