@@ -3,14 +3,15 @@
 A regular expression finds candidates: values assigned to a credential's name, keys of known
 providers, private keys, and long runs of letters and digits. Each is described by its
 length, its character transitions and classes, how much of it a dictionary covers, its
-path and the words beside it. A random forest tells secrets from the rest. It is trained in
+path and the words beside it. Assigned words with a few figures (``password=session4821``) are secrets, but
+stand-ins below tests, fixtures, examples and docs; all other findings are judged alike on every path. A random forest tells secrets from the rest. It is trained in
 numpy on the driver, from at most ``FINDINGS`` labelled findings (``labelled``: a table of
 findings with known answers by construction, made by DataFrame expressions), and then
 written out as one column expression, so that scanning and redaction are narrow, native
 projections over the documents that have candidates at all.
 
 Defined cases: null and empty texts have no candidate; texts of any length are scanned whole;
-a null path has no effect; equal rows (same id and text) give their findings once; an empty
+a null path counts as a production one; equal rows (same id and text) give their findings once; an empty
 table gives none; other columns are not read by ``scan`` and kept by ``redact``.
 """
 
@@ -55,7 +56,8 @@ PAIRS = "(?=th|he|in|er|an|re|on|at|en|nd|ti|es|or|te|of|ed|is|it|al|ar|st|to|nt
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|change_me|your[_-]|fake|xxxx|\*\*\*\*|<|\$\{|redacted"
 DIGEST = r"(?i)(?:commit|sha-?(?:1|256|512)?|md5|checksum|digest|revision|etag|uuid|guid|hash|integrity)[\s:=\x22'-]*$"
 PATHLIKE = r"[/.?&%][A-Za-z0-9_.-]*$|(?i)(?:href|src|url|id|data:image)[^\s]*$"
-TEST_PATH = r"(?i)test|fixture|example|docs?/|sample"
+#: Folders and name parts of tests, fixtures, examples and documentation; a "latest" or "contest" is none.
+TEST_PATH = r"(?i)(?:^|[/\\._-])(?:(?:tests?|testdata|fixtures?|examples?|samples?)(?=[/\\._-]|$)|docs?[/\\])"
 
 FEATURES = {
     "length": lambda v, c, left, right, path: F.char_length(v),
@@ -99,6 +101,7 @@ def labelled(spark: SparkSession, n: int = FINDINGS, seed: int = 1) -> DataFrame
     cut = lambda s, least, most: F.substr(s, F.lit(1), some(least, most))
     name = F.element_at(F.array(*map(F.lit, ["password", "token", "secret", "api_key", "PASSWORD", "access_key", "passwd"])), (1 + F.pmod(F.xxhash64("draw", F.lit(5)), F.lit(7))).cast("int"))
     mark = F.element_at(F.array(*map(F.lit, ["=", " = \"", ": ", "=\"", ":"])), (1 + F.pmod(F.xxhash64("draw", F.lit(6)), F.lit(5))).cast("int"))
+    place = lambda n: (1 + F.pmod(F.xxhash64("draw", F.lit(10)), F.lit(n))).cast("int")
     text = F.concat(word(1), F.lit(" "), word(2), F.lit(" "))
     letters = F.regexp_replace(F.upper(F.concat("b64", F.reverse("b64"))), "[^A-Z]", "")
     lines = F.regexp_replace(F.concat("b64", F.repeat(F.concat(F.reverse("b64"), "b64"), some(1, 12))), "(.{64})", "$1\n")
@@ -124,13 +127,19 @@ def labelled(spark: SparkSession, n: int = FINDINGS, seed: int = 1) -> DataFrame
         (F.concat(name, mark, word(3), word(4)), text), (F.concat(F.lit("2024-01-02T"), F.substr(F.regexp_replace("hex", "[a-f]", ""), F.lit(1), F.lit(12))), text),
         (F.regexp_replace(F.substr("hex", F.lit(1), F.lit(40)), "[a-f]", "0"), text), (F.concat(word(1), word(2), F.lit("="), F.lit("1")), F.concat(text, F.lit("/index?id="))),
     ]
-    cases = [(c, left, 1) for c, left in secrets] + [(c, left, 0) for c, left in benign]
+    guarded = F.element_at(F.array(*map(F.lit, ["tests/unit/test_login.py", "src/app_test.go", "fixtures/users.json", "docs/setup.md", "examples/run.sh", "a/sample/conf.yml"])), place(6))
+    plainly = F.element_at(F.array(F.concat(F.lit("src"), F.col("id") % 20), F.lit("src/app/login.py"), F.lit("deploy/latest/env"), F.lit("config/prod.yml"), F.lit(None).cast("string"), F.lit("")), place(6))
+    either = F.when(F.pmod(F.xxhash64("draw", F.lit(11)), F.lit(2)) == 0, guarded).otherwise(plainly)
+    figures = F.substr(F.regexp_replace(F.concat("hex", F.lit("4821")), "[a-f]", ""), F.lit(1), some(3, 5))
+    weak = [F.concat(name, mark, word(3), figures), F.concat(name, mark, word(3), F.lit("_"), word(4), figures)]
+    cases = [(c, left, 1, either) for c, left in secrets] + [(c, left, 0, either) for c, left in benign]
+    cases += [(c, text, y, where) for c in weak for y, where in ((1, plainly), (0, guarded))]
     pick = F.pmod(F.xxhash64("draw", F.lit(7)), F.lit(len(cases)))
     made = rows.select(
-        "id", F.element_at(F.array(*[F.struct(c.alias("candidate"), left.alias("left"), F.lit(y).alias("label")) for c, left, y in cases]), (pick + 1).cast("int")).alias("x"),
-        F.concat(F.lit(" "), word(8)).alias("right"), F.concat(F.lit("src"), F.col("id") % 20).alias("path"),
+        "id", F.element_at(F.array(*[F.struct(c.alias("candidate"), left.alias("left"), F.lit(y).alias("label"), where.alias("path")) for c, left, y, where in cases]), (pick + 1).cast("int")).alias("x"),
+        F.concat(F.lit(" "), word(8)).alias("right"),
     )
-    return made.select("id", "x.candidate", "x.left", "right", "path", "x.label")
+    return made.select("id", "x.candidate", "x.left", "right", "x.path", "x.label")
 
 
 def grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, depth: int = 0):
