@@ -34,6 +34,8 @@ PER_LANGUAGE = 500
 LANGUAGES = 200
 EPOCHS = 6
 UND = "und"
+#: The only label of a network without labelled rows: a text with a letter, in an unknown language.
+UND_LETTERS = "unknown"
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -226,6 +228,10 @@ def predict(docs: DataFrame, net: Network | None, text_col: str = "text", keep:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.0) -> DataFrame:
-    """The documents, all columns, whose language can be told: not ``und``, and a score of ``least`` or more."""
-    found = predict(docs, fit(docs))
+    """The documents, all columns, whose language can be told: not ``und``, and a score of ``least`` or more; those with a
+    letter if there is no labelled row to learn from. At ``least`` 0 the network rejects none."""
+    net = fit(docs)
+    if net is None:
+        net = train([("", UND_LETTERS)])
+    found = predict(docs, net)
     return found.where((F.col("__lang") != UND) & (F.col("__score") >= least)).drop("__lang", "__score")

@@ -308,6 +308,16 @@ def test_language_id(spark, documents):
     assert ids(language_id.keep_identified(docs)) == [4, 6, 7, 7, 8, 8, 9, 10, None]
 
 
+def test_documents_with_letters_stay_without_labels(spark, documents):
+    docs = documents(ODD)
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    held = docs.where(language_id.held_out("doc_id"))
+    assert ids(language_id.keep_identified(unlabelled)) == [4, 6, 7, 7, 8, 8, 9, 10, None]
+    assert language_id.fit(held) is None and held.count() > 0
+    assert ids(language_id.keep_identified(held)) == ids(held.where("doc_id in (4, 6, 7, 8, 9, 10)"))
+    assert language_id.keep_identified(unlabelled).columns == docs.columns
+
+
 def test_minhash_dedup(spark, documents):
     base = [f"k{j}" for j in range(60)]
     rows = [*ODD, (60, " ".join(base)), (61, " ".join(base).upper()), (62, " ".join([*base[:58], "z1", "z2"])), (63, "one two"), (64, "One  Two"), (65, "two one")]
