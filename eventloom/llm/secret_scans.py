@@ -35,13 +35,20 @@ KEYS = (
     r"|eyJ[A-Za-z0-9_-]{8}[A-Za-z0-9+/_=-]*+|AIza[A-Za-z0-9_-]{30,}+"
 )
 BLOCK = "[A-Z ]{0,40}PRIVATE KEY-----"
+#: A credential's name, alone or behind a prefix (DB_PASSWORD, dbPassword), and what comes before its value.
+ASSIGNED = (
+    rf"(?:(?<![A-Za-z0-9])|(?<=[a-z0-9])(?=[A-Z][a-z]))(?i:{NAMES}[\x22']?[ \t]{{0,4}}[:=][ \t]{{0,4}}[\x22']?)(?!-----BEGIN {BLOCK})"
+)
+#: Where a general run ends, as a finding of its own begins.
+STOP = rf"(?!{ASSIGNED}[^\s\x22'<>]{{6}}|(?<==)(?:{KEYS}))"
 #: What may be a secret. Repetitions run over a character class or are possessive, so no match recurses. A private key
 #: ends at the first END line; a BEGIN or END line of anything else before it leaves it unclosed.
 CANDIDATE = (
-    rf"(?i:(?<![a-z0-9]){NAMES}[\x22']?[ \t]{{0,4}}[:=][ \t]{{0,4}}[\x22']?(?!-----BEGIN {BLOCK})[^\s\x22'<>]{{6,}}+)"
+    rf"{ASSIGNED}[^\s\x22'<>]{{6,}}+"
     rf"|-----BEGIN {BLOCK}[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END {BLOCK}"
     rf"|(?<![A-Za-z0-9])(?:{KEYS})"
-    r"|(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+"
+    r"|(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[A-Za-z0-9+/_=-]{16})"
+    rf"(?=(?:{STOP}[A-Za-z+/_=-])*+{STOP}[0-9])(?:{STOP}[A-Za-z0-9+/_=-]){{16,}}+"
 )
 VALUE = rf"(?i)^{NAMES}[\x22']?[ \t]*[:=][ \t]*[\x22']?"
 PROVIDER = r"^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}$|^sk_(?:live|test)_[A-Za-z0-9]{16,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^eyJ[A-Za-z0-9_-]{8,}|^AIza[A-Za-z0-9_-]{30,}$|^-----BEGIN"
@@ -129,6 +136,16 @@ def labelled(spark: SparkSession, n: int = FINDINGS, seed: int = 1) -> DataFrame
     ]
     guarded = F.element_at(F.array(*map(F.lit, ["tests/unit/test_login.py", "src/app_test.go", "fixtures/users.json", "docs/setup.md", "examples/run.sh", "a/sample/conf.yml"])), place(6))
     plainly = F.element_at(F.array(F.concat(F.lit("src"), F.col("id") % 20), F.lit("src/app/login.py"), F.lit("deploy/latest/env"), F.lit("config/prod.yml"), F.lit(None).cast("string"), F.lit("")), place(6))
+    prefix = F.concat(text, F.element_at(F.array(*map(F.lit, ["DB_", "client_", "GITHUB_", "--aws-", "app2_", "my"])), place(6)))
+    secrets += [
+        (F.concat(name, F.lit("="), cut("hex", 10, 48)), prefix), (F.concat(name, F.lit("="), cut(alnum, 8, 40)), prefix),
+        (F.concat(name, F.lit("=ghp_"), F.substr(alnum, F.lit(1), F.lit(36))), prefix),
+        (F.concat(F.lit("AKIA"), F.substr(F.upper(alnum), F.lit(1), F.lit(16))), F.concat(text, F.lit("AWS_ACCESS_KEY_ID="))),
+    ]
+    benign += [
+        (F.concat(name, F.lit("="), word(3), F.lit("_"), word(4)), prefix), (F.concat(name, F.lit("=changeme123")), prefix),
+        (F.concat(name, F.lit("=${"), F.upper(word(3)), F.lit("_KEY}")), prefix),
+    ]
     either = F.when(F.pmod(F.xxhash64("draw", F.lit(11)), F.lit(2)) == 0, guarded).otherwise(plainly)
     figures = F.substr(F.regexp_replace(F.concat("hex", F.lit("4821")), "[a-f]", ""), F.lit(1), some(3, 5))
     weak = [F.concat(name, mark, word(3), figures), F.concat(name, mark, word(3), F.lit("_"), word(4), figures)]
