@@ -4,7 +4,7 @@ import json
 import os
 
 import pytest
-from conftest import POLLED, envelope, values_df
+from event_helpers import POLLED, envelope, values_df
 from test_streaming import land, page
 
 from eventloom.__main__ import main as cli

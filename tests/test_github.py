@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import by_rid, envelope, values_df
+from event_helpers import by_rid, envelope, values_df
 
 from eventloom.operators.normalize import normalize
 from eventloom.plans.contract import builtin_contracts

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import envelope
+from event_helpers import envelope
 
 from eventloom.__main__ import main as cli
 from eventloom.functions.time import to_millis_timestamp

@@ -1,7 +1,7 @@
 """The rule language (P1-P12): one table of rules, payloads and what each yields."""
 
 import pytest
-from conftest import POLLED, POLLED_MS, by_rid, envelope, values_df
+from event_helpers import POLLED, POLLED_MS, by_rid, envelope, values_df
 
 from eventloom.operators.normalize import normalize
 from eventloom.plans.contract import Contract, ContractError

@@ -4,7 +4,7 @@ import json
 import re
 
 import pytest
-from conftest import POLLED, POLLED_MS, by_rid, envelope, values_df
+from event_helpers import POLLED, POLLED_MS, by_rid, envelope, values_df
 from pyspark.sql import functions as F
 from test_language import BASE, HEAD
 

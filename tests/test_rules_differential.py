@@ -5,7 +5,7 @@ import json
 import random
 
 import yaml
-from conftest import envelope, values_df
+from event_helpers import envelope, values_df
 
 from eventloom.operators.normalize import normalize
 from eventloom.plans.contract import Contract

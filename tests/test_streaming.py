@@ -4,7 +4,7 @@ import json
 import os
 
 import pytest
-from conftest import POLLED, by_rid, envelope, values_df
+from event_helpers import POLLED, by_rid, envelope, values_df
 from test_language import BASE
 
 from eventloom.operators.normalize import normalize
