@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontamination, html_extraction, language_id, minhash_dedup, secret_scans, substring_dedup, topk, url_filters, warc
+from eventloom.llm import bpe, decontamination, html_extraction, language_id, minhash_dedup, secret_scans, substring_dedup, topk, url_filters, warc, whitening
 from eventloom.llm.common import scratch, table
 
 URL_RULES = [
@@ -164,6 +164,10 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_html_extraction": op2_html_extraction,
@@ -175,6 +179,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_language_id": op9_language_id,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op12_whitening": op12_whitening,
 }
 ORACLES = {
     "op1_url_filters": OP1_SQL,
