@@ -34,7 +34,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     so a lost executor costs a read and not a recomputation."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Removes a table made by ``written`` that nothing reads any more (what was made of it is written itself)."""
+    sc = df.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(df.scratch)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontamination, html_extraction, language_id, minhash_dedup, secret_scans, substring_dedup, topk, url_filters, warc, whitening
+from eventloom.llm import (
+    alignment, bpe, decontamination, html_extraction, language_id, minhash_dedup, secret_scans, signature_join,
+    substring_dedup, topk, url_filters, warc, whitening,
+)
 from eventloom.llm.common import scratch, table
 
 URL_RULES = [
@@ -133,11 +136,11 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.scan(table(spark, sf_dir, "documents"), secret_scans.train(spark))
 
 
-def tokenizer_path() -> str:
-    """The installed tokenizer file (a parameter of the operator)."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """An installed tokenizer file (a parameter of the operators)."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,10 +167,20 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.align_tokens(table(spark, sf_dir, "documents"), *paths)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = signature_join.similar_documents(table(spark, sf_dir, "documents"))
+    return found.select(F.col("__id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_html_extraction": op2_html_extraction,
@@ -179,7 +192,9 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_language_id": op9_language_id,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_alignment": op11_alignment,
     "op12_whitening": op12_whitening,
+    "op13_signature_join": op13_signature_join,
 }
 ORACLES = {
     "op1_url_filters": OP1_SQL,
