@@ -768,6 +768,43 @@ event_types: {}
     return out.selectExpr("rid AS event_id", "reason", ok.format("doubled", "doubled"), ok.format("lenient", "lenient"))
 
 
+@query("expression_totality", """
+SELECT event_id, CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0 THEN 'normalize_error' END AS reason,
+       CASE WHEN NOT (event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0) THEN CASE WHEN event_id % 5 <> 0 THEN strftime(ts, '%Y-%m-%d') END END AS day,
+       CASE WHEN NOT (event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0) THEN 'a b' || event_id END AS page,
+       CASE WHEN NOT (event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0) THEN CAST(event_id AS BIGINT) END AS number,
+       CASE WHEN NOT (event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0) THEN CASE WHEN event_id % 3 <> 0 THEN 't' || event_id END END AS second_tag,
+       CASE WHEN NOT (event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0) THEN CASE WHEN event_id % 7 = 0 THEN -1 ELSE event_id END END AS lenient,
+       CASE WHEN NOT (event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0) THEN 'bad' END AS kind
+FROM events
+""")
+def expression_totality(spark, sf):
+    """Expressions over bad texts: a time, a percent code, a number and a document that don't parse cost their row each;
+    an index that isn't there, and what the author handles, cost none."""
+    contracts = _contract("""
+common:
+  day: {expression: "date_format(try_to_timestamp(try_variant_get(payload, '$.when', 'string')), 'yyyy-MM-dd')"}
+  page: {expression: "try_url_decode(try_variant_get(payload, '$.page', 'string'))"}
+  number: {expression: "CAST(try_to_number(try_variant_get(payload, '$.number', 'string'), '999999999999') AS STRING)"}
+  second_tag: {expression: "get(split(try_variant_get(payload, '$.tags', 'string'), '[,;]'), 1)"}
+  lenient: {expression: "coalesce(try_to_number(try_variant_get(payload, '$.loose', 'string'), '999999999999'), -1)"}
+  kind: {expression: "regexp_extract(try_variant_get(try_parse_json(try_variant_get(payload, '$.inner', 'string')), '$.kind', 'string'), '^([a-z]+)', 1)"}
+event_types: {}
+""")
+    n = "CAST(event_id AS STRING)"
+    raw = _shop_raw(spark, sf, shop_event_json({
+        "when": "CASE WHEN event_id % 11 = 0 THEN 'soon' WHEN event_id % 5 <> 0 THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss') END",
+        "page": f"CASE WHEN event_id % 13 = 0 THEN '100%zz' ELSE concat('a%20b', {n}) END",
+        "number": f"CASE WHEN event_id % 17 = 0 THEN concat('x', {n}) ELSE {n} END",
+        "tags": f"CASE WHEN event_id % 3 = 0 THEN 'one' ELSE concat('one;t', {n}, ',three') END",
+        "loose": f"CASE WHEN event_id % 7 = 0 THEN 'none' ELSE {n} END",
+        "inner": "CASE WHEN event_id % 19 = 0 THEN '{' ELSE '{\"kind\": \"bad1\"}' END",
+    })).withColumnRenamed("event_id", "rid")
+    hints = {"number": "bigint", "lenient": "bigint"} | dict.fromkeys(("day", "page", "second_tag", "kind"), "string")
+    out = normalize(raw, contracts, keep=["rid"], output="wide", with_reason=True, type_hints=hints)
+    return out.selectExpr("rid AS event_id", "reason", *(f"CASE WHEN reason IS NULL THEN {c} END AS {c}" for c in ("day", "page", "number", "second_tag", "lenient", "kind")))
+
+
 #: Integers as JSON values in all spellings, with what the envelope reads (None: the row is rejected).
 INT_SPELLINGS: list[tuple[str, int | None]] = [
     ("'7'", 7), ("'+7'", 7), ("' 7 '", 7), ("'7.0'", 7), ("'7.000'", 7), ("'7_0'", 70), ("'-7_0.0 '", -70), ("'007'", 7), ("'-0.0'", 0),
