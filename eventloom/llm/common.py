@@ -29,11 +29,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Whether Spark removes the shuffle files of a query when it has ended (they stay until the driver collects garbage).
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     """``df`` written to the scratch area and read again: lineage ends there,
-    so a lost executor costs a read and not a recomputation."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    so a lost executor costs a read and not a recomputation. ``tidy``: the shuffle files go as soon as it is written."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP)
+    if tidy:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out

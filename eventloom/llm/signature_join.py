@@ -18,8 +18,9 @@ sets have fewer than p infrequent shingles there: small ones, and members of lar
 copies. A linked pair with only one deficient set still shares an infrequent one of the other's, and
 pairs of two deficient sets are found among these alone, with necessary shingles by rising frequency.
 
-A neighbourhood of at most ``FREQUENT`` nodes is one tree, its surviving pairs are confirmed on the
-full sets. Larger ones (of deficient sets only) first link every member to one hub. Where more than
+A neighbourhood of at most ``FREQUENT`` nodes falls into runs of sizes that can match; each run is one tree.
+Of the surviving pairs one for each node is confirmed on the full sets first; of the others then those
+between different components. Larger neighbourhoods (of deficient sets only) first link every member to one hub. Where more than
 one component is left, the members outside the largest are dealt into tiles, the others too, bounded
 by rows and by bytes; a tree of one tile meets a tree of the other, and pairs are confirmed on the
 spot, no more than join two components. Every step is written to the shared folder.
@@ -44,7 +45,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.llm import shingles
-from eventloom.llm.common import dropped, row_key, written
+from eventloom.llm.common import dropped, row_key
+from eventloom.llm.common import written as stored
 from eventloom.llm.minhash_dedup import components
 
 SHINGLE = 4
@@ -61,6 +63,11 @@ TILE, TILE_BYTES, PAIRS = 1024, 1 << 24, 1 << 14
 CUT = np.uint64(LOWER << 60)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Every table here is much smaller than the shuffles that make it: these go at once."""
+    return stored(df, name, tidy=True)
+
+
 def necessary(n: np.ndarray | int) -> np.ndarray | int:
     """How many shingles of a set of n must be looked at."""
     return n - -(-UNION_PER * n // COMMON_PER) + 1
@@ -189,14 +196,15 @@ def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def hashes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, n, set) -> a row (node, need, shingle) for each shingle."""
+    """(node, n, set) -> a row (node, n, need, shingle) for each shingle."""
     for batch in batches:
         for at in range(0, batch.num_rows, 200):
             some = batch.slice(at, 200)
             sets = [np.frombuffer(x.as_py(), dtype="<i8") for x in some.column(2)]
             n = some.column(1).to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(some.column(0).to_numpy(), n)), pa.array(np.repeat(necessary(n), n)), pa.array(np.concatenate(sets))], names=["node", "need", "shingle"]
+                [pa.array(np.repeat(x, n)) for x in (some.column(0).to_numpy(), n, necessary(n))] + [pa.array(np.concatenate(sets))],
+                names=["node", "n", "need", "shingle"],
             )
 
 
@@ -287,28 +295,28 @@ def meet(table: pa.Table) -> pa.Table:
 
 
 def infrequent(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Necessary shingles (shingle, node) among the infrequent of the lower hash space, and the deficient nodes."""
+    """Necessary shingles (shingle, node, n) among the infrequent of the lower hash space, and the deficient nodes."""
     need = (F.col("n") - F.ceil(F.col("n") * UNION_PER / COMMON_PER) + 1).cast("int")
-    narrow = nodes.select("node", "__id", "__h", need.alias("need"), F.size("lower").alias("size"))
+    narrow = nodes.select("node", "__id", "__h", "n", need.alias("need"), F.size("lower").alias("size"))
     rows = nodes.select("node", F.posexplode("lower").alias("at", "shingle"))
     counts = rows.groupBy("shingle").count().where("count > 1").select("shingle", (F.col("count") > FREQUENT).alias("frequent"))
     shared = written(rows.join(counts, "shingle"), "shared")
     before = Window.partitionBy("node").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = shared.withColumn("frequent_before", F.sum(F.col("frequent").cast("int")).over(before))
-    kept = placed.where(~F.col("frequent")).join(narrow.select("node", "need"), "node")
-    kept = kept.where(F.col("at") - F.col("frequent_before") < F.col("need")).select("shingle", "node")
+    kept = placed.where(~F.col("frequent")).join(narrow.select("node", "n", "need"), "node")
+    kept = kept.where(F.col("at") - F.col("frequent_before") < F.col("need")).select("shingle", "node", "n")
     lost = shared.where("frequent").groupBy("node").agg(F.count("*").alias("lost"))
     deficient = narrow.join(lost, "node", "left").where(F.col("size") - F.coalesce("lost", F.lit(0)) < F.col("need"))
     return kept, deficient.select("node", "__id", "__h")
 
 
 def by_frequency(sets: DataFrame) -> DataFrame:
-    """Necessary shingles (shingle, node) of whole sets, the rarest first."""
-    rows = sets.mapInArrow(hashes_of, "node long, need long, shingle long")
+    """Necessary shingles (shingle, node, n) of whole sets, the rarest first."""
+    rows = sets.mapInArrow(hashes_of, "node long, n long, need long, shingle long")
     counts = rows.groupBy("shingle").count()
     order = Window.partitionBy("node").orderBy("count", "shingle")
     placed = rows.join(counts, "shingle").withColumn("place", F.row_number().over(order))
-    return placed.where((F.col("place") <= F.col("need")) & (F.col("count") > 1)).select("shingle", "node")
+    return placed.where((F.col("place") <= F.col("need")) & (F.col("count") > 1)).select("shingle", "node", "n")
 
 
 def texts_of(documents: DataFrame, asked: DataFrame) -> DataFrame:
@@ -341,33 +349,45 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     )
     rows = written(sketched.select("__id", "__h", "n", "node"), "rows")
     dropped(sketched)
+    names = written(nodes.select("node", "__id", "__h", "n"), "names")
     kept, deficient = infrequent(nodes)
     sets = written(texts_of(keyed, written(deficient, "deficient")).mapInArrow(whole_sets, "node long, n long, set binary"), "sets")
-    places = written(
-        kept.select("shingle", "node", F.lit(False).alias("deficient")).unionByName(by_frequency(sets).select("shingle", "node", F.lit(True).alias("deficient"))), "places",
-    )
-    sizes = written(places.groupBy("shingle", "deficient").agg(F.count("*").alias("members"), F.min("node").alias("hub")).where("members > 1"), "sizes")
-    members = places.join(sizes, ["shingle", "deficient"])
-    small = members.where(F.col("members") <= FREQUENT).groupBy("shingle", "deficient").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
-    same = small.select("nodes").distinct().select(F.xxhash64("nodes").alias("place"), F.explode("nodes").alias("node"))
-    grown = same.join(nodes.select("node", "n", "bits"), "node").groupBy("place").agg(F.collect_list(F.struct("node", "n", "bits")).alias("m"))
-    pairs = grown.select("m.node", "m.n", "m.bits").mapInArrow(tree_pairs, "a long, b long")
-    large = written(members.where(F.col("members") > FREQUENT).select("shingle", "node", "hub"), "large")
-    stars = large.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-    size = nodes.select("node", "n")
-    near = COMMON_PER * F.least("n", "m") >= UNION_PER * F.greatest("n", "m")
-    stars = stars.join(size.withColumnRenamed("node", "a"), "a").join(size.toDF("b", "m"), "b").where(near).select("a", "b")
-    links = confirmed(written(pairs.union(stars).distinct(), "candidates"), keyed, nodes)
-    links = links.unionByName(between(large, components(links), sets))
+    places = written(kept.withColumn("deficient", F.lit(False)).unionByName(by_frequency(sets).withColumn("deficient", F.lit(True))), "places")
+    place = ["shingle", "deficient"]
+    sizes = written(places.groupBy(*place).agg(F.count("*").alias("members"), F.min("node").alias("hub")).where("members > 1"), "sizes")
+    members = places.join(sizes, place)
+    pairs = written(trees(members.where(F.col("members") <= FREQUENT), nodes, place).distinct(), "pairs")
+    dropped(nodes)
+    large = written(members.where(F.col("members") > FREQUENT).select("shingle", "node", "n", "hub"), "large")
+    stars = large.where("node <> hub").join(names.select(F.col("node").alias("hub"), F.col("n").alias("m")), "hub")
+    stars = stars.where(COMMON_PER * F.least("n", "m") >= UNION_PER * F.greatest("n", "m")).select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+    first = written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(stars).distinct(), "first")
+    links = confirmed(first, keyed, names)
     labels = components(links)
-    least = labels.join(nodes.select("node", "__id"), "node").groupBy("label").agg(F.min("__id").alias("component"))
+    side = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
+    known = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
+    left = written(known.select("a", "b").join(first, ["a", "b"], "left_anti"), "left")
+    links = links.unionByName(confirmed(left, keyed, names)).unionByName(between(large, labels, sets))
+    labels = components(links)
+    least = labels.join(names.select("node", "__id"), "node").groupBy("label").agg(F.min("__id").alias("component"))
     named = written(labels.join(least, "label").select("node", "component"), "named")
-    own = nodes.select("node", F.col("__id").alias("own")).join(named, "node", "left")
+    own = names.select("node", F.col("__id").alias("own")).join(named, "node", "left")
     return rows.select("__id", "__h", "n", "node").join(own, "node", "left").select(
         "__id", "__h", "n", F.coalesce("component", "own", "__id").alias("component")
     )
 
 
+def trees(members: DataFrame, nodes: DataFrame, place: list[str]) -> DataFrame:
+    """Candidate pairs (a, b) of small neighbourhoods (*place, node, n): a tree for each run of sizes that can match."""
+    by_size = Window.partitionBy(*place).orderBy("n", "node")
+    gap = COMMON_PER * F.lag("n").over(by_size) < UNION_PER * F.col("n")
+    runs = members.withColumn("gap", F.coalesce(gap, F.lit(False)).cast("int")).withColumn("run", F.sum("gap").over(by_size))
+    lists = runs.groupBy(*place, "run").agg(F.sort_array(F.collect_list("node")).alias("nodes")).where(F.size("nodes") > 1)
+    same = written(lists.select("nodes").distinct().select(F.xxhash64("nodes").alias("place"), F.explode("nodes").alias("node")), "runs")
+    grown = same.join(nodes.select("node", "n", "bits"), "node").groupBy("place").agg(F.collect_list(F.struct("node", "n", "bits")).alias("m"))
+    return grown.select("m.node", "m.n", "m.bits").mapInArrow(tree_pairs, "a long, b long")
+
+
 def between(large: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between components that meet in a large neighbourhood."""
     known = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
