@@ -14,11 +14,11 @@ local cosine threshold t:
   by length, are its first rows (length pruning inside the bucket).
 
 What is left is verified by the exact integer product. Products are computed in 64-bit
-floats while they can't pass 2^53, else in 64-bit integers.
+floats while they can't pass 2^53, in 64-bit integers while they fit, else in integers without bound.
 
-Defined cases: vectors that are null, empty or hold null or non-finite components, or
-components that don't fit 31 bits when scaled, take no part; only vectors of equal
-dimension meet; an id that repeats with several vectors asks with the smallest; a row with a null id is a candidate that never wins a tie by id and is
+Defined cases: vectors that are null, empty or hold null or non-finite components take no part; a
+component that doesn't fit 64 bits when scaled is an error, and so is one of a query's k best scores that
+doesn't; only vectors of equal dimension meet; an id that repeats with several vectors asks with the smallest; a row with a null id is a candidate that never wins a tie by id and is
 no query; rows with the query's own id are not its candidates; repeated rows are
 candidates each; fewer than k candidates give fewer rows.
 """
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.common import written
 
-#: Components of a chunk (at 64 dimensions: 8192 vectors, 2 MB) and queries of a block.
+#: Components of a chunk (at 64 dimensions: 8192 vectors, 4 MB) and queries of a block.
 CHUNK = 2**19
 QUERY_BLOCK = 8192
 COORDINATE = 0.8
@@ -44,11 +44,10 @@ SCHEMA = "dim int, n int, longest double, ids binary, vectors binary"
 def integers(embedding: Column) -> Column:
     """floor(256 * x) of every component, null if the vector takes no part."""
     scaled = F.transform(embedding, lambda x: F.floor(x.cast("double") * 256))
-    bad = F.exists(
-        embedding,
-        lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double") * 256) >= F.lit(float(2**31 - 1))),
-    )
-    return F.when(F.coalesce(bad, F.lit(True)) | (F.size(embedding) == 0), F.lit(None)).otherwise(scaled).cast("array<int>")
+    bad = F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
+    large = F.exists(embedding, lambda x: F.abs(x.cast("double") * 256) >= float(2**63))
+    error = F.raise_error(F.lit("a component does not fit 64 bits when scaled")).cast("array<long>")
+    return F.when(F.coalesce(bad, F.lit(True)) | (F.size(embedding) == 0), F.lit(None)).when(large, error).otherwise(scaled).cast("array<long>")
 
 
 def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,7 +56,7 @@ def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def chunk() -> pd.DataFrame:
         ids = np.array([i for i, _ in held], dtype="<i8")
-        m = np.stack([v for _, v in held]).astype("<i4")
+        m = np.stack([v for _, v in held]).astype("<i8")
         longest = float(np.sqrt((m.astype(np.float64) ** 2).sum(axis=1).max()))
         return pd.DataFrame([(m.shape[1], len(held), longest, ids.tobytes(), m.tobytes())], columns=["dim", "n", "longest", "ids", "vectors"])
 
@@ -72,11 +71,13 @@ def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def unpack(row) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row.ids, "<i8"), np.frombuffer(row.vectors, "<i4").reshape(row.n, row.dim)
+    return np.frombuffer(row.ids, "<i8"), np.frombuffer(row.vectors, "<i8").reshape(row.n, row.dim)
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k best: higher score, then smaller id."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], ids[i]))[:k], dtype=int)
     if len(scores) > 4 * k:
         least = np.partition(scores, len(scores) - k)[len(scores) - k]
         at = np.flatnonzero(scores >= least)
@@ -84,8 +85,10 @@ def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def search(q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int, tally=None):
-    """Chunks -> (query_id, vec_id, score): each chunk's k best for a query that may reach ``floor``."""
+def search(q_ids: np.ndarray, q: np.ndarray, least: list[int | None], k: int):
+    """Chunks -> (query_id, vec_id, score): each chunk's k best for a query that may reach ``least``, the score that its
+    k best don't fall below (None: not known)."""
+    floor = np.array([-np.inf if x is None else float(x) for x in least])
     q_len = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))
     focus = np.abs(q).argmax(axis=1) if len(q) else np.zeros(0, int)
 
@@ -96,8 +99,8 @@ def search(q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int, tally=No
                 if m.shape[1] != q.shape[1]:
                     continue
                 lengths = np.sqrt((m.astype(np.float64) ** 2).sum(axis=1))
-                exact = float(np.abs(q).max()) * float(np.abs(m).max()) * m.shape[1] < 2**52
-                kind = np.float64 if exact else np.int64
+                most = int(np.abs(q).max()) * int(np.abs(m).max()) * m.shape[1]
+                kind = np.float64 if most < 2**52 else np.int64 if most < 2**63 else object
                 mk, qk = m.astype(kind), q.astype(kind)
                 unit = m / np.maximum(lengths, 1e-300)[:, None]
                 out_q, out_v, out_s = [], [], []
@@ -116,13 +119,18 @@ def search(q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int, tally=No
                     some, names = (mk, ids) if at is None else (mk[at], ids[at])
                     scores = some @ qk[j]
                     keep = names != q_ids[j]
-                    if floor[j] > -np.inf:
-                        keep &= scores >= floor[j]
+                    if least[j] is not None:
+                        keep &= scores >= least[j]
                     scores, names = scores[keep], names[keep]
                     best = best_of(scores, names, k)
+                    scores = scores[best]
+                    if kind is object:
+                        if any(x >= 2**63 for x in scores):
+                            raise OverflowError("a score does not fit 64 bits")
+                        scores = np.array([max(x, BELOW) for x in scores], dtype=object)
                     out_q += [q_ids[j]] * len(best)
                     out_v += names[best].tolist()
-                    out_s += scores[best].astype(np.int64).tolist()
+                    out_s += scores.astype(np.int64).tolist()
                 if out_q:
                     yield pd.DataFrame({"query_id": out_q, "vec_id": out_v, "score": out_s})
 
@@ -130,6 +138,8 @@ def search(q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int, tally=No
 
 
 NO_ID = 2**63 - 1
+#: A score this low or lower doesn't fit, which is an error if it is among a query's best.
+BELOW = -(2**63)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -161,25 +171,26 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
                 continue
             q_ids = np.array([r["id"] for r in block], dtype=np.int64)
             q = np.array([r["v"] for r in block], dtype=np.int64)
-            open_floor = np.full(len(q), -np.inf)
             first = mine.where(F.col("longest") >= min(top)).mapInPandas(
-                search(q_ids, q, open_floor, k), "query_id long, vec_id long, score long"
+                search(q_ids, q, [None] * len(q), k), "query_id long, vec_id long, score long"
             )
             known = {
                 r["query_id"]: r["s"]
                 for r in first.groupBy("query_id").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s")).collect()
             }
-            floor = np.array([s[k - 1] if len(s := known.get(int(i), [])) >= k else -np.inf for i in q_ids], dtype=np.float64)
-            parts.append(written(mine.mapInPandas(search(q_ids, q, floor, k), "query_id long, vec_id long, score long"), "scores"))
+            least = [s[k - 1] if len(s := known.get(int(i), [])) >= k and s[k - 1] > BELOW else None for i in q_ids]
+            parts.append(written(mine.mapInPandas(search(q_ids, q, least, k), "query_id long, vec_id long, score long"), "scores"))
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
     # at most k rows per (query, chunk) come here; each query keeps its k best of them
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("neg"), "vec_id"))), 1, k)
+    best = F.slice(F.array_sort(F.collect_list(F.struct(F.bitwise_not("score").alias("falling"), "vec_id"))), 1, k)
     ranked = found.groupBy("query_id").agg(best.alias("best")).select("query_id", F.posexplode("best").alias("at", "b"))
+    score = F.bitwise_not("b.falling")
+    error = F.raise_error(F.lit("a score does not fit 64 bits")).cast("long")
     return ranked.select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"),
-        F.when(F.col("b.vec_id") != NO_ID, F.col("b.vec_id")).alias("vec_id"), (-F.col("b.neg")).alias("score"),
+        F.when(F.col("b.vec_id") != NO_ID, F.col("b.vec_id")).alias("vec_id"), F.when(score == BELOW, error).otherwise(score).alias("score"),
     )
