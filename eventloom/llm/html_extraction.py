@@ -6,9 +6,14 @@ breaks), each with features of its ancestors (tags, roles, classes and ids) and
 in numpy on labelled pages (``labelled_pages``: page layouts of many kinds, each block with its
 label) and decoded by Viterbi. The weights are a few hundred numbers and go along with the task.
 
+Left out before the field decides is only what is never text: comments, scripts and styles (up to their
+end tag or the page's end), titles and the inside of form controls (up to their end tag or the next block).
+Formulas, drawings and the fallback text of objects, frames and scripts are text like any other.
+
 Defined cases: a null page is the empty one and has no text; unclosed, misnested and
 truncated markup ends where the next block or the page does; an unknown or cut character
-reference stays as it is; pages of any length are read whole; repeated rows and null ids are
+reference stays as it is; white space is what Unicode calls so (no-break and ideographic spaces too), and
+becomes one plain space; pages of any length are read whole; repeated rows and null ids are
 rows like any other; other columns are not read.
 """
 
@@ -18,6 +23,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +38,21 @@ MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</\s*([a-zA-Z][^\s>/]
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-label)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 TOKEN = re.compile(r"[a-z]+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg iframe object math canvas select".split())
+#: Elements whose inside is no text, and those of them that an open block ends.
+RAW = frozenset("script style title textarea select".split())
+CUT = frozenset("title textarea select".split())
+#: Elements with names of their own inside, none of them a block, and the HTML elements that end such a one.
+FOREIGN = frozenset("svg math".split())
+ENDS_FOREIGN = frozenset(
+    "article aside blockquote body dd div dl dt footer form h1 h2 h3 h4 h5 h6 head header hr li main nav ol p pre section table tr td th ul".split()
+)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup "
-    "time tt u var wbr img input button br center nobr output picture meter progress".split()
+    "time tt u var wbr img input button br center nobr output picture meter progress svg math object canvas iframe noscript template".split()
 )
+RAW_END = {
+    tag: re.compile(f"</{tag}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)" + (f"|<(?:{'|'.join(sorted(ENDS_FOREIGN))})(?=[\\s/>])" if tag in CUT else ""), re.I) for tag in RAW
+}
 #: Start tags that end an open element of the kinds listed (up to a border element).
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BORDERS = frozenset("ul ol dl table body html article section main div nav aside header footer form".split())
@@ -62,6 +78,11 @@ class Block:
     features: list[str]
 
 
+def inline(tag: str) -> bool:
+    """``~`` marks elements inside a foreign one."""
+    return tag in INLINE or tag[0] == "~"
+
+
 def blocks_of(page: str) -> list[Block]:
     """The leaf blocks of a page, in page order."""
     open_tags: list[tuple[str, tuple[str, ...]]] = []
@@ -69,6 +90,7 @@ def blocks_of(page: str) -> list[Block]:
     raw: list[tuple[str, int, list]] = []  # text, characters in links, ancestors
     links = 0
     linked = 0
+    drawings = False  # a formula or drawing has begun on this page
 
     def flush() -> None:
         nonlocal linked
@@ -82,10 +104,14 @@ def blocks_of(page: str) -> list[Block]:
     def close(at: int) -> None:
         nonlocal links
         links -= sum(t == "a" for t, _ in open_tags[at:])
-        if any(t not in INLINE for t, _ in open_tags[at:]):
+        if not all(inline(t) for t, _ in open_tags[at:]):
             flush()
         del open_tags[at:]
 
+    def foreign() -> int | None:
+        """Place of the open formula or drawing that the next tag lies in."""
+        return next((k for k in range(len(open_tags) - 1, -1, -1) if open_tags[k][0] in FOREIGN), None) if drawings else None
+
     def say(text: str) -> None:
         nonlocal linked
         if text:
@@ -105,23 +131,34 @@ def blocks_of(page: str) -> list[Block]:
         if m[1]:
             tag = m[1].lower()
             for k in range(len(open_tags) - 1, -1, -1):
-                if open_tags[k][0] == tag:
+                if open_tags[k][0] in (tag, "~" + tag):
                     close(k)
                     break
-                if tag in INLINE and open_tags[k][0] not in INLINE:
+                if tag in INLINE and not inline(open_tags[k][0]):
                     break
             else:
-                if tag not in INLINE:
+                if tag not in INLINE and foreign() is None:
                     flush()
         elif m[2]:
             tag = m[2].lower()
             if tag in RAW:
                 if not m[0].endswith("/>"):
-                    end = re.compile(f"</{re.escape(tag)}[^>]*(?:>|\\Z)", re.I).search(page, at)
-                    at = end.end() if end else len(page)
-                if tag in ("svg", "select", "textarea", "iframe"):
+                    end = RAW_END[tag].search(page, at)
+                    at = len(page) if end is None else end.end() if end[0][1] == "/" else end.start()
+                if tag in ("select", "textarea"):
                     pieces.append(" ")
                 continue
+            inside = foreign()
+            if inside is not None:
+                if tag not in ENDS_FOREIGN:
+                    if not m[0].endswith("/>"):
+                        open_tags.append(("~" + tag, ()))
+                    continue
+                close(inside)
+            if tag in FOREIGN:
+                drawings = True
+                if m[0].endswith("/>"):
+                    continue
             if tag == "br":
                 pieces.append(" ")
                 continue
@@ -160,9 +197,9 @@ def describe(text: str, linked: int, ancestors: list, k: int, n: int) -> list[st
     out = ["bias", "place=" + ("first" if k == 0 else "last" if k == n - 1 else "inside")]
     own, inner = "none", set()
     for tag, said in ancestors:
-        if tag not in ("html", "body", "b", "i", "em", "strong", "span"):
+        if tag not in ("html", "body", "b", "i", "em", "strong", "span") and tag[0] != "~":
             inner.add("in=" + tag)
-        if tag not in INLINE:
+        if not inline(tag):
             own = tag
         inner.update("clue=" + c for c in said)
     # the nearest clue speaks for the block more than those around it
@@ -262,7 +299,7 @@ def labelled_pages(n: int = PAGES, seed: int = 5) -> list[tuple[str, list[int]]]
         return " ".join("".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(rng.integers(least, most + 1)))
 
     def sentence(least: int = 5, most: int = 40) -> str:
-        return words(least, most).capitalize() + rng.choice([".", ".", ".", "!", "?", ""], p=[0.5, 0.2, 0.15, 0.05, 0.05, 0.05])
+        return words(least, most).capitalize() + rng.choice([".", ".", ".", "!", "?", ""], p=[0.45, 0.2, 0.1, 0.05, 0.05, 0.15])
 
     def some(*options):
         return options[rng.integers(len(options))]
@@ -307,25 +344,34 @@ def labelled_pages(n: int = PAGES, seed: int = 5) -> list[tuple[str, list[int]]]
             markup.append(text)
             labels.extend([0] * k)
 
-        for kind in ("head", "menu", "notice", "advert", "side", "form"):
+        alone = rng.random() < 0.15  # an article of one block, on half of these pages with nothing around it
+        bare = alone and rng.random() < 0.5
+        for kind in () if bare else ("head", "menu", "notice", "advert", "side", "form"):
             if rng.random() < (0.75 if kind == "menu" else 0.4):
                 add(kind)
         begin, end = some(
             ("<article>", "</article>"), ("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"), ('<div class="content">', "</div>"),
             ('<div id="content"><div class="post">', "</div></div>"), ('<section class="entry-content">', "</section>"), ('<article class="post">', "</article>"),
-            ("<article><section>", "</section></article>"), ("<div>", "</div>"),
+            ("<article><section>", "</section></article>"), ("<div>", "</div>"), ("", ""),
         )
         markup.append(begin)
-        if rng.random() < 0.8:
+        if not alone and rng.random() < 0.8:
             title = f"<h1>{words(2, 12)}</h1>"
             markup.append(f"<header>{title}</header>" if "article" in begin and rng.random() < 0.2 else title)
             labels.append(1)
         closed = rng.random() < 0.8
-        for _ in range(rng.integers(1, 14)):
+        for _ in range(1 if alone else rng.integers(1, 14)):
             draw = rng.random()
-            if draw < 0.06:
+            if alone:
+                tag = some("<p>{}</p>", "<p>{}</p>", "{}", "<div>{}</div>")
+                markup.append(tag.format(some(sentence(3, 60), words(3, 30), words(2, 12))))
+            elif draw < 0.02:
+                markup.append(f"<p>{words(2, 20)} <math><mi>{words(1, 1)}</mi><mo>=</mo><mn>2</mn></math> {sentence()}</p>")
+            elif draw < 0.04:
+                markup.append(some("<noscript><p>{}</p></noscript>", "<object><p>{}</p></object>", "<p><object>{}</object></p>", "<canvas><p>{}</p></canvas>").format(sentence(5, 40)))
+            elif draw < 0.09:
                 markup.append(f"<h2>{words(1, 6)}</h2>")
-            elif draw < 0.1:
+            elif draw < 0.11:
                 markup.append(f"<blockquote>{sentence()}</blockquote>")
             elif draw < 0.14:
                 markup.append(f"<ul><li>{sentence(2, 20)}</li><li>{sentence(1, 6)}</li></ul>")
@@ -344,12 +390,12 @@ def labelled_pages(n: int = PAGES, seed: int = 5) -> list[tuple[str, list[int]]]
             else:
                 markup.append(f"<p><b>{sentence(5, 90)}<br>")
             labels.append(1)
-            if rng.random() < 0.06:
+            if not alone and rng.random() < 0.06:
                 add(some("advert", "share", "notice", "side", "form"))
-        if rng.random() < 0.1:
+        if not alone and rng.random() < 0.1:
             add(some("share", "comments", "form"))
         markup.append(end)
-        for kind in ("share", "comments", "side", "form", "advert", "notice", "foot"):
+        for kind in () if bare else ("share", "comments", "side", "form", "advert", "notice", "foot"):
             if rng.random() < (0.7 if kind == "foot" else 0.35):
                 add(kind)
         body = "".join(markup)
@@ -359,7 +405,13 @@ def labelled_pages(n: int = PAGES, seed: int = 5) -> list[tuple[str, list[int]]]
 
 
 def fit(pages: list[tuple[str, list[int]]] | None = None) -> Field:
-    return train([(blocks_of(p), labels) for p, labels in pages or labelled_pages()])
+    return train([(blocks_of(p), labels) for p, labels in pages]) if pages else own_field()
+
+
+@lru_cache(maxsize=1)
+def own_field() -> Field:
+    """The field of ``labelled_pages``, trained once in a process."""
+    return train([(blocks_of(p), labels) for p, labels in labelled_pages()])
 
 
 def main_text(field: Field, page: str | None) -> str:
