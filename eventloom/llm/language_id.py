@@ -227,11 +227,12 @@ def predict(docs: DataFrame, net: Network | None, text_col: str = "text", keep:
     return docs.mapInArrow(predictor(net, text_col, keep), T.StructType(fields))
 
 
-def keep_identified(docs: DataFrame, least: float = 0.0) -> DataFrame:
-    """The documents, all columns, whose language can be told: not ``und``, and a score of ``least`` or more; those with a
-    letter if there is no labelled row to learn from. At ``least`` 0 the network rejects none."""
-    net = fit(docs)
-    if net is None:
-        net = train([("", UND_LETTERS)])
-    found = predict(docs, net)
-    return found.where((F.col("__lang") != UND) & (F.col("__score") >= least)).drop("__lang", "__score")
+def keep_identified(docs: DataFrame, least: float = 0.0, lang_col: str = "lang") -> DataFrame:
+    """The documents, all columns, whose language can be told: those with a letter, and a score of ``least`` or more (at 0
+    the network rejects none). A null ``lang`` becomes the predicted language; without any labelled row it stays null. What a
+    label is called plays no part: ``und`` may be one."""
+    net = fit(docs, lang_col=lang_col)
+    found = predict(docs, net or train([("", UND_LETTERS)]))
+    told = F.coalesce(lang_col, "__lang") if net else F.col(lang_col)
+    kept = found.where((F.col("__score") > 0) & (F.col("__score") >= least))  # 0 marks a text without a letter
+    return kept.withColumn(lang_col, told).select(docs.columns)
