@@ -10,8 +10,8 @@ Every bucket sends one edge from each member to its hub: as many candidate pairs
 however large a group of copies is. Candidates are confirmed on their full sets. A star may lack
 a link between two members that both differ from the hub. So, after the stars' components are
 known, buckets with more than one component are settled exactly: each member outside a bucket's
-largest component meets the members of other components there, in blocks of at most ``BLOCK`` by
-``BLOCK`` members a task, each pair only in the first bucket that it shares. No pair inside a known
+largest component meets the members of other components there, in blocks of about ``BLOCK`` by
+``BLOCK`` members, or ``BLOCK_BYTES`` of text a side, a task, each pair only in the first bucket that it shares. No pair inside a known
 component and no pair of copies is looked at. Components then come from rounds of least labels with
 pointer jumping; every round is written to the shared folder.
 
@@ -38,7 +38,7 @@ from eventloom.llm.common import row_key, same_key, written
 
 SHINGLE = 5
 ROWS, BANDS = 6, 64
-BLOCK = 512
+BLOCK, BLOCK_BYTES = 512, 1 << 24
 BINS = ROWS * BANDS
 #: For each try the bin that an empty bin asks.
 DONORS = np.random.default_rng(11).integers(0, BINS, (64, BINS))
@@ -181,7 +181,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     pairs = written(members.where(near_size & (F.col("node") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     asked = members.select("node").distinct().join(nodes.select("node", "__id", "__h"), "node")
     found = keyed.join(asked.withColumnsRenamed({"__id": "i", "__h": "h"}), (F.col("__h") == F.col("h")) & F.col("__id").eqNullSafe(F.col("i")))
-    texts = written(found.select("node", "text").dropDuplicates(["node"]), "texts")
+    texts = written(found.select("node", "text", F.octet_length("text").alias("bytes")).dropDuplicates(["node"]), "texts")
     side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
     stars = written(pairs.join(side("b"), "b").join(side("a"), "a").select("a", "text_a", "b", "text_b").mapInArrow(confirm, "a long, b long"), "links")
     labels = components(stars)
@@ -199,13 +199,17 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
 def rest(members: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
     """Links that the stars don't show: between components that share a bucket."""
-    placed = written(members.where("size > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
-    by_label = placed.groupBy("band", "bucket", "label").agg(F.count("*").alias("k"))
-    open_buckets = by_label.groupBy("band", "bucket").agg(F.max(F.struct("k", "label")).alias("most"), F.sum("k").alias("all"), F.count("*").alias("labels")).where("labels > 1")
+    named = members.where("size > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    placed = written(named.join(texts.select("node", "bytes"), "node"), "labelled")
+    by_label = placed.groupBy("band", "bucket", "label").agg(F.count("*").alias("k"), F.sum("bytes").alias("bytes"))
+    open_buckets = by_label.groupBy("band", "bucket").agg(
+        F.max(F.struct("k", "label", "bytes")).alias("most"), F.sum("k").alias("all"), F.sum("bytes").alias("bytes"), F.count("*").alias("labels")
+    ).where("labels > 1")
+    blocks = lambda rows, size: F.greatest(F.ceil(rows / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("int")
     open_buckets = written(
         open_buckets.select(
-            "band", "bucket", F.col("most.label").alias("main"), F.ceil(F.col("all") / BLOCK).cast("int").alias("wide"),
-            F.ceil((F.col("all") - F.col("most.k")) / BLOCK).cast("int").alias("high"),
+            "band", "bucket", F.col("most.label").alias("main"), blocks(F.col("all"), F.col("bytes")).alias("wide"),
+            blocks(F.col("all") - F.col("most.k"), F.col("bytes") - F.col("most.bytes")).alias("high"),
         ), "open",
     )
     rows = placed.select("band", "bucket", "node", "label", "hub").join(open_buckets, ["band", "bucket"])
@@ -213,17 +217,21 @@ def rest(members: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFra
     deal = lambda n: F.array(F.pmod(F.xxhash64("node"), F.col(n)).cast("int"))
     inside = rows.select("*", F.lit(False).alias("outside"), F.explode(deal("wide")).alias("x")).select("*", F.explode(every("high")).alias("y"))
     outside = rows.where("label <> main").select("*", F.lit(True).alias("outside"), F.explode(every("wide")).alias("x")).select("*", F.explode(deal("high")).alias("y"))
-    full = inside.unionByName(outside).join(nodes.select("node", "bands"), "node").join(texts, "node")
+    full = inside.unionByName(outside).join(nodes.select("node", "bands"), "node").join(texts.select("node", "text"), "node")
     full = full.select("band", "bucket", "x", "y", "outside", "node", "label", "main", "hub", "bands", "text")
     return written(full.groupBy("band", "bucket", "x", "y").applyInArrow(settle, "a long, b long"), "links")
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """The documents, all columns: of each component the one with the least id, and all without words."""
+    """The documents, all columns: of each component the one with the least id, and all without words. Of rows that are equal
+    in id and text one stays, the same one in every run: that with the least hash of all its columns."""
     found = near_duplicates(documents)
     first = found.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__h")).alias("r"))
     stay = first.select("r.__id", "r.__h").union(found.where(F.col("group").isNull()).select("__id", "__h")).distinct()
-    stay = written(stay, "kept")
+    rows = found.groupBy("__id", "__h").agg(F.count("*").alias("rows"))
+    stay = written(stay.join(rows, same_key(stay, rows)).select(stay["__id"].alias("__i"), stay["__h"].alias("__k"), "rows"), "kept")
     keyed = documents.withColumns({"__id": F.col("doc_id"), "__h": F.xxhash64("doc_id", "text")})
-    kept = keyed.join(stay, same_key(keyed, stay), "left_semi")
-    return kept.dropDuplicates(["__id", "__h"]).drop("__id", "__h")
+    kept = keyed.join(stay, (F.col("__h") == F.col("__k")) & F.col("__id").eqNullSafe(F.col("__i")))
+    whole = F.struct(*documents.columns)
+    twice = kept.where("rows > 1").groupBy("__id", "__h").agg(F.min_by(whole, F.xxhash64(*documents.columns)).alias("row"))
+    return kept.where("rows = 1").select(documents.columns).unionByName(twice.select("row.*"))
