@@ -252,7 +252,8 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     first = F.shiftright("place", 32).cast("int")
     whole = shared.where(~F.col("differ")).select("__id", "__h", F.array(first, F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")).alias("runs"))
     moved = shared.where("differ").join(runs, ["anchor", "digest"]).select("__id", "__h", F.transform("runs", lambda x: x + first).alias("runs"))
-    gone = whole.unionByName(moved).groupBy("__id", "__h").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    # a row that repeats a million times has one set of runs, merged on the map side
+    gone = whole.unionByName(moved).groupBy("__id", "__h").agg(F.flatten(F.collect_set("runs")).alias("runs"))
     gone = gone.withColumnsRenamed({"__id": "i", "__h": "h"})
     marked = docs.join(gone, (F.col("__h") == F.col("h")) & F.col("__id").eqNullSafe(F.col("i")), "left").select("__id", "text", "runs")
     schema = T.StructType([keys[0], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
