@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventloom.llm.common import written
+
 PIECE = 1 << 16
 LEAF = 1 << 12
 WORDS = 200_000
@@ -279,12 +281,13 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", keep: l
     rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text"), F.monotonically_increasing_id().alias("__row"))
     is_long = F.char_length("__text") > PIECE
     fields = [docs.schema[c] for c in keep] + [T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]
+    # stored once, so that a long text's number stays the same in every pass over it
+    long_rows = written(rows.where(is_long), "long-texts")
     short = rows.where(F.coalesce(~is_long, F.lit(True))).select(*keep, "__text").mapInArrow(encode_short(spec, keep), T.StructType(fields))
-    parts = rows.where(is_long).select("__row", "__text").mapInArrow(split_long(spec), "__row long, seq int, kind string, number int, part string")
+    parts = long_rows.select("__row", "__text").mapInArrow(split_long(spec), "__row long, seq int, kind string, number int, part string")
     done = (
         parts.repartition("__row", "seq")
         .mapInArrow(encode_parts(spec), "__row long, seq int, kind string, number int, part string, ids binary")
         .groupBy("__row").applyInArrow(assemble(spec), "__row long, ids binary, decoded string")
     )
-    rest = rows.where(is_long).select(*keep, "__row")
-    return short.unionByName(rest.join(done, "__row").select(*keep, "ids", "decoded"))
+    return short.unionByName(long_rows.select(*keep, "__row").join(done, "__row").select(*keep, "ids", "decoded"))
