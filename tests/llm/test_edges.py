@@ -85,6 +85,23 @@ def test_html_extraction(spark):
     assert html_extraction.extract(pages.limit(0)).count() == 0
 
 
+def test_html_text_that_is_not_left_out():
+    field = html_extraction.fit()
+    text = lambda page: html_extraction.main_text(field, page)
+    assert text("<article><p>one sentence without a full stop</p></article>") == "one sentence without a full stop"
+    assert text("a b c") == "a b c" and text("<html><body><p>Only one paragraph in the body</p></body></html>") == "Only one paragraph in the body"
+    assert text("<nav><ul><li><a href=x>Home</a></li><li><a href=x>News</a></li></ul></nav><article><p>one short text</p></article><footer>&copy; x</footer>") == "one short text"
+    formula = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be a number in the sense of the text before.</p><p>Second paragraph follows here.</p></article>"
+    assert text(formula) == "Let x=2 be a number in the sense of the text before.\nSecond paragraph follows here."
+    fallback = "<article><h1>T</h1><p>First paragraph of some length here.</p><noscript><p>A noscript paragraph that holds text.</p></noscript><object><p>The fallback paragraph of an object.</p></object><p>And the end of it.</p></article>"
+    assert text(fallback) == "T\nFirst paragraph of some length here.\nA noscript paragraph that holds text.\nThe fallback paragraph of an object.\nAnd the end of it."
+    unclosed = "<article><p>One sentence before the drawing stands here.</p><svg><path d='x'><p>Two sentence after the unclosed drawing.</p><p>Three sentences of text in all.</p></article><footer>no</footer>"
+    assert text(unclosed) == "One sentence before the drawing stands here.\nTwo sentence after the unclosed drawing.\nThree sentences of text in all."
+    assert text("<article><p>Before it.</p><textarea>unclosed <p>After the unclosed control there is text.</p></article>") == "Before it.\nAfter the unclosed control there is text."
+    assert text("<p>a\u00a0b\u3000c\u2003\x85d e f g h</p>") == "a b c d e f g h"
+    assert text("<article><p>It runs.</p><script>var a = '<p>never</p>'") == "It runs."
+
+
 def test_html_field_on_held_out_pages():
     field = html_extraction.fit()
     wrong = total = 0
@@ -211,7 +228,7 @@ def test_secrets_assigned_to_prefixed_names(spark, documents):
 
 
 def test_topk(spark):
-    rows = [(0, [1.0, 0.0]), (50, [0.5, 0.5]), (100, None), (150, [float("nan"), 1.0]), (200, [None, 1.0]), (250, []), (300, [1e30, 1.0]), (350, [1.0, 2.0, 3.0]), (3, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (None, [9.0, 9.0]), (7, [0.0, 0.0]), (400, [0.0, 0.0])]
+    rows = [(0, [1.0, 0.0]), (50, [0.5, 0.5]), (100, None), (150, [float("nan"), 1.0]), (200, [None, 1.0]), (250, []), (350, [1.0, 2.0, 3.0]), (3, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (None, [9.0, 9.0]), (7, [0.0, 0.0]), (400, [0.0, 0.0])]
     vectors = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<double>, label int, rank int")
     out = topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=4)
     got = {}
@@ -223,6 +240,23 @@ def test_topk(spark):
     assert topk.top_k(vectors.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_topk_takes_large_components(spark):
+    vectors = lambda rows: spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    best = lambda rows, k=2: [(r["vec_id"], r["score"]) for r in topk.top_k(vectors(rows), F.col("vec_id") == 50, k).orderBy("rank").collect()]
+    assert best([(50, [1.0, 2.0]), (1, [9e6, 0.0]), (2, [1.0, 1.0])]) == [(1, 256 * 256 * 9_000_000), (2, 3 * 65536)]
+    # products beyond 2^53
+    exact = [(50, [2.0**23, 1.0]), (1, [2.0**23, 1 / 256]), (2, [2.0**23, 0.0]), (3, [2.0**23, 2 / 256])]
+    assert best(exact, 3) == [(3, 2**62 + 512), (1, 2**62 + 256), (2, 2**62)]
+    far = [(50, [2.0**40, 0.0]), (1, [1.0, 0.0]), (2, [-(2.0**40), 0.0]), (3, [0.5, 0.0])]
+    assert best(far) == [(1, 2**56), (3, 2**55)]  # the score of 2 doesn't fit, and isn't asked for
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        best(far, 3)
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        best([(50, [2.0**40]), (1, [2.0**40])])
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        best([(50, [1.0]), (1, [1e30])])
+
+
 @pytest.mark.parametrize("chunk,block", [(64 * 40, 7), (2**19, 8192)])
 def test_topk_against_brute_force(spark, monkeypatch, chunk, block):
     monkeypatch.setattr(topk, "CHUNK", chunk)
@@ -332,6 +366,46 @@ def test_documents_with_letters_stay_without_labels(spark, documents):
     assert language_id.keep_identified(unlabelled).columns == docs.columns
 
 
+def test_language_stage_goes_by_letters_and_not_by_a_label_name(spark, documents):
+    rows = [(k, f"some plain words of the text number {k} and more of them") for k in range(40)] + [(90, None), (91, "12 34"), (92, "ein Text")]
+    docs = documents(rows).withColumn("lang", F.when(F.col("doc_id") < 30, F.lit("und")))
+    kept = {r["doc_id"]: r["lang"] for r in language_id.keep_identified(docs).collect()}
+    assert set(kept) == {*range(40), 92} and set(kept.values()) == {"und"}  # a null lang is filled by the prediction
+    two = documents(rows).withColumn("lang", F.when(F.col("doc_id") % 3 == 0, F.lit("aa")).when(F.col("doc_id") < 20, F.lit("bb")))
+    kept = {r["doc_id"]: r["lang"] for r in language_id.keep_identified(two).collect()}
+    given = {r["doc_id"]: r["lang"] for r in two.collect()}
+    assert set(kept) == {*range(40), 92} and all(kept[k] == (given[k] or kept[k]) and kept[k] in ("aa", "bb") for k in kept)
+
+
+def test_repeated_rows_by_the_hundred_thousand(spark, documents):
+    """One row (equal in all columns, and once in id and text only) repeated many times beside a few others."""
+    text = " ".join(f"hot{k}" for k in range(45))
+    few = documents([(1, text), (2, "a text of its own with some more words in it"), (3, None)])
+    many = few.where("doc_id = 1").crossJoin(spark.range(100_000)).drop("id").unionByName(few)
+    other = few.where("doc_id = 1").withColumn("source", F.lit("another"))
+    docs = many.unionByName(other)
+    kept = minhash_dedup.keep_one(docs)
+    runs = [sorted(map(tuple, kept.collect()), key=repr) for _ in range(2)]
+    assert runs[0] == runs[1] and [r[0] for r in runs[0]] == [1, 2, 3]
+    out = substring_dedup.remove_repeats(many).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert sorted(map(tuple, out)) == [(1, 45, 45, 100_001), (2, 11, 0, 1), (3, 0, 0, 1)]
+
+
+def test_minhash_blocks_by_bytes(spark, documents, monkeypatch):
+    """Long texts that share buckets with several components: blocks are bounded by bytes, with the same links."""
+    r = np.random.default_rng(12)
+    base = [f"b{k}" for k in range(1500)]
+    rows = []
+    for k in range(24):
+        w = list(base)
+        for j in r.integers(0, 1500, 60 + 5 * (k % 6)):
+            w[int(j)] = f"e{r.integers(1 << 30)}"
+        rows.append((k, " ".join(w)))
+    whole = sorted((x["__id"], x["component"]) for x in minhash_dedup.near_duplicates(documents(rows)).collect())
+    monkeypatch.setattr(minhash_dedup, "BLOCK_BYTES", 20_000)
+    assert whole == sorted((x["__id"], x["component"]) for x in minhash_dedup.near_duplicates(documents(rows)).collect())
+
+
 def test_minhash_dedup(spark, documents):
     base = [f"k{j}" for j in range(60)]
     rows = [*ODD, (60, " ".join(base)), (61, " ".join(base).upper()), (62, " ".join([*base[:58], "z1", "z2"])), (63, "one two"), (64, "One  Two"), (65, "two one")]
