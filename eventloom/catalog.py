@@ -12,6 +12,7 @@ filtered away to make a check cheaper.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1000,6 +1001,91 @@ def stream_ingest(spark, sf):
     )
 
 
+def _pages_of(events: DataFrame, by: str) -> DataFrame:
+    """Events (page_no, JSON, ``by`` for the order) -> one page (a JSON array) for each page_no."""
+    return events.groupBy("page_no").agg(F.expr(
+        f"concat('[', array_join(transform(sort_array(collect_list(struct({by}, event))), x -> x.event), ','), ']')").alias("value"))
+
+
+def _forget_last_commit(spark, checkpoint: str) -> None:
+    """As if the job had died before the last micro-batch was committed: the next run replays it."""
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+    names = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().isdigit()]
+    fs.delete(max(names, key=lambda p: int(p.getName())), False)
+
+
+@query("stream_first", """
+SELECT event_id, event_id * 10 AS seq, value, NULL::VARCHAR AS reason FROM events
+UNION ALL SELECT event_id, event_id * 10 + 5, value + 1000, 'duplicate' FROM events WHERE event_id % 5 = 0
+UNION ALL SELECT event_id, event_id * 10 + k, value + 1000 * k, 'duplicate' FROM events, (VALUES (1), (2)) AS t(k) WHERE event_id % 3 < k AND event_id % 2 = 0
+""")
+def stream_first(spark, sf):
+    """D1 over three runs of a stream: re-sends in the same landing and in later ones; one micro-batch is replayed."""
+    from eventloom.session import scratch_dir
+    from eventloom.streaming.jobs import start_ingest
+
+    root = scratch_dir(spark, "stream-first")
+    ev = read_table(spark, sf, "events")
+
+    def sends(where: str, step: int, more: str) -> DataFrame:
+        fields = {"seq": f"event_id * 10 + {step}", "value": f"value + {more}"}
+        return ev.where(where).selectExpr("event_id DIV 100 AS page_no", f"event_id * 10 + {step} AS seq", f"{shop_event_json(fields)} AS event")
+
+    for run in range(3):
+        landed = sends(f"event_id % 3 = {run}", 0, "0").unionByName(sends(f"event_id % 3 = {run} AND event_id % 5 = 0", 5, "1000"))
+        if run:
+            landed = landed.unionByName(sends(f"event_id % 3 < {run} AND event_id % 2 = 0", run, str(1000 * run)))
+        _pages_of(landed, "seq").select("value").write.mode("append").text(f"{root}/landing")
+        job = lambda: start_ingest(
+            spark, SHOP, source_format="text", source_path=f"{root}/landing", sink_format="parquet", sink_path=f"{root}/out",
+            checkpoint=f"{root}/checkpoint", dedupe="first", order=["try_variant_get(event, '$.seq', 'bigint')"], observed_at=OBSERVED_AT)
+        job().awaitTermination()
+        if run == 1:
+            _forget_last_commit(spark, f"{root}/checkpoint")
+    out = spark.read.parquet(f"{root}/out")
+    text = F.coalesce(F.get_json_object("value", "$.payload.value"), F.get_json_object("raw_value", "$.value"))
+    return out.select(F.col("source_event_id").cast("long").alias("event_id"), F.col("arrival_1").alias("seq"), text.cast("double").alias("value"), "reason")
+
+
+@query("stream_horizon", """
+SELECT event_id, event_id * 10 + s AS seq, value + 1000 * s AS value, CASE WHEN s IN (1, 3) THEN 'duplicate' END AS reason
+FROM events, (VALUES (0), (1), (2), (3)) AS r(s) WHERE s < 2 OR event_id % 3 = 1
+""")
+def stream_horizon(spark, sf):
+    """D3 over three runs of a stream, with the sends of ``dedupe_horizon_far``: rows come up to five minutes out of order
+    and are decided once the watermark has passed them; a last event, a day later, lets it pass all."""
+    from eventloom.session import scratch_dir
+    from eventloom.streaming.jobs import start_ingest
+
+    root = scratch_dir(spark, "stream-horizon")
+    ev = read_table(spark, sf, "events")
+    sends = ev.selectExpr("*", "explode(CASE WHEN event_id % 3 = 1 THEN array(0, 1, 2, 3) ELSE array(0, 1) END) AS again")
+    sends = sends.selectExpr("*", "ts + make_dt_interval(0, 0, element_at(array(0, 4, 11, 20), again + 1), 0) AS seen")
+    first, last = (r := ev.agg(F.min("ts"), F.max("ts")).first())[0], r[1]
+    third = max(1, int((last - first).total_seconds()) // 3)
+    iso = "concat(date_format(seen, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00')"
+    event = shop_event_json({"value": "value + 1000 * again", "seq": "event_id * 10 + again", "obs": iso})
+    seconds = f"unix_seconds(CAST(seen AS TIMESTAMP)) - unix_seconds(CAST(TIMESTAMP_NTZ'{first}' AS TIMESTAMP))"
+    api = sends.selectExpr("event_id DIV 100 AS page_no", "event_id * 10 + again AS seq", f"{event} AS event",
+                           f"least(2, ({seconds} + event_id % 300) DIV {third}) AS run")
+    end = shop_event_json({"id": "-1", "obs": f"'{last + dt.timedelta(days=1):%Y-%m-%dT%H:%M:%S}+00:00'", "seq": "-1"})
+    for run in range(3):
+        pages = _pages_of(api.where(f"run = {run}"), "seq").select("value")
+        if run == 2:
+            pages = pages.unionByName(ev.orderBy("event_id").limit(1).selectExpr(f"concat('[', {end}, ']') AS value"))
+        pages.write.mode("append").text(f"{root}/landing")
+        start_ingest(
+            spark, SHOP, source_format="text", source_path=f"{root}/landing", sink_format="parquet", sink_path=f"{root}/out", checkpoint=f"{root}/checkpoint",
+            dedupe="horizon", horizon="10 minutes", delay=600, order=["try_variant_get(event, '$.seq', 'bigint')"],
+            observed_at=F.expr("try_variant_get(event, '$.obs', 'string')"),
+        ).awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    text = F.coalesce(F.get_json_object("value", "$.payload.value"), F.get_json_object("raw_value", "$.value"))
+    return out.select(F.col("source_event_id").cast("long").alias("event_id"), F.col("arrival_1").alias("seq"), text.cast("double").alias("value"), "reason")
+
+
 def queries() -> dict[str, QueryFn]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 

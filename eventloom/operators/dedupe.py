@@ -212,9 +212,9 @@ def mark_fifo(
         return pd.DataFrame([(key[0], sks.iloc[0], sks.iloc[-1], known)], columns=["_chunk", "head", "tail", "memory"])
 
     guessed = stored(rows.groupBy("_chunk").applyInPandas(guess, "_chunk int, head string, tail string, memory array<string>"), "fifo-ends")
-    # one short row per chunk
-    numbered = guessed.withColumn("n", F.row_number().over(Window.orderBy("_chunk")))
-    numbered = stored(numbered, "fifo-chunks")
+    # the one pass over all chunks in order sees their numbers only, 4 bytes each; the memories are joined to it
+    numbers = guessed.select("_chunk").withColumn("n", F.row_number().over(Window.orderBy("_chunk")))
+    numbered = stored(guessed.join(numbers, "_chunk"), "fifo-chunks")
     before = numbered.select((F.col("n") + 1).alias("n"), F.col("tail").alias("last"), F.col("memory").alias("prior"))
     fresh = F.array().cast("array<string>")
     starts = numbered.join(before, "n", "left").select(
@@ -278,8 +278,9 @@ def mark_horizon(
 
     Rows of one key and event time are reduced to one on the map side (the
     least by ``order``, which must tell them apart; a tie raises). Two rows at least ``horizon`` apart
-    always part a key's times, so each stretch without such a gap is decided by itself, as a stream
-    that holds one time. A key without any gap is one stretch of distinct times and one task. A row
+    always part a key's times, so each stretch without such a gap is decided by itself: one of a single
+    time natively, a longer one as a stream that holds one time. A key without any gap is one stretch of distinct
+    times and one task. A row
     without an event time is never a duplicate. The rows are read twice, so the event time
     must not be a processing time that changes between reads.
     """
@@ -298,9 +299,12 @@ def mark_horizon(
     per = times.groupBy("_sk", "_at", "_span", *order).agg(F.count(F.lit(1)).alias("_n"))
     rank = F.struct(*tied, F.col("_n"))
     least = per.groupBy("_sk", "_at", "_span").agg(F.min(rank).alias("_w"))
-    gap = F.col("_at") - F.lag("_at").over(Window.partitionBy("_sk").orderBy("_at")) >= F.col("_span")
-    cut = F.sum(F.coalesce(gap.cast("int"), F.lit(1))).over(Window.partitionBy("_sk").orderBy("_at"))
-    stretches = least.withColumn("_part", cut)
+    by_time = Window.partitionBy("_sk").orderBy("_at")
+    begins = F.coalesce(F.col("_at") - F.lag("_at").over(by_time) >= F.col("_span"), F.lit(True))
+    ends = F.coalesce(F.lead("_at").over(by_time) - F.col("_at") >= F.col("_span"), F.lit(True))
+    stretches = least.withColumns({"_begins": begins, "_ends": ends}).withColumn("_part", F.sum(F.col("_begins").cast("int")).over(by_time))
+    alone = stretches.where("_begins AND _ends").select("_sk", "_at", "_w")  # a stretch of one time is accepted as it is
+    rest = stretches.where("NOT (_begins AND _ends)").select("_sk", "_part", "_at", "_span")
 
     def chain(batches):
         last = None
@@ -312,9 +316,9 @@ def mark_horizon(
                     keep.append(i)
             yield pdf.iloc[keep][["_sk", "_at"]]
 
-    spread = stretches.select("_sk", "_part", "_at", "_span").repartition("_sk", "_part").sortWithinPartitions("_sk", "_part", "_at")
-    kept = spread.mapInPandas(chain, "_sk string, _at long").join(least, ["_sk", "_at"])
-    kept = stored(kept.select(F.col("_sk").alias("_k"), F.col("_at").alias("_t"), F.col("_w").alias("_w")), "horizon")
+    spread = rest.repartition("_sk", "_part").sortWithinPartitions("_sk", "_part", "_at")
+    walked = spread.mapInPandas(chain, "_sk string, _at long").join(least, ["_sk", "_at"]).select("_sk", "_at", "_w")
+    kept = stored(alone.unionByName(walked).select(F.col("_sk").alias("_k"), F.col("_at").alias("_t"), "_w"), "horizon")
     joined = timed.join(kept.hint("shuffle_hash"), (F.col("_sk") == F.col("_k")) & (F.col("_at") == F.col("_t")), "left")
     mine = F.lit(True)
     for c in order:
@@ -337,7 +341,8 @@ def dedupe_within_horizon(
     A table goes through :func:`mark_horizon`. A stream goes through
     ``withWatermark`` + ``dropDuplicatesWithinWatermark``: state is keyed by id and expires as the
     watermark passes, which follows micro-batches; a re-send shortly after the horizon may
-    therefore still be dropped there, and among equal keys of one micro-batch any row may stay."""
+    therefore still be dropped there, and among equal keys of one micro-batch any row may stay.
+    (:class:`eventloom.streaming.memory.HorizonMemory` is the exact form, with the duplicates' rows.)"""
     if not df.isStreaming:
         return _accepted(mark_horizon(df, horizon, keys, event_time, order))
     if event_time not in df.columns:

@@ -23,6 +23,33 @@ REASON_DUPLICATE = "duplicate"
 DEDUPE = ("first", "fifo", "horizon", "none")
 
 
+def raw_events(pages: DataFrame, config: SourceConfig, order: Sequence[str] = (), observed_at: Any = None) -> DataFrame:
+    """Pages -> raw columns, ``arrival_1..n``, ``reason`` and ``raw_value``, before any de-duplication."""
+    if observed_at is None and not pages.isStreaming:
+        # one polling time for the run: the rows are read more than once, and must be the same each time
+        observed_at = dt.datetime.now(dt.timezone.utc).isoformat()
+    others = [c for c in pages.columns if c != "value"]
+    items = explode_pages(pages, keep=others, raw_col="_page_text")
+    arrival = arrival_columns(order)
+    items = items.select("*", *[F.expr(e).alias(a) for e, a in zip(order, arrival, strict=True)])
+    raw = build_raw_events(items, config, keep=[*arrival, "_page_text", "event"], observed_at=observed_at, with_reason=True)
+    original = F.coalesce("_page_text", F.to_json("event"))
+    return raw.select(*RAW_COLUMNS, *arrival, "reason", F.when(F.col("reason").isNotNull(), original).alias("raw_value"))
+
+
+def arrival_columns(order: Sequence[str]) -> list[str]:
+    return [f"arrival_{i}" for i in range(1, len(order) + 1)]
+
+
+def verdicts(marked: DataFrame, arrival: Sequence[str]) -> DataFrame:
+    """Rows with ``is_duplicate`` -> the ingest's result: duplicates get their reason and keep their text."""
+    twice = F.col("is_duplicate")
+    out = marked.select(
+        *RAW_COLUMNS, *arrival, F.coalesce("reason", F.when(twice, F.lit(REASON_DUPLICATE))).alias("reason"),
+        F.coalesce("raw_value", F.when(twice, F.to_json("payload"))).alias("raw_value"))
+    return out.select(*RAW_COLUMNS, *arrival, encode_raw(F.col("reason").isNull()).alias("value"), "reason", "raw_value")
+
+
 def ingest_events(
     pages: DataFrame,
     config: SourceConfig,
@@ -46,17 +73,9 @@ def ingest_events(
     if dedupe in ("first", "fifo") and not order:
         raise ValueError(f"dedupe {dedupe!r} needs an arrival order, e.g. ['page_file', 'page_pos']")
     if dedupe == "first" and pages.isStreaming:
-        raise ValueError("dedupe 'first' keeps every id for ever: run it over a table, or stream with 'fifo' or 'horizon'")
-    if observed_at is None and not pages.isStreaming:
-        # one polling time for the run: the rows are read more than once, and must be the same each time
-        observed_at = dt.datetime.now(dt.timezone.utc).isoformat()
-    others = [c for c in pages.columns if c != "value"]
-    items = explode_pages(pages, keep=others, raw_col="_page_text")
-    arrival = [f"arrival_{i}" for i in range(1, len(order) + 1)]
-    items = items.select("*", *[F.expr(e).alias(a) for e, a in zip(order, arrival, strict=True)])
-    raw = build_raw_events(items, config, keep=[*arrival, "_page_text", "event"], observed_at=observed_at, with_reason=True)
-    original = F.coalesce("_page_text", F.to_json("event"))
-    raw = raw.select(*RAW_COLUMNS, *arrival, "reason", F.when(F.col("reason").isNotNull(), original).alias("raw_value"))
+        raise ValueError("dedupe 'first' remembers every id: stream it with streaming.jobs.start_ingest, which keeps an index of them")
+    arrival = arrival_columns(order)
+    raw = raw_events(pages, config, order, observed_at)
     if dedupe == "none":
         return raw.select(*RAW_COLUMNS, *arrival, encode_raw(F.col("reason").isNull()).alias("value"), "reason", "raw_value")
     if pages.isStreaming and dedupe == "horizon":
@@ -76,8 +95,4 @@ def ingest_events(
         else:
             marked = mark_horizon(valid, horizon, order=arrival)
         marked = marked.unionByName(rejected.withColumn("is_duplicate", F.lit(False)))
-    twice = F.col("is_duplicate")
-    out = marked.select(
-        *RAW_COLUMNS, *arrival, F.coalesce("reason", F.when(twice, F.lit(REASON_DUPLICATE))).alias("reason"),
-        F.coalesce("raw_value", F.when(twice, F.to_json("payload"))).alias("raw_value"))
-    return out.select(*RAW_COLUMNS, *arrival, encode_raw(F.col("reason").isNull()).alias("value"), "reason", "raw_value")
+    return verdicts(marked, arrival)

@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.plans.contract import ContractError
@@ -252,20 +253,36 @@ def _inside(node) -> list:
     return children
 
 
+def _sql(node) -> str:
+    """SQL of a node; Spark's own text of a variant path lacks the type."""
+    text, full = node.sql(), {}
+    seen = [node]
+    while seen:
+        x = seen.pop()
+        seen += _children(x)
+        if _name(x) == "VariantGet" and not x.failOnError():
+            child, path = _children(x)[:2]
+            typed = f"try_variant_get({child.sql()}, {path.sql()}, '{x.targetType().sql()}')"
+            if full.setdefault(x.sql(), typed) != typed:
+                raise ContractError(f"one path is read as two types in {text}: take the parts of the expression apart")
+            text = text.replace(x.sql(), typed)
+    return text
+
+
 def _flag(node) -> str | None:
     """SQL of: the input of this try form is there and its result is not."""
     name = _name(node)
     if name == "Cast" and node.evalMode().toString() == "TRY":
         child = node.child()
-        value, done = child.sql(), f"TRY_CAST({child.sql()} AS {node.dataType().sql()})"
+        value, done = _sql(child), f"TRY_CAST({_sql(child)} AS {node.dataType().sql()})"
         variant = _type(child) == "variant"
     elif name == "VariantGet" and not node.failOnError() and _type(node) != "variant":
         child, path = _children(node)[:2]
-        value = f"try_variant_get({child.sql()}, {path.sql()}, 'variant')"
-        done = f"try_variant_get({child.sql()}, {path.sql()}, '{node.targetType().sql()}')"
+        value = f"try_variant_get({_sql(child)}, {path.sql()}, 'variant')"
+        done = f"try_variant_get({_sql(child)}, {path.sql()}, '{node.targetType().sql()}')"
         variant = True
     elif name in PARSERS and not _date_type(_inside(node)[0]):
-        value, done, variant = _inside(node)[0].sql(), node.sql(), False
+        value, done, variant = _sql(_inside(node)[0]), _sql(node), False
     else:
         return None
     there = f"{value} IS NOT NULL" + (f" AND NOT is_variant_null({value})" if variant else "")
@@ -295,4 +312,9 @@ def check_expression(df: DataFrame, expression: str) -> tuple[str, object]:
         if not roots.apply(i).deterministic():
             raise ContractError(f"expression {expression!r} has another value each time it is evaluated")
         walk(roots.apply(i), False)
+    for flag in flags:  # a node whose text doesn't give it back can't be flagged
+        try:
+            df.selectExpr(flag)
+        except AnalysisException as error:
+            raise ContractError(f"expression {expression!r} is too involved to tell its failures: take its parts apart ({flag})") from error
     return " OR ".join(flags) or "false", analysed.schema["x"].dataType

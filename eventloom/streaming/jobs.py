@@ -1,7 +1,7 @@
 """The two jobs as Structured Streaming queries (J1 ingest, J2 normalize).
 
 J1  landing pages -> explode (S1) -> raw envelope (R1-R7) -> de-duplicate
-    (D2 FIFO state or D3 watermark) -> raw sink (S4)
+    (D1 index of ids, D2 FIFO state or D3 times and watermark) -> raw sink (S4)
 J2  raw sink -> normalize by contract (N1-N4, P*, E*) -> normalized sink (S3)
 
 Both are append-only, checkpointed, and run unchanged on any trigger
@@ -16,15 +16,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventloom.operators.ingest import ingest_events
+from eventloom.operators.ingest import arrival_columns, ingest_events, raw_events, verdicts
 from eventloom.operators.normalize import NORMALIZED_COLUMNS, normalize
 from eventloom.plans.pinning import filter_here
 from eventloom.sources.io import read_values, stream_writer
 from eventloom.sources.registry import SourceConfig
+from eventloom.streaming.memory import FirstMemory, HorizonMemory, Versions
 
 REASONS = ("malformed", "unknown_source", "normalize_error", "invalid_event", "malformed_page", "duplicate")
 #: What one micro-batch of an ingest takes at most, unless the caller sets it (the task of a scope holds it).
@@ -90,15 +91,45 @@ def start_ingest(
     quarantine_topic: str | None = None,
     **kw: Any,
 ) -> StreamingQuery:
-    """J1. ``kw`` goes to :func:`ingest_events`; ``fifo`` needs ``order``. File sources offer ``page_file``."""
+    """J1. ``kw`` goes to :func:`ingest_events`; ``first`` and ``fifo`` need ``order``. File sources offer ``page_file``.
+
+    ``first`` and ``horizon`` remember in tables beside the checkpoint (``<checkpoint>/memory``, see
+    :mod:`eventloom.streaming.memory`) and write each micro-batch whole, for a file sink to ``batch=<n>`` below its path;
+    their counts by reason are in ``<checkpoint>/memory/counts``. ``horizon`` takes ``delay``, in seconds."""
     options = RATE_LIMIT.get(source_format, FILE_RATE_LIMIT) | dict(source_options or {})
     pages = read_values(spark, source_format, source_path, options)
     if source_format != "kafka":
         pages = pages.select("*", F.col("_metadata.file_path").alias("page_file"))
+    if dedupe in ("first", "horizon"):
+        return _start_remembering(pages, config, dedupe, sink_format, sink_path, sink_options, checkpoint, trigger, quarantine_topic, **kw)
     out = ingest_events(pages, config, dedupe=dedupe, **kw).drop("payload")
     return _start(out, sink_format, sink_path, sink_options, checkpoint, trigger, quarantine_topic, None, ("outcome",))
 
 
+def _start_remembering(pages: DataFrame, config: SourceConfig, dedupe: str, sink_format: str, sink_path: str | None, sink_options: Mapping[str, str] | None,
+                       checkpoint: str, trigger: Mapping[str, Any] | None, quarantine_topic: str | None, *, order: Sequence[str] = (),
+                       observed_at: Any = None, horizon: str = "10 minutes", delay: float = 0) -> StreamingQuery:
+    if not order and dedupe == "first":
+        raise ValueError("dedupe 'first' needs an arrival order, e.g. ['page_file', 'page_pos']")
+    spark, root, arrival = pages.sparkSession, f"{checkpoint.rstrip('/')}/memory", arrival_columns(order)
+    tables = Versions(spark, root)
+    memory = FirstMemory(spark, root, order=arrival) if dedupe == "first" else HorizonMemory(spark, root, horizon, delay, order=arrival)
+
+    def write(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        out = verdicts(memory.mark(batch, number), arrival).drop("payload").observe(seen, *reason_metrics())
+        if sink_format == "kafka":
+            options = dict(sink_options or {})
+            topic = options.pop("topic", None)
+            to_topics(out, topic, quarantine_topic).write.format("kafka").options(**options).save()
+        else:
+            with_outcome(out).write.format(sink_format).mode("overwrite").options(**(sink_options or {})).partitionBy("outcome").save(f"{sink_path}/batch={number}")
+        tables.write("counts", number, spark.createDataFrame(list(seen.get.items()), "reason string, rows long"))
+
+    raw = raw_events(pages, config, order, observed_at)
+    return raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def start_normalize(
     spark: SparkSession,
     contracts: Any,
