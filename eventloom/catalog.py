@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.time import with_to_millis
 from eventloom.functions.variant import select_keys_sql
-from eventloom.operators.dedupe import dedupe_fifo, dedupe_first, dedupe_within_horizon
+from eventloom.operators.dedupe import dedupe_fifo, dedupe_first, dedupe_within_horizon, mark_horizon
 from eventloom.operators.ingest import ingest_events
 from eventloom.operators.normalize import normalize
 from eventloom.operators.raw import build_raw_events, explode_pages
@@ -285,6 +285,24 @@ def dedupe_horizon_far(spark, sf):
     return _value_out(dedupe_within_horizon(raw, "10 minutes", order=["seq"]))
 
 
+@query("dedupe_horizon_dense", """
+WITH RECURSIVE t AS (
+  SELECT ts, min(event_id) AS event_id FROM events GROUP BY ts
+), n AS (
+  SELECT a.ts, a.event_id, (SELECT min(b.ts) FROM t b WHERE b.ts >= a.ts + INTERVAL 2 HOUR) AS following FROM t a
+), walk AS (
+  SELECT ts, event_id, following FROM n WHERE ts = (SELECT min(ts) FROM t)
+  UNION ALL SELECT n.ts, n.event_id, n.following FROM n JOIN walk ON n.ts = walk.following
+)
+SELECT event_id, NOT EXISTS (SELECT 1 FROM walk WHERE walk.event_id = e.event_id) AS is_duplicate FROM events e
+""")
+def dedupe_horizon_dense(spark, sf):
+    """All events are sends of one id that never pauses for two hours: one key over many small chunks."""
+    ev = read_table(spark, sf, "events")
+    rows = ev.selectExpr("event_id", "'shop' AS source", "'default' AS source_event_endpoint", "'1' AS source_event_id", "CAST(ts AS TIMESTAMP) AS observed_ts")
+    return mark_horizon(rows, "2 hours", order=["event_id"], chunk_rows=200).select("event_id", "is_duplicate")
+
+
 def _overlapping_pages(spark, sf) -> DataFrame:
     """``events`` as API pages of 20 that overlap by 10, newest page last; every seventh page is no JSON,
     and every page holds one event without an id."""

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.time import to_millis_string_sql, with_iso_millis
+from eventloom.operators.stretches import accepted_times
 from eventloom.plans.pinning import pinned_stage
 from eventloom.session import stored
 
@@ -272,15 +273,14 @@ def mark_horizon(
     keys: Sequence[str] = (*DEFAULT_SCOPE, DEFAULT_ID),
     event_time: str = "observed_ts",
     order: Sequence[str] = (),
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """D3 over a table: a row is a duplicate if its key was accepted less than
     ``horizon`` of event time before; a later re-send is accepted again.
 
     Rows of one key and event time are reduced to one on the map side (the
-    least by ``order``, which must tell them apart; a tie raises). Two rows at least ``horizon`` apart
-    always part a key's times, so each stretch without such a gap is decided by itself: one of a single
-    time natively, a longer one as a stream that holds one time. A key without any gap is one stretch of distinct
-    times and one task. A row
+    least by ``order``, which must tell them apart; a tie raises). Which times are accepted is decided over sorted
+    chunks of about ``chunk_rows``, so a key that never pauses is many tasks too (:mod:`eventloom.operators.stretches`). A row
     without an event time is never a duplicate. The rows are read twice, so the event time
     must not be a processing time that changes between reads.
     """
@@ -293,32 +293,14 @@ def mark_horizon(
     sk = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in keys]), {"ignoreNullFields": "false"})
     # pinned: the parsed time and the key are computed once per row, not once per use
     timed = pinned_stage(timed.select(*df.columns, "_at", sk.alias("_sk")))
-    span = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00Z' + INTERVAL {horizon})")
+    span = df.sparkSession.sql(f"SELECT unix_micros(timestamp'1970-01-01 00:00:00Z' + INTERVAL {horizon})").first()[0]
     tied = [x for c in order for x in (F.col(c).isNull().alias(f"_none_{c}"), F.col(c))]
-    times = timed.where("_at IS NOT NULL").select("_sk", "_at", span.alias("_span"), *order)
-    per = times.groupBy("_sk", "_at", "_span", *order).agg(F.count(F.lit(1)).alias("_n"))
+    times = timed.where("_at IS NOT NULL").select("_sk", "_at", *order)
+    per = times.groupBy("_sk", "_at", *order).agg(F.count(F.lit(1)).alias("_n"))
     rank = F.struct(*tied, F.col("_n"))
-    least = per.groupBy("_sk", "_at", "_span").agg(F.min(rank).alias("_w"))
-    by_time = Window.partitionBy("_sk").orderBy("_at")
-    begins = F.coalesce(F.col("_at") - F.lag("_at").over(by_time) >= F.col("_span"), F.lit(True))
-    ends = F.coalesce(F.lead("_at").over(by_time) - F.col("_at") >= F.col("_span"), F.lit(True))
-    stretches = least.withColumns({"_begins": begins, "_ends": ends}).withColumn("_part", F.sum(F.col("_begins").cast("int")).over(by_time))
-    alone = stretches.where("_begins AND _ends").select("_sk", "_at", "_w")  # a stretch of one time is accepted as it is
-    rest = stretches.where("NOT (_begins AND _ends)").select("_sk", "_part", "_at", "_span")
-
-    def chain(batches):
-        last = None
-        for pdf in batches:
-            keep = []
-            for i, (k, p, t, s) in enumerate(zip(pdf["_sk"], pdf["_part"], pdf["_at"], pdf["_span"], strict=True)):
-                if last is None or last[:2] != (k, p) or t - last[2] >= s:
-                    last = (k, p, t)
-                    keep.append(i)
-            yield pdf.iloc[keep][["_sk", "_at"]]
-
-    spread = rest.repartition("_sk", "_part").sortWithinPartitions("_sk", "_part", "_at")
-    walked = spread.mapInPandas(chain, "_sk string, _at long").join(least, ["_sk", "_at"]).select("_sk", "_at", "_w")
-    kept = stored(alone.unionByName(walked).select(F.col("_sk").alias("_k"), F.col("_at").alias("_t"), "_w"), "horizon")
+    least = per.groupBy("_sk", "_at").agg(F.min(rank).alias("_w"))
+    kept = accepted_times(least, span, chunk_rows).select(F.col("_sk").alias("_k"), F.col("_at").alias("_t"), "_w")
+    kept = stored(kept, "horizon")
     joined = timed.join(kept.hint("shuffle_hash"), (F.col("_sk") == F.col("_k")) & (F.col("_at") == F.col("_t")), "left")
     mine = F.lit(True)
     for c in order:

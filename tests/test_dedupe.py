@@ -2,10 +2,12 @@
 
 import datetime as dt
 import random
+from bisect import bisect_left
 
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.operators import stretches
 from eventloom.operators.dedupe import AcceptCounter, dedupe_fifo, dedupe_first, dedupe_within_horizon, mark_fifo, mark_horizon
 
 SCHEMA = "source string, source_event_endpoint string, source_event_id string, seq long, body string"
@@ -139,3 +141,35 @@ def test_horizon_over_a_table(spark, gap):
 def test_horizon_without_a_time(spark):
     df = spark.createDataFrame([("ferry", "h", "1", 1, None), ("ferry", "h", "1", 2, None)], "source string, source_event_endpoint string, source_event_id string, seq long, observed_ts timestamp")
     assert [r.is_duplicate for r in mark_horizon(df).collect()] == [False, False]
+
+
+@pytest.mark.parametrize("chunk_rows", [7, 60, 10**6])
+def test_horizon_of_keys_that_never_pause(spark, chunk_rows):
+    """One key that is dense, one far denser than a chunk in a horizon, and others between them, over chunks of all sizes."""
+    r = random.Random(chunk_rows)
+    start = dt.datetime(2031, 3, 4)
+    rows = []
+    for key, gap, n in (("a", 100, 300), ("b", 9, 400), ("c", 700, 60), ("d", 3000, 20), ("e", 1, 40)):
+        t = start
+        for _ in range(n):
+            t += dt.timedelta(seconds=r.randint(1, 2 * gap))
+            rows.append((key, t, len(rows)))
+    df = spark.createDataFrame([("ferry", "harbour", k, i, t) for k, t, i in rows], "source string, source_event_endpoint string, source_event_id string, seq long, observed_ts timestamp")
+    got = mark_horizon(df, "10 minutes", order=["seq"], chunk_rows=chunk_rows)
+    assert accepted(got.where("NOT is_duplicate")) == horizon_by_definition(rows, dt.timedelta(minutes=10))
+
+
+def test_effects_compose():
+    """A chunk's effect on every entry equals the walk."""
+    r = random.Random(3)
+    for _ in range(200):
+        times = sorted(r.sample(range(1000), r.randint(1, 60)))
+        span = r.choice([1, 7, 50, 400, 5000])
+        bounds, exits = stretches.effect(times, 0, len(times), span)
+        assert bounds == sorted(set(bounds)) and len(bounds) == len(exits) <= len(times)
+        for entry in [stretches.OPEN, *range(0, 1010, 13)]:
+            out = entry
+            for t in times:
+                if t >= out:
+                    out = t + span
+            assert out == (exits[bisect_left(bounds, entry)] if entry <= bounds[-1] else entry)
