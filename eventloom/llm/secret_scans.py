@@ -1,14 +1,17 @@
 """Secret scans with a random forest that removes false positives, in DataFrame functions only.
 
-A regular expression finds candidates: values assigned to a credential's name, keys of known
-providers, private keys, and long runs of letters and digits. Each is described by its
-length, its character transitions and classes, how much of it a dictionary covers, its
-path and the words beside it. Assigned words with a few figures (``password=session4821``) are secrets, but
-stand-ins below tests, fixtures, examples and docs; all other findings are judged alike on every path. A random forest tells secrets from the rest. It is trained in
-numpy on the driver, from at most ``FINDINGS`` labelled findings (``labelled``: a table of
-findings with known answers by construction, made by DataFrame expressions), and then
-written out as one column expression, so that scanning and redaction are narrow, native
-projections over the documents that have candidates at all.
+A regular expression finds candidates: values assigned to a credential's name, passwords in URLs
+(``scheme://user:password@host``), keys of known providers, private keys, and long runs of letters and
+digits. Each is described by its length, its character transitions and classes, how much of it a dictionary
+covers, its path and the words beside it. Assigned words with a few figures (``password=session4821``) are
+secrets, but stand-ins below tests, fixtures, examples and docs; all other findings are judged alike on every
+path. A random forest tells secrets from the rest. It is trained in numpy on the driver, from at most
+``FINDINGS`` labelled findings (``labelled``: a table of findings with known answers by construction, made
+by DataFrame expressions), and then written out as one column expression, so that scanning and redaction
+are narrow, native projections.
+
+Most texts have no candidate. ``necessary`` tells many of them by a few cheap searches, each of which every
+candidate of its kind must pass; only the others meet the long pattern.
 
 Defined cases: null and empty texts have no candidate; texts of any length are scanned whole;
 a null path counts as a production one; equal rows (same id and text) give their findings once; an empty
@@ -17,6 +20,9 @@ table gives none; other columns are not read by ``scan`` and kept by ``redact``.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,15 +47,22 @@ ASSIGNED = (
 )
 #: Where a general run ends, as a finding of its own begins.
 STOP = rf"(?!{ASSIGNED}[^\s\x22'<>]{{6}}|(?<==)(?:{KEYS}))"
+#: A password between a URL's user and host.
+IN_URL = r"(?<=:)(?<=://[^\s:/@\x22'<>]{1,40}:)[^\s/@\x22'<>]{3,}+(?=@)"
 #: What may be a secret. Repetitions run over a character class or are possessive, so no match recurses. A private key
 #: ends at the first END line; a BEGIN or END line of anything else before it leaves it unclosed.
 CANDIDATE = (
     rf"{ASSIGNED}[^\s\x22'<>]{{6,}}+"
     rf"|-----BEGIN {BLOCK}[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END {BLOCK}"
+    rf"|{IN_URL}"
     rf"|(?<![A-Za-z0-9])(?:{KEYS})"
     r"|(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[A-Za-z0-9+/_=-]{16})"
     rf"(?=(?:{STOP}[A-Za-z+/_=-])*+{STOP}[0-9])(?:{STOP}[A-Za-z0-9+/_=-]){{16,}}+"
 )
+#: What a candidate's text must hold: a credential's name (lower-cased) with a sign of assignment; one of these; a long run and a figure in one.
+NAME_PARTS = ("passw", "pwd", "passphrase", "secret", "token", "key", "credential")
+LITERALS = ("PRIVATE KEY-----", "AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk_live_", "sk_test_", "xox", "eyJ", "AIza")
+LONG_RUN, FIGURE_IN_RUN = "[A-Za-z0-9+/_=-]{16}", "[0-9][A-Za-z+/_=-]|[A-Za-z+/_=-][0-9]|[0-9]{16}"
 VALUE = rf"(?i)^{NAMES}[\x22']?[ \t]*[:=][ \t]*[\x22']?"
 PROVIDER = r"^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}$|^sk_(?:live|test)_[A-Za-z0-9]{16,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^eyJ[A-Za-z0-9_-]{8,}|^AIza[A-Za-z0-9_-]{30,}$|^-----BEGIN"
 #: Words that make up names, placeholders and paths, and seldom secrets.
@@ -63,6 +76,7 @@ PAIRS = "(?=th|he|in|er|an|re|on|at|en|nd|ti|es|or|te|of|ed|is|it|al|ar|st|to|nt
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|change_me|your[_-]|fake|xxxx|\*\*\*\*|<|\$\{|redacted"
 DIGEST = r"(?i)(?:commit|sha-?(?:1|256|512)?|md5|checksum|digest|revision|etag|uuid|guid|hash|integrity)[\s:=\x22'-]*$"
 PATHLIKE = r"[/.?&%][A-Za-z0-9_.-]*$|(?i)(?:href|src|url|id|data:image)[^\s]*$"
+URL_USER = r"://[^\s:/@\x22'<>]{1,40}:$"
 #: Folders and name parts of tests, fixtures, examples and documentation; a "latest" or "contest" is none.
 TEST_PATH = r"(?i)(?:^|[/\\._-])(?:(?:tests?|testdata|fixtures?|examples?|samples?)(?=[/\\._-]|$)|docs?[/\\])"
 
@@ -81,6 +95,7 @@ FEATURES = {
     "provider": lambda v, c, left, right, path: v.rlike(PROVIDER).cast("int"),
     "placeholder": lambda v, c, left, right, path: (v.rlike(PLACEHOLDER) | F.right(left, F.lit(24)).rlike(PLACEHOLDER) | F.left(right, F.lit(16)).rlike(PLACEHOLDER)).cast("int"),
     "digest_beside": lambda v, c, left, right, path: left.rlike(DIGEST).cast("int"),
+    "url_password": lambda v, c, left, right, path: (left.rlike(URL_USER) & right.startswith("@")).cast("int"),
     "path_beside": lambda v, c, left, right, path: left.rlike(PATHLIKE).cast("int"),
     "test_path": lambda v, c, left, right, path: F.coalesce(path.rlike(TEST_PATH), F.lit(False)).cast("int"),
 }
@@ -109,6 +124,7 @@ def labelled(spark: SparkSession, n: int = FINDINGS, seed: int = 1) -> DataFrame
     name = F.element_at(F.array(*map(F.lit, ["password", "token", "secret", "api_key", "PASSWORD", "access_key", "passwd"])), (1 + F.pmod(F.xxhash64("draw", F.lit(5)), F.lit(7))).cast("int"))
     mark = F.element_at(F.array(*map(F.lit, ["=", " = \"", ": ", "=\"", ":"])), (1 + F.pmod(F.xxhash64("draw", F.lit(6)), F.lit(5))).cast("int"))
     place = lambda n: (1 + F.pmod(F.xxhash64("draw", F.lit(10)), F.lit(n))).cast("int")
+    figures_of = lambda c: F.substr(F.regexp_replace(F.concat(c, F.lit("4821")), "[a-f]", ""), F.lit(1), some(3, 5))
     text = F.concat(word(1), F.lit(" "), word(2), F.lit(" "))
     letters = F.regexp_replace(F.upper(F.concat("b64", F.reverse("b64"))), "[^A-Z]", "")
     lines = F.regexp_replace(F.concat("b64", F.repeat(F.concat(F.reverse("b64"), "b64"), some(1, 12))), "(.{64})", "$1\n")
@@ -146,17 +162,42 @@ def labelled(spark: SparkSession, n: int = FINDINGS, seed: int = 1) -> DataFrame
         (F.concat(name, F.lit("="), word(3), F.lit("_"), word(4)), prefix), (F.concat(name, F.lit("=changeme123")), prefix),
         (F.concat(name, F.lit("=${"), F.upper(word(3)), F.lit("_KEY}")), prefix),
     ]
+    # passwords in URLs, and what stands in their place in templates
+    user = F.concat(text, F.element_at(F.array(*map(F.lit, ["postgres://admin:", "https://deploy:", "mongodb+srv://app:", "redis://x:", "amqp://guest2:", "ftp://web-user:"])), place(6)))
+    host = F.element_at(F.array(*map(F.lit, ["@db.example.com/x", "@10.0.0.7:5432/main", "@git.example.org/a.git", "@cache:6379", "@localhost/", "@h"])), place(6))
+    in_url = [
+        (cut(alnum, 6, 24), user, 1), (cut("hex", 8, 40), user, 1), (F.concat(F.initcap(word(3)), F.lit("!"), F.substr(alnum, F.lit(1), F.lit(4))), user, 1),
+        (F.concat(word(3), figures_of("hex")), user, 1), (F.concat(F.substr(alnum, F.lit(1), F.lit(4)), F.lit("!"), cut(F.reverse(alnum), 4, 12)), user, 1),
+        (F.concat(cut(alnum, 3, 8), F.lit("$"), F.substr(F.reverse(alnum), F.lit(1), F.lit(3)), F.lit("%")), user, 1), (F.lit("password"), user, 0), (F.lit("changeme"), user, 0), (F.concat(F.lit("your_"), word(3)), user, 0), (F.concat(F.lit("${"), F.upper(word(3)), F.lit("}")), user, 0),
+        (F.lit("xxxxxx"), user, 0), (F.lit("****"), user, 0), (F.lit("secret"), user, 0), (F.lit("PASSWORD"), user, 0),
+    ]
+    # identifiers in paths and query strings; a named parameter with a random value is a secret there too
+    query = F.concat(text, F.element_at(F.array(*map(F.lit, ["https://x.org/watch?", "https://www.example.com/p?a=1&", "http://shop.example.net/item?", "/search?", "https://e.org/a/b?lang=en&", "www.example.org/?"])), place(6)))
+    folder = F.concat(text, F.element_at(F.array(*map(F.lit, ["https://cdn.example.com/", "https://docs.example.com/d/", "/static/js/", "https://e.org/a/b/", "http://img.example.net/u/1.", "src=\"/img/"])), place(6)))
+    param = F.element_at(F.array(*map(F.lit, ["v=", "id=", "list=", "ref=", "utm_id=", "p="])), place(6))
+    benign += [
+        (F.concat(param, cut(alnum, 14, 40)), query), (F.concat(param, cut("hex", 14, 40)), query), (cut(alnum, 16, 44), folder), (cut("hex", 16, 44), folder),
+        (F.concat(word(3), F.lit("-"), cut("hex", 12, 20)), folder), (F.concat(param, F.regexp_replace(cut("b64", 20, 40), "[+/]", "_")), query),
+    ]
+    further = F.element_at(F.array(*map(F.lit, ["", "&page=2", "&lang=en", "#top", "&a=1&b=2", ""])), place(6))
+    secrets += [(F.concat(name, F.lit("="), cut(alnum, 14, 40), further), query), (F.concat(name, F.lit("="), cut("hex", 16, 40), further), query)]
+    # names in program text
+    benign += [
+        (F.concat(F.initcap(word(3)), F.initcap(word(4)), F.initcap(word(1)), F.initcap(word(2)), F.lit("2")), text), (F.concat(word(3), F.initcap(word(4)), F.initcap(word(1)), F.lit("V10")), text),
+        (F.concat(F.upper(word(3)), F.lit("_"), F.upper(word(4)), F.lit("_64")), text),
+    ]
     either = F.when(F.pmod(F.xxhash64("draw", F.lit(11)), F.lit(2)) == 0, guarded).otherwise(plainly)
-    figures = F.substr(F.regexp_replace(F.concat("hex", F.lit("4821")), "[a-f]", ""), F.lit(1), some(3, 5))
+    figures = figures_of("hex")
     weak = [F.concat(name, mark, word(3), figures), F.concat(name, mark, word(3), F.lit("_"), word(4), figures)]
-    cases = [(c, left, 1, either) for c, left in secrets] + [(c, left, 0, either) for c, left in benign]
-    cases += [(c, text, y, where) for c in weak for y, where in ((1, plainly), (0, guarded))]
+    after = F.concat(F.lit(" "), word(8))
+    cases = [(c, left, 1, either, after) for c, left in secrets] + [(c, left, 0, either, after) for c, left in benign]
+    cases += [(c, text, y, where, after) for c in weak for y, where in ((1, plainly), (0, guarded))] + [(c, left, y, either, host) for c, left, y in in_url]
     pick = F.pmod(F.xxhash64("draw", F.lit(7)), F.lit(len(cases)))
-    made = rows.select(
-        "id", F.element_at(F.array(*[F.struct(c.alias("candidate"), left.alias("left"), F.lit(y).alias("label"), where.alias("path")) for c, left, y, where in cases]), (pick + 1).cast("int")).alias("x"),
-        F.concat(F.lit(" "), word(8)).alias("right"),
+    one = F.element_at(
+        F.array(*[F.struct(c.alias("candidate"), left.alias("left"), right.alias("right"), F.lit(y).alias("label"), where.alias("path")) for c, left, y, where, right in cases]),
+        (pick + 1).cast("int"),
     )
-    return made.select("id", "x.candidate", "x.left", "right", "x.path", "x.label")
+    return rows.select("id", one.alias("x")).select("id", "x.candidate", "x.left", "x.right", "x.path", "x.label")
 
 
 def grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, depth: int = 0):
@@ -205,13 +246,20 @@ def score(forest: list, feature) -> Column:
     return F.round(total / len(forest), 6)
 
 
+def necessary(text: Column) -> Column:
+    """Whether a text may hold a candidate: true for every text that does."""
+    any_of = lambda parts, x: reduce(or_, (x.contains(p) for p in parts))
+    assigned = (text.contains("=") | text.contains(":")) & any_of(NAME_PARTS, F.lower(text))
+    long_run = text.rlike(FIGURE_IN_RUN) & text.rlike(LONG_RUN)
+    return F.coalesce(assigned | any_of(LITERALS, text) | (text.contains("://") & text.contains("@")) | long_run, F.lit(False))
+
+
 def judged(docs: DataFrame, forest: list, text: str, path: str | None) -> DataFrame:
-    """Rows with candidates, with __pieces (the text between them) and __found: array of (candidate, left, right, x, score).
+    """All rows, with __pieces (the text between candidates, null without any) and __found: array of (candidate, score).
     Candidates part the text: piece k stands before candidate k."""
-    pattern = F.lit(CANDIDATE)
-    rows = docs.where(F.col(text).rlike(CANDIDATE)).withColumns({
-        "__cands": F.regexp_extract_all(F.col(text), pattern, F.lit(0)), "__pieces": F.split(F.col(text), CANDIDATE, -1),
-    })
+    has = necessary(F.col(text)) & F.col(text).rlike(CANDIDATE)
+    rows = docs.withColumn("__cands", F.when(has, F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0))))
+    rows = rows.withColumn("__pieces", F.when(F.col("__cands").isNotNull(), F.split(F.col(text), CANDIDATE, -1)))
     path_col = F.col(path) if path else F.lit(None).cast("string")
     described = F.transform(
         F.col("__cands"),
@@ -227,6 +275,7 @@ def scan(documents: DataFrame, forest: list, id_col: str = "doc_id", text_col: s
     """(id, start, length, candidate, score, is_secret) of every candidate; start counts characters from 0."""
     path = [F.col(path_col).alias("__path")] if path_col else []
     docs = documents.select(*row_key(id_col, text_col), F.col(text_col).alias("__text"), *path)
+    docs = docs.where(necessary(F.col("__text")) & F.col("__text").rlike(CANDIDATE))
     found = judged(docs, forest, "__text", "__path" if path else None).select("__id", "__h", "__pieces", F.posexplode("__found").alias("k", "f"))
     found = found.select("__id", "__h", "k", F.char_length(F.get("__pieces", F.col("k"))).alias("before"), F.char_length("f.candidate").alias("length"), "f.candidate", "f.score")
     found = found.dropDuplicates(["__id", "__h", "k"])
@@ -236,14 +285,12 @@ def scan(documents: DataFrame, forest: list, id_col: str = "doc_id", text_col: s
 
 
 def redact(documents: DataFrame, forest: list, text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """The documents, all columns, every secret replaced by ``MASK`` (n_chars follows, if there is one)."""
-    clean = documents.where(~F.coalesce(F.col(text_col).rlike(CANDIDATE), F.lit(False)))
-    hit = judged(documents, forest, text_col, path_col)
+    """The documents, all columns, every secret replaced by ``MASK`` (n_chars follows, if there is one). One projection."""
+    rows = judged(documents, forest, text_col, path_col)
     kept = F.transform("__found", lambda f, k: F.concat(F.get("__pieces", k), F.when(f["score"] >= THRESHOLD, F.lit(MASK)).otherwise(f["candidate"])))
-    text = F.concat(F.array_join(kept, ""), F.element_at("__pieces", -1))
-    hit = hit.withColumn("__text", text)
+    text = F.when(F.col("__cands").isNull(), F.col(text_col)).otherwise(F.concat(F.array_join(kept, ""), F.element_at("__pieces", -1)))
+    rows = rows.withColumn("__text", text)
     if "n_chars" in documents.columns:
-        size = F.col("n_chars") + (F.char_length("__text") - F.char_length(text_col))
-        hit = hit.withColumn("n_chars", size.cast(documents.schema["n_chars"].dataType))
-    hit = hit.withColumn(text_col, F.col("__text")).select(documents.columns)
-    return clean.unionByName(hit)
+        size = F.when(F.col("__cands").isNull(), F.col("n_chars")).otherwise(F.col("n_chars") + (F.char_length("__text") - F.char_length(text_col)))
+        rows = rows.withColumn("n_chars", size.cast(documents.schema["n_chars"].dataType))
+    return rows.withColumn(text_col, F.col("__text")).select(documents.columns)
