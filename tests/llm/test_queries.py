@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 import duckdb
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from eventloom.llm import bpe, secret_scans
@@ -71,13 +72,13 @@ def python_features(candidate, left, right, path):
         len(value), count("(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])", value) / n, count("(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])", value) / n,
         count(secret_scans.PAIRS, value.lower()) / n, covered / n if value else 1.0, count("[0-9]", value) / n, count("[A-Z]", value) / n, count("[^A-Za-z0-9]", value) / n,
         len(set(value)) / n, bool(re.search("^[0-9a-fA-F-]+$", value)), bool(re.search(secret_scans.VALUE, candidate)), bool(re.search(secret_scans.PROVIDER, value)),
-        hold, bool(re.search(secret_scans.DIGEST, left)), bool(re.search(r"[/.?&%][A-Za-z0-9_.-]*$|(?i:(?:href|src|url|id|data:image)[^\s]*$)", left)), bool(re.search(secret_scans.TEST_PATH, path)),
+        hold, bool(re.search(secret_scans.DIGEST, left)), bool(re.search("://[^\\s:/@\"'<>]{1,40}:$", left)) and right.startswith("@"), bool(re.search(r"[/.?&%][A-Za-z0-9_.-]*$|(?i:(?:href|src|url|id|data:image)[^\s]*$)", left)), bool(re.search(secret_scans.TEST_PATH, path)),
     ]
 
 
 def python_scan(forest, text, path):
     """(start, candidate, score) of every candidate."""
-    spots = [(m.start(), m[0]) for m in re.finditer(secret_scans.CANDIDATE, text)]
+    spots = [(m.start(), m[0]) for m in regex.finditer(secret_scans.CANDIDATE, text)]
     ends = [0, *(s + len(c) for s, c in spots)]
     nexts = [*(s for s, _ in spots[1:]), len(text)]
     out = []
