@@ -44,7 +44,7 @@ TOTAL = frozenset(
     # text
     """
     Ascii Chr BitLength OctetLength Length Upper Lower InitCap Reverse ConcatWs Contains StartsWith EndsWith StringInstr StringLocate
-    StringTrim StringTrimBoth StringTrimLeft StringTrimRight Substring Left Right SubstringIndex StringReplace StringTranslate SoundEx
+    StringTrim StringTrimBoth StringTrimLeft StringTrimRight Substring Left Right StringReplace StringTranslate SoundEx
     Levenshtein FindInSet Overlay Md5 Sha1 Sha2 Crc32 Murmur3Hash XxHash64 Base64 IsValidUTF8 MakeValidUTF8 TryValidateUTF8 UrlEncode
     TryUrlDecode TryParseUrl TryToBinary Quote Luhncheck Mask"""
     # JSON and variants
@@ -135,7 +135,9 @@ def _try_mode(node, spark: SparkSession) -> bool:
 
 def _cast(node, spark: SparkSession) -> bool:
     source, target, mode = _type(node.child()), _type(node), node.evalMode().toString()
-    if mode == "TRY":
+    if source == "date" and target.startswith("timestamp"):
+        return False  # the farthest dates have no timestamp, in no mode
+    if mode == "TRY" or source.startswith("timestamp") and target == "date":
         return True
     if source == "variant":
         return target == "variant"
@@ -232,6 +234,7 @@ WITHIN: dict[str, Callable[..., bool]] = {
     "Concat": lambda node, spark: not _type(node).startswith("array") or len(_children(node)) <= 100,
     **dict.fromkeys(("Like", "ILike"), _like), **dict.fromkeys(("RLike", "StringSplit", "RegExpCount", "RegExpSubStr", "RegExpInStr"), _regex),
     **dict.fromkeys(("RegExpExtract", "RegExpExtractAll"), _extract), "RegExpReplace": _replace,
+    "SubstringIndex": lambda node, spark: _whole(_children(node)[2]) is not None and abs(_whole(_children(node)[2])) < 2**31,
     "SplitPart": lambda node, spark: _whole(_children(node)[2]) not in (None, 0),
     **dict.fromkeys(("StringRepeat", "StringLPad", "StringRPad", "StringSpace", "ArrayRepeat"), _count),
     "Slice": _slice, "ArraySort": _natural_order, "CreateMap": _keys,
@@ -294,7 +297,11 @@ def check_expression(df: DataFrame, expression: str) -> tuple[str, object]:
     unless it is known to yield a value or NULL for every row, and the same one each time."""
     spark = df.sparkSession
     analysed = df.selectExpr(f"({expression}) AS x")
-    roots = analysed._jdf.queryExecution().analyzed().expressions()
+    plan = analysed._jdf.queryExecution().analyzed()
+    if _name(plan) != "Project" or not plan.child().equals(df._jdf.queryExecution().analyzed()):
+        # generators, windows and aggregates become plan nodes of their own
+        raise ContractError(f"expression {expression!r} does not give one value for one row")
+    roots = plan.expressions()
     flags: list[str] = []
 
     def walk(node, handled: bool) -> None:
