@@ -204,7 +204,8 @@ def test_pipeline(spark):
         windows |= {tuple(w[k : k + 10]) for k in range(max(1, len(w) - 9))} if w else set()
     sizes = {len(w) for w in windows}
     forest = secret_scans.train(spark)
-    told = {r["doc_id"]: r["__lang"] for r in language_id.predict(docs := spark.read.parquet(f"{SF}/documents.parquet"), language_id.fit(docs)).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    told = {r["doc_id"]: r["__lang"] for r in language_id.predict(docs, language_id.fit(docs)).collect()}
     expected = {}
     for i in kept:
         r, w = rows[i], word.findall(rows[i]["text"].translate(LOWER))
