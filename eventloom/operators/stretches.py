@@ -24,11 +24,18 @@ from pyspark.sql import types as T
 from eventloom.session import stored
 
 OPEN = -(2**63)
+CHUNK_ROWS = 250_000  # narrow rows that one task of a sorted pass holds
+MOST_CHUNKS = 1000  # as every chunk is a task of its own, smaller chunks than these bring nothing but messages to the driver
 EFFECT = "_sk string, _chunk int, bounds array<long>, exits array<long>"
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def chunk_number(rows: int, chunk_rows: int) -> int:
+    """Into how many chunks of about ``chunk_rows`` so many rows go: more than ``MOST_CHUNKS`` only if the chunks would have more than ``CHUNK_ROWS``."""
+    return max(1, min(-(-rows // chunk_rows), max(MOST_CHUNKS, -(-rows // CHUNK_ROWS))))
+
+
 def heads(keys: pa.ChunkedArray) -> list[int]:
     """Where each key of sorted rows begins, and the end."""
     n = len(keys)
@@ -108,7 +115,7 @@ def accepted_times(times: DataFrame, span: int, chunk_rows: int) -> DataFrame:
     """Rows (_sk, _at, ...), distinct by key and time -> those that are accepted."""
     times = stored(times, "horizon-times")
     n = times.count()
-    chunks = max(1, -(-n // chunk_rows), min(times.sparkSession.sparkContext.defaultParallelism, -(-n // 5000)))
+    chunks = max(chunk_number(n, chunk_rows), min(times.sparkSession.sparkContext.defaultParallelism, -(-n // 5000)))
     ranged = times.repartitionByRange(chunks, "_sk", "_at").withColumn("_chunk", F.spark_partition_id())
     ranged = stored(ranged, "horizon-chunks")
     done = ranged.select("_sk", "_at", "_chunk").groupBy("_chunk").applyInArrow(effects(span), EFFECT)

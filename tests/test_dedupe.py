@@ -173,3 +173,17 @@ def test_effects_compose():
                 if t >= out:
                     out = t + span
             assert out == (exits[bisect_left(bounds, entry)] if entry <= bounds[-1] else entry)
+
+
+def test_small_chunks_do_not_become_ever_more_tasks(spark, monkeypatch):
+    assert [stretches.chunk_number(n, 200) for n in (0, 150, 1000, 36_000_000)] == [1, 1, 5, stretches.MOST_CHUNKS]
+    assert stretches.chunk_number(10**9, 200) == 4000  # a chunk has CHUNK_ROWS at most
+    monkeypatch.setattr(stretches, "MOST_CHUNKS", 6)
+    made = []
+    repartition = type(spark.range(0)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(0)), "repartitionByRange", lambda self, n, *a: made.append(n) or repartition(self, n, *a))
+    begin = dt.datetime(2031, 3, 4)
+    df = spark.createDataFrame([("harbour", "1", i, begin + dt.timedelta(minutes=i)) for i in range(600)], "source_event_endpoint string, source_event_id string, seq long, observed_ts timestamp")
+    got = mark_horizon(df, "10 minutes", ["source_event_endpoint", "source_event_id"], order=["seq"], chunk_rows=2)
+    assert sorted(r.seq for r in got.where("NOT is_duplicate").collect()) == list(range(0, 600, 10))
+    assert made == [6]
