@@ -1,7 +1,7 @@
 """The two jobs as Structured Streaming queries (J1 ingest, J2 normalize).
 
 J1  landing pages -> explode (S1) -> raw envelope (R1-R7) -> de-duplicate
-    (D1 index of ids, D2 FIFO state or D3 times and watermark) -> raw sink (S4)
+    (D1 index of ids, D2 last accepted ids or D3 times and watermark) -> raw sink (S4)
 J2  raw sink -> normalize by contract (N1-N4, P*, E*) -> normalized sink (S3)
 
 Both are append-only, checkpointed, and run unchanged on any trigger
@@ -16,21 +16,39 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
+from eventloom.operators.dedupe import DEFAULT_MEMORY
 from eventloom.operators.ingest import arrival_columns, ingest_events, raw_events, verdicts
 from eventloom.operators.normalize import NORMALIZED_COLUMNS, normalize
 from eventloom.plans.pinning import filter_here
 from eventloom.sources.io import read_values, stream_writer
 from eventloom.sources.registry import SourceConfig
-from eventloom.streaming.memory import FirstMemory, HorizonMemory, Versions
+from eventloom.streaming.memory import FifoMemory, FirstMemory, HorizonMemory, Versions
 
 REASONS = ("malformed", "unknown_source", "normalize_error", "invalid_event", "malformed_page", "duplicate")
-#: What one micro-batch of an ingest takes at most, unless the caller sets it (the task of a scope holds it).
+#: What one micro-batch of an ingest takes at most, unless the caller sets it.
 RATE_LIMIT = {"kafka": {"maxOffsetsPerTrigger": "100000"}}
 FILE_RATE_LIMIT = {"maxFilesPerTrigger": "200"}
+STREAM_ONLY = ("memory", "console")
+
+
+class CountedQuery(StreamingQuery):
+    """A query that counts its rows by reason inside ``foreachBatch``: ``lastProgress`` has the counts where observed metrics are."""
+
+    def __init__(self, query: StreamingQuery, counts: Mapping[int, Mapping[str, int]]) -> None:
+        super().__init__(query._jsq)
+        self._counts = counts
+
+    @property
+    def lastProgress(self) -> StreamingQueryProgress | None:
+        progress = super().lastProgress
+        if progress is not None and (seen := self._counts.get(progress["batchId"])):
+            progress["observedMetrics"] = {**progress["observedMetrics"], "eventloom": Row(**seen)}
+        return progress
 
 
 def reason_metrics() -> list[Column]:
@@ -93,14 +111,21 @@ def start_ingest(
 ) -> StreamingQuery:
     """J1. ``kw`` goes to :func:`ingest_events`; ``first`` and ``fifo`` need ``order``. File sources offer ``page_file``.
 
-    ``first`` and ``horizon`` remember in tables beside the checkpoint (``<checkpoint>/memory``, see
+    ``first``, ``fifo`` and ``horizon`` with an ``order`` remember in tables beside the checkpoint (``<checkpoint>/memory``, see
     :mod:`eventloom.streaming.memory`) and write each micro-batch whole, for a file sink to ``batch=<n>`` below its path;
-    their counts by reason are in ``<checkpoint>/memory/counts``. ``horizon`` takes ``delay``, in seconds."""
+    their counts by reason are in ``<checkpoint>/memory/counts``. ``horizon`` takes ``delay``, in seconds. Without an ``order``,
+    ``horizon`` is Spark's own de-duplication within a watermark, and for sinks that no batch can write (``memory``) ``fifo`` is a
+    state of each scope."""
     options = RATE_LIMIT.get(source_format, FILE_RATE_LIMIT) | dict(source_options or {})
     pages = read_values(spark, source_format, source_path, options)
     if source_format != "kafka":
         pages = pages.select("*", F.col("_metadata.file_path").alias("page_file"))
-    if dedupe in ("first", "horizon"):
+    order = kw.get("order") or ()
+    if dedupe in ("first", "fifo") and not order:
+        raise ValueError(f"dedupe {dedupe!r} needs an arrival order, e.g. ['page_file', 'page_pos']")
+    if dedupe == "first" and list(order) == ["page_pos"]:
+        raise ValueError("page_pos counts within a page: the arrival order must tell pages apart, e.g. ['page_file', 'page_pos']")
+    if dedupe == "first" or dedupe == "horizon" and order or dedupe == "fifo" and sink_format not in STREAM_ONLY:
         return _start_remembering(pages, config, dedupe, sink_format, sink_path, sink_options, checkpoint, trigger, quarantine_topic, **kw)
     out = ingest_events(pages, config, dedupe=dedupe, **kw).drop("payload")
     return _start(out, sink_format, sink_path, sink_options, checkpoint, trigger, quarantine_topic, None, ("outcome",))
@@ -108,12 +133,14 @@ def start_ingest(
 
 def _start_remembering(pages: DataFrame, config: SourceConfig, dedupe: str, sink_format: str, sink_path: str | None, sink_options: Mapping[str, str] | None,
                        checkpoint: str, trigger: Mapping[str, Any] | None, quarantine_topic: str | None, *, order: Sequence[str] = (),
-                       observed_at: Any = None, horizon: str = "10 minutes", delay: float = 0) -> StreamingQuery:
-    if not order and dedupe == "first":
-        raise ValueError("dedupe 'first' needs an arrival order, e.g. ['page_file', 'page_pos']")
+                       observed_at: Any = None, max_size: int = DEFAULT_MEMORY, horizon: str = "10 minutes", delay: float = 0) -> StreamingQuery:
     spark, root, arrival = pages.sparkSession, f"{checkpoint.rstrip('/')}/memory", arrival_columns(order)
     tables = Versions(spark, root)
-    memory = FirstMemory(spark, root, order=arrival) if dedupe == "first" else HorizonMemory(spark, root, horizon, delay, order=arrival)
+    if dedupe == "horizon":
+        memory = HorizonMemory(spark, root, horizon, delay, order=arrival)
+    else:
+        memory = FirstMemory(spark, root, order=arrival) if dedupe == "first" else FifoMemory(spark, root, max_size, order=arrival)
+    counts: dict[int, dict[str, int]] = {}
 
     def write(batch: DataFrame, number: int) -> None:
         seen = Observation()
@@ -124,10 +151,13 @@ def _start_remembering(pages: DataFrame, config: SourceConfig, dedupe: str, sink
             to_topics(out, topic, quarantine_topic).write.format("kafka").options(**options).save()
         else:
             with_outcome(out).write.format(sink_format).mode("overwrite").options(**(sink_options or {})).partitionBy("outcome").save(f"{sink_path}/batch={number}")
-        tables.write("counts", number, spark.createDataFrame(list(seen.get.items()), "reason string, rows long"))
+        counts.clear()
+        counts[number] = dict(seen.get)
+        tables.write("counts", number, spark.createDataFrame(list(counts[number].items()), "reason string, rows long"))
 
     raw = raw_events(pages, config, order, observed_at)
-    return raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    query = raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    return CountedQuery(query, counts)
 
 
 def start_normalize(

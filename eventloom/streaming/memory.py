@@ -1,13 +1,15 @@
-"""D1 and D3 over a stream, exact, with every duplicate's row.
+"""D1, D2 and D3 over a stream, exact, with every duplicate's row.
 
 What a stream remembers lies in tables below one folder, a version for each micro-batch: a version is
 written whole, and again if the batch is replayed, and a batch reads only versions of earlier ones. So a
-replayed batch, a lost executor or a restart gives the same rows. Both memories are used inside
+replayed batch, a lost executor or a restart gives the same rows. The memories are used inside
 ``foreachBatch``; the rows go through the batch operators of :mod:`eventloom.operators.dedupe`.
 
 * :class:`FirstMemory` (D1): every key ever accepted. A micro-batch adds its new keys and, for each of
   ``BUCKETS`` hash buckets, a Bloom filter over them (about ``BITS`` bits a key). Later batches read the
   filters first; only keys that a filter may know are joined with the stored keys.
+* :class:`FifoMemory` (D2): the last accepted ids of each scope. They go before the rows of the next micro-batch, whose
+  chunks are decided by many tasks (:func:`eventloom.operators.dedupe.mark_fifo`).
 * :class:`HorizonMemory` (D3): per key the last accepted time, as long as it is within the horizon, and the
   rows that the watermark (the latest event time less ``delay``) has not passed yet. Rows are decided in the order of
   event time once it has passed them; a row that comes later than that counts as seen at the watermark.
@@ -21,12 +23,12 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.functions.time import with_iso_millis
-from eventloom.operators.dedupe import DEFAULT_ID, DEFAULT_SCOPE, mark_first, mark_horizon
+from eventloom.operators.dedupe import DEFAULT_ID, DEFAULT_MEMORY, DEFAULT_SCOPE, mark_fifo, mark_first, mark_horizon
 from eventloom.session import stored
 
 BUCKETS = 256
@@ -125,6 +127,31 @@ class FirstMemory:
         self.tables.write("filters", batch, kept.groupBy("bucket").applyInArrow(filter_of, "bucket int, bits binary"))
 
 
+class FifoMemory:
+    """D2 over the micro-batches of a stream; ``root`` holds the remembered ids, oldest first by ``_turn`` (below 0)."""
+
+    def __init__(self, spark: SparkSession, root: str, max_size: int = DEFAULT_MEMORY, scope: Sequence[str] = DEFAULT_SCOPE,
+                 id_col: str = DEFAULT_ID, order: Sequence[str] = ("seq",)):
+        self.tables, self.max_size, self.scope, self.id_col, self.order = Versions(spark, root), max_size, list(scope), id_col, list(order)
+
+    def mark(self, df: DataFrame, batch: int) -> DataFrame:
+        """All rows with ``is_duplicate``; rows that bear a ``reason`` pass through unseen."""
+        fresh = stored(df, "fifo-batch")
+        live, rejected = (fresh.where("reason IS NULL"), fresh.where("reason IS NOT NULL")) if "reason" in df.columns else (fresh, None)
+        names = T.StructType([*(fresh.schema[c] for c in [*self.scope, self.id_col]), T.StructField("_turn", T.LongType())])
+        known = self.tables.last("fifo", batch, names)
+        # distinct ids before all others: each is accepted, and the memory behind them is the one that was stored
+        rows = live.withColumn("_turn", F.lit(0).cast("long")).unionByName(known, allowMissingColumns=True)
+        order = ["_turn", *self.order]
+        marked = stored(mark_fifo(rows, self.max_size, self.scope, self.id_col, order), "fifo-marked")
+        latest = Window.partitionBy(*self.scope).orderBy(*[F.col(c).desc() for c in order])
+        kept = marked.where("NOT is_duplicate").select(*self.scope, self.id_col, *order).withColumn("_back", F.row_number().over(latest))
+        kept = kept.where(F.col("_back") <= self.max_size)
+        self.tables.write("fifo", batch, kept.select(*self.scope, self.id_col, (-F.col("_back")).cast("long").alias("_turn")))
+        out = marked.where("_turn = 0").select(*df.columns, "is_duplicate")
+        return out if rejected is None else out.unionByName(rejected.withColumn("is_duplicate", F.lit(False)))
+
+
 class HorizonMemory:
     """D3 over the micro-batches of a stream; ``root`` holds the times, the rows that wait and the watermark.
 
@@ -167,4 +194,4 @@ class HorizonMemory:
         return decided.unionByName(at_once)
 
 
-__all__ = ["FirstMemory", "HorizonMemory", "Versions"]
+__all__ = ["FifoMemory", "FirstMemory", "HorizonMemory", "Versions"]

@@ -7,12 +7,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators.dedupe import mark_first, mark_horizon
+from eventloom.operators.dedupe import mark_fifo, mark_first, mark_horizon
 from eventloom.session import scratch_dir
 from eventloom.sources.registry import SourceConfig
 from eventloom.streaming import memory
 from eventloom.streaming.jobs import start_ingest
-from eventloom.streaming.memory import FirstMemory, HorizonMemory
+from eventloom.streaming.memory import FifoMemory, FirstMemory, HorizonMemory
 from test_streaming import land, page
 
 FERRY = SourceConfig("ferry")
@@ -100,3 +100,36 @@ def test_ingest_job_keeps_duplicates_and_counts(spark, dedupe):
     assert bad == [("duplicate", "2"), ("duplicate", "2"), ("malformed_page", "oops")]
     counts = spark.read.parquet(f"{root}/ckpt/memory/counts").where("reason IN ('rows', 'ok', 'duplicate')").groupBy("reason").agg(F.sum("rows").alias("n")).collect()
     assert {r["reason"]: r["n"] for r in counts} == {"rows": 6, "ok": 3, "duplicate": 2}
+
+
+def test_fifo_over_batches_equals_one_batch(spark):
+    """Two scopes, more ids than the memory; one batch is replayed, one has no valid row."""
+    r, root = random.Random(7), scratch_dir(spark, "t-fifo-memory")
+    rows = [("ferry", f"e{i % 2}", str(r.randrange(14)), i, "bad" if i % 11 == 0 or 80 <= i < 90 else None) for i in range(160)]
+    schema = "source string, source_event_endpoint string, source_event_id string, seq long, reason string"
+    whole = spark.createDataFrame(rows, schema)
+    marked = mark_fifo(whole.where("reason IS NULL"), 5).select("seq", "is_duplicate").collect()
+    want = dict.fromkeys(range(160), False) | {x["seq"]: x["is_duplicate"] for x in marked}
+    got = {}
+    for n, (low, high) in enumerate([(0, 3), (3, 80), (80, 90), (90, 160)]):
+        part = spark.createDataFrame(rows[low:high], schema)
+        for _ in range(2 if n == 1 else 1):
+            got |= dict(flags(FifoMemory(spark, root, 5, order=["seq"]).mark(part, n)))
+    assert got == want and sum(got.values()) > 20
+
+
+def test_fifo_stream_spreads_one_scope_over_tasks(spark, monkeypatch):
+    """The rows of one scope are decided in chunks of their own, and none passes a state of its scope."""
+    from eventloom.operators import dedupe
+
+    sizes = []
+    monkeypatch.setattr(dedupe, "chunk_number", lambda rows, chunk_rows: sizes.append(rows) or 4)
+    root = scratch_dir(spark, "t-fifo-spread")
+    for k in range(3):
+        land(f"{root}/in", f"p{k}.txt", page(*range(100 * k, 100 * k + 150)))
+    q = start_ingest(spark, FERRY, source_format="text", source_path=f"{root}/in", sink_format="parquet", sink_path=f"{root}/out", checkpoint=f"{root}/ckpt",
+                     dedupe="fifo", order=["page_file", "page_pos"], observed_at="2031-03-04T05:06:07+00:00")
+    q.awaitTermination()
+    assert sizes == [450] and not q.lastProgress["stateOperators"]
+    counts = q.lastProgress["observedMetrics"]["eventloom"].asDict()
+    assert (counts["rows"], counts["ok"], counts["duplicate"]) == (450, 350, 100)
