@@ -22,20 +22,22 @@ import sys
 from collections import deque
 from collections.abc import Iterable, Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from eventloom.functions.time import to_millis_string_sql, with_iso_millis
-from eventloom.operators.stretches import accepted_times
+from eventloom.operators.stretches import CHUNK_ROWS, accepted_times, chunk_number
 from eventloom.plans.pinning import pinned_stage
 from eventloom.session import stored
 
 DEFAULT_SCOPE = ("source", "source_event_endpoint")
 DEFAULT_ID = "source_event_id"
 DEFAULT_MEMORY = 120  # ids remembered per scope by the ingestion process
-CHUNK_ROWS = 250_000  # narrow rows that one FIFO task holds
 
 # Python workers get these functions by value and need not import the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -150,21 +152,78 @@ class AcceptCounter:
         return list(self.latest) if self.run >= self.size or not self.blind else None
 
 
-def _replay(rows: pd.DataFrame, size: int, start: list | None, order: Sequence[str]) -> tuple[list[int], AcceptCounter]:
-    """Rows of one chunk -> ``_at`` of the duplicates, and the counter of the last scope."""
-    rows = rows.sort_values("_at", kind="stable")
-    same = (rows[["_sk", *order]].astype(str) == rows[["_sk", *order]].astype(str).shift()).all(axis=1)
-    if same.any():
-        raise ValueError("two rows of one scope have the same arrival order")
-    counter, scope, out = AcceptCounter(size, start), None, []
-    for sk, v, at, first in zip(rows["_sk"], rows["_id"], rows["_at"], rows["_first"], strict=True):
-        if sk != scope:
-            if scope is not None:
-                counter = AcceptCounter(size, [])
-            scope = sk
-        if counter.take(v, bool(first)) is False:
-            out.append(at)
-    return out, counter
+def _same_as_before(column: pa.ChunkedArray):
+    """For every row but the first: whether the value is that of the row before (two NULLs are equal)."""
+    left, right = column[1:], column[:-1]
+    if pa.types.is_nested(column.type):
+        return pa.array([x == y for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True)], pa.bool_())
+    same = pc.fill_null(pc.equal(left, right), False)
+    if pa.types.is_floating(column.type):
+        same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(left), pc.is_nan(right)), False))
+    return pc.or_(same, pc.and_(pc.is_null(left), pc.is_null(right)))
+
+
+def _replay(rows: pa.Table, size: int, start: list | None, order: Sequence[str]) -> tuple[list[int], int | None, AcceptCounter]:
+    """Rows of one chunk, sorted -> places of the duplicates, place of the last undecided row, and the counter of the last scope."""
+    if len(rows) > 1:
+        tied = _same_as_before(rows.column("_sk"))
+        changes = pc.invert(tied).to_pylist()
+        for c in order:
+            tied = pc.and_(tied, _same_as_before(rows.column(c)))
+        if pc.any(tied).as_py():
+            raise ValueError("two rows of one scope have the same arrival order")
+    else:
+        changes = []
+    counter, undecided, out = AcceptCounter(size, start), None, []
+    ids, first = rows.column("_id").to_pylist(), rows.column("_first").to_pylist()
+    for i, (v, sure, other) in enumerate(zip(ids, first, [False, *changes], strict=True)):
+        if other:
+            counter = AcceptCounter(size, [])
+        taken = counter.take(v, sure)
+        if taken is False:
+            out.append(i)
+        elif taken is None:
+            undecided = i
+    return out, undecided, counter
+
+
+def _guess(size: int, keys: Sequence[str], order: Sequence[str], schema: pa.Schema):
+    """One chunk without the memory it starts with -> its duplicates behind the last row that depends on that memory, and one
+    row on the chunk: its scopes, the memory at its end and up to where it is to be replayed (NULL: nowhere)."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_at")
+        twice, undecided, counter = _replay(rows, size, None, order)
+        known = counter.memory()
+        last = len(rows) - 1 if known is None else undecided
+        found = rows.select(keys).take(pa.array([i for i in twice if last is None or i > last], pa.int64()))
+        at, sk = rows.column("_at"), rows.column("_sk")
+        end = {"_chunk": rows.column("_chunk")[0].as_py(), "head": sk[0].as_py(), "tail": sk[-1].as_py(), "memory": known,
+               "until": None if last is None else at[last].as_py()}
+        return _stacked(found, end, schema)
+
+    return run
+
+
+def _exact(size: int, keys: Sequence[str], order: Sequence[str], schema: pa.Schema):
+    """The first rows of one chunk, from the memory it starts with -> the duplicates among them, and the memory behind them."""
+
+    def run(rows: pa.Table, begin: pa.Table) -> pa.Table:
+        rows, one = rows.sort_by("_at"), begin.to_pylist()[0]
+        twice, _, counter = _replay(rows, size, list(one["start"]), order)
+        return _stacked(rows.select(keys).take(pa.array(twice, pa.int64())), {"n": one["n"], "memory": counter.memory()}, schema)
+
+    return run
+
+
+def _stacked(found: pa.Table, end: dict, schema: pa.Schema) -> pa.Table:
+    """The keys of duplicates, with NULL in the other columns, and one row without keys."""
+    columns = []
+    for f in schema:
+        more = pa.array([end.get(f.name)], f.type)
+        head = found.column(f.name).cast(f.type) if f.name in found.column_names else pa.chunked_array([pa.nulls(len(found), f.type)])
+        columns.append(pa.chunked_array([*head.chunks, more], f.type))
+    return pa.Table.from_arrays(columns, schema=schema)
 
 
 def mark_fifo(
@@ -178,71 +237,64 @@ def mark_fifo(
     """D2 over a whole table, exact for every input, with a scope spread over many tasks.
 
     1. The narrow rows (scope, id, order) are range-partitioned by (scope,
-       order) into chunks of about ``chunk_rows``; an id's first sighting in its scope
-       is a certain accept (a partial aggregation finds it).
+       order) into chunks of about ``chunk_rows`` (more, if they were too many: :func:`chunk_number`); an id's first
+       sighting in its scope is a certain accept (a partial aggregation finds it).
     2. Every chunk is replayed without knowing the memory it starts with. After
        enough certain accepts the memory at its end is known all the same:
-       an exact cut. All chunks run in parallel.
-    3. Every chunk whose predecessor's end is known is replayed exactly. Chunks
-       that are left (a chunk through which fewer than ``max_size`` certain accepts
-       run after its last undecided row) follow in further rounds, each from
+       an exact cut. All chunks run in parallel. What follows the last undecided row is decided.
+    3. The rows of a chunk up to its last undecided one are replayed exactly, once the predecessor's end is
+       known. Chunks that are left (a chunk through which fewer than ``max_size`` certain accepts
+       run after its last undecided row) follow in further rounds, whole, each from
        the exact end of the one before; a round takes all that have become ready.
 
     Input that cannot be cut at all - chunk after chunk that repeats fewer than
     ``max_size`` ids without a new one - is replayed chunk by chunk. Payload columns
-    are not read by Python; the full rows are joined with the duplicates' keys.
+    are not read by Python; the full rows meet the duplicates' keys in a hash join and are never sorted.
     """
     if max_size < 1:
         raise ValueError("max_size must be >= 1")
     scope, order = list(scope), list(order)
     sk = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in scope]), {"ignoreNullFields": "false"})
     narrow = stored(df.select(*scope, F.col(id_col).cast("string").alias("_id"), *order, sk.alias("_sk")), "fifo-rows")
-    chunks = max(1, -(-narrow.count() // chunk_rows))
+    chunks = chunk_number(narrow.count(), chunk_rows)
     ranged = (narrow.repartitionByRange(chunks, "_sk", *order).sortWithinPartitions("_sk", *order)
               .withColumns({"_chunk": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
     ranged = stored(ranged, "fifo-ranges")
+    keys = list(dict.fromkeys([*scope, *order]))
     seen = ranged.groupBy("_sk", "_id").agg(F.min("_at").alias("_at")).select("_at", F.lit(True).alias("_first"))
     rows = ranged.join(seen, "_at", "left").select(
-        "_chunk", "_at", "_sk", "_id", *order, F.coalesce("_first", F.lit(False)).alias("_first"))
+        "_chunk", "_at", "_sk", "_id", *keys, F.coalesce("_first", F.lit(False)).alias("_first"))
     rows = stored(rows, "fifo-flagged")
 
-    def guess(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        _, counter = _replay(pdf, max_size, None, order)
-        known = counter.memory()
-        sks = pdf.sort_values("_at")["_sk"]
-        return pd.DataFrame([(key[0], sks.iloc[0], sks.iloc[-1], known)], columns=["_chunk", "head", "tail", "memory"])
-
-    guessed = stored(rows.groupBy("_chunk").applyInPandas(guess, "_chunk int, head string, tail string, memory array<string>"), "fifo-ends")
+    places = [T.StructField(c, rows.schema[c].dataType) for c in keys]
+    memory = T.StructField("memory", T.ArrayType(T.StringType()))
+    guessed = T.StructType([*places, T.StructField("_chunk", T.IntegerType()), T.StructField("head", T.StringType()),
+                            T.StructField("tail", T.StringType()), memory, T.StructField("until", T.LongType())])
+    replayed = T.StructType([*places, T.StructField("n", T.IntegerType()), memory])
+    first = stored(rows.groupBy("_chunk").applyInArrow(_guess(max_size, keys, order, to_arrow_schema(guessed)), guessed), "fifo-ends")
+    exact = _exact(max_size, keys, order, to_arrow_schema(replayed))
+    rejected, ends = first.where("_chunk IS NULL").select(*keys), first.where("_chunk IS NOT NULL").drop(*keys)
     # the one pass over all chunks in order sees their numbers only, 4 bytes each; the memories are joined to it
-    numbers = guessed.select("_chunk").withColumn("n", F.row_number().over(Window.orderBy("_chunk")))
-    numbered = stored(guessed.join(numbers, "_chunk"), "fifo-chunks")
+    numbers = ends.select("_chunk").withColumn("n", F.row_number().over(Window.orderBy("_chunk")))
+    numbered = stored(ends.join(numbers, "_chunk"), "fifo-chunks")
     before = numbered.select((F.col("n") + 1).alias("n"), F.col("tail").alias("last"), F.col("memory").alias("prior"))
     fresh = F.array().cast("array<string>")
-    starts = numbered.join(before, "n", "left").select(
-        "n", "_chunk", F.when(F.col("last") == F.col("head"), F.col("prior")).otherwise(fresh).alias("start"))
+    starts = numbered.where("until IS NOT NULL").join(before, "n", "left").select(
+        "n", "_chunk", "until", F.when(F.col("last") == F.col("head"), F.col("prior")).otherwise(fresh).alias("start"))
     pending = stored(starts, "fifo-starts")
-
-    def exact(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out, counter = _replay(left, max_size, list(right["start"].iloc[0]), order)
-        found = [(int(right["n"].iloc[0]), at, None) for at in out]
-        return pd.DataFrame([*found, (int(right["n"].iloc[0]), None, counter.memory())], columns=["n", "_at", "memory"]).astype({"_at": "Int64"})
-
-    rejected = None
     while True:
         ready = pending.where("start IS NOT NULL")
-        mine = rows.join(ready.select("_chunk"), "_chunk", "left_semi")
-        done = mine.groupBy("_chunk").cogroup(ready.groupBy("_chunk")).applyInPandas(exact, "n int, _at long, memory array<string>")
-        done = stored(done, "fifo-done")
-        part = done.where("_at IS NOT NULL").select("_at")
-        rejected = part if rejected is None else rejected.unionByName(part)
+        mine = rows.join(F.broadcast(ready.select("_chunk", "until")), "_chunk").where("_at <= until").drop("until")
+        done = stored(mine.groupBy("_chunk").cogroup(ready.groupBy("_chunk")).applyInArrow(exact, replayed), "fifo-done")
+        rejected = rejected.unionByName(done.where("n IS NULL").select(*keys))
         waiting = pending.where("start IS NULL").drop("start")
         if waiting.isEmpty():
             break
-        ends = done.where("_at IS NULL").select((F.col("n") + 1).alias("n"), F.col("memory").alias("start"))
-        pending = stored(waiting.join(ends, "n", "left"), "fifo-starts")
-    names = {c: f"_k{i}" for i, c in enumerate([*scope, *order])}
-    keyed = ranged.join(rejected, "_at").select(*[F.col(c).alias(names[c]) for c in names], F.lit(True).alias("_hit"))
-    joined = df.join(stored(keyed, "fifo-rejected"), _equal(names, names), "left")
+        behind = done.where("n IS NOT NULL").select((F.col("n") + 1).alias("n"), F.col("memory").alias("start"))
+        pending = stored(waiting.join(behind, "n", "left"), "fifo-starts")
+    names = {c: f"_k{i}" for i, c in enumerate(keys)}
+    keyed = stored(rejected.select(*[F.col(c).alias(names[c]) for c in names], F.lit(True).alias("_hit")), "fifo-rejected")
+    joined = df.join(keyed.hint("shuffle_hash"), _equal(names, names), "left")
     return joined.select(*df.columns, F.coalesce("_hit", F.lit(False)).alias("is_duplicate"))
 
 

@@ -187,3 +187,31 @@ def test_small_chunks_do_not_become_ever_more_tasks(spark, monkeypatch):
     got = mark_horizon(df, "10 minutes", ["source_event_endpoint", "source_event_id"], order=["seq"], chunk_rows=2)
     assert sorted(r.seq for r in got.where("NOT is_duplicate").collect()) == list(range(0, 600, 10))
     assert made == [6]
+
+
+def test_fifo_sorts_no_full_row_and_replays_beginnings_only(spark, monkeypatch):
+    from eventloom.operators import dedupe
+
+    replayed = []
+    real = dedupe.stored
+    monkeypatch.setattr(dedupe, "stored", lambda df, name: (out := real(df, name), replayed.append((name, out.count())))[0])
+    ids = [i for p in range(60) for i in range(10 * p, 10 * p + 30)]
+    marked = mark_fifo(frame(spark, ids), max_size=40, chunk_rows=300)
+    plan = marked._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    counts = dict(replayed)
+    refused = len(ids) - len(fifo_by_definition(ids, 40))
+    chunks = counts["fifo-chunks"]
+    assert marked.where("is_duplicate").count() == refused == counts["fifo-rejected"]
+    assert counts["fifo-ends"] - chunks > refused / 2  # most are decided in the pass over all chunks
+    assert [n for n, _ in replayed].count("fifo-done") == 1
+
+
+def test_fifo_ties_of_null_and_nan(spark):
+    schema = "source string, source_event_endpoint string, source_event_id string, seq double"
+    for at in (None, float("nan")):
+        df = spark.createDataFrame([("a", "b", "1", at), ("a", "b", "2", at)], schema)
+        with pytest.raises(Exception, match="same arrival order"):
+            mark_fifo(df).collect()
+    df = spark.createDataFrame([("a", None, "1", None), ("a", None, "1", float("nan")), (None, None, "1", 0.0)], schema)
+    assert sorted((r.source or "", r.is_duplicate) for r in mark_fifo(df).collect()) == [("", False), ("a", False), ("a", True)]
