@@ -36,6 +36,7 @@ OBSERVED_AT = "2031-03-04T05:06:07+00:00"
 OBSERVED_AT_MS = 1930367167000
 
 SHOP = SourceConfig(source="shop")
+PAGE_ROWS = 100_000  # rows of API events that one task groups into pages
 
 _ENVELOPE_RULES = """
 partition_key: {from: actor.login}
@@ -308,6 +309,8 @@ def _overlapping_pages(spark, sf) -> DataFrame:
     and every page holds one event without an id."""
     ev = read_table(spark, sf, "events")
     rows = ev.selectExpr("event_id", f"{shop_event_json()} AS event", "explode(array(event_id DIV 10, event_id DIV 10 + 1)) AS page_no")
+    # a task groups about so many rows, however many there are
+    rows = rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * ev.count() // PAGE_ROWS)), "page_no")
     pages = rows.groupBy("page_no").agg(F.expr(
         "concat('[', array_join(transform(sort_array(collect_list(struct(event_id, event))), x -> x.event), ','), ',{\"type\": \"click\"}]')"
     ).alias("value"))
