@@ -15,6 +15,8 @@ SESSION_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # the staged timestamp parser of a wide contract has more than the 100 columns that generated code takes by default
     "spark.sql.codegen.maxFields": "400",
+    # a longer method would never be compiled by the JVM: such a stage runs as projections, whose methods are split
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

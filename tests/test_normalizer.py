@@ -131,3 +131,10 @@ def test_every_output_of_the_widest_contract_compiles(spark):
             df.write.format("noop").mode("overwrite").save()  # every column is computed
     finally:
         spark.conf.set("spark.sql.codegen.fallback", before)
+
+
+def test_methods_that_the_jvm_would_not_compile_are_split(spark):
+    from eventloom.session import configure
+
+    configure(spark)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000  # HotSpot's own limit
