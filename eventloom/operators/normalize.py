@@ -193,13 +193,15 @@ def normalize(
     if lambda_rules:
         # a projection of their own, each only for rows of a branch that has the rule; the stage is pinned,
         # so the rules below stay in fused code (see eventloom.plans.pinning)
-        hcols, cols = {}, []
+        # rules that fail alike (they read one array, say) share the column of the error
+        hcols, cols, errors = {}, [], {}
         for i, r in enumerate(lambda_rules):
-            rule, mine = plan.compiled(r), in_list("_b", plan.branches_of(r))
-            cols.append(f"CASE WHEN {mine} THEN {rule.value} END AS _h{i}")
+            rule, mine = plan.compiled(r), plan.branches_of(r)
+            cols.append(f"CASE WHEN {in_list('_b', mine)} THEN {rule.value} END AS _h{i}")
             if rule.can_fail:
-                cols.append(f"CASE WHEN {mine} THEN {rule.error} ELSE false END AS _he{i}")
-            hcols[rule_key(r)] = (f"_h{i}", f"_he{i}" if rule.can_fail else "false")
+                errors.setdefault(rule.error, (f"_he{i}", set()))[1].update(mine)
+            hcols[rule_key(r)] = (f"_h{i}", errors[rule.error][0] if rule.can_fail else "false")
+        cols += [f"CASE WHEN {in_list('_b', bids)} THEN {error} ELSE false END AS {name}" for error, (name, bids) in errors.items()]
         s3 = pinned_stage(s3.selectExpr("*", *cols))
         plan.precompute(hcols)
     names = plan.all_fields()

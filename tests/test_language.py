@@ -1,5 +1,7 @@
 """The rule language (P1-P12): one table of rules, payloads and what each yields."""
 
+import re
+
 import pytest
 from event_helpers import POLLED, POLLED_MS, by_rid, envelope, values_df
 
@@ -112,3 +114,16 @@ def test_wide_table(spark):
     out = normalize(values_df(spark, values), {"ferry": c}, keep=["rid"], output="wide", type_hints={"slip": "int"})
     assert dict(out.dtypes)["knots"] == "double"
     assert [(r["knots"], r["slip"]) for r in by_rid(out)] == [(3.0, 2), (None, None)]
+
+
+def test_rules_that_fail_alike_share_one_error(spark):
+    read = "try_cast(payload:stops AS ARRAY<VARIANT>)"
+    rules = contract(f"""
+common:
+  n: {{expression: "size({read})"}}
+  last: {{expression: "array_max(transform({read}, x -> try_variant_get(x, '$', 'int')))"}}
+event_types: {{}}
+""")
+    out = normalize(values_df(spark, ["{}"]), {"ferry": rules}, with_reason=True)
+    names = set(re.findall(r"AS (_he\d+)#", out._jdf.queryExecution().analyzed().toString()))
+    assert len(names) == 1
