@@ -458,11 +458,8 @@ def rule_take(spark, sf):
 common:
   parts: {from: lines, take: l_partkey}
 """, {})
-    return out.selectExpr(
-        "o_orderkey",
-        "array_join(transform(try_cast(parts AS ARRAY<VARIANT>), x -> CAST(x AS STRING)), ',') AS parts",
-        "size(try_cast(parts AS ARRAY<VARIANT>)) AS n_parts",
-    )
+    out = out.selectExpr("o_orderkey", "try_cast(parts AS ARRAY<STRING>) AS parts")
+    return out.selectExpr("o_orderkey", "array_join(parts, ',') AS parts", "size(parts) AS n_parts")
 
 
 @query("rule_presence", """

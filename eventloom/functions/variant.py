@@ -110,12 +110,26 @@ def flatten_one_sql(v: str, var: str = "__e") -> str:
     return f"flatten(transform({as_array_sql(v)}, {var} -> coalesce({as_array_sql(var)}, array({var}))))"
 
 
-def pluck_sql(v: str, take: Sequence[str]) -> str:
-    """JMESPath ``from[].take``: flatten one level, read ``take`` from each
+def pluck_sql(v: str, take: Sequence[str], path: Sequence[str] = ()) -> str:
+    """JMESPath ``from[].take`` of the value below ``path``: flatten one level, read ``take`` from each
     element, drop nulls. Not an array (or absent) -> NULL; ``[]`` -> ``[]``.
-    Result type ``array<variant>``."""
-    picked = f"transform({flatten_one_sql(v)}, __p -> {vget_sql('__p', take)})"
-    return f"filter({picked}, __x -> {present_sql('__x')})"
+    Result type ``array<variant>``.
+
+    An array of objects only, the common case, is read as structs of the one field: no element is copied whole. Any other
+    element is a null struct, and the array then takes the general way."""
+    picked = f"transform({flatten_one_sql(vget_sql(v, path))}, __p -> {vget_sql('__p', take)})"
+    general = f"filter({picked}, __x -> {present_sql('__x')})"
+    if not take:
+        return general
+    kind, field = "variant", "__o"
+    for step in reversed(take):
+        kind = f"struct<{ident(step)}: {kind}>"
+    for step in take:
+        field += f".{ident(step)}"
+    structs = f"try_variant_get({v}, {sql_str(json_path(path))}, {sql_str(f'array<{kind}>')})"
+    plain = f"filter(transform(__a, __o -> {field}), __x -> {present_sql('__x')})"
+    # a lambda over the one array binds it: it is read once
+    return f"get(transform(array({structs}), __a -> CASE WHEN forall(__a, __o -> __o IS NOT NULL) THEN {plain} ELSE {general} END), 0)"
 
 
 def select_keys_sql(v: str, keys: Sequence[str]) -> str:

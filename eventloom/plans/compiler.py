@@ -70,7 +70,7 @@ def compile_rule(
     base = vget_sql(payload, rule.path)
     error = None
     if rule.take:
-        value = f"to_variant_object({pluck_sql(base, rule.take_path)})"
+        value = f"to_variant_object({pluck_sql(payload, rule.take_path, rule.path)})"
     elif rule.as_ == "boolean":
         value = f"CAST({present_sql(base)} AS VARIANT)"
     elif rule.as_ == "timestamp":
