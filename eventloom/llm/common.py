@@ -56,6 +56,16 @@ def dropped(df: DataFrame) -> None:
     path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of rows that go to a Python worker, and come back, in one Arrow batch.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by bytes too: 10,000 whole texts can be a gigabyte, which the executor and its
+    Python worker hold several times over."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else untouched (``lower`` is right and fast only for pure ASCII)."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventloom.llm.common import bounded_batches
+
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
@@ -223,6 +225,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 def predict(docs: DataFrame, net: Network | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` (all columns by default) with __lang and __score."""
     keep = docs.columns if keep is None else keep
+    bounded_batches(docs.sparkSession)
     fields = [docs.schema[c] for c in keep] + [T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType())]
     return docs.mapInArrow(predictor(net, text_col, keep), T.StructType(fields))
 

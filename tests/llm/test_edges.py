@@ -419,3 +419,18 @@ def test_minhash_dedup(spark, documents):
     assert minhash_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+
+
+def test_language_id_sends_texts_in_bounded_batches(spark):
+    import pyarrow as pa
+
+    from eventloom.llm import common
+
+    docs = spark.range(0, 600, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 5000) AS text", "'en' AS lang")
+    assert language_id.keep_identified(docs).count() == 600
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    assert max(r["bytes"] for r in docs.mapInArrow(sizes, "bytes long").collect()) < 2 * common.BATCH_BYTES
