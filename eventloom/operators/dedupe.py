@@ -336,7 +336,12 @@ def mark_horizon(
     without an event time is never a duplicate. The rows are read twice, so the event time
     must not be a processing time that changes between reads.
     """
-    keys, order = list(keys), list(order)
+    timed = horizon_times(df, keys, event_time)
+    return horizon_flags(timed, horizon_accepts(timed, horizon, order, chunk_rows), order).select(*df.columns, "is_duplicate")
+
+
+def horizon_times(df: DataFrame, keys: Sequence[str], event_time: str) -> DataFrame:
+    """All rows with their event time (``_at``, microseconds) and key (``_sk``)."""
     if event_time in df.columns:
         timed = df.withColumn("_at", F.unix_micros(F.col(event_time).cast("timestamp")))
     else:
@@ -344,15 +349,23 @@ def mark_horizon(
         timed = timed.withColumn("_at", F.expr("CASE WHEN observed_at IS NOT NULL THEN _seen_ms * 1000 END"))
     sk = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in keys]), {"ignoreNullFields": "false"})
     # pinned: the parsed time and the key are computed once per row, not once per use
-    timed = pinned_stage(timed.select(*df.columns, "_at", sk.alias("_sk")))
-    span = df.sparkSession.sql(f"SELECT unix_micros(timestamp'1970-01-01 00:00:00Z' + INTERVAL {horizon})").first()[0]
+    return pinned_stage(timed.select(*[c for c in df.columns if c != "_at"], "_at", sk.alias("_sk")))
+
+
+def horizon_accepts(timed: DataFrame, horizon: str, order: Sequence[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Rows of :func:`horizon_times` -> the accepted (key, time) with the least row's order, stored."""
+    span = timed.sparkSession.sql(f"SELECT unix_micros(timestamp'1970-01-01 00:00:00Z' + INTERVAL {horizon})").first()[0]
     tied = [x for c in order for x in (F.col(c).isNull().alias(f"_none_{c}"), F.col(c))]
     times = timed.where("_at IS NOT NULL").select("_sk", "_at", *order)
     per = times.groupBy("_sk", "_at", *order).agg(F.count(F.lit(1)).alias("_n"))
     rank = F.struct(*tied, F.col("_n"))
     least = per.groupBy("_sk", "_at").agg(F.min(rank).alias("_w"))
     kept = accepted_times(least, span, chunk_rows).select(F.col("_sk").alias("_k"), F.col("_at").alias("_t"), "_w")
-    kept = stored(kept, "horizon")
+    return stored(kept, "horizon")
+
+
+def horizon_flags(timed: DataFrame, kept: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows of :func:`horizon_times`, all or some, with ``is_duplicate`` by what :func:`horizon_accepts` found in all of them."""
     joined = timed.join(kept.hint("shuffle_hash"), (F.col("_sk") == F.col("_k")) & (F.col("_at") == F.col("_t")), "left")
     mine = F.lit(True)
     for c in order:
@@ -360,7 +373,7 @@ def mark_horizon(
     tie = F.raise_error(F.lit("two rows of one key and event time have the same order"))
     flag = F.when(F.col("_at").isNull(), F.lit(False)).when(F.col("_k").isNull() | ~mine, F.lit(True))
     flag = flag.when(F.col("_w._n") > 1, tie.cast("boolean")).otherwise(F.lit(False))
-    return joined.select(*df.columns, flag.alias("is_duplicate"))
+    return joined.select(*timed.columns, flag.alias("is_duplicate"))
 
 
 def dedupe_within_horizon(

@@ -150,6 +150,8 @@ def _start_remembering(pages: DataFrame, config: SourceConfig, dedupe: str, sink
             topic = options.pop("topic", None)
             to_topics(out, topic, quarantine_topic).write.format("kafka").options(**options).save()
         else:
+            # a file open for each outcome, instead of sorting the full rows by it
+            out.sparkSession.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
             with_outcome(out).write.format(sink_format).mode("overwrite").options(**(sink_options or {})).partitionBy("outcome").save(f"{sink_path}/batch={number}")
         counts.clear()
         counts[number] = dict(seen.get)

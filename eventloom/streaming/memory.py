@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.functions.time import with_iso_millis
-from eventloom.operators.dedupe import DEFAULT_ID, DEFAULT_MEMORY, DEFAULT_SCOPE, mark_fifo, mark_first, mark_horizon
+from eventloom.operators.dedupe import DEFAULT_ID, DEFAULT_MEMORY, DEFAULT_SCOPE, horizon_accepts, horizon_flags, horizon_times, mark_fifo, mark_first
 from eventloom.session import stored
 
 BUCKETS = 256
@@ -184,14 +184,19 @@ class HorizonMemory:
         names = T.StructType([*(fresh.schema[c] for c in self.keys), T.StructField("_at", T.LongType())])
         seeds = self.tables.last("times", batch, names)
         rows = waiting.where(released).withColumn("_row", F.lit(1)).unionByName(seeds.withColumn("_row", F.lit(0)), allowMissingColumns=True)
-        rows = rows.withColumn("_when", F.timestamp_micros("_at"))
-        marked = stored(mark_horizon(rows, self.horizon, self.keys, "_when", ["_row", *self.order]), "horizon-marked")
-        kept = marked.where("NOT is_duplicate").groupBy(*self.keys).agg(F.max("_at").alias("_at"))
+        order = ["_row", *self.order]
+        # the times are decided on narrow rows and stored; the full rows are read once more, on their way to the sink
+        accepts = horizon_accepts(self._timed(rows), self.horizon, order)
         span = F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00Z' + INTERVAL {self.horizon})")
-        self.tables.write("times", batch, kept.where(F.col("_at") + span > F.lit(mark).cast("long")))
-        decided = marked.where("_row = 1").select(*df.columns, "is_duplicate")
+        recent = rows.where(F.col("_at") + span > F.lit(mark).cast("long")).select(*self.keys, *order, "_at")
+        kept = horizon_flags(self._timed(recent), accepts, order).where("NOT is_duplicate")
+        self.tables.write("times", batch, kept.groupBy(*self.keys).agg(F.max("_at").alias("_at")))
+        decided = horizon_flags(self._timed(rows.where("_row = 1")), accepts, order).select(*df.columns, "is_duplicate")
         at_once = fresh.where("reason IS NOT NULL OR _at IS NULL").select(*df.columns, F.lit(False).alias("is_duplicate"))
         return decided.unionByName(at_once)
 
+    def _timed(self, rows: DataFrame) -> DataFrame:
+        return horizon_times(rows.withColumn("_when", F.timestamp_micros("_at")), self.keys, "_when")
+
 
 __all__ = ["FifoMemory", "FirstMemory", "HorizonMemory", "Versions"]

@@ -84,6 +84,19 @@ def test_late_rows_count_as_seen_at_the_watermark(spark):
     assert flags(horizon.mark(frame(spark, late), 1)) == [(3, False), (4, False), (5, True), (6, True)]
 
 
+def test_horizon_stores_full_rows_only_as_they_come(spark, monkeypatch):
+    """The rows that a batch decides go to the sink without being stored a second time; times within the horizon are kept."""
+    names, keep = [], memory.stored
+    monkeypatch.setattr(memory, "stored", lambda df, name: names.append(name) or keep(df, name))
+    horizon = HorizonMemory(spark, scratch_dir(spark, "t-stored"), "10 minutes", 0)
+    assert flags(horizon.mark(frame(spark, [("a", 1, 1, None), ("a", 700, 2, None), ("b", 900, 3, None), ("b", 901, 4, None)]), 0)) == [(1, False), (2, False), (3, False), (4, True)]
+    assert names == ["horizon-fresh"]
+    seconds = lambda at: (BEGIN + dt.timedelta(seconds=at - 1)).timestamp() * 1_000_000
+    times = spark.read.parquet(horizon.tables.path("times", 0)).select("source_event_id", "_at").collect()
+    assert sorted(tuple(r) for r in times) == [("a", seconds(700)), ("b", seconds(900))]
+    assert flags(horizon.mark(frame(spark, [("a", 1200, 5, None), ("a", 1301, 6, None), ("b", 1499, 7, None)]), 1)) == [(5, True), (6, False), (7, True)]
+
+
 @pytest.mark.parametrize("dedupe", ["first", "horizon"])
 def test_ingest_job_keeps_duplicates_and_counts(spark, dedupe):
     root = scratch_dir(spark, "t-remember")
