@@ -2,8 +2,8 @@
 
 Both encodings of a text are arrays of token ends, as byte offsets. Where tokens correspond one
 to one the two arrays run equal at a constant index shift. From a place where both sides end
-together the arrays are compared at the current shift over ``FIRST`` entries, then twice as many, and so
-on; the first bit that differs in the first unequal probe ends the run, which is jumped as that many
+together the arrays are compared at the current shift: ``FIRST`` entries one by one, as most runs are short,
+then as many at a time, then twice as many, and so on; the first bit that differs in the first unequal probe ends the run, which is jumped as that many
 groups of one token each. What follows is an irregular group: the side that lies behind advances until both
 end together, and the shift changes by the difference of the two sides' tokens.
 
@@ -38,7 +38,7 @@ from eventloom.llm.common import dropped, written
 
 #: Pairs whose counts the tasks hold: 6 MB.
 COMMON = 1 << 19
-#: Entries of the first probe.
+#: Entries compared one by one, and entries of the first probe.
 FIRST = 16
 #: Bytes encoded at a time, and distinct pairs a task counts before it hands them on.
 BLOCK = 1 << 20
@@ -104,33 +104,40 @@ class Pieces:
 
 
 def diagonal(a: bytes, b: bytes, i: int, j: int, most: int) -> int:
-    """How many ends (8 bytes each) from a[i], b[j] on are equal one to one, by exponential probing."""
+    """How many ends (4 bytes each) from a[i], b[j] on are equal one to one, by exponential probing."""
     at, reach = 0, FIRST
     while at < most:
-        reach = min(reach, most - at)
-        x, y = a[8 * (i + at) : 8 * (i + at + reach)], b[8 * (j + at) : 8 * (j + at + reach)]
+        if at + reach > most:
+            reach = most - at
+        x, y = a[4 * (i + at) : 4 * (i + at + reach)], b[4 * (j + at) : 4 * (j + at + reach)]
         if x != y:  # the lowest bit that differs lies in the first unequal end
             differ = int.from_bytes(x, "little") ^ int.from_bytes(y, "little")
-            return at + ((differ & -differ).bit_length() - 1) // 64
+            return at + ((differ & -differ).bit_length() - 1) // 32
         at += reach
         reach *= 2
     return at
 
 
-def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]], list[int], list[int]]:
-    """Runs of one-to-one groups (first a, first b, length), irregular groups (first a, first b, a tokens, b tokens),
-    and the token places of the latter's links. Both sides end at the same byte."""
-    a, b = ends_a.astype("<i8").tobytes(), ends_b.astype("<i8").tobytes()
+def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of one-to-one groups (first a, first b, length) and irregular groups (first a, first b, a tokens, b tokens), a
+    row each, and the token places of the latter's links. Both sides end at the same byte."""
+    a, b = ends_a.astype("<u4").tobytes(), ends_b.astype("<u4").tobytes()  # a value of a column has fewer than 2^31 bytes
     list_a, list_b = ends_a.tolist(), ends_b.tolist()
     size_a, size_b = len(list_a), len(list_b)
     i = j = 0  # the shift is j - i
-    runs, irregular = [], []
+    runs: list[int] = []  # flat: a tuple for each run would be work for the garbage collection
+    irregular: list[int] = []
     walk_a: list[int] = []
     walk_b: list[int] = []
     while i < size_a:
         if list_a[i] == list_b[j]:
-            run = diagonal(a, b, i, j, min(size_a - i, size_b - j))
-            runs.append((i, j, run))
+            most, run = min(size_a - i, size_b - j), 1
+            short = min(FIRST, most)
+            while run < short and list_a[i + run] == list_b[j + run]:
+                run += 1
+            if run == FIRST:
+                run += diagonal(a, b, i + run, j + run, most - run)
+            runs += i, j, run
             i += run
             j += run
             if i == size_a:
@@ -148,9 +155,9 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[tuple[int, int,
                 y = list_b[q]
             else:
                 break
-        irregular.append((i, j, p + 1 - i, q + 1 - j))
+        irregular += i, j, p + 1 - i, q + 1 - j
         i, j = p + 1, q + 1
-    return runs, irregular, walk_a, walk_b
+    return tuple(np.array(x, dtype=np.int64).reshape(shape) for x, shape in ((runs, (-1, 3)), (irregular, (-1, 4)), (walk_a, -1), (walk_b, -1)))
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -159,9 +166,21 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
 
 
+class Spelling:
+    """Short byte strings by number, side by side, to spell many of them at once."""
+
+    def __init__(self, strings: list[bytes]):
+        self.sizes = np.array([len(x) for x in strings], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(strings), dtype=np.uint8)
+
+    def joined(self, numbers: np.ndarray) -> bytes:
+        return self.flat[spread(self.starts[numbers], self.sizes[numbers])].tobytes()
+
+
 def names(n: int, signs: str) -> np.ndarray:
-    """The ids as text, each with the sign that follows it: all with the first sign, then all with the second."""
-    return np.array([f"{k}{sign}" for sign in signs for k in range(n)], dtype=object)
+    """The ids as text, each with the sign that follows it and zero bytes up to 8: all with the first sign, then all with the second."""
+    return np.array([f"{k}{sign}".encode() for sign in signs for k in range(n)], dtype="S8").view(np.uint64)
 
 
 class Aligner:
@@ -171,10 +190,11 @@ class Aligner:
         self.a, self.b = ByteLevel(spec), Pieces(model)
         if max(len(self.a.bytes), len(self.b.bytes)) > 1 << 16:
             raise ValueError("a pair code has 16 bits for an id")
-        self.size_a, self.size_b = np.array([len(x) for x in self.a.bytes]), np.array([len(x) for x in self.b.bytes])
+        self.spelt_a, self.spelt_b = Spelling(self.a.bytes), Spelling(self.b.bytes)
+        self.size_a, self.size_b = self.spelt_a.sizes, self.spelt_b.sizes
         self.names_a, self.names_b = names(len(self.a.bytes), ",|"), names(len(self.b.bytes), ",;")
 
-    def said(self, ids_a: np.ndarray, ids_b: np.ndarray, irregular: np.ndarray) -> str:
+    def said(self, ids_a: np.ndarray, ids_b: np.ndarray, irregular: np.ndarray) -> bytes:
         """All groups as text: every id in its place, with the sign that follows it."""
         last_a, last_b = np.ones(len(ids_a), dtype=bool), np.ones(len(ids_b), dtype=bool)
         for last, first, size in ((last_a, irregular[:, 0], irregular[:, 2]), (last_b, irregular[:, 1], irregular[:, 3])):
@@ -182,25 +202,24 @@ class Aligner:
             last[first + size - 1] = True
         until_a, until_b = np.flatnonzero(last_a) + 1, np.concatenate([[0], np.flatnonzero(last_b) + 1])
         group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
-        out = np.empty(len(ids_a) + len(ids_b), dtype=object)
+        out = np.empty(len(ids_a) + len(ids_b), dtype=np.uint64)
         out[np.arange(len(ids_a)) + until_b[group_a]] = self.names_a[ids_a + len(self.size_a) * last_a]
         out[np.arange(len(ids_b)) + until_a[group_b]] = self.names_b[ids_b + len(self.size_b) * last_b]
-        return "".join(out.tolist())[:-1]
+        return out.tobytes().translate(None, b"\0")[:-1]
 
     def document(self, data: bytes, a: list[int], b: list[int]) -> tuple[int, int, int, int, str, bytes]:
         """(n_a, n_b, n_groups, n_links, groups_sha256, sorted pair codes) of a text with its leading space."""
-        if b"".join(map(self.a.bytes.__getitem__, a)) != data or b"".join(map(self.b.bytes.__getitem__, b)) != data:
-            return 0, 0, 0, 0, "", b""
         ids_a, ids_b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        if self.spelt_a.joined(ids_a) != data or self.spelt_b.joined(ids_b) != data:
+            return 0, 0, 0, 0, "", b""
         runs, irregular, walk_a, walk_b = align(self.size_a[ids_a].cumsum(), self.size_b[ids_b].cumsum())
-        stretches = np.array(runs, dtype=np.int64).reshape(-1, 3)
-        at_a = np.concatenate([spread(stretches[:, 0], stretches[:, 2]), np.array(walk_a, dtype=np.int64)])
-        at_b = np.concatenate([spread(stretches[:, 1], stretches[:, 2]), np.array(walk_b, dtype=np.int64)])
+        at_a = np.concatenate([spread(runs[:, 0], runs[:, 2]), walk_a])
+        at_b = np.concatenate([spread(runs[:, 1], runs[:, 2]), walk_b])
         codes = (ids_a[at_a] << 16 | ids_b[at_b]).astype("<u4")
         codes.sort()
-        groups = int(stretches[:, 2].sum()) + len(irregular)
-        said = self.said(ids_a, ids_b, np.array(irregular, dtype=np.int64).reshape(-1, 4))
-        return len(a), len(b), groups, len(codes), hashlib.sha256(said.encode()).hexdigest(), codes.tobytes()
+        groups = int(runs[:, 2].sum()) + len(irregular)
+        said = self.said(ids_a, ids_b, irregular)
+        return len(a), len(b), groups, len(codes), hashlib.sha256(said).hexdigest(), codes.tobytes()
 
 
 def aligned(spec: str, model: bytes):

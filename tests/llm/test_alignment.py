@@ -132,3 +132,18 @@ def test_run_skipping_on_random_ends():
             pairs = sorted([(i + k, j + k) for i, j, n in runs for k in range(n)] + list(zip(walk_a, walk_b, strict=True)))
             begin_a, begin_b = np.append(0, a[:-1]), np.append(0, b[:-1])
             assert pairs == [(i, j) for i in range(len(a)) for j in range(len(b)) if begin_a[i] < b[j] and begin_b[j] < a[i]]
+
+
+def test_runs_that_end_around_a_probe():
+    first = alignment.FIRST
+    for n in (1, first - 1, first, first + 1, 2 * first - 1, 2 * first, 2 * first + 1, 4 * first, 4 * first + 1, 500):
+        a = np.append(np.arange(1, n + 1), [n + 1, n + 2, n + 3])
+        runs, irregular, walk_a, walk_b = alignment.align(a, np.delete(a, n))
+        assert (runs.tolist(), irregular.tolist()) == ([[0, 0, n], [n + 2, n + 1, 1]], [[n, n, 2, 1]])
+        assert (walk_a.tolist(), walk_b.tolist()) == ([n, n + 1], [n, n])
+
+
+def test_joined_spelling():
+    spelt = alignment.Spelling([b"", b"ab", b"\0", b"caf\xc3\xa9"])
+    assert spelt.joined(np.array([3, 0, 2, 1, 1])) == b"caf\xc3\xa9\0abab"
+    assert spelt.joined(np.zeros(0, dtype=np.int64)) == b""
